@@ -64,11 +64,17 @@ def op7_one_bit_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.filter(F.pmod("vec_id", F.lit(100)) == 0)).select("query_id", "rank", "vec_id", "score")
 
 
+def op8_piece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pieces import piece_summary
+
+    return piece_summary(table(spark, sf_dir, "documents"), vocabulary(PIECES))
+
+
 def op9_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import token_counts
 
     return token_counts(table(spark, sf_dir, "documents"), vocabulary(VOCABULARY))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_fm, op3_language_kernel, op4_source_mix, op5_winnowing, op6_token_files, op7_one_bit_neighbours, op9_length_histogram)}
+QUERIES = {f.__name__: f for f in (op2_quality_fm, op3_language_kernel, op4_source_mix, op5_winnowing, op6_token_files, op7_one_bit_neighbours, op8_piece_nbest, op9_length_histogram)}
 ORACLES: dict[str, str] = {}
