@@ -76,5 +76,11 @@ def op9_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary(VOCABULARY))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_fm, op3_language_kernel, op4_source_mix, op5_winnowing, op6_token_files, op7_one_bit_neighbours, op8_piece_nbest, op9_length_histogram)}
+def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .similar import similar_components
+
+    return similar_components(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_quality_fm, op3_language_kernel, op4_source_mix, op5_winnowing, op6_token_files, op7_one_bit_neighbours, op8_piece_nbest, op9_length_histogram, op10_shingle_join)}
 ORACLES: dict[str, str] = {}
