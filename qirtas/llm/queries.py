@@ -22,6 +22,12 @@ def remainder(doc_id, n: int):
     return F.pmod(F.crc32(doc_id.cast("string")), F.lit(n))
 
 
+def op1_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repeats import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op2_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import score_quality
 
@@ -82,5 +88,11 @@ def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_fm, op3_language_kernel, op4_source_mix, op5_winnowing, op6_token_files, op7_one_bit_neighbours, op8_piece_nbest, op9_length_histogram, op10_shingle_join)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpus_pipeline import run
+
+    return run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_repeated_spans, op2_quality_fm, op3_language_kernel, op4_source_mix, op5_winnowing, op6_token_files, op7_one_bit_neighbours, op8_piece_nbest, op9_length_histogram, op10_shingle_join, pipeline)}
 ORACLES: dict[str, str] = {}
