@@ -1,0 +1,213 @@
+"""Text normalisation as column expressions, stage by stage in the order that each profile needs.
+
+Null texts count as empty. Normal form KC is the one step that is not JVM-side; it is taken only where a
+text has a character beyond ASCII."""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from .udfs import nfc, nfkc
+
+# Characters and classes that results must agree on.
+INVISIBLE = "​‌‍‎‏‪‫‬‭‮⁦⁧⁨⁩﻿"
+TATWEEL = "ـ"
+MARKS_WIDE = "[ً-ٟؐ-ؚٰۖ-ۭ]"
+MARKS_NARROW = "[ؐ-ًؚ-ٰٟۖ-ۜ۟-۪ۤۧۨ-ۭ]"
+ARABIC = "[؀-ۿݐ-ݿࢠ-ࣿﭐ-﷿ﹰ-﻿]"
+EASTERN, WESTERN = "٠١٢٣٤٥٦٧٨٩", "0123456789"
+CONSONANTS = "بتثجحخدذرزسشصضطظعغفقكمنهوي"
+COMMON_PAIRS = ("لا", "ال", "من", "عل", "في", "با", "تا")
+LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\u0085  ]"
+
+
+def text_of(c: Column | str) -> Column:
+    return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
+
+
+def let(c: Column, body) -> Column:
+    """``body(c)`` with ``c`` computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(c), body), 1)
+
+
+def strip(c: Column) -> Column:
+    return F.regexp_replace(c, r"(?U)^\s+|\s+\z", "")
+
+
+def squeeze(c: Column) -> Column:
+    """All white space to single spaces."""
+    return strip(F.regexp_replace(c, r"(?U)\s+", " "))
+
+
+def tokens(c: Column) -> Column:
+    return F.filter(F.split(c, r"(?U)\s+"), lambda t: t != "")
+
+
+def lines(c: Column) -> Column:
+    """As Python's splitlines, without the empty last line."""
+    parts = F.split(c, LINE_END)
+    return F.when(c == "", F.array().cast("array<string>")).otherwise(F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts))
+
+
+def unix_lines(c: Column) -> Column:
+    return F.regexp_replace(c, "\r\n|\r", "\n")
+
+
+def full_lines(c: Column) -> Column:
+    """Stripped lines that are not blank."""
+    return F.filter(F.transform(lines(c), strip), lambda x: x != "")
+
+
+def compose(c: Column) -> Column:
+    return F.when(c.rlike(r"[^\x00-\x7f]"), nfkc(c)).otherwise(c)
+
+
+def tidy_lines(c: Column) -> Column:
+    """Blanks squeezed within lines, none before line ends, at most one blank line in a row."""
+    c = F.regexp_replace(unix_lines(c), r"(?U)[^\S\r\n]+", " ")
+    c = F.regexp_replace(F.regexp_replace(c, r"[ \t]+\n", "\n"), "\n{3,}", "\n\n")
+    return strip(c)
+
+
+def normalise(c: Column, *, marks: bool, letters: bool, digits: bool, keep_lines: bool) -> Column:
+    """Compatibility form, no invisible characters or tatweel; then, if asked for, no marks, one alef and
+    yeh, western digits; then white space."""
+    c = F.translate(compose(text_of(c)), INVISIBLE + TATWEEL, "")
+    if marks:
+        c = F.regexp_replace(c, MARKS_WIDE, "")
+    if letters:
+        c = F.translate(c, "أإآٱى", "ااااي")
+    if digits:
+        c = F.translate(c, EASTERN, WESTERN)
+    return tidy_lines(c) if keep_lines else squeeze(c)
+
+
+def normalise_legacy(c, marks: bool = True) -> Column:
+    return normalise(c, marks=marks, letters=True, digits=True, keep_lines=False)
+
+
+def normalise_faithful(c, marks: bool = False) -> Column:
+    return normalise(c, marks=marks, letters=False, digits=False, keep_lines=True)
+
+
+def normalise_llm(c, marks: bool = True, letters: bool = True, digits: bool = True) -> Column:
+    return normalise(c, marks=marks, letters=letters, digits=digits, keep_lines=True)
+
+
+def for_profile(c, profile: str) -> Column:
+    return normalise_llm(c) if profile == "llm" else normalise_faithful(c)
+
+
+def without_marks(c: Column) -> Column:
+    return F.regexp_replace(c, MARKS_NARROW, "")
+
+
+def without_tatweel(c: Column) -> Column:
+    return F.translate(c, TATWEEL, "")
+
+
+def plain_letters(c: Column) -> Column:
+    return F.translate(c, "آأإىة", "ااايه")
+
+
+def script_variants(c: Column) -> Column:
+    return F.translate(c, "\u06a9\u06cc", "\u0643\u064a")
+
+
+def western_punctuation(c: Column) -> Column:
+    return F.translate(c, "،؛؟٫٬", ",;?.,")
+
+
+def western_digits(c: Column) -> Column:
+    return F.translate(c, EASTERN, WESTERN)
+
+
+def eastern_digits(c: Column) -> Column:
+    return F.translate(c.cast("string"), WESTERN, EASTERN)
+
+
+def presentation_forms(c: Column) -> Column:
+    return F.when(c.rlike("[\ufb50-\ufdff\ufe70-\ufeff]"), nfkc(c)).otherwise(c)
+
+
+def replace_all(c: Column, pairs: Iterable[tuple[str, str]]) -> Column:
+    """Literal replacements one after another; the order counts."""
+    for wrong, right in pairs:
+        c = F.replace(c, F.lit(wrong), F.lit(right))
+    return c
+
+
+def corrected(c: Column, rules: Column) -> Column:
+    """Literal replacements from an array of (wrong, right) structs, folded in its order."""
+    return F.aggregate(rules, c, lambda text, rule: F.replace(text, rule["wrong"], rule["right"]))
+
+
+def lam_order(c: Column) -> Column:
+    """Repairs of lam ligatures that were written backwards, from the most specific to the least: lam after
+    a second alef; the article after ba; two or one consonants before the article's lam; names; lam-meem."""
+    word, more, one = "(?<![؀-ۿ])", "(?=[؀-ۿ])", f"([{CONSONANTS}])"
+    c = replace_all(c, [("ا" + x + "ل", "ال" + x) for x in "إأآا"])
+    steps = [
+        (f"{word}اب{one}{one}ل{more}", "بال$2$1"),
+        (f"{word}اب{one}ل{more}", "بال$1"),
+        (f"{word}ابل{more}", "بال"),
+        (f"{word}اب([أإآ])ل", "بال$1"),
+        (f"{word}([وبف]?)ا{one}{one}ل{more}", "$1ال$3$2"),
+        (f"{word}ا{one}ل{more}", "ال$1"),
+        (f"{word}([وبف])ا{one}ل{more}", "$1ال$2"),
+    ]
+    for pattern, right in steps:
+        c = F.regexp_replace(c, pattern, right)
+    c = replace_all(c, [("حممد", "محمد"), ("حممود", "محمود"), ("أمح", "أحم")])
+    c = F.regexp_replace(c, "رمح([نة])", "رحم$1")
+    return F.regexp_replace(F.regexp_replace(c, word + "امل", "الم"), word + "([وبف])امل", "$1الم")
+
+
+def clean_arabic(c, marks: bool = True, tatweel: bool = True, letters: bool = False) -> Column:
+    c = script_variants(presentation_forms(text_of(c)))
+    c = without_tatweel(c) if tatweel else c
+    c = without_marks(c) if marks else c
+    c = lam_order(western_punctuation(c))
+    c = western_digits(plain_letters(c)) if letters else c
+    return F.regexp_replace(c, r"(?U)\s+([,.:;!?؟])", "$1")
+
+
+def naturalness(word: Column) -> Column:
+    """Common letter pairs in a word, and three more for an article at its start."""
+    pairs = F.array(*[F.lit(p) for p in COMMON_PAIRS])
+    at = F.when(F.length(word) > 1, F.sequence(F.lit(1), F.length(word) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.size(F.filter(at, lambda i: F.array_contains(pairs, F.substring(word, i, F.lit(2))))) + F.when(word.startswith("ال"), 3).otherwise(0)
+
+
+def right_way_round(c: Column) -> Column:
+    """Each wholly Arabic word reversed where that looks more natural; words joined by one space."""
+    turn = lambda w: F.when(w.rlike(f"^{ARABIC}+$") & (naturalness(F.reverse(w)) > naturalness(w)), F.reverse(w)).otherwise(w)
+    return F.array_join(F.transform(tokens(c), turn), " ")
+
+
+def upload_text(c: Column) -> Column:
+    """Composed form for upload: no invisible, control or replacement characters, blanks squeezed, at most two
+    blank lines in a row."""
+    c = F.when(c.rlike(r"[^\x00-\x7f]"), nfc(c)).otherwise(c)
+    c = F.translate(unix_lines(c), INVISIBLE + "\ufffd", "")
+    c = F.regexp_replace(F.translate(c, " ", " "), r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", "")
+    c = F.regexp_replace(F.regexp_replace(c, "[ \t]+", " "), " *\n *", "\n")
+    return strip(F.regexp_replace(c, "\n{4,}", "\n\n\n"))
+
+
+def stem(name: Column) -> Column:
+    """A file stem of safe characters, or a hash if none is left."""
+    bare = F.regexp_replace(F.regexp_replace(name, r"\.[^./]*$", ""), r"[^0-9A-Za-z._-]+", "_")
+    bare = F.regexp_replace(bare, "^[_.]+|[_.]+$", "")
+    return F.when(bare == "", F.substring(F.sha1(name), 1, 12)).otherwise(bare)
+
+
+def question_marker(line: Column) -> Column:
+    """A question or answer letter joined to its number, on either side: one spelling for all."""
+    found = F.regexp_extract(strip(line), r"^([سج])\s*[:/-]?\s*(\d+)$", 0)
+    back = F.regexp_extract(strip(line), r"^(\d+)\s*[:/-]?\s*([سج])$", 0)
+    first = F.concat(F.regexp_extract(line, r"([سج])", 1), F.regexp_extract(line, r"(\d+)", 1))
+    return F.when((found != "") | (back != ""), first).otherwise(line)

@@ -2,5 +2,10 @@
 
 from __future__ import annotations
 
+from . import casefiles, corpus, measures
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+for module in (measures, corpus, casefiles):
+    QUERIES |= module.QUERIES
+    ORACLES |= module.ORACLES
