@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qirtas.functions.metrics import contains_arabic, low_quality, page_score, quality_score, sanitised, token_stats
-from qirtas.functions.text import clean_arabic, full_lines, let, normalise_legacy, squeeze, strip, text_of
+from qirtas.functions.text import EASTERN, INVISIBLE, MARKS_WIDE, TATWEEL, WESTERN, clean_arabic, compose, full_lines, let, normalise_legacy, squeeze, strip, text_of
 from qirtas.functions.udfs import similarity, word_agreement
 
 
@@ -106,22 +106,34 @@ def rescued(first: Column, tries: Column) -> Column:
 
 
 def line_signature(c: Column) -> Column:
-    return squeeze(normalise_legacy(c))
+    """The legacy normal form of a line; its compatibility form, if it needs one, is made before (``stitched_chunks``)."""
+    c = F.translate(F.translate(c, INVISIBLE + TATWEEL, ""), EASTERN + "أإآٱى", WESTERN + "ااااي")
+    return squeeze(F.regexp_replace(c, MARKS_WIDE, ""))
 
 
-def stitched(chunks: Column, longest: int = 6) -> Column:
-    """Lines of chunks in order, each chunk without the lines (at most ``longest``) that the text so far ends with."""
+def stitched(chunks: Column, signs: Column, longest: int = 6) -> Column:
+    """Lines of chunks in order, each chunk without the lines (at most ``longest``) that the text so far ends with.
+    ``signs``: for each chunk a text of the same lines to compare by."""
+    line = "array<struct<t:string,s:string>>"
 
     def overlap(have: Column, new: Column) -> Column:
         limit = F.least(F.size(have), F.size(new), F.lit(longest))
         k = F.when(limit > 0, F.sequence(limit, F.lit(1), F.lit(-1))).otherwise(F.array().cast("array<int>"))
-        sign = lambda a: F.transform(a, line_signature)
+        sign = lambda a: F.transform(a, lambda x: x["s"])
         same = F.filter(k, lambda i: sign(F.slice(have, F.size(have) - i + 1, i)) == sign(F.slice(new, F.lit(1), i)))
         return F.coalesce(F.try_element_at(same, F.lit(1)), F.lit(0))
 
-    def add(have: Column, chunk: Column) -> Column:
-        new = full_lines(chunk)
+    def add(have: Column, new: Column) -> Column:
         rest = F.slice(new, overlap(have, new) + 1, F.greatest(F.size(new), F.lit(1)))
         return F.when(F.size(new) == 0, have).when(F.size(have) == 0, new).otherwise(F.concat(have, rest))
 
-    return F.array_join(F.aggregate(chunks, F.array().cast("array<string>"), add), "\n")
+    pairs = F.transform(F.arrays_zip(chunks.alias("t"), signs.alias("s")), lambda x: F.arrays_zip(full_lines(x["t"]).alias("t"), F.transform(full_lines(x["s"]), line_signature).alias("s")))
+    whole = F.aggregate(F.transform(pairs, lambda p: F.transform(p, lambda x: F.struct(x["t"].alias("t"), x["s"].alias("s")))), F.array().cast(line), add)
+    return F.array_join(F.transform(whole, lambda x: x["t"]), "\n")
+
+
+def stitched_chunks(chunks: DataFrame, keys: list[str], order: str, text: str) -> DataFrame:
+    """One stitched ``text`` a key from chunk rows in order."""
+    rows = chunks.withColumn("_t", text_of(text)).withColumn("_s", compose(F.col("_t")))
+    listed = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col("_t").alias("t"), F.col("_s").alias("s")))).alias("c"))
+    return listed.select(*keys, stitched(F.transform("c", lambda x: x["t"]), F.transform("c", lambda x: x["s"])).alias("text"))

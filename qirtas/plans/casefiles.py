@@ -1,2 +1,186 @@
+"""Queries over bundles: ranges, people, segments, resume, packets, geometry, page lists."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from qirtas.functions import text
+from qirtas.operators import casefile, layout, render
+from qirtas.sources.pages import page_numbers
+
+from .common import register, table
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+
+
+def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as bundles: a turn is a page, numbered from 1."""
+    return table(spark, sf_dir, "conversations").select("conv_id", (F.col("turn") + 1).cast("int").alias("page"), "role", text.text_of("text").alias("text"))
+
+
+def ranges(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Ranges that user turns open: from their page, of a length that varies, some reversed; and the bundles' sizes."""
+    t = turns(spark, sf_dir)
+    size = (F.length("text") % 3).cast("int")
+    start, end = F.col("page"), F.col("page") + size
+    flip = F.length("text") % 5 == 0
+    entries = t.filter("role = 'user'").select("conv_id", F.when(flip, end).otherwise(start).alias("page_start"), F.when(flip, start).otherwise(end).alias("page_end"), F.concat(F.lit("user "), F.col("page").cast("string")).alias("label"))
+    return entries, t.groupBy("conv_id").agg(F.max("page").alias("page_total"))
+
+
+T = "t as (select conv_id, (turn + 1)::int as page, role, coalesce(text, '') as text from conversations)"
+COVER = f"""{T}, b as (select conv_id, max(page) as total from t group by conv_id), e as (select conv_id, page as s, page + length(text) % 3 as f, 'user ' || page::varchar as label from t where role = 'user'),
+ c as (select e.*, total, least(s, total) as a, least(f, total) as z from e join b using (conv_id)), r as (select *, coalesce(max(z) over (partition by conv_id order by s, f, label rows between unbounded preceding and 1 preceding), 0) + 1 as nxt from c),
+ k as (select conv_id, greatest(a, nxt) as ps, z as pe, label, nxt from r where z >= nxt), every as (select conv_id, ps, pe, label from k union all select conv_id, nxt, ps - 1, 'Unclassified pages' from k where ps > nxt
+ union all select b.conv_id, coalesce(m, 0) + 1, total, 'Unclassified pages' from b left join (select conv_id, max(pe) as m from k group by conv_id) using (conv_id) where coalesce(m, 0) + 1 <= total),
+ cover as (select conv_id, 'doc-' || lpad(row_number() over (partition by conv_id order by ps)::varchar, 3, '0') as id, label, ps::int as page_start, pe::int as page_end from every)"""
+
+
+@register(QUERIES, ORACLES, f"with {COVER} select * from cover")
+def case_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return casefile.coverage(*ranges(spark, sf_dir), "conv_id")
+
+
+@register(QUERIES, ORACLES, f"with {COVER} select cover.conv_id, id, t.page, length(t.text)::bigint as chars from cover join t on t.conv_id = cover.conv_id and t.page between page_start and page_end")
+def case_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cover = casefile.coverage(*ranges(spark, sf_dir), "conv_id")
+    return casefile.pages_of(cover, turns(spark, sf_dir), "conv_id").select("conv_id", "id", "page", F.length("text").cast("long").alias("chars"))
+
+
+FIRST_WORD = r"regexp_extract(text, '([A-Za-z]+)', 1)"
+
+
+@register(QUERIES, ORACLES, f"with {T}, m as (select conv_id, role as name, {FIRST_WORD} as r, min(page) as o from t group by 1, 2, 3) select conv_id, name, min(o)::int as first_met, coalesce(string_agg(nullif(r, ''), '|' order by o, r), '') as roles from m group by 1, 2")
+def people_and_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Speakers as people; the first word of a turn as a role."""
+    t = turns(spark, sf_dir).withColumn("first_word", F.regexp_extract("text", "([A-Za-z]+)", 1))
+    return casefile.people_roles(t, "conv_id", "page", "role", "first_word").withColumn("roles", F.array_join("roles", "|"))
+
+
+@register(QUERIES, ORACLES, f"with {T}, w as (select conv_id, page, unnest(regexp_extract_all(text, '[A-Za-z]+')[1:3]) as value, unnest(range(0, len(regexp_extract_all(text, '[A-Za-z]+')[1:3]))) as pos from t), f as (select conv_id, value, min(page * 10 + pos) as met from w group by 1, 2) select conv_id, value, row_number() over (partition by conv_id order by met)::int as place from f")
+def topics_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first three words of every turn as its topics."""
+    t = turns(spark, sf_dir).withColumn("topics", F.slice(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0)), 1, 3))
+    return casefile.unique_in_order(t, "conv_id", "page", "topics")
+
+
+SEGMENTS = f"""with recursive {T}, n as (select conv_id, page, length(text) as size, row_number() over (partition by conv_id order by page) as i from t),
+ g as (select conv_id, i, page as page_start, page as page_end, 1 as pages, size as chars, 0 as segment from n where i = 1
+ union all select n.conv_id, n.i, case when g.pages >= 2 or g.chars + n.size + 2 > 3000 then n.page else g.page_start end, n.page, case when g.pages >= 2 or g.chars + n.size + 2 > 3000 then 1 else g.pages + 1 end,
+  case when g.pages >= 2 or g.chars + n.size + 2 > 3000 then n.size else g.chars + n.size + 2 end, case when g.pages >= 2 or g.chars + n.size + 2 > 3000 then g.segment + 1 else g.segment end from g join n on n.conv_id = g.conv_id and n.i = g.i + 1)
+ select conv_id, segment::bigint as segment, min(page_start)::bigint as page_start, max(page_end)::bigint as page_end, max(pages)::bigint as pages, max(chars)::bigint as chars from g group by conv_id, segment"""
+
+
+@register(QUERIES, ORACLES, SEGMENTS)
+def review_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return casefile.review_segments(turns(spark, sf_dir), "conv_id", "page", "text")
+
+
+@register(QUERIES, ORACLES, f"with {COVER} select conv_id, id from cover where not exists (select 1 from t where t.conv_id = cover.conv_id and t.page = cover.page_start and t.role = 'user')")
+def resume_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges that a user turn begins count as reviewed already."""
+    cover = casefile.coverage(*ranges(spark, sf_dir), "conv_id")
+    done = turns(spark, sf_dir).filter("role = 'user'").select("conv_id", F.col("page").alias("page_start"))
+    return casefile.pending(cover, done, ["conv_id", "page_start"]).select("conv_id", "id")
+
+
+@register(QUERIES, ORACLES, f"with {COVER} select conv_id, id from cover where exists (select 1 from t where t.conv_id = cover.conv_id and t.page = cover.page_start and t.role = 'user')")
+def resume_done(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cover = casefile.coverage(*ranges(spark, sf_dir), "conv_id")
+    done = turns(spark, sf_dir).filter("role = 'user'").select("conv_id", F.col("page").alias("page_start"))
+    return casefile.finished(cover, done, ["conv_id", "page_start"]).select("conv_id", "id")
+
+
+TIDY = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '[ \t\x0b\f]+', ' ', 'g'), '[ \t]+\n', chr(10), 'g'), '\n\n\n+', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g')"
+NL = "chr(10) || chr(10)"
+CONTEXT = f"""with {COVER}, x as (select conv_id, page, case when {TIDY} = '' then '_No text extracted._' else {TIDY} end as body from t),
+ d as (select c.conv_id, id, label, page_start, page_end, string_agg('### Page ' || page::varchar || {NL} || body, {NL} order by page) as pages from cover c join x on x.conv_id = c.conv_id and x.page between page_start and page_end group by all),
+ h as (select conv_id, count(*) as n, string_agg('- ' || label || ' (pages ' || page_start::varchar || '-' || page_end::varchar || ')', chr(10) order by page_start) as items from cover group by conv_id),
+ dd as (select conv_id, string_agg('## ' || id || ' - ' || label || {NL} || 'Pages: ' || page_start::varchar || '-' || page_end::varchar || {NL} || pages, {NL} order by page_start) as docs from d group by conv_id)
+ select conv_id, sha256('# Case File Bundle' || {NL} || 'Logical documents: ' || n::varchar || {NL} || '## Document Inventory' || {NL} || items || {NL} || docs) as rendered_sha256 from h join dd using (conv_id)"""
+
+
+@register(QUERIES, ORACLES, CONTEXT)
+def bundle_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cover = casefile.coverage(*ranges(spark, sf_dir), "conv_id")
+    return render.bundle_context(cover, turns(spark, sf_dir), "conv_id", "page", "text").select("conv_id", F.sha2("rendered", 256).alias("rendered_sha256"))
+
+
+@register(QUERIES, ORACLES)
+def case_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cover = casefile.coverage(*ranges(spark, sf_dir), "conv_id")
+    t = turns(spark, sf_dir).withColumn("first_word", F.regexp_extract("text", "([A-Za-z]+)", 1)).withColumn("topics", F.slice(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0)), 1, 3))
+    people = casefile.people_roles(t, "conv_id", "page", "role", "first_word")
+    dated = t.select("conv_id", F.col("page").alias("page_start"), F.col("page").alias("page_end"), F.array(F.struct(F.lit("").alias("date"), F.col("first_word").alias("event"))).alias("events"))
+    out = render.case_packet(cover, people, casefile.date_events(dated, "conv_id", "events"), casefile.unique_in_order(t, "conv_id", "page", "topics"), "conv_id")
+    return out.select("conv_id", F.length("rendered").cast("long").alias("chars"), F.sha2("rendered", 256).alias("rendered_sha256"))
+
+
+@register(QUERIES, ORACLES, f"with {T} select conv_id, to_json(struct_pack(source := conv_id, pages := list(struct_pack(page := page, role := role, chars := length(text)) order by page)))::varchar as json from t group by conv_id")
+def bundle_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    page = F.struct("page", "role", F.length("text").alias("chars"))
+    listed = turns(spark, sf_dir).groupBy("conv_id").agg(F.array_sort(F.collect_list(page)).alias("pages"))
+    return listed.select("conv_id", F.to_json(F.struct(F.col("conv_id").alias("source"), "pages")).alias("json"))
+
+
+MASK = "c as (select doc_id, unnest(range(0, len(ls))) as i, unnest(ls) <> '' as on_ from (select doc_id, string_split(text, chr(10)) as ls from documents))"
+ISLANDS = f"""with {MASK}, tot as (select doc_id, max(i) + 1 as total from c group by doc_id), o as (select doc_id, i, i - lag(i) over (partition by doc_id order by i) - 1 as gap from c where on_),
+ n as (select *, sum(case when gap > 1 then 1 else 0 end) over (partition by doc_id order by i) as island from o), f as (select doc_id, island, min(i) as s, max(i) + 1 as e from n group by 1, 2)
+ select doc_id, s::int as start, (case when total - e <= 1 then total else e end)::int as "end" from f join tot using (doc_id) where (case when total - e <= 1 then total else e end) - s >= 2"""
+
+
+@register(QUERIES, ORACLES, ISLANDS)
+def line_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Non-empty lines as ink: islands of two lines and more, over gaps of one."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line"))
+    return layout.segments(d, "doc_id", "i", F.col("line") != "", 1, 2)
+
+
+def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as regions of 25 pages, their keys as coordinates."""
+    k = F.col("c_custkey")
+    c = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", ((k * 37) % 700).cast("int").alias("x1"), ((k * 91) % 900).cast("int").alias("y1"), (k % 3).alias("kind"))
+    return c.select("c_nationkey", "c_custkey", "x1", "y1", (F.col("x1") + 10 + k % 90).cast("int").alias("x2"), (F.col("y1") + 5 + k % 40).cast("int").alias("y2"), F.when(F.col("kind") == 0, "text").otherwise("heuristic_block").alias("label"))
+
+
+REGIONS = """with b as (select c_nationkey, c_custkey, ((c_custkey * 37) % 700)::int as x1, ((c_custkey * 91) % 900)::int as y1, 10 + c_custkey % 90 as w, 5 + c_custkey % 40 as h, c_custkey % 3 <> 0 as heuristic from customer),
+ k as (select *, heuristic and w * h < 1000 * 800 * 0.008 and (w < 800 * 0.35 or h < 1000 * 0.04) as tiny from b), n as (select *, count(*) over (partition by c_nationkey) as n, sum((not tiny)::int) over (partition by c_nationkey) as kept from k)
+ select c_nationkey, c_custkey from n where not tiny or n <= 1 or kept = 0"""
+
+
+@register(QUERIES, ORACLES, REGIONS)
+def kept_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = boxes(spark, sf_dir).withColumn("width", F.lit(800)).withColumn("height", F.lit(1000))
+    return layout.kept_regions(b, "c_nationkey", "width", "height").select("c_nationkey", "c_custkey")
+
+
+@register(QUERIES, ORACLES)
+def reading_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.right_to_left(boxes(spark, sf_dir), "c_nationkey").select("c_nationkey", "c_custkey", "reading_order")
+
+
+@register(QUERIES, ORACLES, "select c_custkey, greatest(0, x1 - 12)::int as x1, greatest(0, y1 - 10)::int as y1, least(800, x2 + 12)::int as x2, least(1000, y2 + 10)::int as y2 from (select c_custkey, ((c_custkey * 37) % 700) as x1, ((c_custkey * 91) % 900) as y1, ((c_custkey * 37) % 700) + 10 + c_custkey % 90 as x2, ((c_custkey * 91) % 900) + 5 + c_custkey % 40 as y2 from customer)")
+def expanded_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = layout.expanded(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"), F.lit(800), F.lit(1000))
+    return boxes(spark, sf_dir).select("c_custkey", b.alias("b")).select("c_custkey", "b.x1", "b.y1", "b.x2", "b.y2")
+
+
+@register(QUERIES, ORACLES, "with v as (select lang, list_sort(list(n_chars) filter (where n_chars > 0)) as v from documents group by lang) select lang, coalesce(v[len(v) // 2 + 1], 14)::double as upper_median from v")
+def upper_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").withColumn("n", F.col("n_chars").cast("double"))
+    return layout.upper_median(d, ["lang"], "n", 14.0)
+
+
+@register(QUERIES, ORACLES, "select '1-3,7' as spec, '0,1,2,6' as pages union all select '2,2,1', '0,1' union all select '0', null union all select '5-2', null union all select '4', '3' union all select 'x', null")
+def page_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    specs = spark.createDataFrame([(s,) for s in ("1-3,7", "2,2,1", "0", "5-2", "4", "x")], "spec string")
+    return specs.select("spec", F.array_join(page_numbers(F.col("spec")), ",").alias("pages"))
+
+
+@register(QUERIES, ORACLES, "select conv_id, turn, role from (select *, row_number() over (partition by conv_id order by length(coalesce(text, '')) desc, turn) as r from conversations) where r <= 3")
+def longest_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = table(spark, sf_dir, "conversations")
+    w = Window.partitionBy("conv_id").orderBy(F.length(text.text_of("text")).desc(), "turn")
+    return t.withColumn("r", F.row_number().over(w)).filter("r <= 3").select("conv_id", "turn", "role")

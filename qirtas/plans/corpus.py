@@ -103,9 +103,8 @@ def merged_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(QUERIES, ORACLES)
 def stitched_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The turns of a conversation as chunks that may overlap."""
-    listed = turns(spark, sf_dir).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", text.text_of("text").alias("text")))).alias("c"))
-    whole = choose.stitched(F.transform("c", lambda x: x["text"]))
-    return listed.select("conv_id", F.size(text.lines(whole)).cast("long").alias("lines"), F.sha2(whole, 256).alias("text_sha256"))
+    whole = choose.stitched_chunks(turns(spark, sf_dir), ["conv_id"], "turn", "text")
+    return whole.select("conv_id", F.size(text.lines(F.col("text"))).cast("long").alias("lines"), F.sha2("text", 256).alias("text_sha256"))
 
 
 TIDY_ONE = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '[ \t\x0b\f]+', ' ', 'g'), '[ \t]+\n', chr(10), 'g'), '\n\n\n+', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g')"
