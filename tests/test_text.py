@@ -31,7 +31,7 @@ def test_ligature_order(spark, given, expected):
 def test_punctuation_and_letters(spark):
     assert column(spark, ["نعم ، لا؟"], text.clean_arabic) == ["نعم, لا?"]
     assert column(spark, ["مدرسة أولى"], text.plain_letters) == ["مدرسه اولي"]
-    assert column(spark, ["سرطم لا"], text.right_way_round)[0].split()[1] == "لا"
+    assert column(spark, ["كلملا  الملك ab"], text.right_way_round) == ["الملك الملك ab"]
 
 
 def reply_model(t):
@@ -90,15 +90,12 @@ def test_edit_distance():
     def slow(x, y):
         row = list(range(len(y) + 1))
         for i, v in enumerate(x, 1):
-            row = [i] + [0] * len(y) if False else [i, *row[1:]] if not y else _next(row, v, y, i)
+            new = [i]
+            for j, w in enumerate(y, 1):
+                new.append(min(row[j - 1] + (v != w), row[j] + 1, new[-1] + 1))
+            row = new
         return row[-1]
 
-    def _next(row, v, y, i):
-        out = [i]
-        for j, w in enumerate(y, 1):
-            out.append(min(row[j - 1] + (v != w), row[j] + 1, out[-1] + 1))
-        return out
-
     for _ in range(300):
         x, y = ([rng.choice("abc") for _ in range(rng.randrange(7))] for _ in range(2))
-        assert udfs.edit_distance(x, y) == (slow(x, y) if y else len(x))
+        assert udfs.edit_distance(x, y) == slow(x, y)
