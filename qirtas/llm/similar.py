@@ -35,6 +35,7 @@ from .shared import drop_table, partitions, release, write_table
 from .text import U, flat, row_windows, slices, window_hashes, word_bounds, word_hashes
 
 SHORT, BLOCK, HOT_IN_BATCH, HOT_MOST = 32, 1024, 4, 1 << 18
+HELD_BYTES, HELD_PAIRS = 1 << 22, 1 << 19
 PLUS = 8  # l is one in so many shingles
 
 
@@ -130,8 +131,7 @@ def _unblock(raw: bytes) -> tuple[np.ndarray, ...]:
     for kind, count in (("<i8", m), ("<u4", m), ("<u4", m), ("<u8", n), ("<u4", n)):
         out.append(np.frombuffer(raw, kind, count, at))
         at += out[-1].nbytes
-    ids, size, more, h, who = out
-    return ids[who], size[who].astype(np.int64), more[who].astype(np.int64), h
+    return tuple(out)
 
 
 def candidates(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -139,10 +139,13 @@ def candidates(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
     parts = [_unblock(x.as_py()) for batch in batches for x in batch.column(0)]
     if not parts:
         return
-    ids, size, more, h = (np.concatenate(x) for x in zip(*parts, strict=True))
-    del parts
-    nodes, first, node = np.unique(ids, return_index=True, return_inverse=True)
-    n, l = size[first], more[first]
+    ids, size, more = (np.concatenate([p[i] for p in parts]) for i in range(3))
+    nodes, first, back = np.unique(ids, return_index=True, return_inverse=True)
+    n, l = size[first].astype(np.int64), more[first].astype(np.int64)
+    shift = np.cumsum([0, *(len(p[0]) for p in parts)])
+    node = np.concatenate([back[p[4] + at].astype(np.int32) for p, at in zip(parts, shift, strict=False)])
+    h = np.concatenate([p[3] for p in parts])
+    del parts, ids, size, more, back
     order = np.lexsort((node, h))
     h, node = h[order], node[order]
     keep = np.ones(len(h), bool)
@@ -156,14 +159,14 @@ def candidates(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
     for f in range(2, SHORT + 1):
         at = start[count == f]
         i, j = np.triu_indices(f, 1)
-        for c in range(0, len(at), max(1, (1 << 21) // len(i))):
-            block = node[at[c : c + max(1, (1 << 21) // len(i)), None] + np.arange(f)]
+        for c in range(0, len(at), max(1, HELD_PAIRS // len(i))):
+            block = node[at[c : c + max(1, HELD_PAIRS // len(i)), None] + np.arange(f)]
             a, b = block[:, i].reshape(-1), block[:, j].reshape(-1)
             near = 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
             key, c_ = np.unique(a[near].astype(np.int64) * len(nodes) + b[near], return_counts=True)
             heap.append((key, c_))
             held += len(key)
-            if held > 1 << 21:
+            if held > HELD_PAIRS:
                 heap, held = _folded(heap), 0
     if heap:
         pairs, shared = _folded(heap)[0]
@@ -175,7 +178,7 @@ def candidates(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
         yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(p), np.int32)), pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(shared[c : c + len(p)]), pa.array(np.minimum(l[a], l[b]))], kinds)
     long = np.flatnonzero(count > SHORT)
     if len(long):
-        own = np.concatenate([np.stack([node[start[i] : start[i] + count[i]], np.full(count[i], node[start[i]])]) for i in long], axis=1)
+        own = np.concatenate([np.stack([node[start[i] : start[i] + count[i]].astype(np.int64), np.full(count[i], node[start[i]])]) for i in long], axis=1)
         own = np.unique(own, axis=1)
         zero = np.zeros(own.shape[1], np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(np.full(own.shape[1], 2, np.int32)), pa.array(nodes[own[0]]), pa.array(nodes[own[1]]), pa.array(zero), pa.array(zero)], kinds)
@@ -240,7 +243,7 @@ def search_links(sets: list[np.ndarray], percent: int, split: int | None = None)
 def similar_components(docs: DataFrame, percent: int = 75, k: int = 5) -> DataFrame:
     """``doc_id, n_shingles, component_id``, one row a row of ``docs``."""
     spark = docs.sparkSession
-    buckets = partitions(spark)
+    buckets = 2 * partitions(spark)
     docs = docs.select("doc_id", "text")
     hot = spark.sparkContext.broadcast(frequent(docs, k))
 
@@ -264,9 +267,10 @@ def similar_components(docs: DataFrame, percent: int = 75, k: int = 5) -> DataFr
                 yield pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.array([b for b, _ in blocks], pa.int32()), pa.array([x for _, x in blocks], pa.binary())], names)
 
     described = write_table(docs.mapInArrow(describe, "doc_id long, n long, node long, bucket int, block binary"), "similar-docs")
-    base = described.filter("bucket is null").select("doc_id", "n", "node")
+    base = write_table(described.filter("bucket is null").select("doc_id", "n", "node"), "similar-nodes")
     lists = described.filter("bucket is not null").select("bucket", "block").repartition(buckets, "bucket").select("block")
     found = write_table(lists.mapInArrow(lambda it: candidates(it, percent), "kind int, a long, b long, n long, l long"), "similar-found")
+    drop_table(described)
     release(spark)
 
     pairs = found.filter("kind = 1").groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("l").alias("l")).filter("n >= l").select("a", "b")
@@ -294,18 +298,19 @@ def similar_components(docs: DataFrame, percent: int = 75, k: int = 5) -> DataFr
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.column(1).to_pylist()
+            rows, held = batch.column(1), 0
             g, i, j, own, node, sets = [], [], [], [], [], []
             for r, s in shingle_sets(batch.column(0), k):
-                for want in rows[r]:
+                for want in rows[r].as_py():
                     if len(s) and want["node"] == set_id(s):
                         raw = s.tobytes()
                         for t in want["tasks"]:
                             for column, value in zip((g, i, j, own, node, sets), (t["g"], t["i"], t["j"], t["own"], want["node"], raw), strict=True):
                                 column.append(value)
-                if len(g) >= 2048:
+                            held += len(raw)
+                if held >= HELD_BYTES:
                     yield _members(g, i, j, own, node, sets)
-                    g, i, j, own, node, sets = [], [], [], [], [], []
+                    g, i, j, own, node, sets, held = [], [], [], [], [], [], 0
             if g:
                 yield _members(g, i, j, own, node, sets)
 
@@ -347,7 +352,8 @@ def group_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.
             v.append(nodes[b])
 
     for batch in batches:
-        for g, i, j, o, node, raw in zip(*(batch.column(c).to_pylist() for c in range(6)), strict=True):
+        for g, i, j, o, node, raw in zip(*(batch.column(c) for c in range(6)), strict=True):
+            g, i, j, o, node, raw = g.as_py(), i.as_py(), j.as_py(), o.as_py(), node.as_py(), raw.as_py()
             if (g, i, j) != now:
                 close()
                 now, nodes, own, sets = (g, i, j), [], [], []

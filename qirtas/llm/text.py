@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 U = np.uint64
 _B, _C = 0x9E3779B97F4A7C15 | 1, 0xD1342543DE82EF95
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
