@@ -7,11 +7,11 @@ shorter). A word goes if an edge that covers it also occurs in a document with a
    edges whose anchor occurs in two different texts can be repeated. Anchors are summed up batch by batch
    before they are shuffled, and each batch gets back those of its own that are repeated.
 2. Edges with such an anchor, with the places (document, position) where they begin. Edges found once fall out.
-3. Compaction: an edge is joined to the next one at its source, the smallest document that has it. Where
-   every occurrence of the edge goes on with the same word and both edges occur equally often, neither end
-   branches; such edges form a path. Only a path's first edge is joined back to its occurrences, and
-   each occurrence (document, position, length) is a verified span.
-4. Spans in documents other than the source mark the words that go.
+3. Compaction: each repeated edge has a source, the smallest document that has it, and a place there. Edges
+   at successive places of one source form its paths. An occurrence in another document follows a path as
+   long as the words before and after it are the source's; the join of edges with occurrences keeps only
+   those where an occurrence enters a path or leaves it, where the graph branches.
+4. Between entering and leaving lies a verified span of the document (position, end); its words go.
 
 Exact copies of a text are told by their hash first: all but the first of them go whole if they have an edge.
 
@@ -36,7 +36,7 @@ from .text import U, flat, mix, ranges, row_windows, sliding_min, slices, window
 
 LENGTH, GRAM = 50, 16
 NTH = 40  # bits of a place below the number of the text among those with its doc_id
-END, RUN = -1, -(1 << 31)  # what follows an edge: nothing; or the edge lies in a run of itself
+END, RUN, WORD = 0, 1, 2  # next to an edge: nothing; more of the same edge; a word (from its hash, from here on)
 NOTHING = hashlib.sha256(b"").hexdigest()
 
 
@@ -84,15 +84,16 @@ def edge_runs(words: np.ndarray, lo: int, hi: int, length: int, wanted: np.ndarr
     if not good.any():
         return None
     h = window_hashes(own, length)
-    follow = np.full(n, END, np.int64)
-    follow[:-1] = (own[length:] >> U(33)).astype(np.int64)
+    side = WORD + (own >> U(34)).astype(np.int64)
+    after, before = np.full(n, END, np.int64), np.full(n, END, np.int64)
+    after[:-1], before[1:] = side[length:], side[: n - 1]
     head = np.ones(n, bool)
     head[1:] = h[1:] != h[:-1]
     start = np.flatnonzero(head)
     run = np.diff(np.append(start, n))
-    follow = np.where(run > 1, RUN, follow[start])
+    link = np.where(run > 1, RUN << 32 | RUN, after[start] << 32 | before[start])
     keep = good[start]
-    return start[keep].astype(np.int32), h[start][keep], run[keep].astype(np.int32), follow[keep].astype(np.int32)
+    return start[keep].astype(np.int32), h[start][keep], run[keep].astype(np.int32), link[keep]
 
 
 def _anchor_table(docs: DataFrame, length: int, buckets: int) -> DataFrame:
@@ -185,7 +186,7 @@ def _edges(length: int):
                         packed.append([x.tobytes() for x in got])
             if keep:
                 take = pa.array(keep)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(2).take(take), batch.column(1).take(take), nth.take(take), *(pa.array([p[i] for p in packed], pa.binary()) for i in range(4))], ["doc_id", "sha", "text", "nth", "pos", "h", "run", "next"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(2).take(take), batch.column(1).take(take), nth.take(take), *(pa.array([p[i] for p in packed], pa.binary()) for i in range(4))], ["doc_id", "sha", "text", "nth", "pos", "h", "run", "link"])
 
     return find
 
@@ -199,9 +200,9 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             while b < len(docs) and (b == a or total + size[b] <= 1 << 17):
                 total += size[b]
                 b += 1
-            pos, h, run, follow = (np.frombuffer(b"".join(c[a:b]), t) for c, t in zip(columns, (np.int32, np.int64, np.int32, np.int32), strict=True))
+            pos, h, run, link = (np.frombuffer(b"".join(c[a:b]), t) for c, t in zip(columns, (np.int32, np.int64, np.int32, np.int64), strict=True))
             place = np.repeat(nth[a:b] << NTH, size[a:b]) + pos
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(docs[a:b], size[a:b])), pa.array(place), pa.array(h), pa.array(run), pa.array(follow)], ["doc_id", "place", "h", "run", "next"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(docs[a:b], size[a:b])), pa.array(place), pa.array(h), pa.array(run), pa.array(link)], ["doc_id", "place", "h", "run", "link"])
             a = b
 
 
@@ -213,9 +214,14 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for r in range(rows):
                 n = int(first[r + 1] - first[r])
                 cover = np.zeros(n + 1, np.int64)
-                own = spans[a + r].values.flatten()
-                np.add.at(cover, own[0].to_numpy(), 1)
-                np.add.at(cover, np.minimum(own[1].to_numpy(), n), -1)
+                pos, last, enters, leaves = (x.to_numpy(zero_copy_only=False) for x in spans[a + r].values.flatten())
+                begin, stop, last = np.sort(pos[enters]), pos[leaves], last[leaves]
+                order = np.argsort(stop)
+                stop, last = stop[order], last[order]
+                to = last[np.searchsorted(stop, begin)]
+                since = begin[np.searchsorted(begin, stop, side="right") - 1]
+                np.add.at(cover, np.concatenate([begin, since]), 1)
+                np.add.at(cover, np.minimum(np.concatenate([to, last]), n), -1)
                 gone = np.cumsum(cover)[:n] > 0
                 n_removed.append(int(gone.sum()))
                 edge = np.flatnonzero(np.diff(np.concatenate([[True], gone, [True]]).astype(np.int8)))
@@ -225,19 +231,13 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def paths(edges: DataFrame) -> DataFrame:
-    """``h, source, size``: the first edge of every nonbranching path of repeated edges, and its number of edges."""
-    seen = edges.groupBy("h").agg(F.min("doc_id").alias("source"), F.min_by("place", "doc_id").alias("at"), F.count("*").alias("n"), F.min("next").alias("low"), F.max("next").alias("high"))
-    again = write_table(seen.filter("n >= 2"), "repeat-edges")
-    to = again.select("source", (F.col("at") - 1).alias("at"), F.col("n").alias("next_n"), F.col("low").alias("next_low"))
-    step = again.join(to, ["source", "at"], "left")
-    on = (F.col("low") == F.col("high")) & (F.col("low") >= 0) & (F.col("next_n") == F.col("n")) & (F.col("next_low") != RUN)
-    step = step.select("h", "source", "at", F.coalesce(on, F.lit(False)).alias("on"))
-    # along a source the paths follow each other; one begins wherever the edge before doesn't lead on
+    """``h, source, link, ahead, behind``: every repeated edge, its source, what is next to it there, and whether the
+    source's path goes on to the edge after and the edge before."""
+    seen = edges.groupBy("h").agg(F.min("doc_id").alias("source"), F.min_by("place", "doc_id").alias("at"), F.min_by("link", "doc_id").alias("link"), F.count("*").alias("n"))
+    again = seen.filter("n >= 2").drop("n")
     along = Window.partitionBy("source").orderBy("at")
-    step = step.withColumn("starts", ~F.coalesce(F.lag("on").over(along) & (F.lag("at").over(along) == F.col("at") - 1), F.lit(False)))
-    step = step.withColumn("path", F.sum(F.col("starts").cast("int")).over(along))
-    size = step.groupBy("source", "path").agg(F.count("*").alias("size"), F.max(F.when(F.col("starts"), F.col("h"))).alias("h"))
-    return size.select("h", "source", "size")
+    ahead, behind = F.lead("at").over(along) == F.col("at") + 1, F.lag("at").over(along) == F.col("at") - 1
+    return again.select("h", "source", "link", F.coalesce(ahead, F.lit(False)).alias("ahead"), F.coalesce(behind, F.lit(False)).alias("behind"))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -260,18 +260,22 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     release(spark)
 
     edges = docs.join(flagged, "doc_id").select("doc_id", "text", "sha", "wanted", "nth")
-    edges = edges.mapInArrow(_edges(length), "doc_id long, sha string, text string, nth int, pos binary, h binary, run binary, next binary")
+    edges = edges.mapInArrow(_edges(length), "doc_id long, sha string, text string, nth int, pos binary, h binary, run binary, link binary")
     edges = write_table(edges, "repeat-texts")
     drop_table(flagged)
     release(spark)
 
-    each = edges.select("doc_id", "nth", "pos", "h", "run", "next").mapInArrow(_unpack, "doc_id long, place long, h long, run int, next int")
-    heads = write_table(paths(each), "repeat-paths")
+    each = edges.select("doc_id", "nth", "pos", "h", "run", "link").mapInArrow(_unpack, "doc_id long, place long, h long, run int, link long")
+    on = write_table(paths(each).withColumnRenamed("link", "own_link"), "repeat-paths")
     release(spark)
-    spans = each.select("doc_id", "place", "h", "run").join(heads, "h").filter("doc_id > source")
+    after, before = lambda c: F.shiftright(c, 32), lambda c: F.col(c).bitwiseAND(0xFFFFFFFF)
+    stays = (after("link") >= WORD) & (after("link") == after("own_link")) & F.col("ahead")
+    came = (before("link") >= WORD) & (before("link") == before("own_link")) & F.col("behind")
+    occurs = each.select(F.col("h").alias("key"), "doc_id", "place", "run", "link")
+    spans = occurs.join(on, (F.col("key") == F.col("h")) & (F.col("doc_id") > F.col("source")) & ~(stays & came))
     pos = F.col("place").bitwiseAND((1 << NTH) - 1)
-    end = (pos + F.col("size") + F.col("run") + (length - 2)).cast("int")
-    spans = spans.select("doc_id", F.shiftright("place", NTH).cast("int").alias("nth"), F.struct(pos.cast("int").alias("pos"), end.alias("end")).alias("span"))
+    event = F.struct(pos.cast("int").alias("pos"), (pos + F.col("run") + (length - 1)).cast("int").alias("last"), (~came).alias("enters"), (~stays).alias("leaves"))
+    spans = spans.select("doc_id", F.shiftright("place", NTH).cast("int").alias("nth"), event.alias("span"))
     spans = spans.groupBy("doc_id", "nth").agg(F.collect_list("span").alias("spans"))
     changed = edges.select("doc_id", "sha", "text", "nth").join(spans, ["doc_id", "nth"]).select("doc_id", "sha", "text", "spans")
     changed = write_table(changed.mapInArrow(_cut_out, "doc_id long, sha string, n_removed long, kept string"), "repeat-kept")
