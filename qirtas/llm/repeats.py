@@ -36,7 +36,7 @@ from .text import U, flat, mix, ranges, row_windows, sliding_min, slices, window
 
 LENGTH, GRAM = 50, 16
 NTH = 40  # bits of a place below the number of the text among those with its doc_id
-END, RUN, WORD = 0, 1, 2  # next to an edge: nothing; more of the same edge; a word (from its hash, from here on)
+END, SELF, WORD = 0, 1, 2  # next to an edge: nothing to follow; it occurs again in its text; a word (from its hash on)
 NOTHING = hashlib.sha256(b"").hexdigest()
 
 
@@ -72,8 +72,8 @@ def anchors(words: np.ndarray, length: int, gram: int) -> np.ndarray:
 
 
 def edge_runs(words: np.ndarray, lo: int, hi: int, length: int, wanted: np.ndarray) -> tuple[np.ndarray, ...] | None:
-    """The edges of a row (words lo to hi) whose anchor is wanted: position, hash, how many equal edges follow
-    each other from it on, what comes next."""
+    """The edges of a row (words lo to hi) whose anchor is wanted: first position, hash, what is next to it. An edge
+    that the row has more than once comes once and follows nothing, nor do its neighbours follow it."""
     n = hi - lo - length + 1
     if n <= 0 or not len(wanted):
         return None
@@ -87,13 +87,14 @@ def edge_runs(words: np.ndarray, lo: int, hi: int, length: int, wanted: np.ndarr
     side = WORD + (own >> U(34)).astype(np.int64)
     after, before = np.full(n, END, np.int64), np.full(n, END, np.int64)
     after[:-1], before[1:] = side[length:], side[: n - 1]
-    head = np.ones(n, bool)
-    head[1:] = h[1:] != h[:-1]
-    start = np.flatnonzero(head)
-    run = np.diff(np.append(start, n))
-    link = np.where(run > 1, RUN << 32 | RUN, after[start] << 32 | before[start])
-    keep = good[start]
-    return start[keep].astype(np.int32), h[start][keep], run[keep].astype(np.int32), link[keep]
+    _, first, back, count = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+    often = count[back] > 1
+    after[:-1][often[1:]] = END
+    before[1:][often[:-1]] = END
+    link = np.where(often, SELF << 32 | SELF, after << 32 | before)
+    keep = np.sort(first)
+    keep = keep[good[keep]]
+    return keep.astype(np.int32), h[keep], link[keep]
 
 
 def _anchor_table(docs: DataFrame, length: int, buckets: int) -> DataFrame:
@@ -186,48 +187,56 @@ def _edges(length: int):
                         packed.append([x.tobytes() for x in got])
             if keep:
                 take = pa.array(keep)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(2).take(take), batch.column(1).take(take), nth.take(take), *(pa.array([p[i] for p in packed], pa.binary()) for i in range(4))], ["doc_id", "sha", "text", "nth", "pos", "h", "run", "link"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(2).take(take), batch.column(1).take(take), nth.take(take), *(pa.array([p[i] for p in packed], pa.binary()) for i in range(3))], ["doc_id", "sha", "text", "nth", "pos", "h", "link"])
 
     return find
 
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        docs, nth, columns = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64), [batch.column(i).to_pylist() for i in range(2, 6)]
+        docs, nth, columns = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64), [batch.column(i).to_pylist() for i in range(2, 5)]
         a, size = 0, [len(x) // 4 for x in columns[0]]
         while a < len(docs):
             b, total = a, 0
             while b < len(docs) and (b == a or total + size[b] <= 1 << 17):
                 total += size[b]
                 b += 1
-            pos, h, run, link = (np.frombuffer(b"".join(c[a:b]), t) for c, t in zip(columns, (np.int32, np.int64, np.int32, np.int64), strict=True))
+            pos, h, link = (np.frombuffer(b"".join(c[a:b]), t) for c, t in zip(columns, (np.int32, np.int64, np.int64), strict=True))
             place = np.repeat(nth[a:b] << NTH, size[a:b]) + pos
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(docs[a:b], size[a:b])), pa.array(place), pa.array(h), pa.array(run), pa.array(link)], ["doc_id", "place", "h", "run", "link"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(docs[a:b], size[a:b])), pa.array(place), pa.array(h), pa.array(link)], ["doc_id", "place", "h", "link"])
             a = b
 
 
-def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words that stay, joined by one space, of documents with spans."""
-    for batch in batches:
-        spans, n_removed, kept = batch.column(3), [], []
-        for a, rows, raw, at, first, _ in cut_words(batch.column(2)):
-            for r in range(rows):
-                n = int(first[r + 1] - first[r])
-                cover = np.zeros(n + 1, np.int64)
-                pos, last, enters, leaves = (x.to_numpy(zero_copy_only=False) for x in spans[a + r].values.flatten())
-                begin, stop, last = np.sort(pos[enters]), pos[leaves], last[leaves]
-                order = np.argsort(stop)
-                stop, last = stop[order], last[order]
-                to = last[np.searchsorted(stop, begin)]
-                since = begin[np.searchsorted(begin, stop, side="right") - 1]
-                np.add.at(cover, np.concatenate([begin, since]), 1)
-                np.add.at(cover, np.minimum(np.concatenate([to, last]), n), -1)
-                gone = np.cumsum(cover)[:n] > 0
-                n_removed.append(int(gone.sum()))
-                edge = np.flatnonzero(np.diff(np.concatenate([[True], gone, [True]]).astype(np.int8)))
-                pieces = [raw[at[first[r] + x] : at[first[r] + y]] for x, y in zip(edge[0::2].tolist(), edge[1::2].tolist(), strict=True)]
-                kept.append(b"".join(pieces)[:-1].decode("utf-8", "surrogatepass"))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "sha", "n_removed", "kept"])
+def _cut_out(length: int):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The words that stay, joined by one space, of documents with spans."""
+        for batch in batches:
+            spans, n_removed, kept = batch.column(3), [], []
+            for a, rows, raw, at, first, words in cut_words(batch.column(2)):
+                for r in range(rows):
+                    gone = covered(words[first[r] : first[r + 1]], length, *(x.to_numpy(zero_copy_only=False) for x in spans[a + r].values.flatten()))
+                    n_removed.append(int(gone.sum()))
+                    edge = np.flatnonzero(np.diff(np.concatenate([[True], gone, [True]]).astype(np.int8)))
+                    pieces = [raw[at[first[r] + x] : at[first[r] + y]] for x, y in zip(edge[0::2].tolist(), edge[1::2].tolist(), strict=True)]
+                    kept.append(b"".join(pieces)[:-1].decode("utf-8", "surrogatepass"))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "sha", "n_removed", "kept"])
+
+    return cut
+
+
+def covered(words: np.ndarray, length: int, pos: np.ndarray, enters: np.ndarray, leaves: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """Which words go: from each entering edge to the next leaving one, and every place of an edge that occurs often."""
+    cover = np.zeros(len(words) + 1, np.int64)
+    once = ~often
+    begin, stop = np.sort(pos[enters & once]), np.sort(pos[leaves & once])
+    np.add.at(cover, begin, 1)
+    np.add.at(cover, stop + length, -1)
+    if often.any():
+        h = window_hashes(words, length)
+        each = np.flatnonzero(np.isin(h, h[pos[often]]))
+        np.add.at(cover, each, 1)
+        np.add.at(cover, each + length, -1)
+    return np.cumsum(cover)[:-1] > 0
 
 
 def paths(edges: DataFrame) -> DataFrame:
@@ -260,25 +269,25 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     release(spark)
 
     edges = docs.join(flagged, "doc_id").select("doc_id", "text", "sha", "wanted", "nth")
-    edges = edges.mapInArrow(_edges(length), "doc_id long, sha string, text string, nth int, pos binary, h binary, run binary, link binary")
+    edges = edges.mapInArrow(_edges(length), "doc_id long, sha string, text string, nth int, pos binary, h binary, link binary")
     edges = write_table(edges, "repeat-texts")
     drop_table(flagged)
     release(spark)
 
-    each = edges.select("doc_id", "nth", "pos", "h", "run", "link").mapInArrow(_unpack, "doc_id long, place long, h long, run int, link long")
+    each = edges.select("doc_id", "nth", "pos", "h", "link").mapInArrow(_unpack, "doc_id long, place long, h long, link long")
     on = write_table(paths(each).withColumnRenamed("link", "own_link"), "repeat-paths")
     release(spark)
     after, before = lambda c: F.shiftright(c, 32), lambda c: F.col(c).bitwiseAND(0xFFFFFFFF)
     stays = (after("link") >= WORD) & (after("link") == after("own_link")) & F.col("ahead")
     came = (before("link") >= WORD) & (before("link") == before("own_link")) & F.col("behind")
-    occurs = each.select(F.col("h").alias("key"), "doc_id", "place", "run", "link")
+    occurs = each.select(F.col("h").alias("key"), "doc_id", "place", "link")
     spans = occurs.join(on, (F.col("key") == F.col("h")) & (F.col("doc_id") > F.col("source")) & ~(stays & came))
     pos = F.col("place").bitwiseAND((1 << NTH) - 1)
-    event = F.struct(pos.cast("int").alias("pos"), (pos + F.col("run") + (length - 1)).cast("int").alias("last"), (~came).alias("enters"), (~stays).alias("leaves"))
+    event = F.struct(pos.cast("int").alias("pos"), (~came).alias("enters"), (~stays).alias("leaves"), (before("link") == SELF).alias("often"))
     spans = spans.select("doc_id", F.shiftright("place", NTH).cast("int").alias("nth"), event.alias("span"))
     spans = spans.groupBy("doc_id", "nth").agg(F.collect_list("span").alias("spans"))
     changed = edges.select("doc_id", "sha", "text", "nth").join(spans, ["doc_id", "nth"]).select("doc_id", "sha", "text", "spans")
-    changed = write_table(changed.mapInArrow(_cut_out, "doc_id long, sha string, n_removed long, kept string"), "repeat-kept")
+    changed = write_table(changed.mapInArrow(_cut_out(length), "doc_id long, sha string, n_removed long, kept string"), "repeat-kept")
     drop_table(edges)
     release(spark)
 
