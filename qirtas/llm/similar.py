@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .shared import drop_table, partitions, release, write_table
-from .text import U, flat, row_windows, slices, window_hashes, word_bounds, word_hashes
+from .text import U, flat, mix, row_windows, slices, window_hashes, word_bounds, word_hashes
 
 SHORT, BLOCK, HOT_IN_BATCH, HOT_MOST = 32, 1024, 4, 1 << 18
 HELD_BYTES, HELD_PAIRS = 1 << 22, 1 << 19
@@ -134,8 +134,9 @@ def _unblock(raw: bytes) -> tuple[np.ndarray, ...]:
     return tuple(out)
 
 
-def candidates(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """From the lists of a partition: rows of kind 1 (pair a, b, shared shingles, l) and of kind 2 (node a in group b)."""
+def candidates(batches: Iterator[pa.RecordBatch], percent: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """From the lists of a partition: pairs with their shared shingles and l, packed by bucket, and rows of nodes a in
+    the group b of a long list."""
     parts = [_unblock(x.as_py()) for batch in batches for x in batch.column(0)]
     if not parts:
         return
@@ -170,18 +171,36 @@ def candidates(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
                 heap, held = _folded(heap), 0
     if heap:
         pairs, shared = _folded(heap)[0]
-    kinds = ["kind", "a", "b", "n", "l"]
-    for c in range(0, len(pairs), 1 << 17):
-        p = pairs[c : c + (1 << 17)]
-        a, b = p // len(nodes), p % len(nodes)
+    names = ["a", "b", "bucket", "block"]
+    if len(pairs):
+        a, b = pairs // len(nodes), pairs % len(nodes)
         x, y = nodes[a], nodes[b]
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(p), np.int32)), pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(shared[c : c + len(p)]), pa.array(np.minimum(l[a], l[b]))], kinds)
+        whole = np.stack([np.minimum(x, y), np.maximum(x, y), shared, np.minimum(l[a], l[b])])
+        place = mix(whole[0].astype(U) * U(3) + whole[1].astype(U), 1) % U(buckets)
+        order = np.argsort(place, kind="stable")
+        cut = np.searchsorted(place[order], np.arange(buckets + 1, dtype=U))
+        blocks = [(k, whole[:, own].tobytes()) for k in range(buckets) if len(own := order[cut[k] : cut[k + 1]])]
+        none = pa.nulls(len(blocks), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, pa.array([k for k, _ in blocks], pa.int32()), pa.array([x for _, x in blocks], pa.binary())], names)
     long = np.flatnonzero(count > SHORT)
     if len(long):
         own = np.concatenate([np.stack([node[start[i] : start[i] + count[i]].astype(np.int64), np.full(count[i], node[start[i]])]) for i in long], axis=1)
         own = np.unique(own, axis=1)
-        zero = np.zeros(own.shape[1], np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(own.shape[1], 2, np.int32)), pa.array(nodes[own[0]]), pa.array(nodes[own[1]]), pa.array(zero), pa.array(zero)], kinds)
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[own[0]]), pa.array(nodes[own[1]]), pa.nulls(own.shape[1], pa.int32()), pa.nulls(own.shape[1], pa.binary())], names)
+
+
+def close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose shared shingles over all lists reach their l."""
+    blocks = [np.frombuffer(x.as_py(), np.int64).reshape(4, -1) for batch in batches for x in batch.column(0)]
+    if not blocks:
+        return
+    a, b, n, l = np.concatenate(blocks, axis=1)
+    order = np.lexsort((b, a))
+    a, b, n, l = a[order], b[order], n[order], l[order]
+    start = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+    keep = start[np.add.reduceat(n, start) >= np.maximum.reduceat(l, start)]
+    for i in range(0, len(keep), 1 << 17):
+        yield pa.RecordBatch.from_arrays([pa.array(a[keep[i : i + (1 << 17)]]), pa.array(b[keep[i : i + (1 << 17)]])], ["a", "b"])
 
 
 def _folded(heap: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -269,17 +288,17 @@ def similar_components(docs: DataFrame, percent: int = 75, k: int = 5) -> DataFr
     described = write_table(docs.mapInArrow(describe, "doc_id long, n long, node long, bucket int, block binary"), "similar-docs")
     base = write_table(described.filter("bucket is null").select("doc_id", "n", "node"), "similar-nodes")
     lists = described.filter("bucket is not null").select("bucket", "block").repartition(buckets, "bucket").select("block")
-    found = write_table(lists.mapInArrow(lambda it: candidates(it, percent), "kind int, a long, b long, n long, l long"), "similar-found")
+    found = write_table(lists.mapInArrow(lambda it: candidates(it, percent, buckets), "a long, b long, bucket int, block binary"), "similar-found")
     drop_table(described)
     release(spark)
 
-    pairs = found.filter("kind = 1").groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("l").alias("l")).filter("n >= l").select("a", "b")
-    pairs = write_table(pairs, "similar-pairs")
+    pairs = found.filter("bucket is not null").select("bucket", "block").repartition(buckets, "bucket").select("block")
+    pairs = write_table(pairs.mapInArrow(close_pairs, "a long, b long"), "similar-pairs")
     least = pairs.groupBy("b").agg(F.min("a").alias("m")).select(F.col("b").alias("x"), "m")
     led = pairs.join(least.withColumnRenamed("x", "a").withColumnRenamed("m", "ma"), "a", "left").join(least.withColumnRenamed("x", "b").withColumnRenamed("m", "mb"), "b")
     group = F.least(F.coalesce("ma", "a"), "mb")
     member = led.select(F.col("a").alias("node"), group.alias("g")).unionByName(led.select(F.col("b").alias("node"), group.alias("g")))
-    member = member.unionByName(found.filter("kind = 2").select(F.col("a").alias("node"), F.col("b").alias("g"))).distinct()
+    member = member.unionByName(found.filter("bucket is null").select(F.col("a").alias("node"), F.col("b").alias("g"))).distinct()
     member = write_table(member, "similar-groups")
     drop_table(found)
     drop_table(pairs)
