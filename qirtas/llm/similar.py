@@ -32,10 +32,10 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .shared import drop_table, partitions, release, write_table
-from .text import U, flat, mix, row_windows, slices, window_hashes, word_bounds, word_hashes
+from .text import U, flat, give_back, mix, row_windows, slices, window_hashes, word_bounds, word_hashes
 
 SHORT, BLOCK, HOT_IN_BATCH, HOT_MOST = 32, 1024, 4, 1 << 18
-HELD_BYTES, HELD_PAIRS = 1 << 22, 1 << 19
+HELD_BYTES, HELD_PAIRS, HELD_SHINGLES = 1 << 22, 1 << 19, 1 << 20
 PLUS = 8  # l is one in so many shingles
 
 
@@ -88,20 +88,28 @@ def first_part(s: np.ndarray, hot: np.ndarray, percent: int) -> tuple[np.ndarray
 
 
 def frequent(docs: DataFrame, k: int) -> np.ndarray:
-    """Shingles that occur in at least ``HOT_IN_BATCH`` different sets of some batch, the most frequent first,
+    """Shingles that occur in at least ``HOT_IN_BATCH`` of some ``HELD_SHINGLES`` shingles' sets, the most frequent first,
     ``HOT_MOST`` at most. They only shape the common order; any list gives the same links."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def often(sets):
+            h, n = np.unique(np.concatenate(sets), return_counts=True)
+            keep = n >= HOT_IN_BATCH
+            return pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(n[keep])], ["h", "n"])
+
         for batch in batches:
-            seen, sets = set(), []
+            seen, sets, held = set(), [], 0
             for _, s in shingle_sets(batch.column(0), k):
                 if len(s) and (i := set_id(s)) not in seen:
                     seen.add(i)
                     sets.append(s)
+                    held += len(s)
+                if held > HELD_SHINGLES:
+                    yield often(sets)
+                    sets, held = [], 0
             if sets:
-                h, n = np.unique(np.concatenate(sets), return_counts=True)
-                keep = n >= HOT_IN_BATCH
-                yield pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(n[keep])], ["h", "n"])
+                yield often(sets)
+        give_back()
 
     counts = docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     top = counts.orderBy(F.desc("n"), "h").limit(HOT_MOST).select("h").toArrow().column(0).to_numpy()
@@ -187,6 +195,8 @@ def candidates(batches: Iterator[pa.RecordBatch], percent: int, buckets: int) ->
         own = np.concatenate([np.stack([node[start[i] : start[i] + count[i]].astype(np.int64), np.full(count[i], node[start[i]])]) for i in long], axis=1)
         own = np.unique(own, axis=1)
         yield pa.RecordBatch.from_arrays([pa.array(nodes[own[0]]), pa.array(nodes[own[1]]), pa.nulls(own.shape[1], pa.int32()), pa.nulls(own.shape[1], pa.binary())], names)
+    del h, node, pairs, shared, heap
+    give_back()
 
 
 def close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,8 +279,13 @@ def similar_components(docs: DataFrame, percent: int = 75, k: int = 5) -> DataFr
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows of documents (doc_id, n, node) and packed postings of the batch's distinct sets (bucket, block)."""
         names = ["doc_id", "n", "node", "bucket", "block"]
+        def packed(sets):
+            blocks = list(_block(sets, buckets))
+            none = pa.nulls(len(blocks), pa.int64())
+            return pa.RecordBatch.from_arrays([none, none, none, pa.array([b for b, _ in blocks], pa.int32()), pa.array([x for _, x in blocks], pa.binary())], names)
+
         for batch in batches:
-            n, node, seen, sets = [], [], set(), []
+            n, node, seen, sets, held = [], [], set(), [], 0
             for _, s in shingle_sets(batch.column(1), k):
                 i = set_id(s) if len(s) else None
                 n.append(len(s))
@@ -278,12 +293,15 @@ def similar_components(docs: DataFrame, percent: int = 75, k: int = 5) -> DataFr
                 if i is not None and i not in seen:
                     seen.add(i)
                     part, more = first_part(s, hot.value, percent)
-                    sets.append((i, len(s), more, part))
+                    sets.append((i, len(s), more, part.copy()))
+                    held += len(part)
+                if held > HELD_SHINGLES:
+                    yield packed(sets)
+                    sets, held = [], 0
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], names)
             if sets:
-                blocks = list(_block(sets, buckets))
-                m = len(blocks)
-                yield pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.array([b for b, _ in blocks], pa.int32()), pa.array([x for _, x in blocks], pa.binary())], names)
+                yield packed(sets)
+        give_back()
 
     described = write_table(docs.mapInArrow(describe, "doc_id long, n long, node long, bucket int, block binary"), "similar-docs")
     base = write_table(described.filter("bucket is null").select("doc_id", "n", "node"), "similar-nodes")
@@ -332,6 +350,7 @@ def similar_components(docs: DataFrame, percent: int = 75, k: int = 5) -> DataFr
                     g, i, j, own, node, sets, held = [], [], [], [], [], [], 0
             if g:
                 yield _members(g, i, j, own, node, sets)
+        give_back()
 
     members = docs.join(wanted, "doc_id").select("text", "nodes").mapInArrow(load, "g long, i int, j int, own int, node long, words binary")
     members = members.repartition(buckets, "g", "i", "j").sortWithinPartitions("g", "i", "j", "own", "node")
@@ -386,4 +405,6 @@ def group_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.
             u.clear()
             v.clear()
     close()
+    sets.clear()
+    give_back()
     yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])

@@ -6,6 +6,7 @@ temporary arrays stay small whatever the batch; one text is never cut.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +21,15 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on after its task, and its neighbours need the room."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """``base ** i`` and its inverse modulo 2**64 for i below n (base is odd)."""
     have = _powers.get(base)
