@@ -65,16 +65,18 @@ def kernel(x: np.ndarray, z: np.ndarray) -> np.ndarray:
     return (x @ z.T) / size(x)[:, None] / size(z)[None, :]
 
 
-def fit(sets: np.ndarray, langs: list[str], landmarks: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray, list[str]] | None:
-    """``slot`` of each hashed n-gram, the product of landmarks and weights (slots x languages), languages."""
+def fit(packed: np.ndarray, langs: list[str], landmarks: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray, list[str]] | None:
+    """``slot`` of each hashed n-gram, the product of landmarks and weights (slots x languages), languages.
+    ``packed``: the labelled rows' sets, a bit an n-gram; they are unpacked a few rows at a time."""
     names = sorted(set(langs))
     if not names:
         return None
-    share = sets.mean(axis=0)
+    pieces = [packed[i : i + 128] for i in range(0, len(packed), 128)]
+    share = sum(np.unpackbits(p, axis=1).sum(axis=0, dtype=np.int64) for p in pieces) / len(packed)
     best = np.sort(np.argsort(-(share * (1 - share)), kind="stable")[:SLOTS])
     slot = np.full(HASHED, -1, np.int32)
     slot[best] = np.arange(len(best))
-    x = sets[:, best].astype(np.float32)
+    x = np.concatenate([np.unpackbits(p, axis=1)[:, best] for p in pieces]).astype(np.float32)
     y = np.array([[1.0 if lang == name else -1.0 for name in names] for lang in langs])
     rng = np.random.default_rng(seed)
     own = [rng.permutation(np.flatnonzero(y[:, j] > 0)) for j in range(len(names))]
@@ -107,9 +109,10 @@ def predict_language(docs: DataFrame, learn, per_lang: int = PER_LANG, landmarks
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(x, y - x), pa.array([b.tobytes() for b in bits])], ["lang", "bits"])
 
     labelled = docs.select("lang", "text", key.alias("key"), "doc_id").filter(learn(F.col("doc_id"))).join(F.broadcast(chosen), ["lang", "key"])
-    got = sorted((r["lang"], bytes(r["bits"])) for r in labelled.select("lang", "text").mapInArrow(describe, "lang string, bits binary").collect())
-    sets = np.array([np.unpackbits(np.frombuffer(b, np.uint8)) for _, b in got], np.uint8).reshape(len(got), HASHED)
-    sent = spark.sparkContext.broadcast(fit(sets, [lang for lang, _ in got], landmarks))
+    got = sorted((r["lang"], bytes(r["bits"])) for r in labelled.select("lang", "text").mapInArrow(describe, "lang string, bits binary").toLocalIterator())
+    packed, langs = np.frombuffer(b"".join(b for _, b in got), np.uint8).reshape(len(got), HASHED // 8), [lang for lang, _ in got]
+    del got
+    sent = spark.sparkContext.broadcast(fit(packed, langs, landmarks))
     keep = keep or []
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
