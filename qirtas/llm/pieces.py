@@ -10,8 +10,8 @@ cut before each run of spaces. Each distinct small lattice gets the Viterbi pass
 gives its best path and the loss of its second; the n - 1 lattices of a text whose second costs least are
 searched for their n best, and the n best of the text are the smallest sums of losses over those.
 
-Defined results: a null or empty text has no pieces and the score 0; equal scores come in the order in
-which the search met them, the same in every run. Decoding gives the text back, but for U+2581 itself,
+Defined results: a null or empty text has no pieces and the score 0; among equal
+scores the search follows the path it met last, so that a long word of many equal paths ends it no later. Decoding gives the text back, but for U+2581 itself,
 which becomes a space.
 """
 
@@ -115,7 +115,7 @@ class Pieces:
                 continue
             for a, s, ids in into[b]:
                 met += 1
-                heapq.heappush(heap, (-(best[a] + s + done), met, a, s + done, (ids, path)))
+                heapq.heappush(heap, (-(best[a] + s + done), -met, a, s + done, (ids, path)))
         return found
 
     def others(self, chunk: bytes, best: bytes, n: int) -> tuple[tuple, tuple]:
