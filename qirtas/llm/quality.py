@@ -156,7 +156,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn, per_class: int = PE
     samples = sorted(((bytes(r["f"]), bytes(r["v"]), r["label"]) for r in got))
     samples = [(np.frombuffer(f, "<i4"), np.frombuffer(v, np.float32), y) for f, v, y in samples]
     share = np.mean([s[2] for s in samples]) if samples else 0.5
-    model = fit(samples, size) if 0 < share < 1 else None
+    model = fit(samples, size) if samples and 0 < share < 1 else None
     sent = spark.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
