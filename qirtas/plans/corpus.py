@@ -9,7 +9,7 @@ from qirtas.functions import fields, metrics, text
 from qirtas.operators import choose, inventory, lines, render
 
 from .common import full_lines, register, reply, share, strip, table, tok
-from .measures import T, docs
+from .measures import body, docs
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -18,10 +18,10 @@ ORACLES: dict[str, str] = {}
 def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four readings of every text: whole, first half, lower case, empty; scored by their token count."""
     d = docs(spark, sf_dir)
-    half = T.substr(F.lit(1), F.floor(F.length("text") / 2).cast("int"))
-    readings = F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(n).alias("variant"), c.alias("reading")) for i, (n, c) in enumerate([("empty", F.lit("")), ("half", half), ("raw", T), ("lower", F.lower(T))])])
+    half = body().substr(F.lit(1), F.floor(F.length("text") / 2).cast("int"))
+    readings = F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(n).alias("variant"), c.alias("reading")) for i, (n, c) in enumerate([("empty", F.lit("")), ("half", half), ("raw", body()), ("lower", F.lower(body()))])])
     rows = d.select("doc_id", F.explode(readings).alias("v")).select("doc_id", "v.ord", "v.variant", F.col("v.reading").alias("text"))
-    return rows.withColumn("score", F.size(text.tokens(T)).cast("double"))
+    return rows.withColumn("score", F.size(text.tokens(body())).cast("double"))
 
 
 VARIANTS = f"""v as (select doc_id, unnest([0, 1, 2, 3]) as ord, unnest(['empty', 'half', 'raw', 'lower']) as variant, unnest(['', text[1:length(text) // 2], text, lower(text)]) as reading from documents),
@@ -41,7 +41,7 @@ def candidate_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(QUERIES, ORACLES, f"with {VARIANTS}, t as (select doc_id, variant, regexp_extract_all(lower(reading), '[0-9A-Za-z]+') as w from v), u as (select doc_id, variant, list_distinct(w) as d, list_sort(list_distinct(w)) as s, w from t) select a.doc_id, a.variant as config, b.variant as other, len(a.w)::bigint as left_tokens, len(b.w)::bigint as right_tokens from u a join u b on a.doc_id = b.doc_id and a.variant < b.variant")
 def variant_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every two readings of one text, by name, with their token counts."""
-    rows = variants(spark, sf_dir).select("doc_id", F.col("variant").alias("config"), F.size(metrics.overlap_tokens(T)).cast("long").alias("left_tokens"))
+    rows = variants(spark, sf_dir).select("doc_id", F.col("variant").alias("config"), F.size(metrics.overlap_tokens(body())).cast("long").alias("left_tokens"))
     other = rows.select("doc_id", F.col("config").alias("other"), F.col("left_tokens").alias("right_tokens"))
     return rows.join(other, "doc_id").filter("config < other").select("doc_id", "config", "other", "left_tokens", "right_tokens")
 
@@ -89,7 +89,7 @@ MERGE = f"""with n as (select conv_id, turn, regexp_replace(regexp_replace(coale
 def merge_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each turn against the next as primary and secondary reading (ASCII ones, where both engines count alike)."""
     t = turns(spark, sf_dir).withColumn("following", F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn"))).withColumn("next_turn", F.lead("turn").over(Window.partitionBy("conv_id").orderBy("turn")))
-    t = t.filter("next_turn = turn + 1").withColumn("a", choose.normal_output(T)).withColumn("b", choose.normal_output(F.col("following")))
+    t = t.filter("next_turn = turn + 1").withColumn("a", choose.normal_output(body())).withColumn("b", choose.normal_output(F.col("following")))
     plain = ~F.concat("a", "b").rlike(r"[^\x00-\x7F]|(!|-|\.|_|=|\*|#){5}")
     return t.filter(plain).select("conv_id", "turn", choose.decided(F.col("a"), F.col("b")).alias("rule"))
 
@@ -183,7 +183,7 @@ def artifact_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(QUERIES, ORACLES, "select role, count(*)::bigint as turns, sum((len(regexp_extract_all(text, '[\\d.,/:-]+'))))::bigint as numbers from conversations group by role")
 def number_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return turns(spark, sf_dir).groupBy("role").agg(F.count("*").alias("turns"), F.sum(F.size(fields.numbers(T)).cast("long")).alias("numbers"))
+    return turns(spark, sf_dir).groupBy("role").agg(F.count("*").alias("turns"), F.sum(F.size(fields.numbers(body())).cast("long")).alias("numbers"))
 
 
 @register(QUERIES, ORACLES, "select page_id, regexp_replace(regexp_replace(url, '^[^:]+://', ''), '[^0-9A-Za-z._-]+', '_', 'g') as stem from pages")

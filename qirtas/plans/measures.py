@@ -12,7 +12,6 @@ from .common import RATIOS, STATS, count, full_lines, register, reply, share, st
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-T = F.col("text")
 CASES, DATES = r"\b\d[\d/\-]{2,}\b", r"\b\d{1,2}[/-]\d{1,2}[/-]\d{2,4}\b"
 RUNS = """runs as (select doc_id, count(*) filter (where len >= 5) as runs from (
   select doc_id, ch, count(*) as len from (select doc_id, i, ch, i - row_number() over (partition by doc_id, ch order by i) as g
@@ -22,19 +21,24 @@ ANY5 = "|".join("\\" + c + "{5}" if c in ".|*+?()[]{}^$\\/-" else c + "{5}" for
 RUNS = RUNS.replace("{any}", ANY5.replace("'", "''"))
 
 
+def body():
+    """The text column; made when a session is there."""
+    return F.col("text")
+
+
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 @register(QUERIES, ORACLES, f"with src as (select doc_id, text from documents), {STATS} select doc_id, {RATIOS} from s")
 def doc_token_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = docs(spark, sf_dir).select("doc_id", metrics.token_stats(T).alias("s"))
+    s = docs(spark, sf_dir).select("doc_id", metrics.token_stats(body()).alias("s"))
     return s.select("doc_id", "s.token_count", F.round("s.single_char_ratio", 6).alias("single_char_ratio"), F.round("s.digit_fragment_ratio", 6).alias("digit_fragment_ratio"))
 
 
 @register(QUERIES, ORACLES, f"with src as (select doc_id, text from documents), {STATS} select doc_id, (n = 0 or one::double / n > 0.3 or frag::double / n > 0.2) as low_quality from s")
 def doc_low_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return docs(spark, sf_dir).select("doc_id", metrics.low_quality(metrics.token_stats(T)).alias("low_quality"))
+    return docs(spark, sf_dir).select("doc_id", metrics.low_quality(metrics.token_stats(body())).alias("low_quality"))
 
 
 SCORE = f"""with raw as (select doc_id, {strip("text")} as text from documents), src as (select *, {full_lines("text")} as ls from raw), {STATS}, {RUNS}
@@ -48,8 +52,8 @@ from s left join runs using (doc_id)"""
 @register(QUERIES, ORACLES, SCORE)
 def doc_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs(spark, sf_dir).select(
-        "doc_id", F.size(text.tokens(text.strip(T))).cast("long").alias("token_count"), F.size(text.full_lines(text.strip(T))).cast("long").alias("line_count"),
-        F.round(metrics.quality_score(T), 6).alias("quality_score"),
+        "doc_id", F.size(text.tokens(text.strip(body()))).cast("long").alias("token_count"), F.size(text.full_lines(text.strip(body()))).cast("long").alias("line_count"),
+        F.round(metrics.quality_score(body()), 6).alias("quality_score"),
     )
 
 
@@ -58,13 +62,13 @@ FIELDS = f"select doc_id, array_to_string(regexp_extract_all(text, '{CASES}'), '
 
 @register(QUERIES, ORACLES, FIELDS)
 def doc_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return docs(spark, sf_dir).select("doc_id", *[F.array_join(f(T), "|").alias(n) for n, f in (("case_numbers", fields.case_numbers), ("dates", fields.dates), ("articles", fields.articles))])
+    return docs(spark, sf_dir).select("doc_id", *[F.array_join(f(body()), "|").alias(n) for n, f in (("case_numbers", fields.case_numbers), ("dates", fields.dates), ("articles", fields.articles))])
 
 
 @register(QUERIES, ORACLES, f"select lang, count(*)::bigint as docs, sum(len(regexp_extract_all(text, '{CASES}')))::bigint as case_numbers, sum(len(regexp_extract_all(text, '{DATES}')))::bigint as dates from documents group by lang")
 def doc_field_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
-    return d.groupBy("lang").agg(F.count("*").alias("docs"), F.sum(F.size(fields.case_numbers(T)).cast("long")).alias("case_numbers"), F.sum(F.size(fields.dates(T)).cast("long")).alias("dates"))
+    return d.groupBy("lang").agg(F.count("*").alias("docs"), F.sum(F.size(fields.case_numbers(body())).cast("long")).alias("case_numbers"), F.sum(F.size(fields.dates(body())).cast("long")).alias("dates"))
 
 
 @register(QUERIES, ORACLES, f"select doc_id, line_index, line from (select doc_id, unnest(range(0, len(ls))) as line_index, unnest(ls) as line from (select doc_id, {full_lines('text')} as ls from documents)) where {reply('line')}")
@@ -77,7 +81,7 @@ KEPT = rf"array_to_string(list_transform(list_filter(string_split(text, chr(10))
 
 @register(QUERIES, ORACLES, rf"select doc_id, sha256(regexp_replace({strip(KEPT)}, '\n\n\n+', chr(10) || chr(10), 'g')) as text_sha256 from documents")
 def replies_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return docs(spark, sf_dir).select("doc_id", F.sha2(metrics.without_replies(T), 256).alias("text_sha256"))
+    return docs(spark, sf_dir).select("doc_id", F.sha2(metrics.without_replies(body()), 256).alias("text_sha256"))
 
 
 TIDY = strip(r"regexp_replace(regexp_replace(regexp_replace(text, '[ \t\x0b\f]+', ' ', 'g'), '[ \t]+\n', chr(10), 'g'), '\n\n\n+', chr(10) || chr(10), 'g')")
@@ -85,17 +89,17 @@ TIDY = strip(r"regexp_replace(regexp_replace(regexp_replace(text, '[ \t\x0b\f]+'
 
 @register(QUERIES, ORACLES, f"select doc_id, sha256({strip(chr(114) + 'egexp_replace(text, ' + repr(chr(92) + 's+').replace(chr(92) * 2, chr(92)) + ', ' + repr(' ') + ', ' + repr('g') + ')')}) as text_sha256 from documents")
 def normalised_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return docs(spark, sf_dir).select("doc_id", F.sha2(text.normalise_legacy(T), 256).alias("text_sha256"))
+    return docs(spark, sf_dir).select("doc_id", F.sha2(text.normalise_legacy(body()), 256).alias("text_sha256"))
 
 
 @register(QUERIES, ORACLES, f"select doc_id, sha256({TIDY}) as text_sha256 from documents")
 def normalised_faithful(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return docs(spark, sf_dir).select("doc_id", F.sha2(text.normalise_faithful(T), 256).alias("text_sha256"))
+    return docs(spark, sf_dir).select("doc_id", F.sha2(text.normalise_faithful(body()), 256).alias("text_sha256"))
 
 
 @register(QUERIES, ORACLES, f"select doc_id, sha256({TIDY}) as text_sha256 from documents")
 def normalised_llm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return docs(spark, sf_dir).select("doc_id", F.sha2(text.normalise_llm(T), 256).alias("text_sha256"))
+    return docs(spark, sf_dir).select("doc_id", F.sha2(text.normalise_llm(body()), 256).alias("text_sha256"))
 
 
 WEIRD = r"[\x{00C0}-\x{02AF}\x{1D00}-\x{1EFF}]"
@@ -104,12 +108,12 @@ WEIRD = r"[\x{00C0}-\x{02AF}\x{1D00}-\x{1EFF}]"
 @register(QUERIES, ORACLES, rf"select doc_id, regexp_matches(text, '[\x{{0600}}-\x{{06FF}}]') as has_arabic, round({share(count('text', WEIRD), 'length(text)')}, 6) as weird_ratio, 0.0::double as suspicious_ratio, round({share(count('text', '[^' + chr(92) + 'x{0000}-' + chr(92) + 'x{024F}' + chr(92) + 'x{2000}-' + chr(92) + 'x{206F}]'), 'length(text)')}, 6) as nonstandard_ratio from documents")
 def script_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = lambda c, n: F.round(c, 6).alias(n)
-    return docs(spark, sf_dir).select("doc_id", metrics.contains_arabic(T).alias("has_arabic"), r(metrics.weird_ratio(T), "weird_ratio"), r(metrics.suspicious_ratio(T), "suspicious_ratio"), r(metrics.nonstandard_ratio(T), "nonstandard_ratio"))
+    return docs(spark, sf_dir).select("doc_id", metrics.contains_arabic(body()).alias("has_arabic"), r(metrics.weird_ratio(body()), "weird_ratio"), r(metrics.suspicious_ratio(body()), "suspicious_ratio"), r(metrics.nonstandard_ratio(body()), "nonstandard_ratio"))
 
 
 @register(QUERIES, ORACLES, f"with src as (select doc_id, text from documents), {RUNS} select doc_id, runs::bigint as runs from runs where runs > 0")
 def repeated_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = F.regexp_count(T, F.lit(r"(?d)(.)\1{4,}")).cast("long")
+    runs = F.regexp_count(body(), F.lit(r"(?d)(.)\1{4,}")).cast("long")
     return docs(spark, sf_dir).select("doc_id", runs.alias("runs")).filter("runs > 0")
 
 
@@ -175,7 +179,7 @@ METRICS = f"""with src as (select doc_id, text from documents), {STATS} select d
 
 @register(QUERIES, ORACLES, METRICS)
 def page_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = docs(spark, sf_dir).select("doc_id", metrics.text_metrics(T).alias("m"))
+    m = docs(spark, sf_dir).select("doc_id", metrics.text_metrics(body()).alias("m"))
     return m.select("doc_id", "m.chars", "m.latin_chars", "m.digits", "m.tokens", "m.lines", "m.single_ratio", "m.digit_fragment_ratio")
 
 
@@ -186,7 +190,7 @@ FLAGS = f"""with src as (select doc_id, text from documents), {STATS}, m as (sel
 
 @register(QUERIES, ORACLES, FLAGS)
 def page_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = docs(spark, sf_dir).select("doc_id", metrics.text_metrics(T).alias("m"))
+    m = docs(spark, sf_dir).select("doc_id", metrics.text_metrics(body()).alias("m"))
     return m.select("doc_id", F.array_join(metrics.quality_flags(F.col("m"), F.col("m.chars")), "|").alias("flags"))
 
 
@@ -198,19 +202,19 @@ OVERLAP = """with e as (select doc_id, text, text[1:length(text) // 2] as half f
 @register(QUERIES, ORACLES, OVERLAP)
 def half_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token overlap of each text with its first half."""
-    d = docs(spark, sf_dir).withColumn("half", T.substr(F.lit(1), F.floor(F.length("text") / 2).cast("int")))
+    d = docs(spark, sf_dir).withColumn("half", body().substr(F.lit(1), F.floor(F.length("text") / 2).cast("int")))
     return evaluate.document_overlap(d, "doc_id", "text", "half").select("doc_id", F.round("overlap", 4).alias("overlap"))
 
 
 @register(QUERIES, ORACLES)
 def arabic_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = docs(spark, sf_dir).select("doc_id", metrics.quality_status(T).alias("q"))
+    q = docs(spark, sf_dir).select("doc_id", metrics.quality_status(body()).alias("q"))
     return q.select("doc_id", "q.status", F.array_join("q.issues", "|").alias("issues"), F.round("q.metrics.rtl_ratio", 6).alias("rtl_ratio"), F.round(metrics.status_score(F.col("q")), 3).alias("score"))
 
 
 @register(QUERIES, ORACLES)
 def cleaned_arabic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return docs(spark, sf_dir).select("doc_id", F.sha2(text.clean_arabic(T), 256).alias("text_sha256"))
+    return docs(spark, sf_dir).select("doc_id", F.sha2(text.clean_arabic(body()), 256).alias("text_sha256"))
 
 
 @register(QUERIES, ORACLES)
@@ -225,19 +229,19 @@ WRONG = (("the", "teh"), ("ing ", "ign "), ("tion", "toin"))
 @register(QUERIES, ORACLES, "select doc_id, sha256(replace(replace(replace(text, 'the', 'teh'), 'ing ', 'ign '), 'tion', 'toin')) as text_sha256 from documents")
 def corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = F.array(*[F.struct(F.lit(a).alias("wrong"), F.lit(b).alias("right")) for a, b in WRONG])
-    return docs(spark, sf_dir).select("doc_id", F.sha2(text.corrected(T, rules), 256).alias("text_sha256"))
+    return docs(spark, sf_dir).select("doc_id", F.sha2(text.corrected(body(), rules), 256).alias("text_sha256"))
 
 
 @register(QUERIES, ORACLES, "select item_id, round(levenshtein(text, text[5:])::double / length(text), 6) as cer from benchmark where not regexp_matches(text, '[^\\x00-\\x7F]')")
 def character_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages (ASCII, where both engines count alike) against themselves without their first four characters."""
-    b = table(spark, sf_dir, "benchmark").filter(~T.rlike(r"[^\x00-\x7f]"))
-    return b.select("item_id", F.round(evaluate.character_error_rate(T, T.substr(F.lit(5), F.length("text"))), 6).alias("cer"))
+    b = table(spark, sf_dir, "benchmark").filter(~body().rlike(r"[^\x00-\x7f]"))
+    return b.select("item_id", F.round(evaluate.character_error_rate(body(), body().substr(F.lit(5), F.length("text"))), 6).alias("cer"))
 
 
 @register(QUERIES, ORACLES)
 def word_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = table(spark, sf_dir, "benchmark").withColumn("found", F.array_join(F.slice(text.tokens(T), 3, 10_000_000), " "))
+    b = table(spark, sf_dir, "benchmark").withColumn("found", F.array_join(F.slice(text.tokens(body()), 3, 10_000_000), " "))
     out = b.select("item_id", udfs.word_error_rate("text", "found").alias("wer"), udfs.word_agreement("text", "found").alias("v"), udfs.similarity("text", "found").alias("similarity"))
     return out.select("item_id", F.round("wer", 6).alias("wer"), "v.disagreements", F.round("v.confidence", 6).alias("confidence"), F.round("similarity", 6).alias("similarity"))
 
@@ -252,5 +256,5 @@ def renumbered_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(QUERIES, ORACLES)
 def better_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each text against its first half as the other reading."""
-    d = docs(spark, sf_dir).withColumn("other", T.substr(F.lit(1), F.floor(F.length("text") / 2).cast("int")))
+    d = docs(spark, sf_dir).withColumn("other", body().substr(F.lit(1), F.floor(F.length("text") / 2).cast("int")))
     return choose.better_pages(d, "text", "other").select("doc_id", "winner", F.length("chosen").cast("long").alias("chars"), "skipped_reason")
