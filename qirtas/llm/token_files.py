@@ -6,7 +6,7 @@ its bytes less one, four ids a byte) and then all data bytes. The decoder looks
 a table of 256 rows of four lengths; a running sum gives each id's place, whatever the lengths.
 
 Defined results: a null or empty text has only the end id; repeated doc_ids follow in the order of their
-ids' bytes; a null doc_id comes first; an empty table gives no files and no rows. A file holds at most
+codes' bytes; a null doc_id comes first; an empty table gives no files and no rows. A file holds at most
 ``FILE_IDS`` ids or one document.
 """
 
@@ -119,12 +119,18 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int | None = Non
     write_file(f"{folder}/ranks", by_rank.astype("<u4").tobytes())
     store = encoder(vocabulary).store.str
 
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Ranks in the files' code already, so that fewer bytes are shuffled."""
+        for batch in batches:
+            coded = [b"".join(pack(rank[np.frombuffer(x.as_py(), store)])) for x in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(coded, pa.binary())], ["doc_id", "n", "coded"])
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held, ids, lengths, docs_ = 0, 0, [], [], []
 
         def flush():
             path = f"{folder}/part-{task:06d}-{part:06d}"
-            write_file(path, file_bytes(docs_, np.array(lengths, np.int64), rank[np.concatenate(ids)]))
+            write_file(path, file_bytes(docs_, np.array(lengths, np.int64), np.concatenate(ids)))
             return pa.RecordBatch.from_arrays([pa.array([x]) for x in (task, part, path, len(docs_), held)], ["task", "part", "path", "docs", "ids"])
 
         task = TaskContext.get().partitionId()
@@ -136,12 +142,13 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int | None = Non
                     part, held, ids, lengths, docs_ = part + 1, 0, [], [], []
                 docs_.append(doc.as_py())
                 lengths.append(n)
-                ids.append(np.frombuffer(raw.as_py(), store))
+                raw, split = np.frombuffer(raw.as_py(), np.uint8), -(-n // 4)
+                ids.append(unpack(raw[:split], raw[split:], n))
                 held += n
         if docs_:
             yield flush()
 
-    ordered = tokens.repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id", "n", "ids")
+    ordered = tokens.mapInArrow(code, "doc_id long, n long, coded binary").repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id", "n", "coded")
     files = sorted(ordered.mapInArrow(write, "task long, part long, path string, docs long, ids long").collect())
     drop_table(tokens)
     out, before = [], 0
