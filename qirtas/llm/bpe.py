@@ -14,10 +14,11 @@ from array import array
 import numpy as np
 import pyarrow as pa
 
-from .text import _B, SLICE_BYTES, U, _SPACE, flat, mix, powers, ranges, slices
+from .text import _B, U, _SPACE, flat, mix, powers, ranges, slices
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 CACHE = 300_000  # chunks kept by a worker; when full it starts anew
+ENCODE_BYTES = 1 << 22  # text looked up together: the more, the fewer lookups of the same chunk
 _ODD = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 #: Characters of which Python's classes and the library's may differ, or that the model's alphabet shifts.
 _RARE = re.compile(r"[\x00-\x08\x0e-\x1f\x7f\xb2\xb3\xb9\xbc-\xbe\u0250-\U0010ffff]")
@@ -100,7 +101,7 @@ class Encoder:
     def column(self, texts: pa.Array):
         """Yield for each slice of rows: first row, ids of all its rows, ids a row. Null counts as empty."""
         data, offsets = flat(texts)
-        for a, b in slices(offsets, 2 * SLICE_BYTES):
+        for a, b in slices(offsets, ENCODE_BYTES):
             part, off = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
             raw = part.tobytes()
             if self.chunks and not ((part < 32) & (part > 27) | (part == 0xC2) | (part >= 0xE1) & (part <= 0xE3)).any() or self.chunks and not _ODD.search(raw):

@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
+KEPT_POWERS = (1 << 22) + 1
 U = np.uint64
 _B, _C = 0x9E3779B97F4A7C15 | 1, 0xD1342543DE82EF95
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -38,7 +39,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
         up, down = np.full(size, U(base)), np.full(size, U(pow(base, -1, 1 << 64)))
         up[0] = down[0] = 1
         have = (np.multiply.accumulate(up), np.multiply.accumulate(down))
-        if n <= SLICE_BYTES + 1:
+        if n <= KEPT_POWERS:
             _powers[base] = have
     return have
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import encoder
 from .shared import drop_table, new_path, partitions, write_table
 from .store import read_file, write_file
-from .text import binary
+from .text import binary, give_back
 
 MAGIC, HEAD = b"QTOK1\0\0\0", "<8sQQQ"
 FILE_IDS = 1 << 22
@@ -86,6 +86,7 @@ def token_table(docs: DataFrame, vocabulary: str, end_id: int | None) -> DataFra
                     n = n + 1
                 rows = batch.column(0).slice(a, len(n))
                 yield pa.RecordBatch.from_arrays([rows, pa.array(n), binary(ids, n)], ["doc_id", "n", "ids"])
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(encode, "doc_id long, n long, ids binary")
 
