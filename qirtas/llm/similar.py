@@ -35,7 +35,7 @@ from .shared import drop_table, partitions, release, write_table
 from .text import U, flat, give_back, mix, row_windows, slices, window_hashes, word_bounds, word_hashes
 
 SHORT, BLOCK, HOT_IN_BATCH, HOT_MOST = 32, 1024, 4, 1 << 18
-HELD_BYTES, HELD_PAIRS, HELD_SHINGLES = 1 << 22, 1 << 19, 1 << 20
+HELD_BYTES, HELD_PAIRS, HELD_SHINGLES, COUNTED_SHINGLES = 1 << 22, 1 << 19, 1 << 20, 1 << 22
 PLUS = 8  # l is one in so many shingles
 
 
@@ -88,14 +88,17 @@ def first_part(s: np.ndarray, hot: np.ndarray, percent: int) -> tuple[np.ndarray
 
 
 def frequent(docs: DataFrame, k: int) -> np.ndarray:
-    """Shingles that occur in at least ``HOT_IN_BATCH`` of some ``HELD_SHINGLES`` shingles' sets, the most frequent first,
+    """Shingles that occur in at least ``HOT_IN_BATCH`` of some ``COUNTED_SHINGLES`` shingles' sets, the most frequent first,
     ``HOT_MOST`` at most. They only shape the common order; any list gives the same links."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def often(sets):
-            h, n = np.unique(np.concatenate(sets), return_counts=True)
+            h = np.concatenate(sets)
+            h.sort()
+            start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            n = np.diff(np.append(start, len(h)))
             keep = n >= HOT_IN_BATCH
-            return pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(n[keep])], ["h", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(h[start[keep]].view(np.int64)), pa.array(n[keep])], ["h", "n"])
 
         for batch in batches:
             seen, sets, held = set(), [], 0
@@ -104,7 +107,7 @@ def frequent(docs: DataFrame, k: int) -> np.ndarray:
                     seen.add(i)
                     sets.append(s)
                     held += len(s)
-                if held > HELD_SHINGLES:
+                if held > COUNTED_SHINGLES:
                     yield often(sets)
                     sets, held = [], 0
             if sets:
