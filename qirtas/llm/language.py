@@ -7,8 +7,8 @@ whitened by the landmarks' own kernel matrix, and one ridge regression a languag
 ``PER_LANG`` labelled rows of each language, those of the smallest hash. As both steps are linear in the
 kernel values, landmarks and weights are multiplied once; a batch of texts is then one matrix product.
 
-Sets are kept over ``SLOTS`` n-gram slots: those of 2**16 hashed n-grams whose presence varies most among
-the labelled rows. Only the labelled rows' sets reach the driver.
+Sets are kept over all 2**16 hashed n-grams, so no n-gram is left out, however rare its language. Only the
+labelled rows' sets reach the driver, as bits.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; so is every text when
 nothing could be learnt. Repeated rows are predicted each.
@@ -26,22 +26,25 @@ from pyspark.sql import functions as F
 from .ngrams import LETTERS, gram_codes, lowered, rows_of
 from .text import flat, slices
 
-PER_LANG, LANDMARKS, SLOTS, SIZES, RIDGE = 1024, 256, 4096, (2, 3, 4), 1e-3
+PER_LANG, LANDMARKS, SIZES, RIDGE = 1024, 256, (2, 3, 4), 1e-3
 HASHED = 1 << 16
 UNKNOWN = "und"
 
 
-def presence(data: np.ndarray, off: np.ndarray, slot: np.ndarray, width: int) -> np.ndarray:
-    """Rows x slots: does an n-gram of the slot occur (slot -1: left out)?"""
-    out = np.zeros((len(off) - 1, width + 1), np.float32)
+def marks(data: np.ndarray, off: np.ndarray, slot: np.ndarray, width: int) -> np.ndarray:
+    """Rows x slots: does an n-gram of the slot occur?"""
+    out = np.zeros((len(off) - 1, width), bool)
     low, row, end = lowered(data), rows_of(off), np.repeat(off[1:], np.diff(off))
     for n in SIZES:
         code = gram_codes(low, n)
         own = slot[((code * np.uint32(2654435761) + np.uint32(n * 40503)) >> np.uint32(16)).astype(np.int32)]
         inside = np.arange(len(code)) + n <= end[: len(code)]
-        keep = inside & (own >= 0)
-        out[row[: len(code)][keep], own[keep]] = 1
-    return out[:, :width]
+        out[row[: len(code)][inside], own[inside]] = True
+    return out
+
+
+def presence(data: np.ndarray, off: np.ndarray, slot: np.ndarray, width: int) -> np.ndarray:
+    return marks(data, off, slot, width).astype(np.float32)
 
 
 def has_letter(data: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -52,7 +55,7 @@ def has_letter(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
-def cut_up(texts: pa.Array, rows: int = 256) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def cut_up(texts: pa.Array, rows: int = 64) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     data, offsets = flat(texts)
     for a, b in slices(offsets):
         for x in range(a, b, rows):
@@ -65,32 +68,37 @@ def kernel(x: np.ndarray, z: np.ndarray) -> np.ndarray:
     return (x @ z.T) / size(x)[:, None] / size(z)[None, :]
 
 
-def fit(packed: np.ndarray, langs: list[str], landmarks: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray, list[str]] | None:
-    """``slot`` of each hashed n-gram, the product of landmarks and weights (slots x languages), languages.
+def fit(packed: np.ndarray, langs: list[str], landmarks: int, seed: int = 5) -> tuple[np.ndarray, list[str]] | None:
+    """The product of landmarks and weights (hashed n-grams x languages), languages.
     ``packed``: the labelled rows' sets, a bit an n-gram; they are unpacked a few rows at a time."""
     names = sorted(set(langs))
     if not names:
         return None
-    pieces = [packed[i : i + 128] for i in range(0, len(packed), 128)]
-    share = sum(np.unpackbits(p, axis=1).sum(axis=0, dtype=np.int64) for p in pieces) / len(packed)
-    best = np.sort(np.argsort(-(share * (1 - share)), kind="stable")[:SLOTS])
-    slot = np.full(HASHED, -1, np.int32)
-    slot[best] = np.arange(len(best))
-    x = np.concatenate([np.unpackbits(p, axis=1)[:, best] for p in pieces]).astype(np.float32)
     y = np.array([[1.0 if lang == name else -1.0 for name in names] for lang in langs])
     rng = np.random.default_rng(seed)
     own = [rng.permutation(np.flatnonzero(y[:, j] > 0)) for j in range(len(names))]
     chosen = np.array([i for turn in range(landmarks) for o in own if turn < len(o) for i in [o[turn]]][:landmarks])
-    z = x[chosen]
+    sets = lambda rows: np.unpackbits(rows, axis=1).astype(np.float32)
+    z = sets(packed[chosen])
     values, vectors = np.linalg.eigh(kernel(z, z).astype(float))
     keep = values > 1e-6
     white = vectors[:, keep] / np.sqrt(values[keep])
-    phi = kernel(x, z) @ white
+    phi = np.concatenate([kernel(sets(packed[i : i + 128]), z) for i in range(0, len(packed), 128)]) @ white
     weight = len(langs) / (len(names) * np.maximum((y > 0).sum(axis=0), 1))
     each = np.array([weight[names.index(lang)] for lang in langs])[:, None]
     w = np.linalg.solve(phi.T @ (phi * each) + RIDGE * len(langs) * np.eye(phi.shape[1]), phi.T @ (y * each))
     scaled = z / np.sqrt(np.maximum(z.sum(axis=1), 1))[:, None]
-    return slot, (scaled.T @ (white @ w)).astype(np.float32), names
+    return (scaled.T @ (white @ w).astype(np.float32)), names
+
+
+def values(sets: np.ndarray, product: np.ndarray) -> np.ndarray:
+    """Rows x languages: the sum of the product over a row's n-grams by the root of their number."""
+    size, out = sets.sum(axis=1), np.zeros((len(sets), product.shape[1]))
+    at = np.flatnonzero(sets) % sets.shape[1]
+    some = size > 0
+    if some.any():
+        out[some] = np.add.reduceat(product[at], (np.cumsum(size) - size)[some], axis=0)
+    return out / np.sqrt(np.maximum(size, 1))[:, None]
 
 
 def predict_language(docs: DataFrame, learn, per_lang: int = PER_LANG, landmarks: int = LANDMARKS, keep: list[str] | None = None) -> DataFrame:
@@ -101,11 +109,12 @@ def predict_language(docs: DataFrame, learn, per_lang: int = PER_LANG, landmarks
     first = Window.partitionBy("lang").orderBy("key")
     chosen = known.select("lang", "key").withColumn("n", F.row_number().over(first)).filter(F.col("n") <= per_lang).select("lang", "key").distinct()
 
+    every = np.arange(HASHED, dtype=np.int32)
+
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every = np.arange(HASHED, dtype=np.int32)
         for batch in batches:
-            for x, y, data, off in cut_up(batch.column(1), 64):
-                bits = np.packbits(presence(data, off, every, HASHED) > 0, axis=1)
+            for x, y, data, off in cut_up(batch.column(1)):
+                bits = np.packbits(marks(data, off, every, HASHED), axis=1)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(x, y - x), pa.array([b.tobytes() for b in bits])], ["lang", "bits"])
 
     labelled = docs.select("lang", "text", key.alias("key"), "doc_id").filter(learn(F.col("doc_id"))).join(F.broadcast(chosen), ["lang", "key"])
@@ -124,9 +133,8 @@ def predict_language(docs: DataFrame, learn, per_lang: int = PER_LANG, landmarks
                     langs += [UNKNOWN] * (y - x)
                     scores.append(np.zeros(y - x))
                     continue
-                slot, product, names = sent.value
-                sets = presence(data, off, slot, product.shape[0])
-                f = (sets @ product) / np.sqrt(np.maximum(sets.sum(axis=1), 1))[:, None]
+                product, names = sent.value
+                f = values(marks(data, off, every, HASHED), product)
                 p = np.exp(4 * (f - f.max(axis=1, keepdims=True)))
                 p /= p.sum(axis=1, keepdims=True)
                 best = p.argmax(axis=1)

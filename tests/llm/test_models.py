@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -64,3 +66,26 @@ def test_letters():
 
     data, off = flat(pa.array(["a", "1", "é", "漢", "!", ""]))
     assert language.has_letter(data, off).tolist() == [True, False, True, True, False, False]
+
+
+def test_rare_languages_in_their_own_scripts(make):
+    """The others' n-grams fill every slot and vary more than those of languages with 2 % of the rows each."""
+    rng = random.Random(7)
+    scripts = {"hy": 0x561, "ka": 0x10D0, "am": 0x1200, "th": 0xE01, "he": 0x5D0, "bn": 0x995, "ko": 0xAC00}
+    write = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    short = lambda start: write([chr(start + i) for i in range(4)], 6)
+    rows = [(i, write("abcdefghijklmno " if i % 2 else "lmnopqrstuvwxyz ", 1500), "ab"[i % 2]) for i in range(260)]
+    rows += [(1000 + i, short(start), lang) for lang, start in scripts.items() for i in range(6)]
+    held = {5000 + 10 * j + i: (lang, short(start)) for j, (lang, start) in enumerate(scripts.items()) for i in range(10)}
+    docs = make(rows + [(i, t, None) for i, (_, t) in held.items()])
+    got = {r.doc_id: r.lang_pred for r in language.predict_language(docs, lambda d: F.lit(True)).collect()}
+    assert {i: got[i] for i in held} == {i: lang for i, (lang, _) in held.items()}
+    assert [got[i] for i in range(260)] == ["ab"[i % 2] for i in range(260)]
+
+
+def test_values_are_the_kernel_machine():
+    rng = np.random.default_rng(3)
+    sets, product = rng.random((5, 40)) < 0.3, rng.normal(size=(40, 3)).astype(np.float32)
+    sets[2] = False
+    want = (sets.astype(float) @ product) / np.sqrt(np.maximum(sets.sum(axis=1), 1))[:, None]
+    assert np.allclose(language.values(sets, product), want, atol=1e-5)
