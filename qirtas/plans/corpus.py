@@ -85,13 +85,25 @@ MERGE = f"""with n as (select conv_id, turn, regexp_replace(regexp_replace(coale
  when a = '' and b <> '' then 'secondary_only' when a <> '' and b = '' then 'primary_only' when a = '' and b = '' then 'neither' else 'verify' end as rule from q"""
 
 
+def turn_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each turn against the next as primary and secondary reading: the normal forms ``a`` and ``b``, and the rule."""
+    following = Window.partitionBy("conv_id").orderBy("turn")
+    t = turns(spark, sf_dir).withColumn("following", F.lead("text").over(following)).withColumn("next_turn", F.lead("turn").over(following))
+    t = t.filter("next_turn = turn + 1").withColumn("a", choose.normal_output(body())).withColumn("b", choose.normal_output(F.col("following")))
+    return t.select("conv_id", "turn", "a", "b", choose.decided(F.col("a"), F.col("b")).alias("rule"))
+
+
+@register(QUERIES, ORACLES)
+def merge_rules_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule of every pair; no SQL, a test has it by brute force."""
+    return turn_rules(spark, sf_dir).select("conv_id", "turn", "rule")
+
+
 @register(QUERIES, ORACLES, MERGE)
 def merge_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each turn against the next as primary and secondary reading (ASCII ones, where both engines count alike)."""
-    t = turns(spark, sf_dir).withColumn("following", F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn"))).withColumn("next_turn", F.lead("turn").over(Window.partitionBy("conv_id").orderBy("turn")))
-    t = t.filter("next_turn = turn + 1").withColumn("a", choose.normal_output(body())).withColumn("b", choose.normal_output(F.col("following")))
+    """The part of ``merge_rules_whole`` that its SQL can follow: ASCII pairs without long runs, where both engines count alike."""
     plain = ~F.concat("a", "b").rlike(r"[^\x00-\x7F]|(!|-|\.|_|=|\*|#){5}")
-    return t.filter(plain).select("conv_id", "turn", choose.decided(F.col("a"), F.col("b")).alias("rule"))
+    return turn_rules(spark, sf_dir).filter(plain).select("conv_id", "turn", "rule")
 
 
 @register(QUERIES, ORACLES)
