@@ -3,6 +3,7 @@
 The pre-tokenizer of such a vocabulary never joins a non-space with the space after it, so a text falls
 into chunks (a word with the space before it, or a piece of white space) that are encoded one by one.
 Each distinct chunk of a slice is looked up once; chunks not met before go to the library's model. Texts with white space beyond ASCII, or without this kind of pre-tokenizer, go to the library whole.
+So do texts that hold an added token's text, such as the end of a text, which the library matches before it splits.
 """
 
 from __future__ import annotations
@@ -69,7 +70,7 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
-        self.library.encode_special_tokens = True
+        self.added = [t.content.encode() for t in self.library.get_added_tokens_decoder().values() if t.content]
         self.size = self.library.get_vocab_size()
         self.store = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
         self.cache: dict[bytes, bytes] = {}
@@ -105,11 +106,38 @@ class Encoder:
             part, off = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
             raw = part.tobytes()
             if self.chunks and not ((part < 32) & (part > 27) | (part == 0xC2) | (part >= 0xE1) & (part <= 0xE3)).any() or self.chunks and not _ODD.search(raw):
-                yield a, *self._slice(part, raw, off)
+                yield a, *self._rows(part, raw, off)
             else:
                 ids = self.whole([raw[x:y].decode() for x, y in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)])
                 yield a, np.concatenate(ids) if ids else np.zeros(0, self.store), np.array([len(x) for x in ids], np.int64)
 
+    def _rows(self, data: np.ndarray, raw: bytes, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_slice``; rows with an added token's text go to the library whole."""
+        own = self.with_added(raw, off)
+        if not own.any():
+            return self._slice(data, raw, off)
+        size = np.diff(off)
+        rest = data[ranges(off[:-1][~own], size[~own])]
+        ids, n = self._slice(rest, rest.tobytes(), np.concatenate([[0], np.cumsum(size[~own])]))
+        others = self.whole([raw[off[i] : off[i + 1]].decode() for i in np.flatnonzero(own)])
+        each = np.zeros(len(size), np.int64)
+        each[~own], each[own] = n, [len(x) for x in others]
+        first, out = np.cumsum(each) - each, np.empty(int(each.sum()), self.store)
+        out[ranges(first[~own], n)] = ids
+        out[ranges(first[own], each[own])] = np.concatenate(others)
+        return out, each
+
+    def with_added(self, raw: bytes, off: np.ndarray) -> np.ndarray:
+        """Which rows hold an added token's text (also those where one begins that ends in the next row)."""
+        out = np.zeros(len(off) - 1, bool)
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                row = int(np.searchsorted(off, at, "right")) - 1
+                out[row] = True
+                at = raw.find(token, max(at + 1, int(off[row + 1]) - len(token) + 1))
+        return out
+
     def _slice(self, data: np.ndarray, raw: bytes, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(data):
             return np.zeros(0, self.store), np.zeros(len(off) - 1, np.int64)

@@ -134,6 +134,37 @@ def test_encoder_is_the_library():
         assert [x.tolist() for x in got] == [x.tolist() for x in enc.whole([t or "" for t in own])]
 
 
+def test_added_tokens_as_the_library_has_them(make):
+    """Against a tokenizer loaded afresh, with its defaults."""
+    from tokenizers import Tokenizer
+
+    fresh, rng = Tokenizer.from_file(vocabulary(VOCABULARY)), random.Random(8)
+    parts = ["a", " the", " ", "\n", "é", "12", "漢", "<|endoftext|>", "<|endof", "text|>", "<|", "\u00a0"]
+    texts = ["a <|endoftext|> b", "<|endof", "text|>", "<|endoftext|>", "", None, "<|endoftext|><|endoftext|>"]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randrange(9))) for _ in range(800)]
+    for own in (texts, [t for t in texts if not t or "\u00a0" not in t], texts[:1], ["x", "y"]):
+        want, got = [fresh.encode(t or "", add_special_tokens=False).ids for t in own], []
+        for _, ids, n in bpe.Encoder(vocabulary(VOCABULARY)).column(pa.array(own, pa.string())):
+            got += np.split(ids, np.cumsum(n)[:-1])
+        assert [x.tolist() for x in got] == want
+    assert fresh.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    docs = make([(i, t) for i, t in enumerate(texts)])
+    n = [len(fresh.encode(t or "", add_special_tokens=False).ids) for t in texts]
+    assert {r.n_tokens: r.n_docs for r in token_counts.token_counts(docs, vocabulary(VOCABULARY)).collect()} == Counter(n)
+
+
+def test_added_tokens_in_files(spark, make):
+    from tokenizers import Tokenizer
+
+    fresh, start = Tokenizer.from_file(vocabulary(VOCABULARY)), 0
+    texts = ["one", "a <|endoftext|> b", "<|endoftext|>", "<|endof", "text|> two"]
+    files, ranks = token_files.write_token_files(make(list(enumerate(texts))), vocabulary(VOCABULARY), end_id=2)
+    for r in sorted(token_files.read_token_files(spark, files, ranks).collect(), key=lambda r: r.start):
+        ids = np.array(fresh.encode(texts[r.doc_id], add_special_tokens=False).ids + [2], "<u4")
+        assert (r.start, r.n_tokens, zlib.crc32(r.ids)) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+
+
 def test_token_files(spark, make, odd_rows):
     docs = make([(r[0], r[1]) for r in odd_rows])
     files, ranks = token_files.write_token_files(docs, vocabulary(VOCABULARY), end_id=2)
