@@ -1,5 +1,5 @@
 """Arrow-based functions for what Spark has no expression for: Unicode normal forms and character classes,
-difflib matching, token edit distance."""
+difflib matching, token edit distance, token overlap."""
 
 from __future__ import annotations
 
@@ -76,3 +76,19 @@ def word_error_rate(truth: pd.Series, found: pd.Series) -> pd.Series:
         x, y = a.split(), b.split()
         out.append(edit_distance(x, y) / len(x) if x else float(bool(y)))
     return pd.Series(out, dtype=float)
+
+
+@F.pandas_udf(T.ArrayType(T.StructType().add("config", T.StringType()).add("other", T.StringType()).add("left_in_right", T.DoubleType()).add("right_in_left", T.DoubleType())))
+def token_overlaps(names: pd.Series, tokens: pd.Series) -> pd.Series:
+    """For every two names of a row, in order, the share of the one's tokens (joined by spaces) that the other has, both ways."""
+
+    def overlap(words: list, there: set) -> float:
+        return sum(map(there.__contains__, words)) / len(words) if words and there else 0.0
+
+    out = []
+    for own, texts in zip(names, tokens, strict=True):
+        words = [t.split() for t in texts]
+        sets = [set(w) for w in words]
+        named = [i for i, n in enumerate(own) if n is not None]
+        out.append([(own[i], own[j], overlap(words[i], sets[j]), overlap(words[j], sets[i])) for i in named for j in named if own[i] < own[j]])
+    return pd.Series(out, dtype=object)

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qirtas.functions.metrics import overlap_tokens, token_list_overlap
+from qirtas.functions.metrics import overlap_tokens
 from qirtas.functions.text import text_of
-from qirtas.functions.udfs import word_error_rate
+from qirtas.functions.udfs import token_overlaps, word_error_rate
 
 
 def character_error_rate(truth: Column, found: Column) -> Column:
@@ -33,12 +33,8 @@ def document_overlap(pairs: DataFrame, key: str, left: str, right: str) -> DataF
 
 
 def pairwise_overlap(texts: DataFrame, key: str, config: str, text: str) -> DataFrame:
-    """Token overlap both ways of every two configurations of one document, by name. Documents are the join key,
-    so the pairs are those of one document's few configurations. Tokens are made once a text."""
-    rows = texts.select(key, F.col(config).alias("config"), overlap_tokens(F.col(text)).alias("tokens"))
-    other = rows.select(key, F.col("config").alias("other"), F.col("tokens").alias("other_tokens"))
-    pairs = rows.join(other, key).filter("config < other")
-    return pairs.select(
-        key, "config", "other", F.round(token_list_overlap(F.col("tokens"), F.col("other_tokens")), 4).alias("left_in_right"),
-        F.round(token_list_overlap(F.col("other_tokens"), F.col("tokens")), 4).alias("right_in_left"),
-    )
+    """Token overlap both ways of every two configurations of one document, by name. A document's few texts come
+    together as tokens, made once a text; a set of each makes the work grow with the tokens and not their product."""
+    rows = texts.filter(F.col(key).isNotNull()).select(key, F.struct(F.col(config).alias("config"), F.array_join(overlap_tokens(F.col(text)), " ").alias("tokens")).alias("t"))
+    sides = rows.groupBy(key).agg(F.collect_list("t").alias("t")).select(key, F.explode(token_overlaps(F.col("t.config"), F.col("t.tokens"))).alias("o"))
+    return sides.select(key, "o.config", "o.other", F.round("o.left_in_right", 4).alias("left_in_right"), F.round("o.right_in_left", 4).alias("right_in_left"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from qirtas.functions import fields, metrics, text
-from qirtas.operators import choose, inventory, lines, render
+from qirtas.operators import choose, evaluate, inventory, lines, render
 
 from .common import full_lines, register, reply, share, strip, table, tok
 from .measures import body, docs
@@ -46,6 +46,12 @@ def variant_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(other, "doc_id").filter("config < other").select("doc_id", "config", "other", "left_tokens", "right_tokens")
 
 
+@register(QUERIES, ORACLES)
+def variant_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token overlap both ways of every two readings of one text, over whole texts; no SQL, a test has it by brute force."""
+    return evaluate.pairwise_overlap(variants(spark, sf_dir), "doc_id", "variant", "text")
+
+
 FOLD = f"""with {VARIANTS} select doc_id, arg_max(variant, ord) filter (where won) as variant from (select a.*, case when a.ord = 0 then true when a.ord = 1 then a.score > 0.2 when a.ord = 2 then a.score > b1.score + 0.2 or (a.score > b1.score + 0.05 and false) else
  false end as won from r a left join r b1 on a.doc_id = b1.doc_id and b1.ord = 1) group by doc_id"""
 
