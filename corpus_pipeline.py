@@ -16,12 +16,16 @@ from qirtas.llm.shared import write_table
 from qirtas.llm.similar import similar_components
 
 SEPARATORS = r"[\x20\x09-\x0D]+"
+SURE = 0.8  # score from which a predicted language is taken for a missing one
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a language: no text, or no letter in it."""
-    out = predict_language(docs, lambda d: remainder(d, 4) != 2, keep=docs.columns)
-    return out.toDF("_id", "_pred", "_score", *docs.columns).filter(F.col("_pred") != UNKNOWN).select(*docs.columns)
+    """Rejects documents without a letter, whether or not a model could be fitted. A null language becomes the
+    predicted one if its score is at least ``SURE``; others stay as they are, so no clean text is lost to a guess."""
+    out = predict_language(docs, lambda d: remainder(d, 4) != 2, keep=docs.columns).toDF("_id", "_pred", "_score", *docs.columns)
+    out = out.filter((F.col("_pred") != UNKNOWN) | F.col("text").rlike(r"\p{L}"))
+    found = F.when((F.col("_pred") != UNKNOWN) & (F.col("_score") >= SURE), F.col("_pred"))
+    return out.withColumn("lang", F.coalesce("lang", found)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
