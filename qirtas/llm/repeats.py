@@ -9,9 +9,10 @@ shorter). A word goes if an edge that covers it also occurs in a document with a
 2. Edges with such an anchor, with the places (document, position) where they begin. Edges found once fall out.
 3. Compaction: each repeated edge has a source, the smallest document that has it, and a place there. Edges
    at successive places of one source form its paths. An occurrence in another document follows a path as
-   long as the words before and after it are the source's; the join of edges with occurrences keeps only
+   long as the words before and after it are the source's, by 30 bits of their hashes; the join of edges with occurrences keeps only
    those where an occurrence enters a path or leaves it, where the graph branches.
-4. Between entering and leaving lies a verified span of the document (position, end); its words go.
+4. Between entering and leaving lies a span of the document (position, end); its words go. They are not compared
+   with the source's.
 
 Exact copies of a text are told by their hash first: all but the first of them go whole if they have an edge.
 
