@@ -9,7 +9,7 @@ that are frequent everywhere last (a bounded list, from counts over all document
    give pairs with the number of shared shingles; pairs below l are dropped. Longer lists give a group.
 2. Pairs and long lists become groups of nodes; a large group is cut into pairs of blocks.
 3. In each group every node searches its inverted lists as DivideSkip does: the T - 1 longest lists are set
-   aside, the short ones are merged, and the candidates are probed in the long ones by binary search.
+   aside, the short ones are counted in an array over the group (no heap merge), and the candidates are probed in the long ones by binary search.
    A candidate already connected to the node within the group is not probed again.
 4. Connected components of the links found; the smallest doc_id names a component.
 
