@@ -5,19 +5,26 @@ Two nodes are linked when their sets reach the similarity; a link needs T common
 one order of shingles the first n - T + l of each set hold at least l in common. The order puts shingles
 that are frequent everywhere last (a bounded list, from counts over all documents) and is else by hash.
 
-1. Inverted lists over those first parts, dealt by shingle in packed blocks. Lists of up to ``SHORT`` nodes
+1. Inverted lists over those first parts: a posting is 32 bits of the shingle (more are in its bucket), 40 of the
+   node, its l and the class of its size, 11 bytes whatever the number of buckets. Lists of up to ``SHORT`` nodes
    give pairs with the number of shared shingles; pairs below l are dropped. Longer lists give a group.
-2. Pairs and long lists become groups of nodes; a large group is cut into pairs of blocks.
-3. In each group every node searches its inverted lists as DivideSkip does: the T - 1 longest lists are set
-   aside, the short ones are counted in an array over the group (no heap merge), and the candidates are probed in the long ones by binary search.
-   A candidate already connected to the node within the group is not probed again.
+2. Pairs and long lists become groups of nodes. A large group is cut into blocks of nodes of like size; only
+   blocks whose sizes can reach the similarity are paired.
+3. In each group every node searches its inverted lists as DivideSkip does: of n lists the T - 1 longest are set
+   aside, the short ones are merged (as sorted runs) and counted, and a candidate is probed in the long ones by
+   binary search. A candidate already connected to the node within the group is not probed again.
 4. Connected components of the links found; the smallest doc_id names a component.
 
-Every pair that could reach the similarity meets in at least one group, so no connection is lost.
+Every pair that could reach the similarity meets in at least one group, so no connection is lost. Where two
+shingles of one set share their posting's bits, l is less by one; nodes that share theirs are taken together until
+their whole sets are compared. Keys that many rows share (a node of many exact
+copies, the smallest document of a large component) are summed up before they are shuffled and, where they are
+joined, split by adaptive execution.
 
 Defined results: fewer words than k make one shingle; no word or no text makes an empty set, linked with
 nothing; repeated rows and equal texts share a node, so they are linked; a null doc_id counts in sizes but
-names no component if another is there. Hashes have 64 bits.
+names no component if another is there; other columns, whatever their names, are not read; an empty table
+gives no rows. Shingles have 64 bits.
 """
 
 from __future__ import annotations
@@ -34,9 +41,10 @@ from .components import components
 from .shared import drop_table, partitions, release, write_table
 from .text import U, flat, give_back, mix, row_windows, slices, window_hashes, word_bounds, word_hashes
 
-SHORT, BLOCK, HOT_IN_BATCH, HOT_MOST = 32, 1024, 4, 1 << 18
+SHORT, BLOCK, BLOCK_SHINGLES, HOT_IN_BATCH, HOT_MOST = 32, 1024, 1 << 20, 4, 1 << 18
+STEPS, BLOCKS_A_CLASS = 3, 1 << 20  # size classes in a step of the similarity; numbers of blocks kept apart by class
 HELD_BYTES, HELD_PAIRS, HELD_SHINGLES, COUNTED_SHINGLES = 1 << 22, 1 << 19, 1 << 20, 1 << 22
-PLUS = 8  # l is one in so many shingles
+PLUS = 16  # l is one in so many shingles
 
 
 def shingle_sets(texts: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -87,23 +95,28 @@ def first_part(s: np.ndarray, hot: np.ndarray, percent: int) -> tuple[np.ndarray
     return s[: spare + more], more
 
 
-def frequent(docs: DataFrame, k: int) -> np.ndarray:
-    """Shingles that occur in at least ``HOT_IN_BATCH`` of some ``COUNTED_SHINGLES`` shingles' sets, the most frequent first,
-    ``HOT_MOST`` at most. They only shape the common order; any list gives the same links."""
+def described(docs: DataFrame, k: int) -> DataFrame:
+    """Rows of documents (doc_id, key, n, node), and counts of shingles (h, times) that occur in at least ``HOT_IN_BATCH``
+    of some ``COUNTED_SHINGLES`` shingles' sets."""
+    names = ["doc_id", "key", "n", "node", "h", "times"]
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def often(sets):
-            h = np.concatenate(sets)
-            h.sort()
-            start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-            n = np.diff(np.append(start, len(h)))
-            keep = n >= HOT_IN_BATCH
-            return pa.RecordBatch.from_arrays([pa.array(h[start[keep]].view(np.int64)), pa.array(n[keep])], ["h", "n"])
+    def often(sets):
+        h = np.concatenate(sets)
+        h.sort()
+        start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        times = np.diff(np.append(start, len(h)))
+        keep = times >= HOT_IN_BATCH
+        none = pa.nulls(int(keep.sum()), pa.int64())
+        return pa.RecordBatch.from_arrays([none] * 4 + [pa.array(h[start[keep]].view(np.int64)), pa.array(times[keep])], names)
 
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen, sets, held = set(), [], 0
-            for _, s in shingle_sets(batch.column(0), k):
-                if len(s) and (i := set_id(s)) not in seen:
+            n, node, seen, sets, held = [], [], set(), [], 0
+            for _, s in shingle_sets(batch.column(1), k):
+                i = set_id(s) if len(s) else None
+                n.append(len(s))
+                node.append(i)
+                if i is not None and i not in seen:
                     seen.add(i)
                     sets.append(s)
                     held += len(s)
@@ -112,52 +125,74 @@ def frequent(docs: DataFrame, k: int) -> np.ndarray:
                     sets, held = [], 0
             if sets:
                 yield often(sets)
+            none = pa.nulls(len(n), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(2), pa.array(n, pa.int64()), pa.array(node, pa.int64()), none, none], names)
         give_back()
 
-    counts = docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "h").limit(HOT_MOST).select("h").toArrow().column(0).to_numpy()
+    return docs.mapInArrow(describe, ", ".join(f"{c} long" for c in names))
+
+
+def frequent(counts: DataFrame) -> np.ndarray:
+    """The ``HOT_MOST`` most frequent of the counted shingles. They only shape the common order; any list gives the same links."""
+    total = counts.groupBy("h").agg(F.sum("times").alias("times"))
+    top = total.orderBy(F.desc("times"), "h").limit(HOT_MOST).select("h").toArrow().column(0).to_numpy()
     return np.sort(top.astype(np.int64).view(U))
 
 
-def _block(sets: list[tuple[int, int, int, np.ndarray]], buckets: int) -> Iterator[tuple[int, bytes]]:
+def size_class(n, percent: int):
+    """Sizes that can reach the similarity are at most ``STEPS`` classes apart."""
+    return np.minimum(np.floor(np.log(np.maximum(n, 1)) * STEPS / np.log(max(100 / percent, 1.05))), 255).astype(np.uint8)
+
+
+def _postings(sets: list[tuple[int, int, int, np.ndarray]], buckets: int, percent: int) -> Iterator[tuple[int, bytes]]:
     """Postings of a batch's sets, packed by bucket."""
-    ids = np.array([x[0] for x in sets], "<i8")
-    size, more = (np.array([x[i] for x in sets], "<u4") for i in (1, 2))
+    ids, size, more = (np.array([x[i] for x in sets], np.int64) for i in range(3))
     h = np.concatenate([x[3] for x in sets])
-    who = np.repeat(np.arange(len(sets), dtype="<u4"), [len(x[3]) for x in sets])
-    bucket = (h >> U(17)) % U(buckets)
+    who = np.repeat(np.arange(len(sets)), [len(x[3]) for x in sets])
+    bucket, short = (h & U(0xFFFFFFFF)) % U(buckets), (h >> U(32)).astype("<u4")
+    same = mix(who.astype(U), 5) ^ (short.astype(U) * U(buckets) + bucket)
+    if (np.diff(np.sort(same)) == 0).any():  # two shingles of a set (or of two sets, which costs no link) look alike
+        order = np.argsort(same, kind="stable")
+        np.subtract.at(more, who[order[1:][same[order[1:]] == same[order[:-1]]]], 1)
+    of_node = np.empty((len(sets), 7), np.uint8)  # 40 bits of the node, l, class
+    of_node[:, :5] = ids.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :5]
+    of_node[:, 5], of_node[:, 6] = np.clip(more, 1, 255), size_class(size, percent)
     order = np.argsort(bucket, kind="stable")
     cut = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=U))
     for b in range(buckets):
         at = order[cut[b] : cut[b + 1]]
         if len(at):
-            own, back = np.unique(who[at], return_inverse=True)
-            head = np.array([len(own), len(at)], "<u4").tobytes()
-            yield b, head + ids[own].tobytes() + size[own].tobytes() + more[own].tobytes() + h[at].astype("<u8").tobytes() + back.astype("<u4").tobytes()
+            yield b, short[at].tobytes() + of_node[who[at]].tobytes()
 
 
-def _unblock(raw: bytes) -> tuple[np.ndarray, ...]:
-    m, n = np.frombuffer(raw, "<u4", 2)
-    out, at = [], 8
-    for kind, count in (("<i8", m), ("<u4", m), ("<u4", m), ("<u8", n), ("<u4", n)):
-        out.append(np.frombuffer(raw, kind, count, at))
-        at += out[-1].nbytes
-    return tuple(out)
+def _unpacked(blocks: list[bytes]) -> tuple[np.ndarray, ...]:
+    """Shingles, nodes, l and classes."""
+    short, of_node = [], []
+    for raw in blocks:
+        n = len(raw) // 11
+        short.append(np.frombuffer(raw, "<u4", n))
+        of_node.append(np.frombuffer(raw, np.uint8, 7 * n, 4 * n).reshape(n, 7))
+    of_node = np.concatenate(of_node)
+    ids = np.zeros((len(of_node), 8), np.uint8)
+    ids[:, :5] = of_node[:, :5]
+    return np.concatenate(short), ids.view("<i8").reshape(-1).astype(np.int64), of_node[:, 5].copy(), of_node[:, 6].copy()
 
 
-def candidates(batches: Iterator[pa.RecordBatch], percent: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def candidates(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """From the lists of a partition: pairs with their shared shingles and l, packed by bucket, and rows of nodes a in
     the group b of a long list."""
-    parts = [_unblock(x.as_py()) for batch in batches for x in batch.column(0)]
-    if not parts:
+    blocks = [x.as_py() for batch in batches for x in batch.column(0)]
+    if not blocks:
         return
-    ids, size, more = (np.concatenate([p[i] for p in parts]) for i in range(3))
-    nodes, first, back = np.unique(ids, return_index=True, return_inverse=True)
-    n, l = size[first].astype(np.int64), more[first].astype(np.int64)
-    shift = np.cumsum([0, *(len(p[0]) for p in parts)])
-    node = np.concatenate([back[p[4] + at].astype(np.int32) for p, at in zip(parts, shift, strict=False)])
-    h = np.concatenate([p[3] for p in parts])
-    del parts, ids, size, more, back
+    h, ids, own_l, own_kind = _unpacked(blocks)
+    del blocks
+    nodes, node = np.unique(ids, return_inverse=True)
+    node = node.astype(np.int32)
+    l, small, large = np.full(len(nodes), 255, np.int16), np.full(len(nodes), 255, np.int16), np.zeros(len(nodes), np.int16)
+    for held, take, values in ((l, np.minimum, own_l), (small, np.minimum, own_kind), (large, np.maximum, own_kind)):
+        take.at(held, node, values.astype(np.int16))
+    l = l.astype(np.int64)
+    del ids, own_l, own_kind
     order = np.lexsort((node, h))
     h, node = h[order], node[order]
     keep = np.ones(len(h), bool)
@@ -174,7 +209,7 @@ def candidates(batches: Iterator[pa.RecordBatch], percent: int, buckets: int) ->
         for c in range(0, len(at), max(1, HELD_PAIRS // len(i))):
             block = node[at[c : c + max(1, HELD_PAIRS // len(i)), None] + np.arange(f)]
             a, b = block[:, i].reshape(-1), block[:, j].reshape(-1)
-            near = 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
+            near = (small[a] - large[b] <= STEPS) & (small[b] - large[a] <= STEPS)
             key, c_ = np.unique(a[near].astype(np.int64) * len(nodes) + b[near], return_counts=True)
             heap.append((key, c_))
             held += len(key)
@@ -230,7 +265,8 @@ def search_links(sets: list[np.ndarray], percent: int, split: int | None = None)
     indexed = np.arange(len(flat_)) if split is None else np.flatnonzero(owner < split)
     order = indexed[np.argsort(flat_[indexed], kind="stable")]
     keys, start, length = np.unique(flat_[order], return_index=True, return_counts=True)
-    lists = owner[order]  # each list ascending
+    lists = owner[order].astype(np.int32)  # each list ascending
+    place = np.repeat(np.arange(len(keys)), length) * m + lists  # ascending over all lists
     root = np.arange(m)
 
     def find(x: int) -> int:
@@ -243,74 +279,85 @@ def search_links(sets: list[np.ndarray], percent: int, split: int | None = None)
     for x in range(split or 0, m):
         own = sets[x]
         at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-        there = keys[at] == own
-        have, at = own[there], at[there]
+        at = at[keys[at] == own]
         need = int(least_overlap(len(own), percent))
-        if len(have) < need:
+        if len(at) < need:
+            continue
+        by = at[np.argsort(length[at], kind="stable")]
+        short, aside = by[: len(by) - need + 1], by[len(by) - need + 1 :]  # at most T - 1 lists set aside
+        merged = np.sort(np.concatenate([lists[start[i] : start[i] + length[i]] for i in short]), kind="stable")
+        if split is None:
+            merged = merged[: np.searchsorted(merged, x)]
+        if not len(merged):
             continue
-        by = np.argsort(length[at], kind="stable")
-        merged, aside = by[: len(by) - need + 1], have[by[len(by) - need + 1 :]]  # at most T - 1 lists set aside
-        pieces = [lists[start[i] : start[i] + length[i]] for i in at[merged]]
-        count = np.bincount(np.concatenate(pieces), minlength=m)
-        limit = m if split is not None else x
-        close = np.flatnonzero(count[:limit])
-        close = close[(100 * np.minimum(sizes[close], len(own)) >= percent * np.maximum(sizes[close], len(own)))]
+        begin = np.flatnonzero(np.concatenate([[True], merged[1:] != merged[:-1]]))
+        close, count = merged[begin].astype(np.int64), np.diff(np.append(begin, len(merged)))
         wanted = overlap_needed(sizes[close], len(own), percent)
-        ok = count[close] + len(aside) >= wanted
-        close, wanted = close[ok], wanted[ok]
-        aside = np.sort(aside)
-        for i in np.argsort(-count[close], kind="stable"):
+        ok = (count + len(aside) >= wanted) & (100 * np.minimum(sizes[close], len(own)) >= percent * np.maximum(sizes[close], len(own)))
+        close, count, wanted = close[ok], count[ok], wanted[ok]
+        for i in np.argsort(-count, kind="stable"):
             y = int(close[i])
-            if y == x or find(y) == find(x):
+            if find(y) == find(x):
                 continue
-            other = sets[y]
-            probe = np.minimum(np.searchsorted(other, aside), len(other) - 1)
-            if count[y] + int((other[probe] == aside).sum()) >= wanted[i]:
+            probe = aside * m + y
+            found = np.minimum(np.searchsorted(place, probe), len(place) - 1)
+            if count[i] + int((place[found] == probe).sum()) >= wanted[i]:
                 a, b = find(x), find(y)
                 root[max(a, b)] = min(a, b)
                 out.append((y, x))
     return out
 
 
+def _tasks(member: DataFrame) -> DataFrame:
+    """``node, key, tasks`` of members (g, node, key, n, class): a group of at most ``BLOCK`` nodes is one task, a larger one
+    a task for each two blocks of it whose size classes can meet."""
+    kinds = member.groupBy("g", "class").agg(F.count("*").alias("nodes"), F.sum("n").alias("shingles"))
+    blocks = F.greatest(F.ceil(F.col("nodes") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("long")
+    part = F.struct(F.col("class").alias("c"), blocks.alias("blocks"))
+    group = kinds.groupBy("g").agg((F.sum("nodes") > BLOCK).alias("many"), (F.sum("shingles") > BLOCK_SHINGLES).alias("long"), F.collect_list(part).alias("parts"))
+    group = group.select("g", F.when(F.col("many") | F.col("long"), F.col("parts")).alias("parts"))
+    near = F.filter("parts", lambda p: F.abs(p["c"] - F.col("class")) <= STEPS)
+    others = F.flatten(F.transform(near, lambda p: F.transform(F.sequence(F.lit(0).cast("long"), p["blocks"] - 1), lambda i: p["c"] * BLOCKS_A_CLASS + i)))
+    mine = F.filter("parts", lambda p: p["c"] == F.col("class"))[0]["blocks"]
+    own = F.when(F.col("parts").isNull(), F.lit(0)).otherwise(F.col("class") * BLOCKS_A_CLASS + F.pmod(F.xxhash64("node"), mine)).cast("long")
+    cut = member.join(group, "g").select("g", "node", "key", own.alias("own"), F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(0).cast("long"))).otherwise(others)).alias("other"))
+    task = F.struct("g", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own")
+    return cut.groupBy("node", "key").agg(F.collect_list(task).alias("tasks"))
+
+
 def similar_components(docs: DataFrame, percent: int = 75, k: int = 5) -> DataFrame:
     """``doc_id, n_shingles, component_id``, one row a row of ``docs``."""
     spark = docs.sparkSession
     buckets = 2 * partitions(spark)
-    docs = docs.select("doc_id", "text")
-    hot = spark.sparkContext.broadcast(frequent(docs, k))
+    docs = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
+    seen = write_table(described(docs, k), "similar-docs")
+    base = seen.filter("key is not null").select("doc_id", "key", "n", "node")
+    hot = spark.sparkContext.broadcast(frequent(seen.filter("h is not null").select("h", "times")))
+
+    def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Packed postings of each batch's distinct sets."""
 
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of documents (doc_id, n, node) and packed postings of the batch's distinct sets (bucket, block)."""
-        names = ["doc_id", "n", "node", "bucket", "block"]
         def packed(sets):
-            blocks = list(_block(sets, buckets))
-            none = pa.nulls(len(blocks), pa.int64())
-            return pa.RecordBatch.from_arrays([none, none, none, pa.array([b for b, _ in blocks], pa.int32()), pa.array([x for _, x in blocks], pa.binary())], names)
+            blocks = list(_postings(sets, buckets, percent))
+            return pa.RecordBatch.from_arrays([pa.array([b for b, _ in blocks], pa.int32()), pa.array([x for _, x in blocks], pa.binary())], ["bucket", "block"])
 
         for batch in batches:
-            n, node, seen, sets, held = [], [], set(), [], 0
-            for _, s in shingle_sets(batch.column(1), k):
-                i = set_id(s) if len(s) else None
-                n.append(len(s))
-                node.append(i)
-                if i is not None and i not in seen:
-                    seen.add(i)
+            done, sets, held = set(), [], 0
+            for _, s in shingle_sets(batch.column(0), k):
+                if len(s) and (i := set_id(s)) not in done:
+                    done.add(i)
                     part, more = first_part(s, hot.value, percent)
                     sets.append((i, len(s), more, part.copy()))
                     held += len(part)
                 if held > HELD_SHINGLES:
                     yield packed(sets)
                     sets, held = [], 0
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], names)
             if sets:
                 yield packed(sets)
         give_back()
 
-    described = write_table(docs.mapInArrow(describe, "doc_id long, n long, node long, bucket int, block binary"), "similar-docs")
-    base = write_table(described.filter("bucket is null").select("doc_id", "n", "node"), "similar-nodes")
-    lists = described.filter("bucket is not null").select("bucket", "block").repartition(buckets, "bucket").select("block")
-    found = write_table(lists.mapInArrow(lambda it: candidates(it, percent, buckets), "a long, b long, bucket int, block binary"), "similar-found")
-    drop_table(described)
+    lists = docs.select("text").mapInArrow(postings, "bucket int, block binary").repartition(buckets, "bucket").select("block")
+    found = write_table(lists.mapInArrow(lambda it: candidates(it, buckets), "a long, b long, bucket int, block binary"), "similar-found")
     release(spark)
 
     pairs = found.filter("bucket is not null").select("bucket", "block").repartition(buckets, "bucket").select("block")
@@ -320,59 +367,55 @@ def similar_components(docs: DataFrame, percent: int = 75, k: int = 5) -> DataFr
     group = F.least(F.coalesce("ma", "a"), "mb")
     member = led.select(F.col("a").alias("node"), group.alias("g")).unionByName(led.select(F.col("b").alias("node"), group.alias("g")))
     member = member.unionByName(found.filter("bucket is null").select(F.col("a").alias("node"), F.col("b").alias("g"))).distinct()
-    member = write_table(member, "similar-groups")
+    # A node is named by its smallest doc_id, or after all those by its own hash.
+    name = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.coalesce("doc_id", "node").alias("id"))
+    first = base.filter("node is not null").groupBy("node").agg(F.min(name).alias("name"), F.min("key").alias("key"), F.min("n").alias("n"))
+    kind = F.floor(F.log(F.greatest("n", F.lit(1))) * STEPS / float(np.log(max(100 / percent, 1.05)))).cast("long")
+    # nodes that are alike in 40 bits are told apart again here
+    member = member.withColumnRenamed("node", "bits").join(first.withColumn("bits", F.col("node").bitwiseAND((1 << 40) - 1)), "bits")
+    member = write_table(member.select("g", "node", "name", "key", "n", kind.alias("class")), "similar-groups")
     drop_table(found)
     drop_table(pairs)
-
-    # A group of more than BLOCK nodes becomes all pairs of its blocks.
-    size = member.groupBy("g").agg(F.count("*").alias("size"))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.when(F.col("size") > BLOCK, F.pmod(F.xxhash64("node"), blocks).cast("int")).otherwise(0)
-    cut = member.join(size, "g").withColumn("blocks", F.when(F.col("size") > BLOCK, blocks).otherwise(1)).withColumn("own", own)
-    cut = cut.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    task = F.struct("g", F.least("own", "j").alias("i"), F.greatest("own", "j").alias("j"), "own")
     # distinct groups of equal members but another name cost a search more, no link
-    wanted = cut.select("node", task.alias("task")).groupBy("node").agg(F.collect_list("task").alias("tasks"))
-    first = base.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"))
-    wanted = wanted.join(first, "node").groupBy("doc_id").agg(F.collect_list(F.struct("node", "tasks")).alias("nodes"))
+    wanted = _tasks(member)
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, held = batch.column(1), 0
+            nodes, tasks, held = batch.column(1), batch.column(2), 0
             g, i, j, own, node, sets = [], [], [], [], [], []
             for r, s in shingle_sets(batch.column(0), k):
-                for want in rows[r].as_py():
-                    if len(s) and want["node"] == set_id(s):
-                        raw = s.tobytes()
-                        for t in want["tasks"]:
-                            for column, value in zip((g, i, j, own, node, sets), (t["g"], t["i"], t["j"], t["own"], want["node"], raw), strict=True):
-                                column.append(value)
-                            held += len(raw)
-                if held >= HELD_BYTES:
-                    yield _members(g, i, j, own, node, sets)
-                    g, i, j, own, node, sets, held = [], [], [], [], [], [], 0
+                if len(s) and nodes[r].as_py() == set_id(s):
+                    raw = s.tobytes()
+                    for t in tasks[r].as_py():
+                        for column, value in zip((g, i, j, own, node, sets), (t["g"], t["i"], t["j"], t["own"], nodes[r].as_py(), raw), strict=True):
+                            column.append(value)
+                        held += len(raw)
+                        if held >= HELD_BYTES:
+                            yield _members(g, i, j, own, node, sets)
+                            g, i, j, own, node, sets, held = [], [], [], [], [], [], 0
             if g:
                 yield _members(g, i, j, own, node, sets)
         give_back()
 
-    members = docs.join(wanted, "doc_id").select("text", "nodes").mapInArrow(load, "g long, i int, j int, own int, node long, words binary")
+    members = docs.join(wanted.hint("merge"), "key").select("text", "node", "tasks").mapInArrow(load, "g long, i long, j long, own long, node long, words binary")
     members = members.repartition(buckets, "g", "i", "j").sortWithinPartitions("g", "i", "j", "own", "node")
     links = write_table(members.mapInArrow(lambda it: group_links(it, percent), "u long, v long"), "similar-links")
-    drop_table(member)
     release(spark)
 
-    joined = components(links, "similar-components")
-    drop_table(links)
-    named = first.join(joined, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
-    names = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(names, "root").select("node", "component_id")
-    empty = base.filter("node is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    full = base.filter("node is not null").join(named, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return full.unionByName(empty)
+    names = member.select("node", "name").distinct()
+    links = links.join(names.toDF("u", "un"), "u").join(names.toDF("v", "vn"), "v").select(F.col("un").alias("u"), F.col("vn").alias("v"))
+    joined = components(links, "similar-components").toDF("name", "root")
+    drop_table(member)
+    named = first.join(joined, "name", "left").select("node", F.coalesce("root", "name").alias("root"))
+    full = base.filter("node is not null").join(named, "node")
+    component = F.when(~F.col("root.unnamed"), F.col("root.id"))
+    # the join on node is left to adaptive execution, which splits a node of very many copies
+    full = full.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return full.unionByName(base.filter("node is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
 def _members(g, i, j, own, node, sets) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+    kinds = (pa.int64(),) * 5 + (pa.binary(),)
     return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((g, i, j, own, node, sets), kinds, strict=True)], ["g", "i", "j", "own", "node", "words"])
 
 
