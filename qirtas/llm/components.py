@@ -5,19 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import drop_table, release, write_table
+from .shared import drop_table, join_split, release, write_table
 
 
-def _stars(edges: DataFrame, small: bool) -> DataFrame:
-    """Each node's neighbours go to the smallest of them and itself: the larger ones, or for a small star the smaller."""
+def _stars(edges: DataFrame, small: bool, name: str) -> DataFrame:
+    """Each node's neighbours go to the smallest of them and itself: the larger ones, or for a small star the smaller. A
+    node that holds a large part of all edges, as the centre of a large component does, is no one task's work."""
     both = edges if small else edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    joined = both.join(least, "u")
+    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("rows")).select("u", F.least("u", "m").alias("m"), "rows")
+    least = write_table(least, name + "-least")
+    joined = join_split(both, least, "u")
     if small:
         out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
     else:
         out = joined.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return out.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    out = write_table(out.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), name)
+    drop_table(least)
+    return out
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
@@ -31,7 +35,8 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         if now == mark or not now["n"]:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         mark = now
-        new = write_table(_stars(_stars(edges, small=False), small=True), name)
+        large = _stars(edges, False, name)
         drop_table(edges)
-        edges = new
+        edges = _stars(large, True, name)
+        drop_table(large)
         release(edges.sparkSession)

@@ -7,6 +7,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+HOT_KEYS, FEW = 10_000, 100  # a key with more rows than the HOT_KEYSth part of all (and than FEW) is hot
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -56,3 +59,14 @@ def release(spark: SparkSession) -> None:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def join_split(rows: DataFrame, keyed: DataFrame, key: str, count: str = "rows") -> DataFrame:
+    """Inner join of many rows with one row a key, whatever share of the rows one key holds. ``keyed`` says how many rows
+    each key has (``count``). Keys with more than the ``HOT_KEYS``-th part of all rows, of which there are at most
+    ``HOT_KEYS``, go to every task; only the others are shuffled. ``rows`` and ``keyed`` should be tables, as both are
+    read twice."""
+    total = keyed.agg(F.sum(count)).first()[0] or 0
+    most = max(FEW, total // HOT_KEYS)
+    hot, cold = F.broadcast(keyed.filter(F.col(count) > most).drop(count)), keyed.filter(F.col(count) <= most).drop(count)
+    return rows.join(hot, key).unionByName(rows.join(F.broadcast(keyed.filter(F.col(count) > most).select(key)), key, "left_anti").join(cold, key))

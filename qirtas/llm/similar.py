@@ -17,9 +17,9 @@ that are frequent everywhere last (a bounded list, from counts over all document
 
 Every pair that could reach the similarity meets in at least one group, so no connection is lost. Where two
 shingles of one set share their posting's bits, l is less by one; nodes that share theirs are taken together until
-their whole sets are compared. Keys that many rows share (a node of many exact
-copies, the smallest document of a large component) are summed up before they are shuffled and, where they are
-joined, split by adaptive execution.
+their whole sets are compared. Keys
+that many rows share (a node of many exact copies, the centre of a large component) are summed up before they are
+shuffled and, where they are joined, sent to every task (``join_split``).
 
 Defined results: fewer words than k make one shingle; no word or no text makes an empty set, linked with
 nothing; repeated rows and equal texts share a node, so they are linked; a null doc_id counts in sizes but
@@ -33,17 +33,19 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import drop_table, partitions, release, write_table
+from .shared import drop_table, join_split, partitions, release, write_table
 from .text import U, flat, give_back, mix, row_windows, slices, window_hashes, word_bounds, word_hashes
 
 SHORT, BLOCK, BLOCK_SHINGLES, HOT_IN_BATCH, HOT_MOST = 32, 1024, 1 << 20, 4, 1 << 18
 STEPS, BLOCKS_A_CLASS = 3, 1 << 20  # size classes in a step of the similarity; numbers of blocks kept apart by class
 HELD_BYTES, HELD_PAIRS, HELD_SHINGLES, COUNTED_SHINGLES = 1 << 22, 1 << 19, 1 << 20, 1 << 22
+SIEVE = 26  # a filter of 8 MB
 PLUS = 16  # l is one in so many shingles
 
 
@@ -308,6 +310,20 @@ def search_links(sets: list[np.ndarray], percent: int, split: int | None = None)
     return out
 
 
+def sieve_of(keys: DataFrame) -> np.ndarray:
+    """Bits of the keys, 2 ** ``SIEVE`` at all; 64 a row reach the driver."""
+    rows = keys.select(F.col("key").bitwiseAND((1 << SIEVE) - 1).alias("b")).select(F.shiftright("b", 6).alias("w"), F.expr("shiftleft(1L, cast(b & 63 as int))").alias("v"))
+    got = rows.groupBy("w").agg(F.bit_or("v").alias("v")).toArrow()
+    out = np.zeros(1 << (SIEVE - 6), U)
+    out[got.column("w").to_numpy()] = got.column("v").to_numpy().view(U)
+    return out
+
+
+def in_sieve(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    b = keys.astype(np.int64).view(U) & U((1 << SIEVE) - 1)
+    return (bits[(b >> U(6)).astype(np.int64)] >> (b & U(63))) & U(1) == 1
+
+
 def _tasks(member: DataFrame) -> DataFrame:
     """``node, key, tasks`` of members (g, node, key, n, class): a group of at most ``BLOCK`` nodes is one task, a larger one
     a task for each two blocks of it whose size classes can meet."""
@@ -369,7 +385,7 @@ def similar_components(docs: DataFrame, percent: int = 75, k: int = 5) -> DataFr
     member = member.unionByName(found.filter("bucket is null").select(F.col("a").alias("node"), F.col("b").alias("g"))).distinct()
     # A node is named by its smallest doc_id, or after all those by its own hash.
     name = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.coalesce("doc_id", "node").alias("id"))
-    first = base.filter("node is not null").groupBy("node").agg(F.min(name).alias("name"), F.min("key").alias("key"), F.min("n").alias("n"))
+    first = base.filter("node is not null").groupBy("node").agg(F.min(name).alias("name"), F.min("key").alias("key"), F.min("n").alias("n"), F.count("*").alias("rows"))
     kind = F.floor(F.log(F.greatest("n", F.lit(1))) * STEPS / float(np.log(max(100 / percent, 1.05)))).cast("long")
     # nodes that are alike in 40 bits are told apart again here
     member = member.withColumnRenamed("node", "bits").join(first.withColumn("bits", F.col("node").bitwiseAND((1 << 40) - 1)), "bits")
@@ -397,7 +413,14 @@ def similar_components(docs: DataFrame, percent: int = 75, k: int = 5) -> DataFr
                 yield _members(g, i, j, own, node, sets)
         give_back()
 
-    members = docs.join(wanted.hint("merge"), "key").select("text", "node", "tasks").mapInArrow(load, "g long, i long, j long, own long, node long, words binary")
+    # Texts that no group wants stay where they are, as far as a filter of fixed size can tell.
+    sieve = spark.sparkContext.broadcast(sieve_of(wanted.select("key")))
+
+    @F.pandas_udf("boolean")
+    def may_be_wanted(key: pd.Series) -> pd.Series:
+        return pd.Series(in_sieve(sieve.value, key.to_numpy()))
+
+    members = docs.filter(may_be_wanted("key")).join(wanted.hint("merge"), "key").select("text", "node", "tasks").mapInArrow(load, "g long, i long, j long, own long, node long, words binary")
     members = members.repartition(buckets, "g", "i", "j").sortWithinPartitions("g", "i", "j", "own", "node")
     links = write_table(members.mapInArrow(lambda it: group_links(it, percent), "u long, v long"), "similar-links")
     release(spark)
@@ -406,10 +429,9 @@ def similar_components(docs: DataFrame, percent: int = 75, k: int = 5) -> DataFr
     links = links.join(names.toDF("u", "un"), "u").join(names.toDF("v", "vn"), "v").select(F.col("un").alias("u"), F.col("vn").alias("v"))
     joined = components(links, "similar-components").toDF("name", "root")
     drop_table(member)
-    named = first.join(joined, "name", "left").select("node", F.coalesce("root", "name").alias("root"))
-    full = base.filter("node is not null").join(named, "node")
+    named = write_table(first.join(joined, "name", "left").select("node", F.coalesce("root", "name").alias("root"), "rows"), "similar-named")
+    full = join_split(base.filter("node is not null").select("doc_id", "n", "node"), named, "node")
     component = F.when(~F.col("root.unnamed"), F.col("root.id"))
-    # the join on node is left to adaptive execution, which splits a node of very many copies
     full = full.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
     return full.unionByName(base.filter("node is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
