@@ -9,16 +9,19 @@ shorter). A word goes if an edge that covers it also occurs in a document with a
 2. Edges with such an anchor, with the places (document, position) where they begin. Edges found once fall out.
 3. Compaction: each repeated edge has a source, the smallest document that has it, and a place there. Edges
    at successive places of one source form its paths. An occurrence in another document follows a path as
-   long as the words before and after it are the source's, by 30 bits of their hashes; the join of edges with occurrences keeps only
-   those where an occurrence enters a path or leaves it, where the graph branches.
-4. Between entering and leaving lies a span of the document (position, end); its words go. They are not compared
-   with the source's.
+   long as the edges before and after it are the source's; the join of edges with occurrences keeps only
+   those where an occurrence enters a path or leaves it, where the graph branches (the words on either side
+   differ, by a 63-bit hash of both).
+4. Between entering and leaving lies a span of the document, which is a piece of the source: its ends have
+   coordinates in both, and the edges next to them are compared with the source's (64 bits) when it is cut. A
+   span whose ends are not equally far apart in both would be cut to its own edges.
 
-Exact copies of a text are told by their hash first: all but the first of them go whole if they have an edge.
+Exact copies of a text are told by their hash first: all but the first of them go whole if they have an edge. A text that
+holds a large part of all rows is joined without a shuffle of its copies.
 
 Defined results: a null text has no words; texts shorter than an edge stay; rows with the same doc_id do
 not count against each other; a row with a null doc_id is neither smaller nor larger than another, so it
-stays whole. Hashes of edges have 64 bits.
+stays whole; other columns, whatever their names, are not read; an empty table gives no rows. Hashes of edges have 64 bits.
 """
 
 from __future__ import annotations
@@ -32,12 +35,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import drop_table, partitions, release, write_table
+from .shared import drop_table, join_split, partitions, release, write_table
 from .text import U, flat, mix, ranges, row_windows, sliding_min, slices, window_hashes, word_bounds, word_hashes
 
 LENGTH, GRAM = 50, 16
 NTH = 40  # bits of a place below the number of the text among those with its doc_id
-END, SELF, WORD = 0, 1, 2  # next to an edge: nothing to follow; it occurs again in its text; a word (from its hash on)
 NOTHING = hashlib.sha256(b"").hexdigest()
 
 
@@ -73,8 +75,9 @@ def anchors(words: np.ndarray, length: int, gram: int) -> np.ndarray:
 
 
 def edge_runs(words: np.ndarray, lo: int, hi: int, length: int, wanted: np.ndarray) -> tuple[np.ndarray, ...] | None:
-    """The edges of a row (words lo to hi) whose anchor is wanted: first position, hash, what is next to it. An edge
-    that the row has more than once comes once and follows nothing, nor do its neighbours follow it."""
+    """The edges of a row (words lo to hi) whose anchor is wanted: first position, hash, and a hash of the words on either
+    side. That is 0 where a side has none or the edge there, or this one, occurs again in the row: such an edge comes once
+    and is told apart when the row is cut."""
     n = hi - lo - length + 1
     if n <= 0 or not len(wanted):
         return None
@@ -85,14 +88,13 @@ def edge_runs(words: np.ndarray, lo: int, hi: int, length: int, wanted: np.ndarr
     if not good.any():
         return None
     h = window_hashes(own, length)
-    side = WORD + (own >> U(34)).astype(np.int64)
-    after, before = np.full(n, END, np.int64), np.full(n, END, np.int64)
-    after[:-1], before[1:] = side[length:], side[: n - 1]
     _, first, back, count = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
     often = count[back] > 1
-    after[:-1][often[1:]] = END
-    before[1:][often[:-1]] = END
-    link = np.where(often, SELF << 32 | SELF, after << 32 | before)
+    link = np.zeros(n, U)
+    link[1:-1] = mix(mix(own[length + 1 :], 3) + own[: max(n - 2, 0)], 4) | U(1)
+    link[often] = 0
+    link[:-1][often[1:]] = 0
+    link[1:][often[:-1]] = 0
     keep = np.sort(first)
     keep = keep[good[keep]]
     return keep.astype(np.int32), h[keep], link[keep]
@@ -215,7 +217,8 @@ def _cut_out(length: int):
             spans, n_removed, kept = batch.column(3), [], []
             for a, rows, raw, at, first, words in cut_words(batch.column(2)):
                 for r in range(rows):
-                    gone = covered(words[first[r] : first[r + 1]], length, *(x.to_numpy(zero_copy_only=False) for x in spans[a + r].values.flatten()))
+                    own = (x.to_numpy(zero_copy_only=False) for x in spans[a + r].values.flatten())
+                    gone = covered(words[first[r] : first[r + 1]], length, *own)
                     n_removed.append(int(gone.sum()))
                     edge = np.flatnonzero(np.diff(np.concatenate([[True], gone, [True]]).astype(np.int8)))
                     pieces = [raw[at[first[r] + x] : at[first[r] + y]] for x, y in zip(edge[0::2].tolist(), edge[1::2].tolist(), strict=True)]
@@ -225,29 +228,51 @@ def _cut_out(length: int):
     return cut
 
 
-def covered(words: np.ndarray, length: int, pos: np.ndarray, enters: np.ndarray, leaves: np.ndarray, often: np.ndarray) -> np.ndarray:
-    """Which words go: from each entering edge to the next leaving one, and every place of an edge that occurs often."""
+def covered(words: np.ndarray, length: int, pos: np.ndarray, at: np.ndarray, ahead: np.ndarray, behind: np.ndarray, flags: np.ndarray) -> np.ndarray:
+    """Which words go. Of each edge where the row may enter or leave a path: its position, its place in the source, the
+    edges after and before it there, and whether there are such (bits 0 and 1). Spans go from an entering edge to the next
+    leaving one; an edge that the row has more than once goes wherever it is."""
+    h = window_hashes(words, length)
+    _, back, count = np.unique(h, return_inverse=True, return_counts=True)
+    often = count[back] > 1
     cover = np.zeros(len(words) + 1, np.int64)
-    once = ~often
-    begin, stop = np.sort(pos[enters & once]), np.sort(pos[leaves & once])
-    np.add.at(cover, begin, 1)
-    np.add.at(cover, stop + length, -1)
-    if often.any():
-        h = window_hashes(words, length)
-        each = np.flatnonzero(np.isin(h, h[pos[often]]))
+    many = often[pos]
+    if many.any():
+        each = np.flatnonzero(np.isin(h, h[pos[many]]))
         np.add.at(cover, each, 1)
         np.add.at(cover, each + length, -1)
+    order = np.argsort(pos[~many], kind="stable")
+    pos, at, ahead, behind, flags = (x[~many][order] for x in (pos, at, ahead, behind, flags))
+    beyond, before = np.minimum(pos + 1, len(h) - 1), np.maximum(pos - 1, 0)
+    leaves = (flags & 1 == 0) | (pos + 1 >= len(h)) | often[beyond] | (h[beyond] != ahead.view(U))
+    enters = (flags & 2 == 0) | (pos == 0) | often[before] | (h[before] != behind.view(U))
+    begin, stop, shift = pos[enters], pos[leaves], at - pos
+    same = np.zeros(0, bool)
+    if len(begin) == len(stop):
+        same = (begin <= stop) & (shift[enters] == shift[leaves])
+    if not len(same) or not same.all():  # ends that do not belong together: only their own edges
+        lone = pos if len(begin) != len(stop) else np.concatenate([begin[~same], stop[~same]])
+        begin, stop = (begin[same], stop[same]) if len(same) else (begin[:0], stop[:0])
+        begin, stop = np.concatenate([begin, lone]), np.concatenate([stop, lone])
+    np.add.at(cover, begin, 1)
+    np.add.at(cover, stop + length, -1)
     return np.cumsum(cover)[:-1] > 0
 
 
 def paths(edges: DataFrame) -> DataFrame:
-    """``h, source, link, ahead, behind``: every repeated edge, its source, what is next to it there, and whether the
-    source's path goes on to the edge after and the edge before."""
+    """``h, source, at, link, path, ahead, behind``: every repeated edge, its source and place there, the path that it is
+    part of (the place where that begins), and the edges after and before it on the path, null at its ends."""
     seen = edges.groupBy("h").agg(F.min("doc_id").alias("source"), F.min_by("place", "doc_id").alias("at"), F.min_by("link", "doc_id").alias("link"), F.count("*").alias("n"))
     again = seen.filter("n >= 2").drop("n")
     along = Window.partitionBy("source").orderBy("at")
     ahead, behind = F.lead("at").over(along) == F.col("at") + 1, F.lag("at").over(along) == F.col("at") - 1
-    return again.select("h", "source", "link", F.coalesce(ahead, F.lit(False)).alias("ahead"), F.coalesce(behind, F.lit(False)).alias("behind"))
+    rows = again.withColumns({"ahead": F.when(ahead, F.lead("h").over(along)), "behind": F.when(behind, F.lag("h").over(along))})
+    return rows.withColumn("path", F.max(F.when(F.col("behind").isNull(), F.col("at"))).over(along))
+
+
+def compacted(on: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``source, path, edges, words``: the nonbranching repeated paths, one row each."""
+    return on.groupBy("source", "path").agg(F.count("*").alias("edges"), (F.count("*") + length - 1).alias("words"))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -262,29 +287,31 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     again = again.mapInArrow(_repeated_anchors, "batch long, keys binary")
     rows = described.filter("bucket is null and length(anchors) > 0").select("batch", "doc_id", "sha", "anchors")
     flagged = rows.groupBy("batch").cogroup(again.groupBy("batch")).applyInArrow(_flag, "doc_id long, sha string, wanted binary")
-    first = base.groupBy("sha").agg(F.min("doc_id").alias("first"))
-    flagged = flagged.join(first, "sha").filter("doc_id = first").dropDuplicates(["doc_id", "sha"])
+    first = write_table(base.groupBy("sha").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")), "repeat-first")
+    flagged = write_table(flagged, "repeat-flagged")
+    release(spark)
+    once = join_split(flagged, first, "sha").filter("doc_id = first").dropDuplicates(["doc_id", "sha"])
     nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("sha"))  # of different texts with one doc_id
-    flagged = flagged.select("doc_id", "sha", "wanted", nth.alias("nth"))
-    flagged = write_table(flagged, "repeat-anchors")
+    once = write_table(once.select("doc_id", "sha", "wanted", nth.alias("nth")), "repeat-anchors")
+    drop_table(flagged)
     release(spark)
 
-    edges = docs.join(flagged, "doc_id").select("doc_id", "text", "sha", "wanted", "nth")
+    edges = docs.join(once, "doc_id").select("doc_id", "text", "sha", "wanted", "nth")
     edges = edges.mapInArrow(_edges(length), "doc_id long, sha string, text string, nth int, pos binary, h binary, link binary")
     edges = write_table(edges, "repeat-texts")
-    drop_table(flagged)
+    drop_table(once)
     release(spark)
 
     each = edges.select("doc_id", "nth", "pos", "h", "link").mapInArrow(_unpack, "doc_id long, place long, h long, link long")
     on = write_table(paths(each).withColumnRenamed("link", "own_link"), "repeat-paths")
     release(spark)
-    after, before = lambda c: F.shiftright(c, 32), lambda c: F.col(c).bitwiseAND(0xFFFFFFFF)
-    stays = (after("link") >= WORD) & (after("link") == after("own_link")) & F.col("ahead")
-    came = (before("link") >= WORD) & (before("link") == before("own_link")) & F.col("behind")
+    inside = (F.col("link") != 0) & (F.col("link") == F.col("own_link")) & F.col("ahead").isNotNull() & F.col("behind").isNotNull()
     occurs = each.select(F.col("h").alias("key"), "doc_id", "place", "link")
-    spans = occurs.join(on, (F.col("key") == F.col("h")) & (F.col("doc_id") > F.col("source")) & ~(stays & came))
-    pos = F.col("place").bitwiseAND((1 << NTH) - 1)
-    event = F.struct(pos.cast("int").alias("pos"), (~came).alias("enters"), (~stays).alias("leaves"), (before("link") == SELF).alias("often"))
+    spans = occurs.join(on, (F.col("key") == F.col("h")) & (F.col("doc_id") > F.col("source")) & ~inside)
+    low = (1 << NTH) - 1
+    flags = F.col("ahead").isNotNull().cast("int") + F.col("behind").isNotNull().cast("int") * 2
+    none = F.lit(0).cast("long")
+    event = F.struct(F.col("place").bitwiseAND(low).alias("pos"), F.col("at").bitwiseAND(low).alias("at"), F.coalesce("ahead", none).alias("ahead"), F.coalesce("behind", none).alias("behind"), flags.alias("flags"))
     spans = spans.select("doc_id", F.shiftright("place", NTH).cast("int").alias("nth"), event.alias("span"))
     spans = spans.groupBy("doc_id", "nth").agg(F.collect_list("span").alias("spans"))
     changed = edges.select("doc_id", "sha", "text", "nth").join(spans, ["doc_id", "nth"]).select("doc_id", "sha", "text", "spans")
@@ -293,7 +320,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     release(spark)
 
     copy = (F.col("doc_id") > F.col("first")) & (F.col("n_words") >= length)
-    out = base.join(first, "sha", "left").join(changed, ["doc_id", "sha"], "left")
+    out = join_split(base, first, "sha").join(changed, ["doc_id", "sha"], "left")
     kept = F.when(copy, F.lit("")).otherwise(F.col("kept"))
     return out.select(
         "doc_id", "n_words", F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),

@@ -62,3 +62,11 @@ def test_odd_rows(make, odd_rows):
 
 def test_empty_table(make):
     assert found(make([]), 50) == []
+
+
+def test_shortest_texts_and_ends(make):
+    """Texts of one edge and a few more, which begin and end where others do."""
+    w = [f"w{i}" for i in range(56)]
+    rows = [(1, " ".join(w)), (2, " ".join(w[:50])), (3, " ".join(w[3:53])), (4, " ".join(["x", *w[2:54], "y"])), (5, " ".join(w[:52])), (6, " ".join(w[6:])), (7, " ".join([*w[:51], *w[:51]]))]
+    key = lambda r: tuple(str(x) for x in r)
+    assert found(make(rows), 50) == sorted(brute(rows, 50), key=key)
