@@ -15,7 +15,7 @@ from array import array
 import numpy as np
 import pyarrow as pa
 
-from .text import _B, U, _SPACE, flat, mix, powers, ranges, slices
+from .text import _B, U, _SPACE, _powers, flat, give_back, mix, powers, ranges, slices
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 CACHE = 300_000  # chunks kept by a worker; when full it starts anew
@@ -44,6 +44,13 @@ def encoder(path: str) -> "Encoder":
     return _open[path]
 
 
+def forget() -> None:
+    """Drop the worker's encoders and tables, where it goes on to other work."""
+    _open.clear()
+    _powers.clear()
+    give_back()
+
+
 def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where chunks begin, for rows of ASCII white space."""
     space = _SPACE[data]

@@ -2,12 +2,14 @@
 
 An id is replaced by its rank in the corpus (the most frequent is 0), so that most ids take one byte.
 A file holds, after a header, the documents' ids and lengths, then the control bytes (two bits an id:
-its bytes less one, four ids a byte) and then all data bytes. The decoder looks the control bytes up in
-a table of 256 rows of four lengths; a running sum gives each id's place, whatever the lengths.
+its bytes less one, four ids a byte, each document from a byte of its own on) and then all data bytes. So a
+document's code is the same in any file, and a file is its documents' codes one after another. The decoder looks
+the control bytes up in a table of 256 rows of four lengths; a running sum gives each id's place, whatever the
+lengths. Files are read in steps of about ``STEP_IDS`` ids.
 
 Defined results: a null or empty text has only the end id; repeated doc_ids follow in the order of their
-codes' bytes; a null doc_id comes first; an empty table gives no files and no rows. A file holds at most
-``FILE_IDS`` ids or one document.
+lengths and codes; a null doc_id comes first; other columns, whatever their names, are not read; an empty table
+gives no files and no rows. A file holds at most ``FILE_IDS`` ids or one document.
 """
 
 from __future__ import annotations
@@ -21,57 +23,74 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from .bpe import encoder
+from .bpe import encoder, forget
 from .shared import drop_table, new_path, partitions, write_table
 from .store import read_file, write_file
-from .text import binary, give_back
-
-MAGIC, HEAD = b"QTOK1\0\0\0", "<8sQQQ"
-FILE_IDS = 1 << 22
-LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) % 4 + 1
-
-
-def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control bytes and data bytes of non-negative 32-bit numbers."""
-    r = ranks.astype("<u4")
-    n = 1 + (r > 0xFF).astype(np.uint8) + (r > 0xFFFF) + (r > 0xFFFFFF)
-    code = np.zeros(-(-len(r) // 4) * 4, np.uint8)
-    code[: len(r)] = n - 1
-    control = code.reshape(-1, 4) @ np.array([1, 4, 16, 64], np.uint8)
-    data = r.view(np.uint8).reshape(-1, 4)[np.arange(4) < n[:, None]]
-    return control.astype(np.uint8).tobytes(), data.tobytes()
-
-
-def unpack(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
-    """The numbers again, by table lookup."""
-    size = LENGTHS[control].reshape(-1)[:n]
-    at = np.cumsum(size) - size
-    padded = np.concatenate([data, np.zeros(4, np.uint8)])
-    out = padded[at].astype(np.uint32)
+from .text import binary, give_back, ranges
+
+MAGIC, HEAD = b"QTOK2\0\0\0", "<8sQQQQ"
+FILE_IDS, STEP_IDS = 1 << 21, 1 << 18
+LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) % 4 + 1).astype(np.uint8)
+
+
+def pack(ranks: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Control bytes and data bytes of documents' non-negative 32-bit numbers, and how many of either a document has."""
+    r = ranks.astype("<u4", copy=False)
+    n = 1 + (r > 0xFF).view(np.uint8) + (r > 0xFFFF).view(np.uint8) + (r > 0xFFFFFF).view(np.uint8)
+    quads = -(-lengths // 4)
+    code = np.zeros(int(quads.sum()) * 4, np.uint8)
+    code[ranges(np.cumsum(quads * 4) - quads * 4, lengths)] = n - 1
+    four = code.reshape(-1, 4)
+    control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
+    upto = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
+    data = r.view(np.uint8).reshape(-1, 4)[np.arange(4, dtype=np.uint8) < n[:, None]]
+    return control, data, quads, np.diff(upto[np.concatenate([[0], np.cumsum(lengths)])])
+
+
+def unpack(control: np.ndarray, data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, int]:
+    """The documents' numbers again, by table lookup, and the data bytes that they took."""
+    quads = -(-lengths // 4)
+    size = LENGTHS[control].reshape(-1)
+    own = ranges(np.cumsum(quads * 4) - quads * 4, lengths)
+    if len(own) < len(size):
+        size = size[own]
+    end = np.cumsum(size, dtype=np.int64)
+    at = end - size
+    out = data[at].astype(np.uint32)
     for i in (1, 2, 3):
-        more = size > i
-        if more.any():
-            out[more] |= padded[at[more] + i].astype(np.uint32) << np.uint32(8 * i)
-    return out
+        more = np.flatnonzero(size > i)
+        if not len(more):
+            break
+        out[more] |= data[at[more] + i].astype(np.uint32) << np.uint32(8 * i)
+    return out, int(end[-1]) if len(end) else 0
 
 
-def file_bytes(doc_ids: list, lengths: np.ndarray, ranks: np.ndarray) -> bytes:
-    control, data = pack(ranks)
+def file_bytes(doc_ids: list, lengths: list, control: list, data: list) -> bytes:
     known = np.array([d is not None for d in doc_ids], np.uint8)
     ids = np.array([d or 0 for d in doc_ids], "<i8")
-    return struct.pack(HEAD, MAGIC, len(doc_ids), len(ranks), len(data)) + known.tobytes() + ids.tobytes() + lengths.astype("<u4").tobytes() + control + data
+    control, data = b"".join(control), b"".join(data)
+    head = struct.pack(HEAD, MAGIC, len(doc_ids), sum(lengths), len(control), len(data))
+    return head + known.tobytes() + ids.tobytes() + np.array(lengths, "<u4").tobytes() + control + data
 
 
-def read_bytes(raw: bytes) -> tuple[list, np.ndarray, np.ndarray]:
-    magic, docs, n, size = struct.unpack_from(HEAD, raw)
+def read_steps(raw: bytes) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """Documents, their lengths and numbers, some documents at a time."""
+    magic, docs, _, n_control, n_data = struct.unpack_from(HEAD, raw)
     if magic != MAGIC:
         raise ValueError("not a token file")
     at, out = struct.calcsize(HEAD), []
-    for kind, count in (("u1", docs), ("<i8", docs), ("<u4", docs), ("u1", -(-n // 4)), ("u1", size)):
+    for kind, count in (("u1", docs), ("<i8", docs), ("<u4", docs), ("u1", n_control), ("u1", n_data)):
         out.append(np.frombuffer(raw, kind, count, at))
         at += out[-1].nbytes
-    ids = [int(d) if k else None for k, d in zip(out[0], out[1], strict=True)]
-    return ids, out[2].astype(np.int64), unpack(out[3], out[4], n)
+    known, ids, lengths, control, data = out
+    lengths = lengths.astype(np.int64)
+    upto, quads = np.cumsum(lengths), np.concatenate([[0], np.cumsum(-(-lengths // 4))])
+    a, taken = 0, 0
+    while a < docs:
+        b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + STEP_IDS, "right")))
+        values, used = unpack(control[quads[a] : quads[b]], data[taken:], lengths[a:b])
+        yield [int(d) if k else None for k, d in zip(known[a:b], ids[a:b], strict=True)], lengths[a:b], values
+        a, taken = b, taken + used
 
 
 def token_table(docs: DataFrame, vocabulary: str, end_id: int | None) -> DataFrame:
@@ -123,33 +142,40 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int | None = Non
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Ranks in the files' code already, so that fewer bytes are shuffled."""
         for batch in batches:
-            coded = [b"".join(pack(rank[np.frombuffer(x.as_py(), store)])) for x in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(coded, pa.binary())], ["doc_id", "n", "coded"])
+            n, raw = batch.column(1).to_numpy(), batch.column(2)
+            first, at = 0, np.cumsum(n)
+            while first < len(n):
+                last = max(first + 1, int(np.searchsorted(at, (at[first - 1] if first else 0) + STEP_IDS, "right")))
+                part = raw.slice(first, last - first)
+                ids = np.frombuffer(b"".join(x.as_py() for x in part), store)
+                control, data, sizes, counts = pack(rank[ids], n[first:last])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), batch.column(1).slice(first, last - first), binary(control, sizes), binary(data, counts)], ["doc_id", "n", "control", "data"])
+                first = last
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, held, ids, lengths, docs_ = 0, 0, [], [], []
+        part, held, docs_, lengths, control, data = 0, 0, [], [], [], []
 
         def flush():
             path = f"{folder}/part-{task:06d}-{part:06d}"
-            write_file(path, file_bytes(docs_, np.array(lengths, np.int64), np.concatenate(ids)))
+            write_file(path, file_bytes(docs_, lengths, control, data))
             return pa.RecordBatch.from_arrays([pa.array([x]) for x in (task, part, path, len(docs_), held)], ["task", "part", "path", "docs", "ids"])
 
         task = TaskContext.get().partitionId()
         for batch in batches:
-            for doc, n, raw in zip(*(batch.column(i) for i in range(3)), strict=True):
-                n = n.as_py()
+            for doc, n, c, d in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if docs_ and held + n > FILE_IDS:
                     yield flush()
-                    part, held, ids, lengths, docs_ = part + 1, 0, [], [], []
-                docs_.append(doc.as_py())
+                    part, held, docs_, lengths, control, data = part + 1, 0, [], [], [], []
+                docs_.append(doc)
                 lengths.append(n)
-                raw, split = np.frombuffer(raw.as_py(), np.uint8), -(-n // 4)
-                ids.append(unpack(raw[:split], raw[split:], n))
+                control.append(c)
+                data.append(d)
                 held += n
         if docs_:
             yield flush()
+        give_back()
 
-    ordered = tokens.mapInArrow(code, "doc_id long, n long, coded binary").repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id", "n", "coded")
+    ordered = tokens.mapInArrow(code, "doc_id long, n long, control binary, data binary").repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id", "n", "control", "data")
     files = sorted(ordered.mapInArrow(write, "task long, part long, path string, docs long, ids long").collect())
     drop_table(tokens)
     out, before = [], 0
@@ -163,20 +189,15 @@ def read_token_files(spark: SparkSession, files: list, ranks: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids`` (unsigned 32-bit little-endian) of every document, from the files."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         by_rank = np.frombuffer(read_file(ranks), "<u4")
         for batch in batches:
-            for path, before in zip(batch.column(0), batch.column(1), strict=True):
-                doc_ids, n, values = read_bytes(read_file(path.as_py()))
-                ids = by_rank[values]
-                start = before.as_py() + np.cumsum(n) - n
-                step, upto = 0, np.concatenate([[0], np.cumsum(n)])
-                while step < len(n):  # a few MB a batch
-                    stop = max(step + 1, int(np.searchsorted(upto, upto[step] + (1 << 20), "right")) - 1)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(doc_ids[step:stop], pa.int64()), pa.array(start[step:stop]), pa.array(n[step:stop]), binary(ids[upto[step] : upto[stop]], n[step:stop])],
-                        ["doc_id", "start", "n_tokens", "ids"],
-                    )
-                    step = stop
+            for path, before in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for doc_ids, n, values in read_steps(read_file(path)):
+                    start = before + np.cumsum(n) - n
+                    yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(start), pa.array(n), binary(by_rank[values], n)], ["doc_id", "start", "n_tokens", "ids"])
+                    before += int(n.sum())
+        give_back()
 
     table = spark.createDataFrame([(f[0], f[1]) for f in files], "path string, before long")
     table = table.repartition(max(1, min(len(files), 4 * spark.sparkContext.defaultParallelism))) if files else table

@@ -116,10 +116,26 @@ def test_shared_passages_share_a_fingerprint():
 
 def test_coded_numbers():
     rng = np.random.default_rng(1)
-    for n in (0, 1, 3, 4, 5, 1000):
-        x = rng.integers(0, 1 << rng.integers(1, 33, n), dtype=np.uint64).astype(np.uint32)
-        control, data = token_files.pack(x)
-        assert (token_files.unpack(np.frombuffer(control, np.uint8), np.frombuffer(data, np.uint8), n) == x).all()
+    for sizes in ([0], [1], [3], [4], [5], [1000], [0, 7, 0, 4, 1, 250], []):
+        n = np.array(sizes, np.int64)
+        x = rng.integers(0, 1 << rng.integers(1, 33, int(n.sum())), dtype=np.uint64).astype(np.uint32)
+        control, data, quads, counts = token_files.pack(x, n)
+        got, used = token_files.unpack(control, data, n)
+        assert (got == x).all() and used == len(data) == counts.sum() and len(control) == quads.sum() == (-(-n // 4)).sum()
+
+
+def test_files_are_read_in_steps(monkeypatch):
+    rng = np.random.default_rng(7)
+    n = np.array([3, 0, 9, 1, 40, 2, 2], np.int64)
+    x = rng.integers(0, 70_000, int(n.sum())).astype(np.uint32)
+    control, data, quads, counts = token_files.pack(x, n)
+    cut = lambda a, sizes: [bytes(p) for p in np.split(a, np.cumsum(sizes)[:-1])]
+    raw = token_files.file_bytes([None, 1, 2, 3, 4, 5, 6], n.tolist(), cut(control, quads), cut(data, counts))
+    for step in (1, 5, 12, 1000):
+        monkeypatch.setattr(token_files, "STEP_IDS", step)
+        steps = list(token_files.read_steps(raw))
+        assert [d for s in steps for d in s[0]] == [None, 1, 2, 3, 4, 5, 6] and np.concatenate([s[2] for s in steps]).tolist() == x.tolist()
+        assert all(len(s[2]) <= step or len(s[0]) == 1 for s in steps)
 
 
 def test_encoder_is_the_library():
