@@ -243,13 +243,3 @@ def _text_metrics(t: Column, words: Column) -> Column:
         long(n, "tokens"), long(F.size(full_lines(t)), "lines"), long(count_of(t, "�"), "replacement_chars"), long(count_of(t, "[ØÙÃÂ]"), "mojibake_chars"),
         F.round(share(one, n), 4).alias("single_ratio"), F.round(share(digit, n), 4).alias("digit_fragment_ratio"),
     )
-
-
-def quality_flags(m: Column, kept_chars: Column) -> Column:
-    """Names of what is wrong with a page, from its metrics and the characters that cleaning kept."""
-    flag = lambda name, when: F.when(when, F.lit(name))
-    return F.array_compact(F.array(
-        flag("empty", m["chars"] == 0), flag("very_short", (m["chars"] > 0) & (m["chars"] < 80)), flag("few_lines", (m["lines"] <= 1) & (m["tokens"] >= 20)),
-        flag("fragmented", m["single_ratio"] > 0.3), flag("digit_heavy", m["digit_fragment_ratio"] > 0.2), flag("replacement", m["replacement_chars"] > 0),
-        flag("mojibake", m["mojibake_chars"] > 20), flag("heavy_cleanup", (m["chars"] > 0) & (kept_chars < m["chars"] * 0.35)),
-    ))

@@ -10,7 +10,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .udfs import nfc, nfkc
+from .udfs import nfkc
 
 # Characters and classes that results must agree on.
 INVISIBLE = "​‌‍‎‏‪‫‬‭‮⁦⁧⁨⁩﻿"
@@ -183,31 +183,8 @@ def naturalness(word: Column) -> Column:
 
 
 def right_way_round(c: Column) -> Column:
-    """Each wholly Arabic word reversed where that looks more natural; words joined by one space."""
-    turn = lambda w: F.when(w.rlike(f"^{ARABIC}+$") & (naturalness(F.reverse(w)) > naturalness(w)), F.reverse(w)).otherwise(w)
-    return F.array_join(F.transform(tokens(c), turn), " ")
-
-
-def upload_text(c: Column) -> Column:
-    """Composed form for upload: no invisible, control or replacement characters, blanks squeezed, at most two
-    blank lines in a row."""
-    c = F.when(c.rlike(r"[^\x00-\x7f]"), nfc(c)).otherwise(c)
-    c = F.translate(unix_lines(c), INVISIBLE + "\ufffd", "")
-    c = F.regexp_replace(F.translate(c, " ", " "), r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", "")
-    c = F.regexp_replace(F.regexp_replace(c, "[ \t]+", " "), " *\n *", "\n")
-    return strip(F.regexp_replace(c, "\n{4,}", "\n\n\n"))
-
-
-def stem(name: Column) -> Column:
-    """A file stem of safe characters, or a hash if none is left."""
-    bare = F.regexp_replace(F.regexp_replace(name, r"\.[^./]*$", ""), r"[^0-9A-Za-z._-]+", "_")
-    bare = F.regexp_replace(bare, "^[_.]+|[_.]+$", "")
-    return F.when(bare == "", F.substring(F.sha1(name), 1, 12)).otherwise(bare)
-
-
-def question_marker(line: Column) -> Column:
-    """A question or answer letter joined to its number, on either side: one spelling for all."""
-    found = F.regexp_extract(strip(line), r"^([سج])\s*[:/-]?\s*(\d+)$", 0)
-    back = F.regexp_extract(strip(line), r"^(\d+)\s*[:/-]?\s*([سج])$", 0)
-    first = F.concat(F.regexp_extract(line, r"([سج])", 1), F.regexp_extract(line, r"(\d+)", 1))
-    return F.when((found != "") | (back != ""), first).otherwise(line)
+    """Presentation forms resolved and each wholly Arabic word reversed where that looks more natural, words joined by one
+    space; a text without Arabic stays as it is."""
+    turn = lambda w: F.when(w.rlike(f"^{ARABIC}+$") & (F.length(w) > 1) & (naturalness(F.reverse(w)) > naturalness(w)), F.reverse(w)).otherwise(w)
+    t = text_of(c)
+    return F.when(t.rlike(ARABIC), F.array_join(F.transform(tokens(presentation_forms(t)), turn), " ")).otherwise(t)

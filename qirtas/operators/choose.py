@@ -26,10 +26,6 @@ def top(candidates: DataFrame, keys: list[str], n: int, **columns: str) -> DataF
     return ranked(candidates, keys, **columns).filter(F.col("rank") <= n)
 
 
-def needs_second_reading(stats: Column, score: Column, arabic: Column) -> Column:
-    return low_quality(stats) | (score < 0) | (arabic < 90) & (stats["token_count"] < 24)
-
-
 def documents_needing_ocr(pages: DataFrame, doc: str, text: str, failed: Column) -> DataFrame:
     """A document is read again if it has no text at all, or a page that is empty or failed."""
     blank = strip(text_of(text)) == ""
@@ -75,13 +71,36 @@ def better_pages(pairs: DataFrame, native: str, recognised: str) -> DataFrame:
     return rows.withColumn("skipped_reason", F.when(F.col("_b") == "", "ocr_empty")).drop("_a", "_b", "_wins")
 
 
-def native_or_similar(native: Column, recognised: Column, enough: float = 0.92) -> Column:
-    """Struct of similarity and the text kept: native if the texts are alike and hold the same numbers."""
+def adjudicated(pairs: DataFrame, native: str, recognised: str, resolved: str | None = None, enough: float = 0.92) -> DataFrame:
+    """Adds ``decision`` (a struct of text, confidence, source, digit_agreement, similarity): a native page text against
+    the recognised one. ``resolved`` is a column that a resolver left, if there is one; it decides where neither text
+    stands alone and they differ. Similarity is asked for only where both have characters."""
     from qirtas.functions.fields import numbers
 
-    s = similarity(text_of(native), text_of(recognised))
-    same = F.array_sort(numbers(native)) == F.array_sort(numbers(recognised))
-    return F.struct(s.alias("similarity"), (s + F.when(same, 0.25).otherwise(0.0)).alias("consensus"), F.when((s >= enough) & same, "native").otherwise("review").alias("decision"))
+    rows = pairs.withColumn("_a", text_of(native)).withColumn("_b", text_of(recognised))
+    both = (F.col("_a") != "") & (F.col("_b") != "") & (F.col("_a") != F.col("_b"))
+    plain, asked = rows.filter(~both), rows.filter(both)
+    plain = plain.withColumn("_s", F.when(F.col("_a") == F.col("_b"), 1.0).otherwise(0.0))
+    rows = plain.unionByName(asked.withColumn("_s", similarity("_a", "_b")).withColumn("_t", similarity("_b", "_a")), allowMissingColumns=True)
+    rows = rows.withColumn("_same", numbers(F.col("_a")) == numbers(F.col("_b"))).withColumn("_t", F.coalesce("_t", "_s"))
+    a, b, s, same = F.col("_a"), F.col("_b"), F.col("_s"), F.col("_same")
+    full_a, full_b = strip(a) != "", strip(b) != ""
+    bonus = F.when(same, 0.25).otherwise(0.0)
+    better = full_b & (F.when(b == "", 0.0).otherwise(F.col("_t") + bonus) > F.when(a == "", 0.0).otherwise(s + bonus))
+    unsure = F.greatest(F.lit(0.4), F.least(F.lit(0.75), s))
+    out = lambda text, confidence, source: F.struct(text.alias("text"), confidence.cast("double").alias("confidence"), F.lit(source).alias("source"), same.alias("digit_agreement"), s.alias("similarity"))
+    found = strip(text_of(resolved)) != "" if resolved else F.lit(False)
+    decision = (
+        F.when(full_a & (a == b), out(a, F.lit(1.0), "native_confirmed_by_ocr")).when(full_a & (s >= enough) & same, out(a, F.greatest(F.lit(0.85), s), "native_confirmed_by_ocr"))
+        .when(~full_a & full_b, out(b, F.lit(0.75), "ocr_only")).when(full_a & ~full_b, out(a, F.lit(0.75), "native_only"))
+        .when(found, out(text_of(resolved) if resolved else a, F.lit(0.8), "page_resolver")).when(better, out(b, unsure, "ocr_preferred")).otherwise(out(a, unsure, "native_preferred"))
+    )
+    return rows.withColumn("decision", decision).drop("_a", "_b", "_s", "_t", "_same")
+
+
+def worth_comparing(native: Column, maybe_arabic: Column) -> Column:
+    """Whether a native page text is read against the recognised one at all."""
+    return (strip(text_of(native)) != "") & F.coalesce(maybe_arabic, F.lit(False))
 
 
 def rescue_trigger(c: Column, area: Column) -> Column:

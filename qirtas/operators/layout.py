@@ -60,23 +60,25 @@ def half(width: Column, height: Column, side: Column, overlap: int = 30) -> Colu
 
 
 def right_to_left(regions: DataFrame, key: str) -> DataFrame:
-    """``reading_order``: columns (regions whose centre lies within a fifth of the page width of a column's mean)
-    from right to left, top to bottom in each. One page's regions at a time."""
+    """``reading_order``: columns from right to left, top to bottom (by centre) in each. Regions are dealt to columns from
+    right to left: to the first column whose mean centre is nearer than a fifth of the page width, else to a new one; ties
+    keep the order of the rows' own ``region`` column where there is one. One page's regions at a time."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in regions.schema.fields) + ", reading_order int"
 
     def order(page: pd.DataFrame) -> pd.DataFrame:
-        near = 0.2 * max(page["x2"].max(), 1)
-        centre = (page["x1"] + page["x2"]) / 2
+        if "region" in page.columns:
+            page = page.sort_values("region", kind="stable")
+        near = 0.2 * page["x2"].max()
+        across, down = (page["x1"] + page["x2"]) / 2, (page["y1"] + page["y2"]) / 2
         columns: list[list[int]] = []
-        for i in centre.sort_values(ascending=False, kind="stable").index:
-            home = min((c for c in columns if abs(centre[c].mean() - centre[i]) <= near), key=lambda c: abs(centre[c].mean() - centre[i]), default=None)
-            if home is None:
+        for i in across.sort_values(ascending=False, kind="stable").index:
+            home = next((c for c in columns if abs(across[i] - sum(across[j] for j in c) / len(c)) < near), None)
+            if home is None or len(page) <= 1:
                 columns.append([i])
             else:
                 home.append(i)
-        columns.sort(key=lambda c: -centre[c].mean())
-        sequence = [i for c in columns for i in sorted(c, key=lambda i: (page.loc[i, "y1"], -page.loc[i, "x2"]))]
-        out = page.loc[sequence].copy()
+        columns.sort(key=lambda c: -sum(across[j] for j in c) / len(c))
+        out = page.loc[[i for c in columns for i in sorted(c, key=lambda j: down[j])]].copy()
         out["reading_order"] = range(len(out))
         return out
 
@@ -116,21 +118,33 @@ def fitted_segments(pages: DataFrame) -> DataFrame:
     return pages.mapInPandas(fit, schema)
 
 
-def column_valley(glyphs: DataFrame, key: str, x: str, bin_width: int = 20, least: int = 50, side: float = 0.15, enough: float = 0.3) -> DataFrame:
-    """Where a page has two columns: the emptiest bin between them. Both sides must hold ``side`` of the characters,
-    and the bin be emptier than the fuller sides by ``enough``."""
-    bins = glyphs.groupBy(key, F.floor(F.col(x) / bin_width).cast("long").alias("bin")).agg(F.count("*").alias("n"))
-    span = bins.groupBy(key).agg(F.min("bin").alias("lo"), F.max("bin").alias("hi"), F.sum("n").alias("total")).filter(F.col("total") >= least)
-    every = span.withColumn("bin", F.explode(F.sequence("lo", "hi"))).join(bins, [key, "bin"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    w = Window.partitionBy(key).orderBy("bin")
-    every = every.withColumn("left", F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("right", F.col("total") - F.col("left") - F.col("n"))
-    mean = (F.col("left") + F.col("right")) / F.greatest(F.col("hi") - F.col("lo"), F.lit(1))
-    scored = every.filter((F.col("left") >= F.col("total") * side) & (F.col("right") >= F.col("total") * side)).withColumn("score", 1 - F.col("n") / F.greatest(mean, F.lit(1e-9)))
-    best = Window.partitionBy(key).orderBy(F.col("score").desc(), "bin")
-    return scored.withColumn("r", F.row_number().over(best)).filter((F.col("r") == 1) & (F.col("score") >= enough)).select(key, ((F.col("bin") + 0.5) * bin_width).alias("boundary"), F.round("score", 6).alias("score"))
+def column_valley(spans: DataFrame, key: str, x: str, units: str, width: str, bin_width: float = 20.0, least: int = 50, side: float = 0.15, enough: float = 0.3) -> DataFrame:
+    """Where a page has two columns, the boundary between them: of the splits in its middle three fifths with ``side`` of
+    the characters on either side, the one that leaves both sides most alike and has the fewest characters in the bins
+    around it. ``units`` counts a span's characters; pages with fewer than ``least`` or no good split are left out."""
+    last = F.floor(F.col(width) / bin_width).cast("long")
+    rows = spans.filter(F.col(width) > 0).select(key, last.alias("last"), F.least(F.floor(F.col(x) / bin_width).cast("long"), last).alias("bin"), F.col(units).cast("long").alias("n"))
+    bins = rows.groupBy(key, "last", "bin").agg(F.sum("n").alias("n"))
+    pages = bins.groupBy(key, "last").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("by")).filter(F.col("total") >= least)
+    at = lambda b: F.coalesce(F.try_element_at("by", b), F.lit(0).cast("long"))
+    start, stop = F.floor((F.col("last") + 1) * 0.2).cast("long"), F.floor((F.col("last") + 1) * 0.8).cast("long")
+    split = pages.filter(stop > start).withColumn("split", F.explode(F.sequence(start, stop - 1)))
+    left = F.aggregate(F.map_entries("by"), F.lit(0).cast("long"), lambda s, e: s + F.when(e["key"] < F.col("split"), e["value"]).otherwise(0))
+    split = split.withColumn("left", left).withColumn("right", F.col("total") - F.col("left"))
+    around = F.when(F.col("split") > 0, at(F.col("split") - 1)).otherwise(0) + at(F.col("split")) + F.when(F.col("split") < F.col("last"), at(F.col("split") + 1)).otherwise(0)
+    score = F.least("left", "right") / F.greatest("left", "right") * (1.0 - around / F.col("total") * 5)
+    good = split.filter((F.col("left") >= F.col("total") * side) & (F.col("right") >= F.col("total") * side)).withColumn("score", score)
+    best = good.groupBy(key).agg(F.max(F.struct("score", (-F.col("split")).alias("s"))).alias("b")).filter((F.col("b.score") > 0) & (F.col("b.score") >= enough))
+    return best.select(key, (F.col("b.s") * -bin_width).alias("boundary"), F.round("b.score", 6).alias("score"))
 
 
 def upper_median(rows: DataFrame, keys: list[str], value: str, default: float) -> DataFrame:
-    """The middle of the positive values, the upper of two."""
-    own = F.array_sort(F.collect_list(F.when(F.col(value) > 0, F.col(value))))
-    return rows.groupBy(*keys).agg(own.alias("v")).select(*keys, F.coalesce(F.try_element_at("v", (F.floor(F.size("v") / 2) + 1).cast("int")), F.lit(default)).alias("upper_median"))
+    """The middle of the positive values, the upper of two: from counts of each value, so that a key of very many rows is
+    no list."""
+    counted = rows.groupBy(*keys, F.col(value).cast("double").alias("v")).agg(F.count("*").alias("n"))
+    own = Window.partitionBy(*keys)
+    good = counted.filter("v > 0").withColumn("upto", F.sum("n").over(own.orderBy("v"))).withColumn("total", F.sum("n").over(own))
+    middle = good.filter(F.col("upto") > F.floor(F.col("total") / 2)).groupBy(*keys).agg(F.min("v").alias("m"))
+    every = counted.select(*keys).distinct()
+    on = [every[k].eqNullSafe(middle[k]) for k in keys]
+    return every.join(middle, on, "left").select(*[every[k] for k in keys], F.coalesce("m", F.lit(default)).alias("upper_median"))

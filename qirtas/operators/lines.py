@@ -1,30 +1,34 @@
-"""Lines of pages: the flat table, noise, scan artifacts, headings, paragraphs."""
+"""Lines of pages: the flat table, scan artifacts, article numbers, cutting to a document."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qirtas.functions.metrics import any_of
-from qirtas.functions.text import full_lines, let, lines, strip, text_of, tokens, unix_lines
+from qirtas.functions.rulesets import is_article_heading
+from qirtas.functions.text import eastern_digits, full_lines, strip, text_of, unix_lines
 
 # Lines that scanners and recognition models leave, with their labels.
 ARTIFACTS = (
     ("no_text_visible", r"(?i)^\(?No text is visible in the provided image\.\)?$"),
     ("no_visible_text_to_extract", r"(?i)^\(?No visible text to extract\)?$"),
-    ("no_visible_printed_text", r"(?i)^\(?No visible printed or handwritten text to extract\.?\)?$"),
-    ("no_legible_text", r"(?i)^There is no visible or legible text in the provided image\.$"),
-    ("image_no_visible_text", r"(?i)^\[The image contains no visible text\.\]$"),
-    ("empty_image", r"(?i)^\(?empty image, no text visible\)?$"),
+    ("no_visible_printed_or_handwritten_text", r"(?i)^\(?No visible printed or handwritten text to extract from the provided image\.\)?$"),
+    ("no_visible_or_legible_text", r"(?i)^There is no visible or legible text in the provided image\.$"),
+    ("image_contains_no_visible_text", r"(?i)^\[The image contains no visible text\.\]$"),
+    ("empty_image_no_text_visible", r"(?i)^\(?empty image, no text visible\)?$"),
     ("camscanner", r"(?i).*CamScanner.*"),
 )
-CHAPTER, MEMO, PREAMBLE, ITEM = r"^(الباب|الفصل|القسم)\s", "^المذكرة", "^(بعد الاطلاع|وبناء على|قررنا|أصدرنا)", r"^(\(?[0-9٠-٩]+\s*[-).]|[أ-ي]\s*[-)]|[-•*])\s*"
 
 
 def line_table(pages: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """A row a non-blank line: keys, its index from 0, the number of such lines on the page, its text."""
-    own = full_lines(text_of(text))
-    return pages.select(*keys, F.size(own).cast("long").alias("total_lines"), F.posexplode(own).alias("line_index", "line")).withColumn("line_index", F.col("line_index").cast("long"))
+    """A row a non-blank line: keys, its index from 0, the number of such lines on the page, its text. The text is
+    split once a page and goes no further than that."""
+    split = pages.select(*keys, full_lines(text_of(text)).alias("_lines"))
+    rows = F.transform("_lines", lambda line, i: F.struct(F.size("_lines").cast("long").alias("total_lines"), i.cast("long").alias("line_index"), line.alias("line")))
+    return split.select(*keys, rows.alias("_lines")).select(*keys, F.inline("_lines"))
 
 
 def artifact_label(line: Column) -> Column:
@@ -34,98 +38,57 @@ def artifact_label(line: Column) -> Column:
     return out
 
 
+def has_artifact(c: Column) -> Column:
+    return any_of(strip(c).rlike(p) for _, p in ARTIFACTS)
+
+
 def without_artifacts(c: Column) -> Column:
     """Struct of the page's text without artifact lines and their labels, one a line removed."""
     own = F.split(unix_lines(text_of(c)), "\n")
-    kept = F.filter(own, lambda x: artifact_label(x).isNull())
+    kept = F.filter(own, lambda x: ~has_artifact(x))
     text = F.array_join(F.transform(kept, lambda x: F.regexp_replace(x, r"(?U)\s+\z", "")), "\n")
     return F.struct(strip(F.regexp_replace(text, "\n{3,}", "\n\n")).alias("text"), F.array_compact(F.transform(own, artifact_label)).alias("labels"))
 
 
-def artifact_counts(pages: DataFrame, page: str, text: str) -> DataFrame:
-    """Of every label, those without a line too: lines removed and the pages they were on."""
+def artifact_counts(pages: DataFrame, page: str, text: str, keys: list[str] | None = None) -> DataFrame:
+    """Of every label, those without a line too: lines removed and the pages they were on (a document's own pages, where
+    ``keys`` names documents)."""
+    keys = keys or []
     spark = pages.sparkSession
     labels = spark.createDataFrame([(i, label) for i, (label, _) in enumerate(ARTIFACTS)], "ord int, label string")
-    rows = pages.select(F.col(page).alias("page"), F.explode(without_artifacts(F.col(text))["labels"]).alias("label"))
-    found = rows.groupBy("label").agg(F.count("*").alias("removed"), F.array_sort(F.collect_set("page")).alias("pages"))
-    return F.broadcast(labels).join(found, "label", "left").select("ord", "label", F.coalesce("removed", F.lit(0)).cast("long").alias("removed"), F.coalesce("pages", F.array().cast("array<long>")).alias("pages"))
-
-
-def is_noise(c: Column) -> Column:
-    """Lines with nothing to read: no letter or digit, hardly any, one character over and over, fragments, scanner marks."""
-    return let(strip(c), lambda t: let(tokens(t), lambda words: _is_noise(t, words)))
-
-
-def _is_noise(t: Column, words: Column) -> Column:
-    n = F.size(words)
-    solid = F.regexp_count(t, F.lit(r"(?U)[\p{L}\d]"))
-    short = F.size(F.filter(words, lambda w: F.length(w) == 1))
-    return (
-        (t == "") | (solid == 0) | (solid / F.greatest(F.length(t), F.lit(1)) < 0.3) | (F.length(t) <= 2) & ~t.rlike(r"(?U)\d")
-        | (n >= 4) & (short / F.greatest(n, F.lit(1)) > 0.6) | F.lower(t).contains("camscanner") | F.lower(t).startswith("scanned with")
-    )
-
-
-def is_article_heading(c: Column) -> Column:
-    """The word for an article with a number or its ordinal letter, and nothing else."""
-    compact = F.regexp_replace(strip(c), r"(?U)\s", "")
-    letters = F.regexp_replace(F.regexp_replace(compact, "مادة", ""), r"(?U)[^\p{L}]", "")
-    return compact.contains("مادة") & (F.length(compact) <= 24) & letters.isin("", "ه", "م", "ال")
-
-
-def is_heading(c: Column) -> Column:
-    t = strip(c)
-    return is_article_heading(t) | t.rlike(CHAPTER) | t.rlike(MEMO)
-
-
-def is_item(c: Column) -> Column:
-    return strip(c).rlike(ITEM)
+    rows = pages.select(*keys, F.col(page).cast("long").alias("page"), F.explode(without_artifacts(F.col(text))["labels"]).alias("label"))
+    found = rows.groupBy(*keys, "label", "page").agg(F.count("*").alias("n")).groupBy(*keys, "label").agg(F.sum("n").alias("removed"), F.array_sort(F.collect_list("page")).alias("pages"))
+    every = pages.select(*keys).distinct().crossJoin(F.broadcast(labels)) if keys else labels
+    out = every.join(found, [*keys, "label"], "left")
+    return out.select(*keys, "ord", "label", F.coalesce("removed", F.lit(0)).cast("long").alias("removed"), F.coalesce("pages", F.array().cast("array<long>")).alias("pages"))
 
 
-def is_year(c: Column) -> Column:
-    return c.rlike("^(19|20)[0-9]{2}$")
-
-
-def renumbered(rows: DataFrame, doc: str, first_page: int, heading: Column) -> DataFrame:
-    """Headings from ``first_page`` on get their running number within the document (``number``), others null."""
+def renumbered(rows: DataFrame, doc: str, first_page: int = 8, line: str = "line") -> DataFrame:
+    """Article headings from ``first_page`` on get their running number within the document (``number``) and are written
+    anew with it; other lines stay, their number null. One running sum a document."""
     order = Window.partitionBy(doc).orderBy("page", "line_index").rowsBetween(Window.unboundedPreceding, 0)
-    on = heading & (F.col("page") >= first_page)
-    return rows.withColumn("number", F.when(on, F.sum(on.cast("long")).over(order)))
-
-
-def paragraphs(own: Column, limit: int = 90) -> Column:
-    """Lines joined to the paragraph so far while that neither ends a sentence nor has more than ``limit``
-    characters and the line opens nothing new; noise ends a paragraph. The length counts what has been joined."""
-    empty = F.array().cast("array<string>")
-    start = F.struct(empty.alias("done"), F.lit("").alias("open"))
-
-    def step(state: Column, line: Column) -> Column:
-        t = strip(line)
-        closed = F.when(state["open"] == "", state["done"]).otherwise(F.concat(state["done"], F.array(state["open"])))
-        opens = is_heading(t) | is_item(t) | t.rlike(PREAMBLE)
-        ends = state["open"].rlike("[.:!?؟]$") | is_heading(state["open"]) | (F.length(state["open"]) > limit)
-        join = (state["open"] != "") & ~opens & ~ends
-        return (
-            F.when(is_noise(t), F.struct(closed.alias("done"), F.lit("").alias("open")))
-            .when(join, F.struct(state["done"].alias("done"), F.concat_ws(" ", state["open"], t).alias("open")))
-            .otherwise(F.struct(closed.alias("done"), t.alias("open")))
-        )
-
-    return F.aggregate(own, start, step, lambda s: F.when(s["open"] == "", s["done"]).otherwise(F.concat(s["done"], F.array(s["open"]))))
-
-
-def reflowed(c: Column) -> Column:
-    return F.array_join(paragraphs(lines(text_of(c))), "\n\n")
-
-
-def cut_to_document(c: Column, starts: list[str], ends: list[str]) -> Column:
-    """Text from the earliest start pattern to the end of the first end pattern after it; either may be absent."""
-    t = text_of(c)
-    at = F.least(*[F.when(F.regexp_instr(t, F.lit(p)) > 0, F.regexp_instr(t, F.lit(p))) for p in [*starts, starts[0]]])
-    t = F.when(at.isNull(), t).otherwise(t.substr(F.coalesce(at, F.lit(1)), F.length(t)))
-    end = F.least(*[F.when(F.regexp_instr(t, F.lit(p)) > 0, F.regexp_instr(t, F.lit(p)) + F.length(F.regexp_substr(t, F.lit(p))) - 1) for p in [*ends, ends[0]]])
-    return F.when(end.isNull(), t).otherwise(t.substr(F.lit(1), F.coalesce(end, F.length(t))))
-
-
-def has_artifact(c: Column) -> Column:
-    return any_of(strip(c).rlike(p) for _, p in ARTIFACTS)
+    rows = rows.withColumn("_on", is_article_heading(F.col(line)) & (F.col("page") >= first_page))
+    rows = rows.withColumn("number", F.when(F.col("_on"), F.sum(F.col("_on").cast("long")).over(order)))
+    anew = F.concat(F.lit("مادة ("), eastern_digits(F.col("number")), F.lit(")"))
+    return rows.withColumn(line, F.when(F.col("_on"), anew).otherwise(F.col(line))).drop("_on")
+
+
+def _found(t: Column, pattern: str) -> Column:
+    """Place of the first match, from 1; null without one."""
+    return F.when(t.rlike(pattern), F.regexp_instr(t, F.lit(pattern)))
+
+
+def cut_to_document(c: Column, starts: Iterable[str] = (), ends: Iterable[str] = ()) -> Column:
+    """Struct of a text cut to its document and notes. It begins at the earliest match of a start pattern, and ends
+    before the match of the first end pattern that occurs after that; what does not occur cuts nothing."""
+    t, starts, ends = text_of(c), list(starts), list(ends)
+    hits = F.array_compact(F.array(*[F.when(_found(t, p).isNotNull(), F.struct(_found(t, p).alias("at"), F.lit(i).alias("i"), F.lit(p).alias("p"))) for i, p in enumerate(starts)]))
+    first = F.array_min(hits) if starts else F.lit(None).cast("struct<at:int,i:int,p:string>")
+    cut = F.when(first["at"] > 1, t.substr(first["at"], F.length(t))).otherwise(t)
+    notes = F.when(first["at"] > 1, F.array(F.concat(F.lit("trimmed_before_start_pattern:"), first["p"]))).otherwise(F.array().cast("array<string>"))
+    text, note = cut, F.lit(None).cast("string")
+    for p in reversed(ends):
+        at = _found(cut, p)
+        text = F.when(at.isNotNull(), F.when(at > 1, cut.substr(F.lit(1), at - 1)).otherwise(F.lit(""))).otherwise(text)
+        note = F.when(at.isNotNull(), F.lit(f"trimmed_after_end_pattern:{p}")).otherwise(note)
+    return F.struct(strip(text).alias("text"), F.concat(notes, F.array_compact(F.array(note))).alias("notes"))

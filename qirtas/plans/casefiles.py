@@ -21,26 +21,42 @@ def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ranges(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Ranges that user turns open: from their page, of a length that varies, some reversed; and the bundles' sizes."""
+    """Ranges that user turns open: from their page, of a length that varies, some reversed, their fields made from the
+    turn; and the bundles, with their sizes."""
     t = turns(spark, sf_dir)
     size = (F.length("text") % 3).cast("int")
-    start, end = F.col("page"), F.col("page") + size
+    start, end, page = F.col("page"), F.col("page") + size, F.col("page").cast("string")
     flip = F.length("text") % 5 == 0
-    entries = t.filter("role = 'user'").select("conv_id", F.when(flip, end).otherwise(start).alias("page_start"), F.when(flip, start).otherwise(end).alias("page_end"), F.concat(F.lit("user "), F.col("page").cast("string")).alias("label"))
-    return entries, t.groupBy("conv_id").agg(F.max("page").alias("page_total"))
+    words = F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))
+    first = F.regexp_extract("text", "([A-Za-z]+)", 1)
+    entries = t.filter("role = 'user'").select(
+        "conv_id", F.col("page").alias("ord"), F.when(flip, end).otherwise(start).alias("page_start"), F.when(flip, start).otherwise(end).alias("page_end"), F.concat(F.lit("user "), page).alias("label"),
+        F.when(F.col("page") % 2 == 0, "turn").alias("document_type"), F.array_join(F.slice(words, 1, 4), " ").alias("summary"), F.when(F.length("text") % 2 == 1, "read twice").alias("defense_relevance"),
+        F.slice(words, 1, 3).alias("topics"), F.when(F.col("page") % 3 == 0, F.array(F.concat(F.lit("check "), page))).alias("ocr_watchlist"),
+        F.array(F.struct(F.lit("user").alias("name"), first.alias("role"))).alias("people"), F.array(F.struct(F.lit("").alias("date"), first.alias("event"))).alias("date_events"),
+    )
+    notes = F.array(F.lit("made from turns"))
+    bundles = t.groupBy("conv_id").agg(F.max("page").alias("page_total")).select(
+        "conv_id", "page_total", F.concat(F.lit("bundle "), F.col("conv_id").cast("string")).alias("source_pdf"), F.lit("A conversation.").alias("bundle_description"), notes.alias("bundle_notes"), F.array(F.lit("check 3")).alias("global_ocr_watchlist")
+    )
+    return entries, bundles
 
 
 T = "t as (select conv_id, (turn + 1)::int as page, role, coalesce(text, '') as text from conversations)"
-COVER = f"""{T}, b as (select conv_id, max(page) as total from t group by conv_id), e as (select conv_id, page as s, page + length(text) % 3 as f, 'user ' || page::varchar as label from t where role = 'user'),
- c as (select e.*, total, least(s, total) as a, least(f, total) as z from e join b using (conv_id)), r as (select *, coalesce(max(z) over (partition by conv_id order by s, f, label rows between unbounded preceding and 1 preceding), 0) + 1 as nxt from c),
- k as (select conv_id, greatest(a, nxt) as ps, z as pe, label, nxt from r where z >= nxt), every as (select conv_id, ps, pe, label from k union all select conv_id, nxt, ps - 1, 'Unclassified pages' from k where ps > nxt
- union all select b.conv_id, coalesce(m, 0) + 1, total, 'Unclassified pages' from b left join (select conv_id, max(pe) as m from k group by conv_id) using (conv_id) where coalesce(m, 0) + 1 <= total),
- cover as (select conv_id, 'doc-' || lpad(row_number() over (partition by conv_id order by ps)::varchar, 3, '0') as id, label, ps::int as page_start, pe::int as page_end from every)"""
+W = "regexp_extract_all(text, '[A-Za-z]+')"
+UNKNOWN = ", ".join("'" + casefile.FILLER[k] + "'" for k in ("label", "document_type", "summary", "defense_relevance")) + f", []::varchar[], ['{casefile.FILLER_WATCH}'], ''"
+COVER = f"""{T}, b as (select conv_id, max(page) as total from t group by conv_id), e as (select conv_id, page as s, page + length(text) % 3 as f, page as ord, 'user ' || page::varchar as label, case when page % 2 = 0 then 'turn' else 'unknown' end as kind,
+ array_to_string({W}[1:4], ' ') as summary, case when length(text) % 2 = 1 then 'read twice' else '' end as relevance, list_filter({W}[1:3], lambda x, i: list_position({W}[1:3], x) = i) as topics, case when page % 3 = 0 then ['check ' || page::varchar] else [] end as watch, regexp_extract(text, '([A-Za-z]+)', 1) as word from t where role = 'user'),
+ c as (select e.*, total, least(s, total) as a, least(f, total) as z from e join b using (conv_id)), r as (select *, coalesce(max(z) over (partition by conv_id order by s, f, ord rows between unbounded preceding and 1 preceding), 0) + 1 as nxt from c),
+ k as (select *, greatest(a, nxt) as ps from r where z >= nxt), every as (select conv_id, ps, z as pe, label, kind, summary, relevance, topics, watch, word from k union all select conv_id, nxt, ps - 1, {UNKNOWN} from k where ps > nxt
+ union all select b.conv_id, coalesce(m, 0) + 1, total, {UNKNOWN} from b left join (select conv_id, max(z) as m from k group by conv_id) using (conv_id) where coalesce(m, 0) + 1 <= total),
+ cover as (select conv_id, row_number() over (partition by conv_id order by ps) as number, 'doc-' || lpad(row_number() over (partition by conv_id order by ps)::varchar, 3, '0') as id, ps::int as page_start, pe::int as page_end, * exclude (conv_id, ps, pe) from every)"""
 
 
-@register(QUERIES, ORACLES, f"with {COVER} select * from cover")
+@register(QUERIES, ORACLES, f"with {COVER} select conv_id, id, label, page_start, page_end, kind as document_type, summary, relevance as defense_relevance, array_to_string(topics, '|') as topics, array_to_string(watch, '|') as ocr_watchlist from cover")
 def case_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return casefile.coverage(*ranges(spark, sf_dir), "conv_id")
+    cover = casefile.coverage(*ranges(spark, sf_dir), "conv_id")
+    return cover.select("conv_id", "id", "label", "page_start", "page_end", "document_type", "summary", "defense_relevance", F.array_join("topics", "|").alias("topics"), F.array_join("ocr_watchlist", "|").alias("ocr_watchlist"))
 
 
 @register(QUERIES, ORACLES, f"with {COVER} select cover.conv_id, id, t.page, length(t.text)::bigint as chars from cover join t on t.conv_id = cover.conv_id and t.page between page_start and page_end")
@@ -66,16 +82,22 @@ def topics_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return casefile.unique_in_order(t, "conv_id", "page", "topics")
 
 
-SEGMENTS = f"""with recursive {T}, n as (select conv_id, page, length(text) as size, row_number() over (partition by conv_id order by page) as i from t),
- g as (select conv_id, i, page as page_start, page as page_end, 1 as pages, size as chars, 0 as segment from n where i = 1
- union all select n.conv_id, n.i, case when g.pages >= 2 or g.chars + n.size + 2 > 3000 then n.page else g.page_start end, n.page, case when g.pages >= 2 or g.chars + n.size + 2 > 3000 then 1 else g.pages + 1 end,
-  case when g.pages >= 2 or g.chars + n.size + 2 > 3000 then n.size else g.chars + n.size + 2 end, case when g.pages >= 2 or g.chars + n.size + 2 > 3000 then g.segment + 1 else g.segment end from g join n on n.conv_id = g.conv_id and n.i = g.i + 1)
- select conv_id, segment::bigint as segment, min(page_start)::bigint as page_start, max(page_end)::bigint as page_end, max(pages)::bigint as pages, max(chars)::bigint as chars from g group by conv_id, segment"""
+TIDY = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '[ \t\x0b\f]+', ' ', 'g'), '[ \t]+\n', chr(10), 'g'), '\n\n\n+', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g')"
+NL = "chr(10) || chr(10)"
+FULL = "g.pages >= 2 or g.chars + n.size + 2 > 3000"
+SEGMENTS = f"""with recursive {COVER}, x as (select c.conv_id, c.id, t.page, rtrim('### Page ' || t.page::varchar || {NL} || {TIDY}, chr(10)) as body from cover c join t on t.conv_id = c.conv_id and t.page between page_start and page_end),
+ n as (select conv_id, id, page, body, length(body) as size, row_number() over (partition by conv_id, id order by page) as i from x),
+ g as (select conv_id, id, i, page, 1 as pages, size as chars, 0 as segment from n where i = 1
+ union all select n.conv_id, n.id, n.i, n.page, case when {FULL} then 1 else g.pages + 1 end, case when {FULL} then n.size else g.chars + n.size + 2 end, case when {FULL} then g.segment + 1 else g.segment end from g join n on n.conv_id = g.conv_id and n.id = g.id and n.i = g.i + 1)
+ select g.conv_id, g.id, segment::bigint as segment, min(g.page)::bigint as page_start, max(g.page)::bigint as page_end, sha256(string_agg(body, {NL} order by g.page)) as text_sha256 from g join n on n.conv_id = g.conv_id and n.id = g.id and n.i = g.i group by g.conv_id, g.id, segment"""
 
 
 @register(QUERIES, ORACLES, SEGMENTS)
 def review_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return casefile.review_segments(turns(spark, sf_dir), "conv_id", "page", "text")
+    cover = casefile.coverage(*ranges(spark, sf_dir), "conv_id")
+    own = casefile.pages_of(cover, turns(spark, sf_dir), "conv_id")
+    out = casefile.review_segments(own, ["conv_id", "id"], "page", "text")
+    return out.select("conv_id", "id", "segment", "page_start", "page_end", F.sha2("raw_text", 256).alias("text_sha256"))
 
 
 @register(QUERIES, ORACLES, f"with {COVER} select conv_id, id from cover where not exists (select 1 from t where t.conv_id = cover.conv_id and t.page = cover.page_start and t.role = 'user')")
@@ -93,36 +115,94 @@ def resume_done(spark: SparkSession, sf_dir: str) -> DataFrame:
     return casefile.finished(cover, done, ["conv_id", "page_start"]).select("conv_id", "id")
 
 
-TIDY = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '[ \t\x0b\f]+', ' ', 'g'), '[ \t]+\n', chr(10), 'g'), '\n\n\n+', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g')"
-NL = "chr(10) || chr(10)"
-CONTEXT = f"""with {COVER}, x as (select conv_id, page, case when {TIDY} = '' then '_No text extracted._' else {TIDY} end as body from t),
- d as (select c.conv_id, id, label, page_start, page_end, string_agg('### Page ' || page::varchar || {NL} || body, {NL} order by page) as pages from cover c join x on x.conv_id = c.conv_id and x.page between page_start and page_end group by all),
- h as (select conv_id, count(*) as n, string_agg('- ' || label || ' (pages ' || page_start::varchar || '-' || page_end::varchar || ')', chr(10) order by page_start) as items from cover group by conv_id),
- dd as (select conv_id, string_agg('## ' || id || ' - ' || label || {NL} || 'Pages: ' || page_start::varchar || '-' || page_end::varchar || {NL} || pages, {NL} order by page_start) as docs from d group by conv_id)
- select conv_id, sha256('# Case File Bundle' || {NL} || 'Logical documents: ' || n::varchar || {NL} || '## Document Inventory' || {NL} || items || {NL} || docs) as rendered_sha256 from h join dd using (conv_id)"""
+def lines_sql(*parts: str) -> str:
+    return "concat_ws(chr(10), " + ", ".join(parts) + ")"
+
+
+def tail(t: str) -> str:
+    return rf"regexp_replace({t}, '^\s+|\s+$', '', 'g')"
+
+
+SPAN = "page_start::varchar || '-' || page_end::varchar"
+HEADING = "'## Document ' || lpad(number::varchar, 2, '0') || ' - ' || label"
+LOW = "case when label = '" + casefile.FILLER["label"] + "' then 'low' else 'low' end"
+PEOPLE_SQL = "case when word <> '' then 'People: user (' || word || ')' when label like 'user %' then 'People: user' end"
+PAGES_SQL = f"x as (select conv_id, page, case when {TIDY} = '' then '_No text extracted._' else {TIDY} end as body from t), pg as (select c.conv_id, number, string_agg({lines_sql(chr(39) * 2, chr(39) + '### Page ' + chr(39) + ' || page::varchar', chr(39) * 2, 'body')}, chr(10) order by page) as pages from cover c join x on x.conv_id = c.conv_id and x.page between page_start and page_end group by 1, 2)"
+CONTEXT = f"""with {COVER}, {PAGES_SQL}, i as (select conv_id, count(*) as n, string_agg(number::varchar || '. ' || label || ' (pages ' || {SPAN} || '; type: ' || kind || '; confidence: low)' || chr(10) || '   ' || case when summary = '' then 'No summary available.' else summary end, chr(10) order by number) as items from cover group by 1),
+ d as (select c.conv_id, string_agg({lines_sql("''", HEADING, "''", f"'Pages: ' || {SPAN}", "'Type: ' || kind", "'Confidence: low'", "'Language: unknown'", "case when summary <> '' then 'Summary: ' || summary end", "case when relevance <> '' then 'Defense relevance: ' || relevance end", "case when len(topics) > 0 then 'Topics: ' || array_to_string(topics, ', ') end", PEOPLE_SQL, "case when len(watch) > 0 then 'OCR watchlist: ' || array_to_string(watch, '; ') end", "pages")}, chr(10) order by number) as docs from cover c join pg using (conv_id, number) group by 1)
+ select conv_id, sha256({tail(lines_sql("'# Case File Bundle'", "''", "'Source PDF: bundle ' || conv_id::varchar", "'Total pages: ' || total::varchar", "'Logical documents: ' || n::varchar", "''", "'A conversation.'", "''", "'## Bundle Notes'", "''", "'- made from turns'", "''", "'## Document Inventory'", "''", "items", "docs"))}) as rendered_sha256 from i join d using (conv_id) join b using (conv_id)"""
 
 
 @register(QUERIES, ORACLES, CONTEXT)
 def bundle_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cover = casefile.coverage(*ranges(spark, sf_dir), "conv_id")
-    return render.bundle_context(cover, turns(spark, sf_dir), "conv_id", "page", "text").select("conv_id", F.sha2("rendered", 256).alias("rendered_sha256"))
+    entries, bundles = ranges(spark, sf_dir)
+    cover = casefile.coverage(entries, bundles, "conv_id")
+    return render.bundle_context(cover, turns(spark, sf_dir), bundles, "conv_id", "page", "text").select("conv_id", F.sha2("rendered", 256).alias("rendered_sha256"))
 
 
-@register(QUERIES, ORACLES)
+def some(title: str, body: str) -> str:
+    return f"case when {body} is not null and {body} <> '' then {lines_sql(chr(39) * 2, chr(39) + '## ' + title + chr(39), chr(39) * 2, body)} end"
+
+
+PACKET = f"""with {COVER}, m as (select conv_id, string_agg({lines_sql(f"'- Pages ' || {SPAN} || ': ' || label || ' [' || kind || ']'", "case when summary <> '' then '  Summary: ' || summary end", "case when relevance <> '' then '  Defense relevance: ' || relevance end")}, chr(10) order by number) as docs, count(*) as n,
+ string_agg(case when relevance <> '' then '- Pages ' || {SPAN} || ' (' || label || '): ' || relevance end, chr(10) order by number) as points, string_agg(case when word <> '' then '- Undated: ' || word || ' (Document ' || id || ', pages ' || {SPAN} || ')' end, chr(10) order by number) as events from cover group by 1),
+ w as (select conv_id, string_agg('- ' || v, chr(10) order by met) as topics from (select conv_id, v, min(number * 10 + pos) as met from (select conv_id, number, unnest(topics) as v, unnest(range(0, len(topics))) as pos from cover) group by 1, 2) group by 1),
+ q as (select conv_id, string_agg('- ' || v, chr(10) order by met) as watch from (select conv_id, v, min(met) as met from (select conv_id, number as met, unnest(watch) as v from cover union all select conv_id, 0, 'check 3' from b) group by 1, 2) group by 1),
+ p as (select conv_id, string_agg(nullif(v, ''), ', ' order by met) as roles from (select conv_id, word as v, min(number) as met from cover where label like 'user %' group by 1, 2) group by 1)
+ select conv_id, sha256({tail(lines_sql("'# Defense Workbench'", "''", "'" + render.PACKET_INTRO + "'", "''", "'## Bundle Snapshot'", "''", "'- Source PDF: bundle ' || conv_id::varchar", "'- Total pages: ' || total::varchar", "'- Logical documents inferred: ' || n::varchar", "'- Bundle description: A conversation.'", "''", "'## Document Map'", "''", "docs", some("People and Roles", "(case when p.conv_id is not null then '- user' || coalesce(': ' || roles, '') end)"), some("Chronology", "events"), some("Topics", "topics"), "''", "'## Defense-Relevant Review Points'", "''", "points", some("OCR / Verification Watchlist", "watch")))}) as rendered_sha256
+ from m join b using (conv_id) left join w using (conv_id) left join q using (conv_id) left join p using (conv_id)"""
+
+
+@register(QUERIES, ORACLES, PACKET)
 def case_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cover = casefile.coverage(*ranges(spark, sf_dir), "conv_id")
-    t = turns(spark, sf_dir).withColumn("first_word", F.regexp_extract("text", "([A-Za-z]+)", 1)).withColumn("topics", F.slice(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0)), 1, 3))
-    people = casefile.people_roles(t, "conv_id", "page", "role", "first_word")
-    dated = t.select("conv_id", F.col("page").alias("page_start"), F.col("page").alias("page_end"), F.array(F.struct(F.lit("").alias("date"), F.col("first_word").alias("event"))).alias("events"))
-    out = render.case_packet(cover, people, casefile.date_events(dated, "conv_id", "events"), casefile.unique_in_order(t, "conv_id", "page", "topics"), "conv_id")
-    return out.select("conv_id", F.length("rendered").cast("long").alias("chars"), F.sha2("rendered", 256).alias("rendered_sha256"))
+    entries, bundles = ranges(spark, sf_dir)
+    return render.case_packet(casefile.coverage(entries, bundles, "conv_id"), bundles, "conv_id").select("conv_id", F.sha2("rendered", 256).alias("rendered_sha256"))
+
+
+GROUPED = f"""with {COVER}, {PAGES_SQL.replace("_No text extracted._", "(No retained text after local cleanup)")}, d as (select c.conv_id, count(*) as n, string_agg({lines_sql("''", HEADING, "''", f"'Pages: ' || {SPAN}", "'Type: ' || kind", "'Confidence: low'", "'Summary: ' || summary", "'Defense relevance: ' || relevance", "case when len(watch) > 0 then 'OCR watchlist:' || chr(10) || '- ' || array_to_string(watch, chr(10) || '- ') end", "pages")}, chr(10) order by number) as docs from cover c join pg using (conv_id, number) group by 1)
+ select conv_id, sha256({tail(lines_sql("'# Grouped Case File Bundle'", "''", "'" + render.GROUPED_INTRO + "'", "''", "'Source PDF: bundle ' || conv_id::varchar", "'Total pages: ' || total::varchar", "'Logical documents: ' || n::varchar", "docs"))}) as rendered_sha256 from d join b using (conv_id)"""
+
+
+@register(QUERIES, ORACLES, GROUPED)
+def bundle_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries, bundles = ranges(spark, sf_dir)
+    pages = turns(spark, sf_dir).withColumn("text", text.normalise_llm("text"))
+    return render.grouped_context(casefile.coverage(entries, bundles, "conv_id"), pages, bundles, "conv_id", "page", "text").select("conv_id", F.sha2("rendered", 256).alias("rendered_sha256"))
+
+
+INDEX = f"""with {COVER}, d as (select conv_id, count(*) as n, string_agg({lines_sql("''", f"'- Pages ' || {SPAN} || ': ' || label || ' [' || kind || ']'", "'  Summary: ' || summary", "'  Defense relevance: ' || relevance", "case when len(watch) > 0 then '  OCR watchlist:' || chr(10) || '  - ' || array_to_string(watch, chr(10) || '  - ') end")}, chr(10) order by number) as docs from cover group by 1)
+ select conv_id, sha256({tail(lines_sql("'# Manual Case Index'", "''", "'" + render.INDEX_INTRO + "'", "''", "'## Bundle Snapshot'", "''", "'- Source PDF: bundle ' || conv_id::varchar", "'- Total pages: ' || total::varchar", "'- Logical documents: ' || n::varchar", "'- Bundle description: A conversation.'", "''", "'## Document Map'", "docs", "''", "'## Bundle Notes'", "''", "'- made from turns'", "''", "'## Global OCR Watchlist'", "''", "'- check 3'"))}) as rendered_sha256 from d join b using (conv_id)"""
+
+
+@register(QUERIES, ORACLES, INDEX)
+def bundle_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries, bundles = ranges(spark, sf_dir)
+    return render.case_index(casefile.coverage(entries, bundles, "conv_id"), bundles, "conv_id").select("conv_id", F.sha2("rendered", 256).alias("rendered_sha256"))
+
+
+REVIEWED = f"""with {COVER}, {PAGES_SQL}, d as (select c.conv_id, count(*) as n, string_agg({lines_sql("''", HEADING, "''", f"'Pages: ' || {SPAN}", "'Type: ' || kind", "case when summary <> '' then 'Summary: ' || summary end", "''", tail("pages"))}, chr(10) order by number) as docs,
+ string_agg({lines_sql("''", HEADING, "''", "case when len(watch) > 0 then '- ' || array_to_string(watch, chr(10) || '- ') else '" + render.NO_DOUBTS + "' end")}, chr(10) order by number) as notes from cover c join pg using (conv_id, number) group by 1)
+ select conv_id, sha256({tail(lines_sql("'# Reviewed Case File Bundle'", "''", "'Source PDF: bundle ' || conv_id::varchar", "'Total pages: ' || total::varchar", "'Logical documents: ' || n::varchar", "''", "'" + render.REVIEWED_INTRO + "'", "docs"))}) as context_sha256, sha256({tail(lines_sql("'# Review Notes'", "''", "'" + render.NOTES_INTRO + "'", "''", "'## Bundle-Level OCR Risks'", "''", "'- check 3'", "notes"))}) as notes_sha256 from d join b using (conv_id)"""
+
+
+@register(QUERIES, ORACLES, REVIEWED)
+def reviewed_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As if the pages came back from review as they are, the watchlist left open."""
+    entries, bundles = ranges(spark, sf_dir)
+    cover = casefile.coverage(entries, bundles, "conv_id")
+    body = text.normalise_llm("text")
+    pages = turns(spark, sf_dir).withColumn("b", body).withColumn("b", F.when(F.col("b") == "", render.NO_TEXT).otherwise(F.col("b")))
+    part = F.concat(F.lit("### Page "), F.col("page").cast("string"), F.lit("\n\n"), F.col("b"))
+    own = casefile.pages_of(cover.select("conv_id", "number", "page_start", "page_end"), pages, "conv_id").groupBy("conv_id", "number").agg(render.ordered(part, F.col("page"), "\n\n").alias("cleaned_text"))
+    reviewed = cover.join(own, ["conv_id", "number"]).withColumnRenamed("ocr_watchlist", "uncertainties")
+    context = render.reviewed_context(reviewed, bundles, "conv_id").select("conv_id", F.sha2("rendered", 256).alias("context_sha256"))
+    return context.join(render.review_notes(reviewed, bundles, "conv_id").select("conv_id", F.sha2("rendered", 256).alias("notes_sha256")), "conv_id")
 
 
 @register(QUERIES, ORACLES, f"with {T} select conv_id, to_json(struct_pack(source := conv_id, pages := list(struct_pack(page := page, role := role, chars := length(text)) order by page)))::varchar as json from t group by conv_id")
 def bundle_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    page = F.struct("page", "role", F.length("text").alias("chars"))
-    listed = turns(spark, sf_dir).groupBy("conv_id").agg(F.array_sort(F.collect_list(page)).alias("pages"))
-    return listed.select("conv_id", F.to_json(F.struct(F.col("conv_id").alias("source"), "pages")).alias("json"))
+    pages = turns(spark, sf_dir).withColumn("chars", F.length("text"))
+    return render.to_pages_json(pages, "conv_id", ("page", "role", "chars"))
 
 
 MASK = "c as (select doc_id, unnest(range(0, len(ls))) as i, unnest(ls) <> '' as on_ from (select doc_id, string_split(text, chr(10)) as ls from documents))"
@@ -158,7 +238,24 @@ def kept_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(QUERIES, ORACLES)
 def reading_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout.right_to_left(boxes(spark, sf_dir), "c_nationkey").select("c_nationkey", "c_custkey", "reading_order")
+    """Pages of at most forty regions."""
+    b = boxes(spark, sf_dir).withColumn("sheet", F.floor(F.col("c_custkey") / 40)).withColumn("region", F.col("c_custkey"))
+    return layout.right_to_left(b, "sheet").select("sheet", "c_custkey", "reading_order")
+
+
+VALLEY = """with s as (select o_custkey as page, ((o_orderkey * 131) % 600)::double as x, (o_orderkey % 9 + 1) * 10 as n from orders), c as (select page, least(floor(x / 20)::bigint, 30) as bin, sum(n) as n from s group by 1, 2),
+ t as (select page, sum(n) as total from c group by 1 having sum(n) >= 50), p as (select page, total, unnest(range(6, 24)) as split from t),
+ q as (select p.page, total, split, coalesce(sum(n) filter (where bin < split), 0) as l, coalesce(sum(n) filter (where bin between split - 1 and split + 1), 0) as v from p join c using (page) group by 1, 2, 3),
+ z as (select *, least(l, total - l)::double / greatest(l, total - l) * (1.0 - v::double / total * 5) as score from q where l >= total * 0.15 and total - l >= total * 0.15), r as (select *, row_number() over (partition by page order by score desc, split) as r from z)
+ select page, split * 20.0::double as boundary, round(score, 6) as score from r where r = 1 and score >= 0.3"""
+
+
+@register(QUERIES, ORACLES, VALLEY)
+def column_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A customer's orders as the spans of a page."""
+    k = F.col("o_orderkey")
+    s = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("page"), ((k * 131) % 600).cast("double").alias("x"), ((k % 9 + 1) * 10).alias("n"), F.lit(600.0).alias("width"))
+    return layout.column_valley(s, "page", "x", "n", "width")
 
 
 @register(QUERIES, ORACLES, "select c_custkey, greatest(0, x1 - 12)::int as x1, greatest(0, y1 - 10)::int as y1, least(800, x2 + 12)::int as x2, least(1000, y2 + 10)::int as y2 from (select c_custkey, ((c_custkey * 37) % 700) as x1, ((c_custkey * 91) % 900) as y1, ((c_custkey * 37) % 700) + 10 + c_custkey % 90 as x2, ((c_custkey * 91) % 900) + 5 + c_custkey % 40 as y2 from customer)")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import casefiles, corpus, measures
+from . import casefiles, collections, corpus, measures
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-for module in (measures, corpus, casefiles):
+for module in (measures, corpus, casefiles, collections):
     QUERIES |= module.QUERIES
     ORACLES |= module.ORACLES

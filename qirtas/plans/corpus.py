@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from qirtas.functions import fields, metrics, text
+from qirtas.functions import fields, metrics, rulesets, text
 from qirtas.operators import choose, evaluate, inventory, lines, render
 
-from .common import full_lines, register, reply, share, strip, table, tok
+from .common import register, reply, share, strip, table, tok
 from .measures import body, docs
 
 QUERIES: dict = {}
@@ -187,31 +187,62 @@ def length_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").groupBy("lang").agg(F.min(n).alias("shortest"), F.median(n).alias("middle"), F.max(n).alias("longest"))
 
 
-@register(QUERIES, ORACLES, f"with l as (select unnest({full_lines('text')}) as line from conversations) select (regexp_matches(line, '^[0-9]+\\s*[-).]|^[-•*]'))::boolean as item, count(*)::bigint as n from l group by 1")
-def item_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = lines.line_table(turns(spark, sf_dir), ["conv_id", "turn"])
-    return rows.groupBy(F.col("line").rlike(r"^[0-9]+\s*[-).]|^[-•*]").alias("item")).agg(F.count("*").alias("n"))
+@register(QUERIES, ORACLES, "select role, count(*)::bigint as turns, sum((len(regexp_extract_all(text, '[\\d.,/:-]+'))))::bigint as numbers from conversations group by role")
+def number_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns(spark, sf_dir).groupBy("role").agg(F.count("*").alias("turns"), F.sum(F.size(fields.numbers(body())).cast("long")).alias("numbers"))
 
 
-@register(QUERIES, ORACLES, "select 'camscanner' as label, 0::bigint as removed where false union all select * from (values ('no_text_visible', 0::bigint), ('no_visible_text_to_extract', 0), ('no_visible_printed_text', 0), ('no_legible_text', 0), ('image_no_visible_text', 0), ('empty_image', 0), ('camscanner', 0)) t(label, removed) where (select count(*) from conversations where regexp_matches(text, '(?i)camscanner|no visible text|empty image')) = 0")
-def artifact_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+@register(QUERIES, ORACLES, "select event_type, time_bucket(interval '5 minutes', ts) as window_start, count(*)::bigint as n from events group by 1, 2")
+def progress_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from qirtas.streaming.landing import event_counts
+
+    return event_counts(table(spark, sf_dir, "events").select("ts", "event_type")).select("event_type", "window_start", "n")
+
+
+ARTIFACT_LINES = ("No text is visible in the provided image.", "(No visible text to extract)", "No visible printed or handwritten text to extract from the provided image.", "There is no visible or legible text in the provided image.", "[The image contains no visible text.]", "(empty image, no text visible)", "Scanned with CamScanner")
+ARTIFACT_SQL = f"""a as (select {list(ARTIFACT_LINES)} as ls, {[label for label, _ in lines.ARTIFACTS]} as labels), r as (select conv_id, turn, case when turn % 3 = 0 then turn % 7 end as i, text from conversations)"""
+
+
+def artifact_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns as pages; every third one ends with one of the lines."""
+    line = F.element_at(F.array(*[F.lit(x) for x in ARTIFACT_LINES]), (F.col("turn") % 7 + 1).cast("int"))
     t = turns(spark, sf_dir).withColumn("turn", F.col("turn").cast("long"))
-    return lines.artifact_counts(t, "turn", "text").select("label", "removed")
+    return t.withColumn("text", F.when(F.col("turn") % 3 == 0, F.concat(text.text_of("text"), F.lit("\n  "), line, F.lit(" "))).otherwise(F.col("text")))
 
 
-@register(QUERIES, ORACLES, "select role, count(*)::bigint as turns, sum((len(regexp_extract_all(text, '[\\d.,/:-]+'))))::bigint as numbers from conversations group by role")
-def number_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return turns(spark, sf_dir).groupBy("role").agg(F.count("*").alias("turns"), F.sum(F.size(fields.numbers(body())).cast("long")).alias("numbers"))
+@register(QUERIES, ORACLES, f"with {ARTIFACT_SQL}, c as (select conv_id, labels[i + 1] as label, count(*) as removed, array_to_string(list_sort(list(distinct turn)), ',') as pages from r, a where i is not null group by 1, 2), l as (select unnest(labels) as label from a) select conv_id, label, coalesce(removed, 0)::bigint as removed, coalesce(pages, '') as pages from (select distinct conv_id from conversations) cross join l left join c using (conv_id, label)")
+def artifact_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.artifact_counts(artifact_pages(spark, sf_dir), "turn", "text", ["conv_id"])
+    return found.select("conv_id", "label", "removed", F.array_join("pages", ",").alias("pages"))
+
 
+@register(QUERIES, ORACLES, f"with {ARTIFACT_SQL}, c as (select conv_id, labels[i + 1] as label, i, count(*) as removed, array_to_string(list_sort(list(distinct turn)), ', ') as pages from r, a where i is not null group by 1, 2, 3), l as (select unnest(labels) as label, unnest(range(0, len(labels))) as ord from a), k as (select distinct conv_id, 1 as n from conversations), o as (select k.conv_id, string_agg('- `' || label || '`: ' || coalesce(removed, 0)::varchar || case when pages is null then '' else ' (pages: ' || pages || ')' end, chr(10) order by ord) as items from k cross join l left join c using (conv_id, label) group by 1), t as (select conv_id, count(*) as n from conversations group by 1) select conv_id, sha256('# Local Cleanup Report' || chr(10) || chr(10) || 'Source OCR directory: out' || chr(10) || 'Source PDF: bundle' || chr(10) || 'Total pages: ' || n::varchar || chr(10) || 'Pages with no retained text after cleanup: 0' || chr(10) || chr(10) || '## Removed Artifact Counts' || chr(10) || chr(10) || items) as rendered_sha256 from o join t using (conv_id)")
+def cleanup_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.artifact_counts(artifact_pages(spark, sf_dir), "turn", "text", ["conv_id"])
+    own = turns(spark, sf_dir).groupBy("conv_id").agg(F.count("*").alias("page_total")).withColumns({"source_dir": F.lit("out"), "source_pdf": F.lit("bundle"), "empty_pages": F.array().cast("array<long>")})
+    return render.cleanup_report(found, own, "conv_id").select("conv_id", F.sha2("rendered", 256).alias("rendered_sha256"))
 
-@register(QUERIES, ORACLES, "select page_id, regexp_replace(regexp_replace(url, '^[^:]+://', ''), '[^0-9A-Za-z._-]+', '_', 'g') as stem from pages")
+
+@register(QUERIES, ORACLES, r"""with u as (select page_id, regexp_replace(url, '^[^:]+://', '') as bare, page_id::varchar || '.pdf' as f from pages), v as (select page_id, regexp_replace(bare, '[^A-Za-z0-9]+', ' ', 'g') || '.pdf' as name from u), w as (select page_id, name, name[1:-5] as st from v)
+ select page_id, case when regexp_matches(name, '^[0-9]{8}') then name[1:8] else regexp_replace(regexp_replace(st, '[^A-Za-z0-9_.-]+', '_', 'g'), '^[._-]+|[._-]+$', '', 'g') end as dated, regexp_replace(st, '^[ .]+|[ .]+$', '', 'g') as plain from w""")
 def url_stems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bare = F.regexp_replace("url", "^[^:]+://", "")
-    return table(spark, sf_dir, "pages").select("page_id", F.regexp_replace(bare, r"[^0-9A-Za-z._-]+", "_").alias("stem"))
+    """Addresses as names of files."""
+    name = F.concat(F.regexp_replace(F.regexp_replace("url", "^[^:]+://", ""), "[^A-Za-z0-9]+", " "), F.lit(".pdf"))
+    return table(spark, sf_dir, "pages").select("page_id", rulesets.dated_stem(name).alias("dated"), rulesets.plain_stem(name).alias("plain"))
 
 
-@register(QUERIES, ORACLES, "select event_type, time_bucket(interval '5 minutes', ts) as window_start, count(*)::bigint as n from events group by 1, 2")
-def progress_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from qirtas.streaming.landing import event_counts
+@register(QUERIES, ORACLES)
+def adjudicated_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each turn as a native page against the next as its recognised text."""
+    t = turns(spark, sf_dir).withColumn("following", F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn")))
+    d = choose.adjudicated(t, "text", "following")
+    return d.select("conv_id", "turn", "decision.source", F.round("decision.confidence", 6).alias("confidence"), "decision.digit_agreement", F.round("decision.similarity", 6).alias("similarity"))
 
-    return event_counts(table(spark, sf_dir, "events").select("ts", "event_type")).select("event_type", "window_start", "n")
+
+
+@register(QUERIES, ORACLES, r"""with s as (select doc_id, text, case when strpos(text, 'the ') > 0 then strpos(text, 'the ') end as a, case when strpos(text, 'The ') > 0 then strpos(text, 'The ') end as b from documents), f as (select *, least(coalesce(a, b), coalesce(b, a)) as pos from s),
+ c as (select doc_id, case when pos > 1 then text[pos:] else text end as t, case when pos > 1 then 'trimmed_before_start_pattern:' || case when pos = coalesce(a, -1) then 'the ' else 'The ' end end as n1 from f),
+ e as (select *, strpos(t, 'zzz') as z, strpos(t, '. ') as p from c) select doc_id, sha256(regexp_replace(case when z > 0 then t[1:z - 1] when p > 0 then t[1:p - 1] else t end, '^\s+|\s+$', '', 'g')) as text_sha256, concat_ws('|', n1, case when z > 0 then 'trimmed_after_end_pattern:zzz' when p > 0 then 'trimmed_after_end_pattern:\. ' end) as notes from e""")
+def cut_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = docs(spark, sf_dir).select("doc_id", lines.cut_to_document(body(), ["the ", "The "], ["zzz", r"\. "]).alias("c"))
+    return out.select("doc_id", F.sha2("c.text", 256).alias("text_sha256"), F.array_join("c.notes", "|").alias("notes"))

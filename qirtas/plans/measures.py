@@ -164,15 +164,6 @@ def refinement_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "line_index", "label", fields.refinement_verdict(F.col("line"), F.col("following"), F.col("label")).alias("verdict"))
 
 
-NOISE = rf"""select doc_id, line_index, line from (select *, len({tok('line')}) as n, {count('line', '[' + chr(92) + 'p{L}' + chr(92) + 'd]')} as solid, len(list_filter({tok('line')}, lambda x: length(x) = 1)) as one from l)
- where solid = 0 or solid::double / greatest(length(line), 1) < 0.3 or (length(line) <= 2 and not {DIG('line')}) or (n >= 4 and one::double / n > 0.6) or contains(lower(line), 'camscanner') or starts_with(lower(line), 'scanned with')"""
-
-
-@register(QUERIES, ORACLES, f"with {LINES} {NOISE}")
-def noise_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.line_table(docs(spark, sf_dir), ["doc_id"]).filter(lines.is_noise(F.col("line"))).select("doc_id", "line_index", "line")
-
-
 METRICS = f"""with src as (select doc_id, text from documents), {STATS} select doc_id, length(text)::bigint as chars, {count('text', '[A-Za-z]')}::bigint as latin_chars, {count('text', '[0-9]')}::bigint as digits, n::bigint as tokens,
  len({full_lines('text')})::bigint as lines, round({share('one', 'n')}, 4) as single_ratio, round({share('frag', 'n')}, 4) as digit_fragment_ratio from s"""
 
@@ -183,17 +174,6 @@ def page_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("doc_id", "m.chars", "m.latin_chars", "m.digits", "m.tokens", "m.lines", "m.single_ratio", "m.digit_fragment_ratio")
 
 
-FLAGS = f"""with src as (select doc_id, text from documents), {STATS}, m as (select *, length(text) as c, len({full_lines('text')}) as nl, round({share('one', 'n')}, 4) as r1, round({share('frag', 'n')}, 4) as r2, {count('text', '[ØÙÃÂ]')} as mo from s)
- select doc_id, concat_ws('|', case when c = 0 then 'empty' end, case when c > 0 and c < 80 then 'very_short' end, case when nl <= 1 and n >= 20 then 'few_lines' end, case when r1 > 0.3 then 'fragmented' end,
- case when r2 > 0.2 then 'digit_heavy' end, case when mo > 20 then 'mojibake' end) as flags from m"""
-
-
-@register(QUERIES, ORACLES, FLAGS)
-def page_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = docs(spark, sf_dir).select("doc_id", metrics.text_metrics(body()).alias("m"))
-    return m.select("doc_id", F.array_join(metrics.quality_flags(F.col("m"), F.col("m.chars")), "|").alias("flags"))
-
-
 OVERLAP = """with e as (select doc_id, text, text[1:length(text) // 2] as half from documents), a as (select doc_id, unnest(regexp_extract_all(lower(text), '[0-9A-Za-z]+')) as t from e),
  b as (select distinct doc_id, unnest(regexp_extract_all(lower(half), '[0-9A-Za-z]+')) as t from e), s as (select doc_id, sum((b.t is not null)::int)::double / count(*) as o from a left join b using (doc_id, t) group by doc_id)
  select doc_id, round(coalesce(o, 0.0), 4) as overlap from e left join s using (doc_id)"""
@@ -217,12 +197,6 @@ def cleaned_arabic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs(spark, sf_dir).select("doc_id", F.sha2(text.clean_arabic(body()), 256).alias("text_sha256"))
 
 
-@register(QUERIES, ORACLES)
-def paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = lines.paragraphs(text.lines(text.text_of("text")))
-    return docs(spark, sf_dir).select("doc_id", F.size(own).cast("long").alias("paragraphs"), F.sha2(F.array_join(own, "\n\n"), 256).alias("text_sha256"))
-
-
 WRONG = (("the", "teh"), ("ing ", "ign "), ("tion", "toin"))
 
 
@@ -251,18 +225,11 @@ def character_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(QUERIES, ORACLES)
 def word_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = table(spark, sf_dir, "benchmark").withColumn("found", F.array_join(F.slice(text.tokens(body()), 3, 10_000_000), " "))
+    b = table(spark, sf_dir, "benchmark").withColumn("found", F.array_join(F.slice(text.tokens(body()), F.lit(3), F.greatest(F.size(text.tokens(body())), F.lit(1))), " "))
     out = b.select("item_id", udfs.word_error_rate("text", "found").alias("wer"), udfs.word_agreement("text", "found").alias("v"), udfs.similarity("text", "found").alias("similarity"))
     return out.select("item_id", F.round("wer", 6).alias("wer"), "v.disagreements", F.round("v.confidence", 6).alias("confidence"), F.round("similarity", 6).alias("similarity"))
 
 
-@register(QUERIES, ORACLES, f"select doc_id, line_index, sum(h::int) over (partition by doc_id order by line_index)::bigint as number from (select *, starts_with(line, 'The ') or starts_with(line, 'Th') as h from l) qualify h".replace("select doc_id, line_index, sum", f"with {LINES} select doc_id, line_index, sum", 1))
-def renumbered_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines that start with "Th" as stand-ins for article headings."""
-    rows = lines.line_table(docs(spark, sf_dir), ["doc_id"]).withColumn("page", F.lit(0))
-    return lines.renumbered(rows, "doc_id", 0, F.col("line").startswith("Th")).filter("number is not null").select("doc_id", "line_index", "number")
-
-
 @register(QUERIES, ORACLES)
 def better_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each text against its first half as the other reading."""

@@ -87,7 +87,7 @@ def test_segments_fit_a_count():
 
 def test_artifacts(spark):
     r = spark.createDataFrame([("(No visible text to extract)\nby CamScanner\nkept\nempty image, no text visible",)], "t string").select(lines.without_artifacts(F.col("t")).alias("w")).first()["w"]
-    assert r["text"] == "kept" and r["labels"] == ["no_visible_text_to_extract", "camscanner", "empty_image"]
+    assert r["text"] == "kept" and r["labels"] == ["no_visible_text_to_extract", "camscanner", "empty_image_no_text_visible"]
 
 
 def test_duplicates(spark):
