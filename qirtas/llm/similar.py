@@ -7,7 +7,10 @@ that are frequent everywhere last (a bounded list, from counts over all document
 
 1. Inverted lists over those first parts: a posting is 32 bits of the shingle (more are in its bucket), 40 of the
    node, its l and the class of its size, 11 bytes whatever the number of buckets. Lists of up to ``SHORT`` nodes
-   give pairs with the number of shared shingles; pairs below l are dropped. Longer lists give a group.
+   give pairs with the number of shared shingles; pairs below l are dropped. Longer lists give a group. A node stays
+   in one only if it could share l shingles with another of about its size there: with all its long lists, and the
+   most that it shares with any node in short ones. So what many documents quote makes no groups of those that
+   have nothing else in common.
 2. Pairs and long lists become groups of nodes. A large group is cut into blocks of nodes of like size; only
    blocks whose sizes can reach the similarity are paired.
 3. In each group every node searches its inverted lists as DivideSkip does: of n lists the T - 1 longest are set
@@ -40,13 +43,13 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .shared import drop_table, join_split, partitions, release, write_table
-from .text import U, flat, give_back, mix, row_windows, slices, window_hashes, word_bounds, word_hashes
+from .text import U, flat, give_back, mix, ranges, row_windows, slices, window_hashes, word_bounds, word_hashes
 
 SHORT, BLOCK, BLOCK_SHINGLES, HOT_IN_BATCH, HOT_MOST = 32, 1024, 1 << 20, 4, 1 << 18
 STEPS, BLOCKS_A_CLASS = 3, 1 << 20  # size classes in a step of the similarity; numbers of blocks kept apart by class
-HELD_BYTES, HELD_PAIRS, HELD_SHINGLES, COUNTED_SHINGLES = 1 << 22, 1 << 19, 1 << 20, 1 << 22
+HELD_PAIRS, HELD_SHINGLES, COUNTED_SHINGLES = 1 << 19, 1 << 20, 1 << 22
 SIEVE = 26  # a filter of 8 MB
-PLUS = 16  # l is one in so many shingles
+PLUS = 8  # l is one in so many shingles
 
 
 def shingle_sets(texts: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -141,9 +144,13 @@ def frequent(counts: DataFrame) -> np.ndarray:
     return np.sort(top.astype(np.int64).view(U))
 
 
+def class_width(percent: int) -> float:
+    return float(np.log(max(100 / percent, 1.05) * (1 + 1e-9)))
+
+
 def size_class(n, percent: int):
     """Sizes that can reach the similarity are at most ``STEPS`` classes apart."""
-    return np.minimum(np.floor(np.log(np.maximum(n, 1)) * STEPS / np.log(max(100 / percent, 1.05))), 255).astype(np.uint8)
+    return np.minimum(np.floor(np.log(np.maximum(n, 1)) * STEPS / class_width(percent)), 255).astype(np.uint8)
 
 
 def _postings(sets: list[tuple[int, int, int, np.ndarray]], buckets: int, percent: int) -> Iterator[tuple[int, bytes]]:
@@ -182,7 +189,7 @@ def _unpacked(blocks: list[bytes]) -> tuple[np.ndarray, ...]:
 
 def candidates(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """From the lists of a partition: pairs with their shared shingles and l, packed by bucket, and rows of nodes a in
-    the group b of a long list."""
+    the group b of long lists: how many of its lists they are in, and their l."""
     blocks = [x.as_py() for batch in batches for x in batch.column(0)]
     if not blocks:
         return
@@ -219,7 +226,7 @@ def candidates(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.R
                 heap, held = _folded(heap), 0
     if heap:
         pairs, shared = _folded(heap)[0]
-    names = ["a", "b", "bucket", "block"]
+    names = ["a", "b", "n", "l", "bucket", "block"]
     if len(pairs):
         a, b = pairs // len(nodes), pairs % len(nodes)
         x, y = nodes[a], nodes[b]
@@ -229,18 +236,21 @@ def candidates(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.R
         cut = np.searchsorted(place[order], np.arange(buckets + 1, dtype=U))
         blocks = [(k, whole[:, own].tobytes()) for k in range(buckets) if len(own := order[cut[k] : cut[k + 1]])]
         none = pa.nulls(len(blocks), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, pa.array([k for k, _ in blocks], pa.int32()), pa.array([x for _, x in blocks], pa.binary())], names)
+        yield pa.RecordBatch.from_arrays([none] * 4 + [pa.array([k for k, _ in blocks], pa.int32()), pa.array([x for _, x in blocks], pa.binary())], names)
     long = np.flatnonzero(count > SHORT)
     if len(long):
-        own = np.concatenate([np.stack([node[start[i] : start[i] + count[i]].astype(np.int64), np.full(count[i], node[start[i]])]) for i in long], axis=1)
-        own = np.unique(own, axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(nodes[own[0]]), pa.array(nodes[own[1]]), pa.nulls(own.shape[1], pa.int32()), pa.nulls(own.shape[1], pa.binary())], names)
+        own = np.repeat(node[start[long]].astype(np.int64), count[long]) * len(nodes) + node[ranges(start[long], count[long])]
+        own, times = np.unique(own, return_counts=True)
+        group, member = own // len(nodes), own % len(nodes)
+        none = len(own)
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[member]), pa.array(nodes[group]), pa.array(times), pa.array(l[member]), pa.nulls(none, pa.int32()), pa.nulls(none, pa.binary())], names)
     del h, node, pairs, shared, heap
     give_back()
 
 
 def close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose shared shingles over all lists reach their l."""
+    """Pairs whose shared shingles over all lists reach their l; and for every node, without b, the most that it shares
+    with another here."""
     blocks = [np.frombuffer(x.as_py(), np.int64).reshape(4, -1) for batch in batches for x in batch.column(0)]
     if not blocks:
         return
@@ -248,9 +258,15 @@ def close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     order = np.lexsort((b, a))
     a, b, n, l = a[order], b[order], n[order], l[order]
     start = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
-    keep = start[np.add.reduceat(n, start) >= np.maximum.reduceat(l, start)]
+    a, b, n, l = a[start], b[start], np.add.reduceat(n, start), np.maximum.reduceat(l, start)
+    keep = np.flatnonzero(n >= l)
     for i in range(0, len(keep), 1 << 17):
-        yield pa.RecordBatch.from_arrays([pa.array(a[keep[i : i + (1 << 17)]]), pa.array(b[keep[i : i + (1 << 17)]])], ["a", "b"])
+        own = keep[i : i + (1 << 17)]
+        yield pa.RecordBatch.from_arrays([pa.array(a[own]), pa.array(b[own]), pa.nulls(len(own), pa.int64())], ["a", "b", "most"])
+    nodes, back = np.unique(np.concatenate([a, b]), return_inverse=True)
+    most = np.zeros(len(nodes), np.int64)
+    np.maximum.at(most, back, np.concatenate([n, n]))
+    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.nulls(len(nodes), pa.int64()), pa.array(most)], ["a", "b", "most"])
 
 
 def _folded(heap: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -310,6 +326,23 @@ def search_links(sets: list[np.ndarray], percent: int, split: int | None = None)
     return out
 
 
+def _in_long_lists(found: DataFrame, told: DataFrame) -> DataFrame:
+    """``bits, g, l, could``: nodes in groups of long lists, their l, and the most shingles that they could share: all their
+    long lists, and the most that they share with one node in short lists."""
+    rows = found.filter("bucket is null").select(F.col("a").alias("bits"), F.col("b").alias("g"), "n", "l")
+    long = rows.groupBy("bits").agg(F.sum("n").alias("long"), F.min("l").alias("l"))
+    short = told.filter("b is null").groupBy(F.col("a").alias("bits")).agg(F.max("most").alias("most"))
+    could = long.join(short, "bits", "left").select("bits", "l", (F.col("long") + F.coalesce("most", F.lit(0))).alias("could"))
+    return rows.select("bits", "g").distinct().join(could, "bits")
+
+
+def _able(rows: DataFrame) -> DataFrame:
+    """Those that could share as many shingles as the least l, their own or that of any node of about their size in the group."""
+    least = rows.groupBy("g", "class").agg(F.min("l").alias("l")).groupBy("g").agg(F.collect_list(F.struct("class", "l")).alias("parts"))
+    there = F.array_min(F.transform(F.filter("parts", lambda p: F.abs(p["class"] - F.col("class")) <= STEPS), lambda p: p["l"]))
+    return rows.join(least, "g").filter(F.col("could") >= there).drop("parts", "could", "l")
+
+
 def sieve_of(keys: DataFrame) -> np.ndarray:
     """Bits of the keys, 2 ** ``SIEVE`` at all; 64 a row reach the driver."""
     rows = keys.select(F.col("key").bitwiseAND((1 << SIEVE) - 1).alias("b")).select(F.shiftright("b", 6).alias("w"), F.expr("shiftleft(1L, cast(b & 63 as int))").alias("v"))
@@ -373,46 +406,29 @@ def similar_components(docs: DataFrame, percent: int = 75, k: int = 5) -> DataFr
         give_back()
 
     lists = docs.select("text").mapInArrow(postings, "bucket int, block binary").repartition(buckets, "bucket").select("block")
-    found = write_table(lists.mapInArrow(lambda it: candidates(it, buckets), "a long, b long, bucket int, block binary"), "similar-found")
+    found = write_table(lists.mapInArrow(lambda it: candidates(it, buckets), "a long, b long, n long, l long, bucket int, block binary"), "similar-found")
     release(spark)
 
     pairs = found.filter("bucket is not null").select("bucket", "block").repartition(buckets, "bucket").select("block")
-    pairs = write_table(pairs.mapInArrow(close_pairs, "a long, b long"), "similar-pairs")
+    told = write_table(pairs.mapInArrow(close_pairs, "a long, b long, most long"), "similar-pairs")
+    pairs = told.filter("b is not null").select("a", "b")
     least = pairs.groupBy("b").agg(F.min("a").alias("m")).select(F.col("b").alias("x"), "m")
     led = pairs.join(least.withColumnRenamed("x", "a").withColumnRenamed("m", "ma"), "a", "left").join(least.withColumnRenamed("x", "b").withColumnRenamed("m", "mb"), "b")
     group = F.least(F.coalesce("ma", "a"), "mb")
-    member = led.select(F.col("a").alias("node"), group.alias("g")).unionByName(led.select(F.col("b").alias("node"), group.alias("g")))
-    member = member.unionByName(found.filter("bucket is null").select(F.col("a").alias("node"), F.col("b").alias("g"))).distinct()
+    close = led.select(F.col("a").alias("bits"), group.alias("g")).unionByName(led.select(F.col("b").alias("bits"), group.alias("g"))).distinct()
     # A node is named by its smallest doc_id, or after all those by its own hash.
     name = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.coalesce("doc_id", "node").alias("id"))
     first = base.filter("node is not null").groupBy("node").agg(F.min(name).alias("name"), F.min("key").alias("key"), F.min("n").alias("n"), F.count("*").alias("rows"))
-    kind = F.floor(F.log(F.greatest("n", F.lit(1))) * STEPS / float(np.log(max(100 / percent, 1.05)))).cast("long")
+    kind = F.floor(F.log(F.greatest("n", F.lit(1))) * STEPS / class_width(percent)).cast("long")
     # nodes that are alike in 40 bits are told apart again here
-    member = member.withColumnRenamed("node", "bits").join(first.withColumn("bits", F.col("node").bitwiseAND((1 << 40) - 1)), "bits")
-    member = write_table(member.select("g", "node", "name", "key", "n", kind.alias("class")), "similar-groups")
+    nodes = first.select("node", "name", "key", "n", kind.alias("class"), F.col("node").bitwiseAND((1 << 40) - 1).alias("bits"))
+    member = close.join(nodes, "bits").unionByName(_in_long_lists(found, told).join(nodes, "bits").transform(_able)).drop("bits").distinct()
+    member = write_table(member, "similar-groups")
     drop_table(found)
-    drop_table(pairs)
+    drop_table(told)
     # distinct groups of equal members but another name cost a search more, no link
     wanted = _tasks(member)
 
-    def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes, tasks, held = batch.column(1), batch.column(2), 0
-            g, i, j, own, node, sets = [], [], [], [], [], []
-            for r, s in shingle_sets(batch.column(0), k):
-                if len(s) and nodes[r].as_py() == set_id(s):
-                    raw = s.tobytes()
-                    for t in tasks[r].as_py():
-                        for column, value in zip((g, i, j, own, node, sets), (t["g"], t["i"], t["j"], t["own"], nodes[r].as_py(), raw), strict=True):
-                            column.append(value)
-                        held += len(raw)
-                        if held >= HELD_BYTES:
-                            yield _members(g, i, j, own, node, sets)
-                            g, i, j, own, node, sets, held = [], [], [], [], [], [], 0
-            if g:
-                yield _members(g, i, j, own, node, sets)
-        give_back()
-
     # Texts that no group wants stay where they are, as far as a filter of fixed size can tell.
     sieve = spark.sparkContext.broadcast(sieve_of(wanted.select("key")))
 
@@ -420,9 +436,9 @@ def similar_components(docs: DataFrame, percent: int = 75, k: int = 5) -> DataFr
     def may_be_wanted(key: pd.Series) -> pd.Series:
         return pd.Series(in_sieve(sieve.value, key.to_numpy()))
 
-    members = docs.filter(may_be_wanted("key")).join(wanted.hint("merge"), "key").select("text", "node", "tasks").mapInArrow(load, "g long, i long, j long, own long, node long, words binary")
-    members = members.repartition(buckets, "g", "i", "j").sortWithinPartitions("g", "i", "j", "own", "node")
-    links = write_table(members.mapInArrow(lambda it: group_links(it, percent), "u long, v long"), "similar-links")
+    members = docs.filter(may_be_wanted("key")).join(wanted.hint("merge"), "key").select("node", "text", F.explode("tasks").alias("t"))
+    members = members.select("t.g", "t.i", "t.j", "t.own", "node", "text").repartition(buckets, "g", "i", "j").sortWithinPartitions("g", "i", "j", "own", "node")
+    links = write_table(members.mapInArrow(lambda it: group_links(it, percent, k), "u long, v long"), "similar-links")
     release(spark)
 
     names = member.select("node", "name").distinct()
@@ -436,12 +452,7 @@ def similar_components(docs: DataFrame, percent: int = 75, k: int = 5) -> DataFr
     return full.unionByName(base.filter("node is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
-def _members(g, i, j, own, node, sets) -> pa.RecordBatch:
-    kinds = (pa.int64(),) * 5 + (pa.binary(),)
-    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((g, i, j, own, node, sets), kinds, strict=True)], ["g", "i", "j", "own", "node", "words"])
-
-
-def group_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def group_links(batches: Iterator[pa.RecordBatch], percent: int, k: int) -> Iterator[pa.RecordBatch]:
     """Links of each task (group and pair of blocks), whose rows come one after another."""
     now, nodes, own, sets, u, v = None, [], [], [], [], []
 
@@ -458,16 +469,17 @@ def group_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.
             v.append(nodes[b])
 
     for batch in batches:
-        for g, i, j, o, node, raw in zip(*(batch.column(c) for c in range(6)), strict=True):
-            g, i, j, o, node, raw = g.as_py(), i.as_py(), j.as_py(), o.as_py(), node.as_py(), raw.as_py()
+        tasks = list(zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True))
+        for r, s in shingle_sets(batch.column(5), k):
+            g, i, j, o, node = tasks[r]
             if (g, i, j) != now:
                 close()
                 now, nodes, own, sets = (g, i, j), [], [], []
-            if nodes and nodes[-1] == node:
+            if nodes and nodes[-1] == node or set_id(s) != node:
                 continue
             nodes.append(node)
             own.append(o)
-            sets.append(np.frombuffer(raw, U))
+            sets.append(s)
         if len(u) > 10_000:
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
             u.clear()
