@@ -28,12 +28,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def write_table(df: DataFrame, name: str) -> DataFrame:
+def write_table(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it again: cuts the lineage, so a lost
     executor costs a read and not the work before it."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     out = spark.read.schema(df.schema).parquet(path)
     out._qirtas_path = path
     return out

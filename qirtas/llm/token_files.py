@@ -7,28 +7,33 @@ document's code is the same in any file, and a file is its documents' codes one
 the control bytes up in a table of 256 rows of four lengths; a running sum gives each id's place, whatever the
 lengths. Files are read in steps of about ``STEP_IDS`` ids.
 
-Defined results: a null or empty text has only the end id; repeated doc_ids follow in the order of their
-lengths and codes; a null doc_id comes first; other columns, whatever their names, are not read; an empty table
+Texts are put in order before they are encoded, and their ids kept as a table in that order, so that counting and
+writing are scans of it: at no time are there more than two of texts, table and files on disk.
+
+Defined results: a null or empty text has only the end id; repeated doc_ids follow in an order that their texts
+decide; a null doc_id comes first; other columns, whatever their names, are not read; an empty table
 gives no files and no rows. A file holds at most ``FILE_IDS`` ids or one document.
 """
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bpe import encoder, forget
-from .shared import drop_table, new_path, partitions, write_table
+from .shared import drop_table, new_path, partitions, release, write_table
 from .store import read_file, write_file
 from .text import binary, give_back, ranges
 
 MAGIC, HEAD = b"QTOK2\0\0\0", "<8sQQQQ"
+FILE_COLUMNS = ["task", "file", "start", "part", "path", "docs", "ids"]
 FILE_IDS, STEP_IDS = 1 << 21, 1 << 18
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) % 4 + 1).astype(np.uint8)
 
@@ -132,51 +137,53 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int | None = Non
     """Encode, rank and write. Returns the files in order (path, ids before it, documents, ids) and the path of the ranks."""
     spark = docs.sparkSession
     folder, size = new_path(spark, "tokens"), encoder(vocabulary).size
-    tokens = write_table(token_table(docs, vocabulary, end_id), "token-ids")
+    order = ["doc_id", F.xxhash64("text"), "text"]
+    ordered = docs.select("doc_id", "text").repartitionByRange(partitions(spark), *order[:2]).sortWithinPartitions(*order)
+    tokens = write_table(token_table(ordered, vocabulary, end_id), "token-ids", "zstd")
+    release(spark)
     by_rank = frequency_ranks(tokens, size)
     rank = np.empty(size, np.uint32)
     rank[by_rank] = np.arange(size, dtype=np.uint32)
     write_file(f"{folder}/ranks", by_rank.astype("<u4").tobytes())
     store = encoder(vocabulary).store.str
 
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Ranks in the files' code already, so that fewer bytes are shuffled."""
-        for batch in batches:
-            n, raw = batch.column(1).to_numpy(), batch.column(2)
-            first, at = 0, np.cumsum(n)
-            while first < len(n):
-                last = max(first + 1, int(np.searchsorted(at, (at[first - 1] if first else 0) + STEP_IDS, "right")))
-                part = raw.slice(first, last - first)
-                ids = np.frombuffer(b"".join(x.as_py() for x in part), store)
-                control, data, sizes, counts = pack(rank[ids], n[first:last])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), batch.column(1).slice(first, last - first), binary(control, sizes), binary(data, counts)], ["doc_id", "n", "control", "data"])
-                first = last
-
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, held, docs_, lengths, control, data = 0, 0, [], [], [], []
+        """A run of rows is what the scan reads of one file from one place on; its files are named after that."""
+        forget()
+        run, part, held, docs_, lengths, control, data = None, 0, 0, [], [], [], []
 
         def flush():
-            path = f"{folder}/part-{task:06d}-{part:06d}"
+            path = f"{folder}/part-{run[0]:06d}-{run[1]:03d}-{run[2]:012d}-{part:06d}"
             write_file(path, file_bytes(docs_, lengths, control, data))
-            return pa.RecordBatch.from_arrays([pa.array([x]) for x in (task, part, path, len(docs_), held)], ["task", "part", "path", "docs", "ids"])
+            return pa.RecordBatch.from_arrays([pa.array([x]) for x in (*run, part, path, len(docs_), held)], FILE_COLUMNS)
 
-        task = TaskContext.get().partitionId()
         for batch in batches:
-            for doc, n, c, d in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if docs_ and held + n > FILE_IDS:
-                    yield flush()
-                    part, held, docs_, lengths, control, data = part + 1, 0, [], [], [], []
-                docs_.append(doc)
-                lengths.append(n)
-                control.append(c)
-                data.append(d)
-                held += n
+            n, raw = batch.column(1).to_numpy(), batch.column(2)
+            names, starts = batch.column(3).to_pylist(), batch.column(4).to_pylist()
+            first, upto = 0, np.cumsum(n)
+            while first < len(n):
+                last = max(first + 1, int(np.searchsorted(upto, (upto[first - 1] if first else 0) + STEP_IDS, "right")))
+                ids = np.frombuffer(b"".join(x.as_py() for x in raw.slice(first, last - first)), store)
+                c, d, sizes, counts = pack(rank[ids], n[first:last])
+                c, d, c_at, d_at = c.tobytes(), d.tobytes(), np.concatenate([[0], np.cumsum(sizes)]).tolist(), np.concatenate([[0], np.cumsum(counts)]).tolist()
+                for i, doc in enumerate(batch.column(0).slice(first, last - first).to_pylist()):
+                    here, size_ = (*_place(names[first + i]), starts[first + i]), int(n[first + i])
+                    if docs_ and (here != run or held + size_ > FILE_IDS):
+                        yield flush()
+                        part, held, docs_, lengths, control, data = part + 1 if here == run else 0, 0, [], [], [], []
+                    run = here
+                    docs_.append(doc)
+                    lengths.append(size_)
+                    control.append(c[c_at[i] : c_at[i + 1]])
+                    data.append(d[d_at[i] : d_at[i + 1]])
+                    held += size_
+                first = last
         if docs_:
             yield flush()
         give_back()
 
-    ordered = tokens.mapInArrow(code, "doc_id long, n long, control binary, data binary").repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id", "n", "control", "data")
-    files = sorted(ordered.mapInArrow(write, "task long, part long, path string, docs long, ids long").collect())
+    rows = tokens.select("doc_id", "n", "ids", F.col("_metadata.file_name"), F.col("_metadata.file_block_start"))
+    files = sorted(rows.mapInArrow(write, "task long, file long, start long, part long, path string, docs long, ids long").collect())
     drop_table(tokens)
     out, before = [], 0
     for f in files:
@@ -185,6 +192,12 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int | None = Non
     return out, f"{folder}/ranks"
 
 
+def _place(name: str) -> tuple[int, int]:
+    """The task that wrote a file of a table, and which of its files that is."""
+    found = re.match(r"part-(\d+)-.*?(?:-c(\d+))?[.]", name)
+    return int(found[1]), int(found[2] or 0)
+
+
 def read_token_files(spark: SparkSession, files: list, ranks: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids`` (unsigned 32-bit little-endian) of every document, from the files."""
 
