@@ -10,7 +10,8 @@ every task scans its rows' codes, keeps k of each query, and k rows a query and
 
 Defined results: vectors that are null, zero, of another length than most, or that hold a null or a
 non-finite number take no part; ties go to the smaller vec_id; fewer than k candidates give all of them;
-repeated rows are candidates of their own; a repeated query id is searched once, by its smallest vector.
+repeated rows are candidates of their own; a repeated query id is searched once, by its smallest vector; other
+columns, whatever their names, are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ Sets are kept over all 2**16 hashed n-grams, so no n-gram is left out, however r
 labelled rows' sets reach the driver, as bits.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; so is every text when
-nothing could be learnt. Repeated rows are predicted each.
+nothing could be learnt. Repeated rows are predicted each; rows of equal doc_id and text count once among the labelled
+ones. Other columns, whatever their names, are not read; those of ``keep`` are passed on. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,10 +21,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .ngrams import LETTERS, gram_codes, lowered, rows_of
+from .shared import smallest
 from .text import flat, slices
 
 PER_LANG, LANDMARKS, SIZES, RIDGE = 1024, 256, (2, 3, 4), 1e-3
@@ -102,12 +105,12 @@ def values(sets: np.ndarray, product: np.ndarray) -> np.ndarray:
 
 
 def predict_language(docs: DataFrame, learn, per_lang: int = PER_LANG, landmarks: int = LANDMARKS, keep: list[str] | None = None) -> DataFrame:
-    """``doc_id, lang_pred, score`` and the columns of ``keep``; ``learn`` says by doc_id which languages may be learnt."""
+    """``doc_id, lang_pred, score``, and the columns of ``keep`` as a struct ``row``; ``learn`` says by doc_id which languages may
+    be learnt."""
     spark = docs.sparkSession
     key = F.xxhash64("doc_id", "text")
-    known = docs.select(F.col("lang"), key.alias("key"), F.col("doc_id"), F.col("text").isNotNull().alias("full")).filter(F.col("lang").isNotNull() & F.col("full") & learn(F.col("doc_id")))
-    first = Window.partitionBy("lang").orderBy("key")
-    chosen = known.select("lang", "key").withColumn("n", F.row_number().over(first)).filter(F.col("n") <= per_lang).select("lang", "key").distinct()
+    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & learn(F.col("doc_id"))).select("lang", key.alias("key"))
+    chosen = smallest(known, "lang", "key", per_lang).distinct()
 
     every = np.arange(HASHED, dtype=np.int32)
 
@@ -123,6 +126,7 @@ def predict_language(docs: DataFrame, learn, per_lang: int = PER_LANG, landmarks
     del got
     sent = spark.sparkContext.broadcast(fit(packed, langs, landmarks))
     keep = keep or []
+    others = [c for c in keep if c not in ("doc_id", "text")]
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,10 +145,13 @@ def predict_language(docs: DataFrame, learn, per_lang: int = PER_LANG, landmarks
                 langs += [names[i] if ok else UNKNOWN for i, ok in zip(best, letter, strict=True)]
                 scores.append(np.where(letter, p.max(axis=1), 0.0))
             score = np.concatenate(scores).astype(float) if scores else np.zeros(0)
-            rest = batch.columns[2:]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(score), *rest], ["doc_id", "lang_pred", "score", *(f"_{i}" for i in range(len(rest)))])
-
-    kept = [F.col(c).alias(f"_{i}") for i, c in enumerate(keep)]
-    kinds = "".join(f", _{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
-    out = docs.select("doc_id", "text", *kept).mapInArrow(predict, "doc_id long, lang_pred string, score double" + kinds)
-    return out.select("doc_id", "lang_pred", "score", *[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)])
+            rest = [*batch.columns[2:], *([batch.column(1)] if "text" in keep else [])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(score), *rest], schema.names)
+
+    kinds = {"doc_id": docs.schema["doc_id"].dataType, "lang_pred": T.StringType(), "score": T.DoubleType()} | {f"_{i}": docs.schema[c].dataType for i, c in enumerate(others)}
+    schema = T.StructType([T.StructField(n, t) for n, t in (kinds | ({"_text": T.StringType()} if "text" in keep else {})).items()])
+    out = docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(others)]).mapInArrow(predict, schema)
+    if not keep:
+        return out
+    place = {"doc_id": "doc_id", "text": "_text"} | {c: f"_{i}" for i, c in enumerate(others)}
+    return out.select("doc_id", "lang_pred", "score", F.struct(*[F.col(place[c]).alias(c) for c in keep]).alias("row"))

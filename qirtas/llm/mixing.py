@@ -9,8 +9,8 @@ shuffled at once. Within a source the shards then take disjoint runs of the perm
 pass, and each shard orders its documents by a keyed hash.
 
 Defined results: a null text has size 0; a null source is a source of its own, sorted last; repeated
-rows are documents of their own; an empty table gives no rows. Sizes of 0 are never drawn. Only the
-table of sources (one row each) and quotas (sources x shards) reach the driver.
+rows are documents of their own; an empty table gives no rows. Sizes of 0 are never drawn. Other columns, whatever
+their names, are passed on as they are. Only the table of sources (one row each) and quotas (sources x shards) reach the driver.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import write_table
+from .shared import whole_row, write_table
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCKS = 4096  # of each source
@@ -49,6 +49,23 @@ def fill_targets(sizes: list[float], weights: list[float], cap: float) -> list[f
     return out
 
 
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """How many of ``n`` drawn without replacement are good: by the distribution function, whose terms follow from one
+    another outwards from the most likely value. One rule for populations of any size; terms beyond 12 deviations, which
+    double precision does not hold, are left out."""
+    low, high, all_ = max(0, n - bad), min(n, good), good + bad
+    if low == high:
+        return low
+    middle = min(max((n + 1) * (good + 1) // (all_ + 2), low), high)
+    width = int(12 * (n / all_ * good * (bad / all_) * ((all_ - n) / max(all_ - 1, 1))) ** 0.5) + 64
+    a, b = max(low, middle - width), min(high, middle + width)
+    k = np.arange(b - a, dtype=float)
+    step = np.log((good - a - k) * (n - a - k)) - np.log((a + 1 + k) * (bad - n + a + 1 + k))
+    weight = np.concatenate([[0.0], np.cumsum(step)])
+    upto = np.cumsum(np.exp(weight - weight.max()))
+    return a + min(int(np.searchsorted(upto, rng.random() * upto[-1], "right")), b - a)
+
+
 def split_quotas(draws: list[int], shards: int, seed: int) -> np.ndarray:
     """Quotas, sources x shards: exact in both directions, by the splitting tree."""
     rng = np.random.default_rng(seed)
@@ -63,11 +80,9 @@ def split_quotas(draws: list[int], shards: int, seed: int) -> np.ndarray:
         n = int(have.sum()) * (mid - lo) // (hi - lo)
         left = np.zeros_like(have)
         remaining, need = int(have.sum()), n
-        for i, h in enumerate(have):  # the marginals one after another: any size of population
+        for i, h in enumerate(have):  # the marginals one after another
             if need and h:
-                other = remaining - int(h)
-                big = max(int(h), other) >= 10**9
-                left[i] = min(int(h), need, max(need - other, round(need * int(h) / remaining))) if big else rng.hypergeometric(int(h), other, need)
+                left[i] = hypergeometric(rng, int(h), remaining - int(h), need)
                 need -= int(left[i])
             remaining -= int(h)
         todo += [(mid, hi, have - left), (lo, mid, left)]
@@ -130,20 +145,22 @@ def mix_sources(docs: DataFrame, weights=(5.0, 2.0, 1.0), cap: float = 3.0, shar
     rest = full.filter("not (state = 2 and size > 0)").withColumn("more", F.col("state") == 1)
     got = rest.unionByName(edge)
     draws = F.when(F.col("size") > 0, F.coalesce(F.filter("all", lambda x: (x["round"] < F.col("passes")) | F.col("more")), F.array().cast("array<struct<round:int,shard:int>>"))).otherwise(F.array().cast("array<struct<round:int,shard:int>>"))
-    out = got.withColumn("draws", draws).join(F.broadcast(source.select("src", "source_size", "target")), "src")
+    out = got.withColumn("draws", draws).join(source.select("src", "source_size", "target"), "src")
     return out.select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"), F.transform("draws", lambda x: x["shard"]).alias("draws"), "key", "src"
     )
 
 
-def mixed_documents(docs: DataFrame, seed: int = 7, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, seed: int = 7, shards: int | None = None, **options) -> DataFrame:
     """The mix itself: the columns of ``docs``, each row as often as it is drawn, dealt to its shards and
-    shuffled within each. Rows that are equal in every column of the key share their draws."""
-    chosen = mix_sources(docs, seed=seed, **options)
-    once = chosen.groupBy("key").agg(F.max("draws").alias("_draws"))
+    shuffled within each. There are as many shards as shuffle partitions, 64 at least. Rows that are equal in every
+    column of the key share their draws. The columns travel as one struct, so their names clash with nothing."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shards = shards or max(64, parts)
+    chosen = mix_sources(docs, seed=seed, shards=shards, **options)
+    once = chosen.groupBy("key").agg(F.max("draws").alias("draws"))
     key = F.xxhash64(F.lit(seed), "doc_id", "source", "text")
-    rows = docs.withColumn("_key", key).join(once.withColumnRenamed("key", "_key"), "_key")
-    rows = rows.withColumn("_shard", F.explode("_draws"))
-    order = F.xxhash64(F.lit(seed + 3), "_shard", "_key")
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.withColumn("_order", order).repartition(n, "_shard").sortWithinPartitions("_shard", "_order").select(*docs.columns)
+    rows = docs.select(key.alias("key"), whole_row(docs).alias("row")).join(once, "key")
+    rows = rows.select("key", "row", F.explode("draws").alias("shard"))
+    rows = rows.withColumn("order", F.xxhash64(F.lit(seed + 3), "shard", "key")).repartition(shards, "shard").sortWithinPartitions("shard", "order")
+    return rows.select("row.*")

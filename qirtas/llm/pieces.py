@@ -10,9 +10,11 @@ cut before each run of spaces. Each distinct small lattice gets the Viterbi pass
 gives its best path and the loss of its second; the n - 1 lattices of a text whose second costs least are
 searched for their n best, and the n best of the text are the smallest sums of losses over those.
 
-Defined results: a null or empty text has no pieces and the score 0; among equal
-scores the search follows the path it met last, so that a long word of many equal paths ends it no later. Decoding gives the text back, but for U+2581 itself,
-which becomes a space.
+Defined results: a null or empty text has no pieces and the score 0; repeated rows are encoded each; other columns,
+whatever their names, are not read; an empty table gives no rows. Of best paths with equal scores the one whose first
+piece is shorter is taken, then the second, and so on, whatever the length of the word; among the others the search
+follows the path it met last, so that a long word of many equal paths ends it no later. Decoding gives the text back,
+but for U+2581 itself, which becomes a space. A model with a piece that holds a blank after another character is refused.
 """
 
 from __future__ import annotations
@@ -54,6 +56,8 @@ class Pieces:
             else:
                 self.id[text], self.score[text] = i, model.get_score(i)
                 shown.append(text.replace(BLANK, " ").encode())
+        if any(BLANK in t.lstrip(BLANK) for t in self.id):
+            raise ValueError("a piece holds a blank after another character, so words are no lattices of their own")
         self.unknown = model.unk_id()
         self.longest = max(map(len, self.id), default=1)
         self.floor = min(self.score.values(), default=0.0) - 10
@@ -118,6 +122,26 @@ class Pieces:
                 heapq.heappush(heap, (-(best[a] + s + done), -met, a, s + done, (ids, path)))
         return found
 
+    def best_path(self, text: str) -> tuple[int, ...]:
+        """The best path; of equal ones that with the shortest first piece, then second, and so on."""
+        into, size = self.edges(text), len(text)
+        ahead, step = [float("-inf")] * size + [0.0], [(size, ())] * size
+        for b in range(size, 0, -1):
+            for a, s, ids in into[b]:
+                through = ahead[b]
+                if len(ids) > 1 or b == a + 1 and text[a] not in self.score:  # as many edges of bytes
+                    for _ in ids:
+                        through = self.byte_score + through
+                else:
+                    through = s + through
+                if through >= ahead[a]:
+                    ahead[a], step[a] = through, (b, ids)
+        out, a = [], 0
+        while a < size:
+            a, ids = step[a]
+            out += ids
+        return tuple(out)
+
     def others(self, chunk: bytes, best: bytes, n: int) -> tuple[tuple, tuple]:
         """Losses and ids of the best paths but ``best``, by the search."""
         key = (chunk, n)
@@ -147,8 +171,9 @@ class Pieces:
                         out[j] = x
             else:
                 for j in rows:
-                    paths = self.nbest(chunks[j].decode("utf-8", "surrogatepass").replace(" ", BLANK), 2)
-                    out[j] = (np.array(paths[0][1], "<u4").tobytes(), paths[0][0], paths[0][0] - paths[1][0] if len(paths) > 1 else np.inf)
+                    text = chunks[j].decode("utf-8", "surrogatepass").replace(" ", BLANK)
+                    paths = self.nbest(text, 2)
+                    out[j] = (np.array(self.best_path(text), "<u4").tobytes(), paths[0][0], paths[0][0] - paths[1][0] if len(paths) > 1 else np.inf)
         return out
 
     def _together(self, text: np.ndarray) -> list[tuple[bytes, float, float]]:

@@ -9,8 +9,9 @@ It is fitted by logistic loss on at most ``PER_CLASS`` labelled rows of each cla
 hashed doc_id; their features, not their texts, reach the driver. Rows are scored in Arrow batches.
 
 Defined results: a null or empty text has no words and the statistics of an empty text; labels other
-than 0 and 1 are left out; without a label of both classes every score is the share of label 1 (0.5
-without any label); repeated rows are scored each.
+than 0 and 1 are left out, and so is a doc_id with both; without a label of both classes every score is the share of
+label 1 (0.5 without any label); repeated rows are scored each, and learnt from each if their doc_id is labelled. Other
+columns, whatever their names, are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -19,10 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ngrams import LETTERS, lowered, rows_of
+from .shared import smallest
 from .text import flat, slices, word_bounds, word_hashes
 
 PER_CLASS, BITS, BINS, RANK, ROUNDS = 4096, 16, 16, 8, 12
@@ -138,8 +140,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn, per_class: int = PE
     size = (1 << BITS) + (len(STATISTICS) + len(metadata)) * (BINS + 1)
     rows = docs.select("doc_id", "text", *metadata)
     ranked = labels.select("doc_id", F.col("quality").cast("int").alias("label")).filter(F.col("label").isin(0, 1) & learn(F.col("doc_id")))
-    first = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = ranked.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= per_class).select("doc_id", "label")
+    sure = ranked.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other")).filter("label = other").select("doc_id", "label")
+    chosen = smallest(sure, "label", "doc_id", per_class)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

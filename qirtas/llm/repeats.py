@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import drop_table, join_split, partitions, release, write_table
+from .shared import drop_table, join_split, partitions, release, sifted, write_table
 from .text import U, flat, mix, ranges, row_windows, sliding_min, slices, window_hashes, word_bounds, word_hashes
 
 LENGTH, GRAM = 50, 16
@@ -296,7 +296,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     drop_table(flagged)
     release(spark)
 
-    edges = docs.join(once, "doc_id").select("doc_id", "text", "sha", "wanted", "nth")
+    edges = sifted(docs, once.select("doc_id"), "doc_id").join(once, "doc_id").select("doc_id", "text", "sha", "wanted", "nth")
     edges = edges.mapInArrow(_edges(length), "doc_id long, sha string, text string, nth int, pos binary, h binary, link binary")
     edges = write_table(edges, "repeat-texts")
     drop_table(once)

@@ -6,18 +6,24 @@ import gc
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+SIEVE = 26  # a filter of 8 MB
 HOT_KEYS, FEW = 10_000, 100  # a key with more rows than the HOT_KEYSth part of all (and than FEW) is hot
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; only where it is unset (tests) a folder of our own."""
+    """The cluster's ``spark.checkpoint.dir``. Where it is unset, a folder of our own if everything runs on this machine
+    (tests), else an error: executors elsewhere would not see it."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = getattr(spark, "_qirtas_shared", None)
         if base is None:
+            if not spark.sparkContext.master.startswith("local["):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             base = "file://" + tempfile.mkdtemp(prefix="qirtas-")
             spark.sparkContext.setCheckpointDir(base)
             spark._qirtas_shared = base
@@ -39,6 +45,11 @@ def write_table(df: DataFrame, name: str, codec: str | None = None) -> DataFrame
     return out
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, under which their names clash with nothing."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])
+
+
 def drop_table(df: DataFrame) -> None:
     """Delete a table of ``write_table`` that no later step reads."""
     path = getattr(df, "_qirtas_path", None)
@@ -70,3 +81,36 @@ def join_split(rows: DataFrame, keyed: DataFrame, key: str, count: str = "rows")
     most = max(FEW, total // HOT_KEYS)
     hot, cold = F.broadcast(keyed.filter(F.col(count) > most).drop(count)), keyed.filter(F.col(count) <= most).drop(count)
     return rows.join(hot, key).unionByName(rows.join(F.broadcast(keyed.filter(F.col(count) > most).select(key)), key, "left_anti").join(cold, key))
+
+
+def in_sieve(keys: DataFrame, key: str) -> Column:
+    """Whether a row's ``key`` may be among ``keys``, by a filter of fixed size on every task; some others get through, the
+    more the more keys there are. For use before a join that shuffles."""
+    spark, bits = keys.sparkSession, np.zeros(1 << (SIEVE - 6), np.uint64)
+    at = keys.select(F.xxhash64(key).bitwiseAND((1 << SIEVE) - 1).alias("b")).select(F.shiftright("b", 6).alias("w"), F.expr("shiftleft(1L, cast(b & 63 as int))").alias("v"))
+    got = at.groupBy("w").agg(F.bit_or("v").alias("v")).toArrow()  # 64 keys and more a row, 2**20 rows at most
+    bits[got.column("w").to_numpy()] = got.column("v").to_numpy().view(np.uint64)
+    sent = spark.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def there(hashed: pd.Series) -> pd.Series:
+        b = hashed.to_numpy().astype(np.int64)
+        return pd.Series((sent.value[b >> 6] >> (b & 63).astype(np.uint64)) & np.uint64(1) == 1)
+
+    return there(F.xxhash64(key).bitwiseAND((1 << SIEVE) - 1))
+
+
+def sifted(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    return rows.filter(in_sieve(keys, key))
+
+
+def smallest(rows: DataFrame, group: str, key: str, n: int) -> DataFrame:
+    """At most ``n`` rows of each group, those whose key has the smallest hash. Only a few more than that are shuffled: those
+    below the hash that so many rows of a group of its size stay under (with less than n kept by a chance of about
+    1e-20)."""
+    hashed = F.xxhash64(key).bitwiseAND((1 << 62) - 1)
+    sizes = rows.groupBy(group).agg(F.count("*").alias("_rows"))
+    share = F.lit(n + 10 * n**0.5 + 50) / F.col("_rows")
+    few = rows.withColumn("_hash", hashed).join(sizes, group).filter((F.col("_rows") <= 4 * n) | (F.col("_hash") < share * float(1 << 62)))
+    first = Window.partitionBy(group).orderBy("_hash", key)
+    return few.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= n).drop("_n", "_rows", "_hash")

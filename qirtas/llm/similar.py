@@ -36,19 +36,17 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import drop_table, join_split, partitions, release, write_table
+from .shared import drop_table, join_split, partitions, release, sifted, write_table
 from .text import U, flat, give_back, mix, ranges, row_windows, slices, window_hashes, word_bounds, word_hashes
 
 SHORT, BLOCK, BLOCK_SHINGLES, HOT_IN_BATCH, HOT_MOST = 32, 1024, 1 << 20, 4, 1 << 18
 STEPS, BLOCKS_A_CLASS = 3, 1 << 20  # size classes in a step of the similarity; numbers of blocks kept apart by class
 HELD_PAIRS, HELD_SHINGLES, COUNTED_SHINGLES = 1 << 19, 1 << 20, 1 << 22
-SIEVE = 26  # a filter of 8 MB
 PLUS = 8  # l is one in so many shingles
 
 
@@ -343,20 +341,6 @@ def _able(rows: DataFrame) -> DataFrame:
     return rows.join(least, "g").filter(F.col("could") >= there).drop("parts", "could", "l")
 
 
-def sieve_of(keys: DataFrame) -> np.ndarray:
-    """Bits of the keys, 2 ** ``SIEVE`` at all; 64 a row reach the driver."""
-    rows = keys.select(F.col("key").bitwiseAND((1 << SIEVE) - 1).alias("b")).select(F.shiftright("b", 6).alias("w"), F.expr("shiftleft(1L, cast(b & 63 as int))").alias("v"))
-    got = rows.groupBy("w").agg(F.bit_or("v").alias("v")).toArrow()
-    out = np.zeros(1 << (SIEVE - 6), U)
-    out[got.column("w").to_numpy()] = got.column("v").to_numpy().view(U)
-    return out
-
-
-def in_sieve(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    b = keys.astype(np.int64).view(U) & U((1 << SIEVE) - 1)
-    return (bits[(b >> U(6)).astype(np.int64)] >> (b & U(63))) & U(1) == 1
-
-
 def _tasks(member: DataFrame) -> DataFrame:
     """``node, key, tasks`` of members (g, node, key, n, class): a group of at most ``BLOCK`` nodes is one task, a larger one
     a task for each two blocks of it whose size classes can meet."""
@@ -429,14 +413,7 @@ def similar_components(docs: DataFrame, percent: int = 75, k: int = 5) -> DataFr
     # distinct groups of equal members but another name cost a search more, no link
     wanted = _tasks(member)
 
-    # Texts that no group wants stay where they are, as far as a filter of fixed size can tell.
-    sieve = spark.sparkContext.broadcast(sieve_of(wanted.select("key")))
-
-    @F.pandas_udf("boolean")
-    def may_be_wanted(key: pd.Series) -> pd.Series:
-        return pd.Series(in_sieve(sieve.value, key.to_numpy()))
-
-    members = docs.filter(may_be_wanted("key")).join(wanted.hint("merge"), "key").select("node", "text", F.explode("tasks").alias("t"))
+    members = sifted(docs, wanted.select("key"), "key").join(wanted.hint("merge"), "key").select("node", "text", F.explode("tasks").alias("t"))
     members = members.select("t.g", "t.i", "t.j", "t.own", "node", "text").repartition(buckets, "g", "i", "j").sortWithinPartitions("g", "i", "j", "own", "node")
     links = write_table(members.mapInArrow(lambda it: group_links(it, percent, k), "u long, v long"), "similar-links")
     release(spark)

@@ -5,7 +5,8 @@ tokens, the share of documents no longer than it (the length is every quantile u
 the corpus total if each document were cut to it. The table has at most as many rows as the longest
 document has tokens; the running sums go over those rows only, never over documents.
 
-Defined results: a null or empty text has length 0; an empty table gives no rows.
+Defined results: a null or empty text has length 0; repeated rows count each; other columns, whatever their names, are not
+read; an empty table gives no rows.
 """
 
 from __future__ import annotations

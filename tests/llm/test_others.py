@@ -273,3 +273,115 @@ def test_pipeline(spark, make, odd_rows):
     assert cut[51].text == other and cut[51].n_chars == len(other) and cut[50].text == rows[-3][1]
     assert stages["source_mix"](spark, once, "").columns == docs.columns
     assert stages["pieces"](spark, once, "").filter(F.col("n_pieces") > 0).count() == 7
+
+
+CLASHES = ("_id", "_n", "_sha", "_kept", "_draws", "_words", "_key", "_shard", "_order", "row", "key", "own", "kept", "times", "there", "words", "node", "g", "h", "n", "bucket", "block", "label", "score", "src", "size", "draws", "a b", "x.y")
+
+
+def with_clashes(docs):
+    return docs.select("*", *[F.lit(c).alias(c) for c in CLASHES])
+
+
+def test_stages_pass_clashing_columns_on(spark, make, odd_rows):
+    import corpus_pipeline
+
+    docs = with_clashes(make(odd_rows + [(60, " ".join(f"p{i}" for i in range(70)), None, "a"), (61, " ".join(["x", *(f"p{i}" for i in range(70)), *(f"y{i}" for i in range(60))]), "en", "a")]))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        rows = out.collect()
+        assert out.columns == docs.columns and rows, name
+        assert all(r[c] == c for r in rows for c in CLASHES), name
+        assert stage(spark, docs.limit(0), "").collect() == [], name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == 13
+
+
+def test_operators_ignore_clashing_columns(spark, make, odd_rows):
+    from qirtas.llm import language, quality, repeats, similar
+
+    plain, docs = make(odd_rows), with_clashes(make(odd_rows))
+    labels = spark.createDataFrame([(2, 1), (4, 1), (5, 0), (5, 1), (6, 0), (None, 1), (8, None), (9, 7)], "doc_id long, quality int")
+    path = vocabulary(VOCABULARY)
+    for run in (
+        lambda d: repeats.remove_repeats(d), lambda d: similar.similar_components(d), lambda d: language.predict_language(d, lambda i: i.isNotNull()), lambda d: quality.score_quality(d, labels, lambda i: i.isNotNull()),
+        lambda d: mixing.mix_sources(d, shards=2), lambda d: token_counts.token_counts(d, path), lambda d: pieces.piece_summary(d, vocabulary(PIECES)),
+        lambda d: winnowing.fingerprints(d.filter("doc_id is not null and doc_id <> 6")), lambda d: token_files.read_token_files(spark, *token_files.write_token_files(d, path, end_id=2)),
+    ):
+        assert sorted(map(str, run(docs).collect())) == sorted(map(str, run(plain).collect()))
+
+
+def test_likeness_of_edited_texts(make):
+    rows = [(1, "the quick brown fox jumps over the lazy dog and runs away " * 20), (2, "something else entirely without any likeness whatever to it " * 20), (3, None)]
+    got = {r.doc_id: r for r in winnowing.fingerprints(make(rows)).collect()}
+    assert 0.3 < got[1].near_edited <= 1 and got[1].near_next < 0.1 and all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got.values())
+
+
+def test_draws_follow_the_distribution():
+    rng = np.random.default_rng(4)
+    for good, bad, n in ((5, 7, 4), (50, 3, 20), (1000, 4000, 900), (4, 0, 3), (0, 5, 2)):
+        x = np.array([mixing.hypergeometric(rng, good, bad, n) for _ in range(3000)])
+        all_ = good + bad
+        var = n * good * bad * (all_ - n) / (all_**2 * max(all_ - 1, 1))
+        assert abs(x.mean() - n * good / all_) <= 5 * (var / 3000) ** 0.5 + 1e-9 and abs(x.var() - var) <= 0.15 * var + 1e-9
+        assert x.min() >= max(0, n - bad) and x.max() <= min(n, good)
+    q = mixing.split_quotas([10**11, 5, 3 * 10**10], 6, 2)
+    assert q.sum(axis=1).tolist() == [10**11, 5, 3 * 10**10] and np.ptp(q.sum(axis=0)) <= 3 and q.min() >= 0
+
+
+def test_targets_and_sizes_against_sql(spark, make, odd_rows):
+    """Sizes and targets by DuckDB, where no target is cut."""
+    import duckdb
+
+    rows = [r for r in odd_rows if r[0] not in (4, 5)] + [(90, "w " * 40, "en", None)] + [(20 + i, "w " * (50 + i % 7), "en", "abc"[i % 3]) for i in range(60)]
+    con = duckdb.connect()
+    con.execute("create table d (doc_id bigint, text varchar, source varchar)")
+    con.executemany("insert into d values (?, ?, ?)", [(r[0], r[1], r[3]) for r in rows])
+    want = con.execute("""with s as (select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) as size from d), t as (select source, sum(size) as source_size, row_number() over (order by source nulls last) as k from s group by 1),
+      w as (select *, [5, 2, 1][(k - 1) % 3 + 1] as w from t), a as (select *, w / sum(w) over () * sum(source_size) over () as target from w) select doc_id, size, source_size, target from s join a on s.source is not distinct from a.source""").fetchall()
+    got = mixing.mix_sources(make(rows), cap=1e9, shards=4).select("doc_id", "size", "source_size", "target").collect()
+    near = lambda x: (str(x[0]), x[1], x[2], round(x[3], 6))
+    assert sorted(map(near, got)) == sorted(map(near, want))
+
+
+def test_the_best_path_does_not_depend_on_the_length(monkeypatch):
+    """Words of 24 and 25 bytes, many of them with paths of equal scores, solved together and one by one."""
+    p, rng = pieces.Pieces(vocabulary(PIECES)), random.Random(9)
+    words = [(" " + "".join(rng.choice(parts) for _ in range(40)))[:n].encode() for n in (5, 23, 24, 25, 26) for parts in ("ab", "aaab", "ththe", "0123", "#") for _ in range(12)]
+    words += [(" " + "é" * 12).encode()[:25], (" 漢" * 1 + "字" * 7).encode()]
+    monkeypatch.setattr(pieces, "TOGETHER", 64)
+    together = p.solve(words)
+    monkeypatch.setattr(pieces, "TOGETHER", 0)
+    for w, a, b in zip(words, together, p.solve(words), strict=True):
+        assert a[0] == b[0] and a[1:] == pytest.approx(b[1:]), w
+
+
+def test_neighbours_in_several_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(7, x[7].tolist()), (500, [None] * 16), (600, [1.0] * 15 + [None])]
+    t = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    run = lambda: sorted(map(tuple, ann.nearest(t, t.filter("vec_id % 20 = 0")).collect()))
+    whole = run()
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 6)
+    assert run() == whole and len(whole) == 20 * 10
+
+
+def test_hot_keys_are_joined_whole(spark):
+    from qirtas.llm import shared
+
+    rows = shared.write_table(spark.range(5000).select((F.when(F.col("id") < 4000, 1).otherwise(F.col("id") % 50 + 2)).alias("k"), "id"), "hot-rows")
+    keyed = shared.write_table(rows.groupBy("k").agg(F.count("*").alias("rows"), F.min("id").alias("m")), "hot-keys")
+    got = shared.join_split(rows, keyed, "k")
+    assert got.columns == ["k", "id", "m"] and sorted(map(tuple, got.collect())) == sorted(map(tuple, rows.join(keyed.drop("rows"), "k").collect()))
+    few = shared.smallest(rows, "k", "id", 100).groupBy("k").count().collect()
+    assert {r.k: r["count"] for r in few} == {k: 100 if k == 1 else 20 for k in range(1, 52)}
+    assert shared.sifted(rows, rows.filter("id < 3"), "id").filter("id < 3").count() == 3
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from qirtas.llm import shared
+
+    far = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://x"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared.shared_dir(far)
