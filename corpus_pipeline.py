@@ -12,7 +12,7 @@ from qirtas.llm.mixing import mixed_documents
 from qirtas.llm.pieces import piece_summary
 from qirtas.llm.queries import PIECES, remainder, table, vocabulary
 from qirtas.llm.repeats import remove_repeats
-from qirtas.llm.shared import write_table
+from qirtas.llm.shared import in_sieve, whole_row, write_table
 from qirtas.llm.similar import similar_components
 
 SEPARATORS = r"[\x20\x09-\x0D]+"
@@ -21,41 +21,60 @@ SURE = 0.8  # score from which a predicted language is taken for a missing one
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a letter, whether or not a model could be fitted. A null language becomes the
-    predicted one if its score is at least ``SURE``; others stay as they are, so no clean text is lost to a guess."""
-    out = predict_language(docs, lambda d: remainder(d, 4) != 2, keep=docs.columns).toDF("_id", "_pred", "_score", *docs.columns)
-    out = out.filter((F.col("_pred") != UNKNOWN) | F.col("text").rlike(r"\p{L}"))
-    found = F.when((F.col("_pred") != UNKNOWN) & (F.col("_score") >= SURE), F.col("_pred"))
-    return out.withColumn("lang", F.coalesce("lang", found)).select(*docs.columns)
+    predicted one if its score is at least ``SURE``; others stay as they are, so no clean text is lost to a guess.
+
+    A null or empty text has no letter and goes; repeated rows stay, each; null doc_ids stay; extra columns, whatever
+    their names, are passed on; an empty table gives no rows."""
+    out = predict_language(docs, lambda d: remainder(d, 4) != 2, keep=docs.columns)
+    out = out.filter((F.col("lang_pred") != UNKNOWN) | F.col("row.text").rlike(r"\p{L}"))
+    found = F.when((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= SURE), F.col("lang_pred"))
+    return out.select(F.col("row").withField("lang", F.coalesce("row.lang", found)).alias("row")).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are alike, directly or through others, the one with the smallest doc_id stays."""
+    """Of documents that are alike, directly or through others, the one with the smallest doc_id stays.
+
+    Documents without words are like nothing and stay; of rows with one doc_id that are all to stay, those with equal
+    texts are one; a null doc_id stays only where no other of its group has one; extra columns, whatever their names, are
+    passed on; an empty table gives no rows."""
     found = similar_components(docs)
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_n"))
-    rows = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")))
-    once = rows.filter("_n = 1").select(*docs.columns)
-    return once.unionByName(rows.filter("_n > 1").dropDuplicates(["doc_id", "text"]).select(*docs.columns))
+    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("key")).agg(F.count("*").alias("times"))
+    rows = docs.select(F.col("doc_id").alias("own"), whole_row(docs).alias("row")).join(stay, F.col("own").eqNullSafe(F.col("key")))
+    once = rows.filter("times = 1").select("row.*")
+    return once.unionByName(rows.filter("times > 1").withColumn("text", F.col("row.text")).dropDuplicates(["own", "text"]).select("row.*"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words and more stay in the document with the smallest doc_id; a document of which
-    nothing is left goes."""
-    changed = remove_repeats(docs).filter("kept is not null").select(F.col("doc_id").alias("_id"), F.col("words_sha256").alias("_sha"), F.col("kept").alias("_kept")).dropDuplicates(["_id", "_sha"])
-    words = F.sha2(F.trim(F.regexp_replace("text", SEPARATORS, " ")), 256)
-    out = docs.withColumn("_words", words).join(changed, (F.col("doc_id") == F.col("_id")) & (F.col("_words") == F.col("_sha")), "left")
-    out = out.filter("_kept is null or _kept <> ''").withColumn("text", F.coalesce("_kept", "text"))
+    nothing is left goes.
+
+    Null, empty and short texts stay as they are, and so do rows with a null doc_id; repeated rows are changed each;
+    ``n_chars``, where there is one, follows a changed text; extra columns, whatever their names, are passed on; an empty
+    table gives no rows. Only documents that may have changed are shuffled."""
+    changed = remove_repeats(docs).filter("kept is not null").select(F.col("doc_id").alias("key"), F.col("words_sha256").alias("sha"), "kept").dropDuplicates(["key", "sha"])
+    changed = write_table(changed, "stage-changed")
+    packed = docs.select(F.col("doc_id").alias("own"), whole_row(docs).alias("row"))
+    packed = packed.withColumn("there", in_sieve(changed.select(F.col("key").alias("own")), "own"))
+    rest = packed.filter("not there").select("row")
+    words = F.sha2(F.trim(F.regexp_replace("row.text", SEPARATORS, " ")), 256)
+    out = packed.filter("there").withColumn("words", words).join(changed, (F.col("own") == F.col("key")) & (F.col("words") == F.col("sha")), "left")
+    row = F.col("row").withField("text", F.coalesce("kept", "row.text"))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("_kept")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        row = row.withField("n_chars", F.when(F.col("kept").isNull(), F.col("row.n_chars")).otherwise(F.length("kept")).cast(docs.schema["n_chars"].dataType))
+    out = out.filter("kept is null or kept <> ''").select(row.alias("row"))
+    return rest.select("row.*").unionByName(out.select("row.*"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources by weight; a document comes as often as the mix draws it."""
+    """Sources by weight; a document comes as often as the mix draws it.
+
+    Documents without words are never drawn; a null source is one of its own; repeated rows are drawn alike; extra
+    columns, whatever their names, are passed on; an empty table gives no rows."""
     return mixed_documents(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of every document, with the scores of its best segmentations."""
+    """Pieces of every document, with the scores of its best segmentations; null and empty texts have none."""
     return piece_summary(docs, vocabulary(PIECES))
 
 
