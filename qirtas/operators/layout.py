@@ -37,11 +37,11 @@ def expanded(x1, y1, x2, y2, width, height) -> Column:
 
 
 def line_boxes(lines: DataFrame) -> DataFrame:
-    """Equal slices of a block's box for its lines: columns line_index, n_lines, x1, y1, x2, y2."""
-    step = (F.col("y2") - F.col("y1")) / F.col("n_lines")
-    top = F.floor(F.col("y1") + step * F.col("line_index"))
-    end = F.when(F.col("line_index") == F.col("n_lines") - 1, F.col("y2")).otherwise(F.floor(F.col("y1") + step * (F.col("line_index") + 1)))
-    return lines.withColumn("line_y1", top.cast("int")).withColumn("line_y2", end.cast("int"))
+    """Equal slices of a block's box for its lines, one pixel high at least: columns line_index, n_lines, x1, y1, x2, y2."""
+    step = F.greatest(F.col("y2") - F.col("y1"), F.lit(1)) / F.col("n_lines")
+    edge = lambda i: F.floor(F.col("y1") + i * step).cast("int")
+    top = edge(F.col("line_index"))
+    return lines.withColumn("line_y1", top).withColumn("line_y2", F.greatest(edge(F.col("line_index") + 1), top + 1))
 
 
 def upscaled(width: Column, height: Column, most: int = 3072) -> Column:
