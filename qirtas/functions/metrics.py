@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .fields import articles, case_numbers, dates
-from .text import ARABIC, EASTERN, WESTERN, full_lines, let, squeeze, strip, text_of, tokens, unix_lines
+from .text import ARABIC, EASTERN, WESTERN, full_lines, let, squeeze, strip, strip_end, text_of, tokens, unix_lines
 from .udfs import rtl_ratio
 
 # Replies of recognition models that found no text.
@@ -91,7 +91,7 @@ def _no_text_reply(t: Column) -> Column:
 def without_replies(c: Column) -> Column:
     """Lines that are no such reply, right-stripped, at most one blank line in a row."""
     kept = F.filter(F.split(unix_lines(text_of(c)), "\n"), lambda x: ~no_text_reply(x))
-    text = F.array_join(F.transform(kept, lambda x: F.regexp_replace(x, r"(?U)\s+\z", "")), "\n")
+    text = F.array_join(F.transform(kept, strip_end), "\n")
     return F.regexp_replace(strip(text), "\n{3,}", "\n\n")
 
 

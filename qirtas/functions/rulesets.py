@@ -20,7 +20,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .metrics import any_of, contains_arabic, count_of, quality_status, weird_ratio
-from .text import clean_arabic, let, lines, replace_all, strip, text_of, tokens, unix_lines
+from .text import clean_arabic, let, lines, replace_all, strip, strip_end, text_of, tokens, unix_lines
 from .udfs import nfc, nfkc
 
 Pairs = Iterable[tuple[str, str]]
@@ -206,7 +206,7 @@ def transcript_form(c: Column) -> Column:
 def polished_transcript(c: Column, corrections: Pairs = (), left_out: Iterable[str] = APPEAL_LEFT_OUT) -> Column:
     """A checked transcript without letterhead lines, corrected, no space before marks."""
     kept = F.filter(lines(text_of(c)), lambda x: ~strip(x).isin(*left_out))
-    t = F.array_join(F.transform(kept, lambda x: _sub(x, r"\s+\z", "")), "\n")
+    t = F.array_join(F.transform(kept, strip_end), "\n")
     t = _blanks(replace_all(t, corrections), 1)
     return strip(F.regexp_replace(F.regexp_replace(t, " ([؟،.])", "$1"), "\n{3,}", "\n\n"))
 

@@ -21,6 +21,7 @@ ARABIC = "[؀-ۿݐ-ݿࢠ-ࣿﭐ-﷿ﹰ-﻿]"
 EASTERN, WESTERN = "٠١٢٣٤٥٦٧٨٩", "0123456789"
 CONSONANTS = "بتثجحخدذرزسشصضطظعغفقكمنهوي"
 COMMON_PAIRS = ("لا", "ال", "من", "عل", "في", "با", "تا")
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\u0085  ]"
 
 
@@ -34,7 +35,12 @@ def let(c: Column, body) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+\z", "")
+    """Without white space at either end; looks at the ends only."""
+    return F.btrim(c, F.lit(SPACES))
+
+
+def strip_end(c: Column) -> Column:
+    return F.rtrim(c, F.lit(SPACES))
 
 
 def squeeze(c: Column) -> Column:
@@ -48,8 +54,7 @@ def tokens(c: Column) -> Column:
 
 def lines(c: Column) -> Column:
     """As Python's splitlines, without the empty last line."""
-    parts = F.split(c, LINE_END)
-    return F.when(c == "", F.array().cast("array<string>")).otherwise(F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts))
+    return F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(F.regexp_replace(c, rf"(?:{LINE_END})\z", ""), LINE_END))
 
 
 def unix_lines(c: Column) -> Column:
@@ -58,7 +63,7 @@ def unix_lines(c: Column) -> Column:
 
 def full_lines(c: Column) -> Column:
     """Stripped lines that are not blank."""
-    return F.filter(F.transform(lines(c), strip), lambda x: x != "")
+    return F.filter(F.transform(F.split(c, LINE_END), strip), lambda x: x != "")
 
 
 def compose(c: Column) -> Column:

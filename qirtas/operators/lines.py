@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from qirtas.functions.metrics import any_of
 from qirtas.functions.rulesets import is_article_heading
-from qirtas.functions.text import eastern_digits, full_lines, strip, text_of, unix_lines
+from qirtas.functions.text import eastern_digits, full_lines, strip, strip_end, text_of, unix_lines
 
 # Lines that scanners and recognition models leave, with their labels.
 ARTIFACTS = (
@@ -25,10 +25,11 @@ ARTIFACTS = (
 
 def line_table(pages: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """A row a non-blank line: keys, its index from 0, the number of such lines on the page, its text. The text is
-    split once a page and goes no further than that."""
+    split once a page and goes no further than that: the rows are taken out by an outer generator, as the optimiser would
+    put a test for empty arrays, with the split once more for each line, below an inner one."""
     split = pages.select(*keys, full_lines(text_of(text)).alias("_lines"))
     rows = F.transform("_lines", lambda line, i: F.struct(F.size("_lines").cast("long").alias("total_lines"), i.cast("long").alias("line_index"), line.alias("line")))
-    return split.select(*keys, rows.alias("_lines")).select(*keys, F.inline("_lines"))
+    return split.select(*keys, rows.alias("_lines")).select(*keys, F.inline_outer("_lines")).filter("line_index is not null")
 
 
 def artifact_label(line: Column) -> Column:
@@ -46,7 +47,7 @@ def without_artifacts(c: Column) -> Column:
     """Struct of the page's text without artifact lines and their labels, one a line removed."""
     own = F.split(unix_lines(text_of(c)), "\n")
     kept = F.filter(own, lambda x: ~has_artifact(x))
-    text = F.array_join(F.transform(kept, lambda x: F.regexp_replace(x, r"(?U)\s+\z", "")), "\n")
+    text = F.array_join(F.transform(kept, strip_end), "\n")
     return F.struct(strip(F.regexp_replace(text, "\n{3,}", "\n\n")).alias("text"), F.array_compact(F.transform(own, artifact_label)).alias("labels"))
 
 

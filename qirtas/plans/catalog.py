@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import casefiles, collections, corpus, measures
+from . import casefiles, collections, corpus, measures, sheets
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-for module in (measures, corpus, casefiles, collections):
+for module in (measures, corpus, casefiles, collections, sheets):
     QUERIES |= module.QUERIES
     ORACLES |= module.ORACLES

@@ -71,11 +71,6 @@ def doc_field_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.groupBy("lang").agg(F.count("*").alias("docs"), F.sum(F.size(fields.case_numbers(body())).cast("long")).alias("case_numbers"), F.sum(F.size(fields.dates(body())).cast("long")).alias("dates"))
 
 
-@register(QUERIES, ORACLES, f"select doc_id, line_index, line from (select doc_id, unnest(range(0, len(ls))) as line_index, unnest(ls) as line from (select doc_id, {full_lines('text')} as ls from documents)) where {reply('line')}")
-def reply_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.line_table(docs(spark, sf_dir), ["doc_id"]).filter(metrics.no_text_reply(F.col("line"))).select("doc_id", "line_index", "line")
-
-
 KEPT = rf"array_to_string(list_transform(list_filter(string_split(text, chr(10)), lambda x: not {reply('x')}), lambda x: regexp_replace(x, '\s+$', '')), chr(10))"
 
 
