@@ -27,10 +27,10 @@ from pyspark.sql import types as T
 
 from .ngrams import LETTERS, gram_codes, lowered, rows_of
 from .shared import smallest
-from .text import flat, slices
+from .text import flat, give_back, slices
 
 PER_LANG, LANDMARKS, SIZES, RIDGE = 1024, 256, (2, 3, 4), 1e-3
-HASHED = 1 << 16
+HASHED, CUT = 1 << 16, 1 << 10
 UNKNOWN = "und"
 
 
@@ -46,10 +46,6 @@ def marks(data: np.ndarray, off: np.ndarray, slot: np.ndarray, width: int) -> np
     return out
 
 
-def presence(data: np.ndarray, off: np.ndarray, slot: np.ndarray, width: int) -> np.ndarray:
-    return marks(data, off, slot, width).astype(np.float32)
-
-
 def has_letter(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     total = np.concatenate([[0], np.cumsum(LETTERS[data])])
     out = np.diff(total[off]) > 0
@@ -66,14 +62,27 @@ def cut_up(texts: pa.Array, rows: int = 64) -> Iterator[tuple[int, int, np.ndarr
             yield x, y, data[offsets[x] : offsets[y]], offsets[x : y + 1] - offsets[x]
 
 
-def kernel(x: np.ndarray, z: np.ndarray) -> np.ndarray:
-    size = lambda m: np.sqrt(np.maximum(m.sum(axis=1), 1))
-    return (x @ z.T) / size(x)[:, None] / size(z)[None, :]
+def common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many n-grams each two sets, given as bits, have in common; a few rows and columns are unpacked at a time."""
+    out = np.zeros((len(a), len(b)))
+    for c in range(0, a.shape[1], CUT):
+        right = np.unpackbits(b[:, c : c + CUT], axis=1).astype(np.float32).T
+        for r in range(0, len(a), 256):
+            out[r : r + 256] += np.unpackbits(a[r : r + 256, c : c + CUT], axis=1).astype(np.float32) @ right
+    return out
+
+
+def roots(sets: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum(np.bitwise_count(sets).sum(axis=1, dtype=np.int64), 1))
+
+
+def kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return common(a, b) / roots(a)[:, None] / roots(b)[None, :]
 
 
 def fit(packed: np.ndarray, langs: list[str], landmarks: int, seed: int = 5) -> tuple[np.ndarray, list[str]] | None:
     """The product of landmarks and weights (hashed n-grams x languages), languages.
-    ``packed``: the labelled rows' sets, a bit an n-gram; they are unpacked a few rows at a time."""
+    ``packed``: the labelled rows' sets, a bit an n-gram."""
     names = sorted(set(langs))
     if not names:
         return None
@@ -81,17 +90,17 @@ def fit(packed: np.ndarray, langs: list[str], landmarks: int, seed: int = 5) ->
     rng = np.random.default_rng(seed)
     own = [rng.permutation(np.flatnonzero(y[:, j] > 0)) for j in range(len(names))]
     chosen = np.array([i for turn in range(landmarks) for o in own if turn < len(o) for i in [o[turn]]][:landmarks])
-    sets = lambda rows: np.unpackbits(rows, axis=1).astype(np.float32)
-    z = sets(packed[chosen])
-    values, vectors = np.linalg.eigh(kernel(z, z).astype(float))
-    keep = values > 1e-6
-    white = vectors[:, keep] / np.sqrt(values[keep])
-    phi = np.concatenate([kernel(sets(packed[i : i + 128]), z) for i in range(0, len(packed), 128)]) @ white
+    z = packed[chosen]
+    found, vectors = np.linalg.eigh(kernel(z, z))
+    keep = found > 1e-6
+    white = vectors[:, keep] / np.sqrt(found[keep])
+    phi = kernel(packed, z) @ white
     weight = len(langs) / (len(names) * np.maximum((y > 0).sum(axis=0), 1))
     each = np.array([weight[names.index(lang)] for lang in langs])[:, None]
     w = np.linalg.solve(phi.T @ (phi * each) + RIDGE * len(langs) * np.eye(phi.shape[1]), phi.T @ (y * each))
-    scaled = z / np.sqrt(np.maximum(z.sum(axis=1), 1))[:, None]
-    return (scaled.T @ (white @ w).astype(np.float32)), names
+    scaled = ((white @ w) / roots(z)[:, None]).astype(np.float32)
+    product = [np.unpackbits(z[:, c : c + CUT], axis=1).astype(np.float32).T @ scaled for c in range(0, z.shape[1], CUT)]
+    return np.concatenate(product), names
 
 
 def values(sets: np.ndarray, product: np.ndarray) -> np.ndarray:
@@ -125,6 +134,8 @@ def predict_language(docs: DataFrame, learn, per_lang: int = PER_LANG, landmarks
     packed, langs = np.frombuffer(b"".join(b for _, b in got), np.uint8).reshape(len(got), HASHED // 8), [lang for lang, _ in got]
     del got
     sent = spark.sparkContext.broadcast(fit(packed, langs, landmarks))
+    del packed
+    give_back()
     keep = keep or []
     others = [c for c in keep if c not in ("doc_id", "text")]
 

@@ -91,6 +91,7 @@ def in_sieve(keys: DataFrame, key: str) -> Column:
     got = at.groupBy("w").agg(F.bit_or("v").alias("v")).toArrow()  # 64 keys and more a row, 2**20 rows at most
     bits[got.column("w").to_numpy()] = got.column("v").to_numpy().view(np.uint64)
     sent = spark.sparkContext.broadcast(bits)
+    del got, bits
 
     @F.pandas_udf("boolean")
     def there(hashed: pd.Series) -> pd.Series:
