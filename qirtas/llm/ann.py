@@ -5,8 +5,9 @@ scalars: the vector's length and the inner product of its direction with the cod
 product with the bits these give an unbiased estimate of the distance, and a bound on its error. A vector
 is compared in full only if its lower bound does not exceed the k-th smallest distance known so far.
 
-The queries are taken in blocks of a fixed number, each against all rows: a block is sent to the tasks,
-every task scans its rows' codes, keeps k of each query, and k rows a query and task are merged.
+Codes are made once and kept as a table beside their vectors. The queries are taken in blocks of a fixed number, each
+against all rows: a block is sent to the tasks, every task scans its rows' codes, keeps k of each query, and k rows a
+query and task are merged. Vectors are compared in batches, so a batch of which no code can be near is left at that.
 
 Defined results: vectors that are null, zero, of another length than most, or that hold a null or a
 non-finite number take no part; ties go to the smaller vec_id; fewer than k candidates give all of them;
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import write_table
+from .text import binary
 
 QUERY_BLOCK = 4096
 EPSILON = 4.0  # widths of the error bound: a true neighbour is lost with a chance of about 1 in 10,000
@@ -93,6 +95,15 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, seed: int = 11)
     for r in mean:
         center[r["i"]] = r["m"]
 
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, m = batch.column(0), _matrix(batch.column(1), dim)
+            for a in range(0, len(m), SCAN_ROWS):
+                bits, length, own = one_bit_codes(m[a : a + SCAN_ROWS], center, turn)
+                n = len(bits)
+                yield pa.RecordBatch.from_arrays([ids.slice(a, n), batch.column(1).slice(a, n), binary(bits.reshape(-1), np.full(n, bits.shape[1])), pa.array(length), pa.array(own)], ["vec_id", "v", "bits", "length", "own"])
+
+    coded = write_table(rows.mapInArrow(encode, "vec_id long, v array<double>, bits binary, length double, own double"), "ann-codes")
     blocks = max(1, -(-wanted.count() // QUERY_BLOCK))
     wanted = wanted.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
     found = None
@@ -110,9 +121,11 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, seed: int = 11)
             who = np.full((len(ids), k), np.iinfo(np.int64).max)
             for batch in batches:
                 v_ids, m = batch.column(0).to_numpy(), _matrix(batch.column(1), dim)
+                codes = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(len(m), -1)
+                lengths, owns = batch.column(3).to_numpy(), batch.column(4).to_numpy()
                 for a in range(0, len(m), SCAN_ROWS):
                     x, own_ids = m[a : a + SCAN_ROWS], v_ids[a : a + SCAN_ROWS]
-                    bits, length, own = one_bit_codes(x, center, turn)
+                    bits, length, own = codes[a : a + SCAN_ROWS], lengths[a : a + SCAN_ROWS], owns[a : a + SCAN_ROWS]
                     for b in range(0, len(ids), SCAN_QUERIES):
                         part = slice(b, b + SCAN_QUERIES)
                         low = distance_bounds(bits, length, own, turned[part])
@@ -130,7 +143,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, seed: int = 11)
             q, c = np.nonzero(np.isfinite(best))
             yield pa.RecordBatch.from_arrays([pa.array(ids[q]), pa.array(who[q, c]), pa.array(best[q, c])], ["query_id", "vec_id", "score"])
 
-        part = rows.mapInArrow(scan, schema)
+        part = coded.mapInArrow(scan, schema)
         first = Window.partitionBy("query_id").orderBy("score", "vec_id")
         part = part.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= k)
         part = write_table(part.select("query_id", "rank", "vec_id", "score"), "ann-block") if blocks > 1 else part.select("query_id", "rank", "vec_id", "score")

@@ -15,7 +15,7 @@ from array import array
 import numpy as np
 import pyarrow as pa
 
-from .text import _B, U, _SPACE, _powers, flat, give_back, mix, powers, ranges, slices
+from .text import _B, U, _SPACE, byte_sums, flat, give_back, mix, moved, ranges, slices
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 CACHE = 300_000  # chunks kept by a worker; when full it starts anew
@@ -47,7 +47,6 @@ def encoder(path: str) -> "Encoder":
 def forget() -> None:
     """Drop the worker's encoders and tables, where it goes on to other work."""
     _open.clear()
-    _powers.clear()
     give_back()
 
 
@@ -150,10 +149,9 @@ class Encoder:
             return np.zeros(0, self.store), np.zeros(len(off) - 1, np.int64)
         start = chunk_starts(data, off)
         end = np.append(start[1:], len(data))
-        up, down = powers(_B, len(data) + 1)
-        total = np.zeros(len(data) + 1, U)
-        np.cumsum((data.astype(U) + U(1)) * up[: len(data)], out=total[1:])
-        h = mix((total[end] - total[start]) * down[start] + (end - start).astype(U))
+        total = byte_sums(data)
+        h = mix(moved(total[end] - total[start], start, _B) + (end - start).astype(U))
+        del total
         _, at, inverse = np.unique(h, return_index=True, return_inverse=True)
         keys = [raw[x:y] for x, y in zip(start[at].tolist(), end[at].tolist(), strict=True)]
         get = self.cache.get

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .text import _B, SLICE_BYTES, U, flat, mix, powers, ranges, slices
+from .text import _B, SLICE_BYTES, U, byte_sums, flat, mix, moved, ranges, slices
 
 BLANK, CACHE, NBEST, TOGETHER = "▁", 150_000, 3, 24
 _open: dict[str, "Pieces"] = {}
@@ -248,10 +248,8 @@ class Pieces:
         begin[off[:-1][np.diff(off) > 0]] = True
         start = np.flatnonzero(begin)
         end = np.append(start[1:], len(data))
-        up, down = powers(_B, len(data) + 1)
-        total = np.zeros(len(data) + 1, U)
-        np.cumsum((data.astype(U) + U(1)) * up[: len(data)], out=total[1:])
-        _, at, inverse = np.unique(mix((total[end] - total[start]) * down[start] + (end - start).astype(U)), return_index=True, return_inverse=True)
+        total = byte_sums(data)
+        _, at, inverse = np.unique(mix(moved(total[end] - total[start], start, _B) + (end - start).astype(U)), return_index=True, return_inverse=True)
         raw, cache, found = data.tobytes(), self.cache, []
         keys = [raw[x:y] for x, y in zip(start[at].tolist(), end[at].tolist(), strict=True)]
         found = list(map(cache.get, keys))

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
-KEPT_POWERS = (1 << 22) + 1
+PIECE = 1 << 16
 U = np.uint64
 _B, _C = 0x9E3779B97F4A7C15 | 1, 0xD1342543DE82EF95
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -31,17 +31,33 @@ def give_back() -> None:
         pass
 
 
-def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """``base ** i`` and its inverse modulo 2**64 for i below n (base is odd)."""
-    have = _powers.get(base)
-    if have is None or len(have[0]) < n:
-        size = max(n, SLICE_BYTES + 1)
-        up, down = np.full(size, U(base)), np.full(size, U(pow(base, -1, 1 << 64)))
+def powers(base: int) -> tuple[np.ndarray, np.ndarray]:
+    """``base ** i`` and its inverse modulo 2**64 for i below ``PIECE`` (base is odd)."""
+    if base not in _powers:
+        up, down = np.full(PIECE, U(base)), np.full(PIECE, U(pow(base, -1, 1 << 64)))
         up[0] = down[0] = 1
-        have = (np.multiply.accumulate(up), np.multiply.accumulate(down))
-        if n <= KEPT_POWERS:
-            _powers[base] = have
-    return have
+        _powers[base] = (np.multiply.accumulate(up), np.multiply.accumulate(down))
+    return _powers[base]
+
+
+def sums(x: np.ndarray, base: int) -> np.ndarray:
+    """Sums of ``x[j] * base ** j`` over j below each place, modulo 2**64, a piece at a time so that little else is held."""
+    out, up, scale = np.zeros(len(x) + 1, U), powers(base)[0], 1
+    for a in range(0, len(x), PIECE):
+        part = x[a : a + PIECE].astype(U) * up[: min(PIECE, len(x) - a)]
+        part *= U(scale)
+        np.cumsum(part, out=out[a + 1 : a + 1 + len(part)])
+        out[a + 1 : a + 1 + len(part)] += out[a]
+        scale = scale * pow(base, PIECE, 1 << 64) % (1 << 64)
+    return out
+
+
+def moved(x: np.ndarray, at: np.ndarray, base: int) -> np.ndarray:
+    """``x * base ** -at``: sums from a place on, as if they began at 0."""
+    down = powers(base)[1]
+    step, most = pow(base, -PIECE, 1 << 64), int(at.max(initial=0)) // PIECE + 1
+    high = np.multiply.accumulate(np.array([1, *[step] * (most - 1)], U))
+    return x * down[at & (PIECE - 1)] * high[at // PIECE]
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -100,10 +116,13 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """A 64-bit hash of each word's bytes."""
     if not len(starts):
         return np.zeros(0, U)
-    up, down = powers(_B, len(data) + 1)
-    total = np.zeros(len(data) + 1, U)
-    np.cumsum((data.astype(U) + U(1)) * up[: len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(U))
+    total = byte_sums(data)
+    return mix(moved(total[ends] - total[starts], starts, _B) + (ends - starts).astype(U))
+
+
+def byte_sums(data: np.ndarray) -> np.ndarray:
+    """``sums`` of bytes, each more by one, so that zeros count."""
+    return sums(data + np.uint16(1), _B)
 
 
 def window_hashes(words: np.ndarray, k: int) -> np.ndarray:
@@ -111,10 +130,8 @@ def window_hashes(words: np.ndarray, k: int) -> np.ndarray:
     n = len(words) - k + 1
     if n <= 0:
         return np.zeros(0, U)
-    up, down = powers(_C, len(words) + 1)
-    total = np.zeros(len(words) + 1, U)
-    np.cumsum(words * up[: len(words)], out=total[1:])
-    return mix((total[k:] - total[:-k]) * down[:n], k)
+    total = sums(words, _C)
+    return mix(moved(total[k:] - total[:-k], np.arange(n), _C), k)
 
 
 def row_windows(first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import partitions
-from .text import U, mix, powers, sliding_min
+from .text import U, mix, moved, sliding_min, sums
 
 GRAM, WINDOW = 12, 40
 _BASE = 0xB5026F5AA96619E9
@@ -48,11 +48,9 @@ def select(texts: list[np.ndarray], k: int = GRAM, w: int = WINDOW) -> list[tupl
 def _select(texts: list[np.ndarray], k: int, w: int) -> list[tuple[np.ndarray, np.ndarray]]:
     n = np.array([len(t) for t in texts])
     cp = np.concatenate(texts).astype(U) + U(1) if n.sum() else np.zeros(0, U)
-    up, down = powers(_BASE, len(cp) + 1)
-    total = np.zeros(len(cp) + 1, U)
-    np.cumsum(cp * up[: len(cp)], out=total[1:])
+    total = sums(cp, _BASE)
     first = np.cumsum(n) - n
-    h = (mix((total[k:] - total[: len(total) - k]) * down[: max(0, len(total) - k)]) >> U(32)).astype(np.uint32) if len(cp) >= k else np.zeros(0, np.uint32)
+    h = (mix(moved(total[k:] - total[:-k], np.arange(len(total) - k), _BASE)) >> U(32)).astype(np.uint32) if len(cp) >= k else np.zeros(0, np.uint32)
     _, at = sliding_min(h, w)
     out = []
     for f, size in zip(first.tolist(), n.tolist(), strict=True):
@@ -60,7 +58,7 @@ def _select(texts: list[np.ndarray], k: int, w: int) -> list[tuple[np.ndarray, n
         if size == 0:
             out.append((np.zeros(0, np.uint32), np.zeros(0, np.int64)))
         elif grams <= 0:
-            whole = mix((total[f + size : f + size + 1] - total[f : f + 1]) * down[f : f + 1] + U(size)) >> U(32)
+            whole = mix(moved(total[f + size : f + size + 1] - total[f : f + 1], np.array([f]), _BASE) + U(size)) >> U(32)
             out.append((whole.astype(np.uint32), np.zeros(1, np.int64)))
         elif grams < w:
             own = h[f : f + grams]
