@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 
 BOX = "STRUCT<x1:INT,y1:INT,x2:INT,y2:INT>"
 SPAN = f"STRUCT<text:STRING,confidence:DOUBLE,bbox:{BOX},engine_id:STRING,adjudicated:BOOLEAN>"
-LINE = f"STRUCT<text:STRING,confidence:DOUBLE,bbox:{BOX},engine_id:STRING,spans:ARRAY<{SPAN}>>"
-BLOCK = f"STRUCT<type:STRING,bbox:{BOX},reading_order:INT,confidence:DOUBLE,engine_id:STRING,text:STRING,lines:ARRAY<{LINE}>>"
-PAGE = f"STRUCT<page:INT,width:INT,height:INT,source_kind:STRING,confidence:DOUBLE,text:STRING,blocks:ARRAY<{BLOCK}>>"
-DOCUMENT = f"STRUCT<source_pdf:STRING,dpi:INT,pages:ARRAY<{PAGE}>>"
-CANDIDATE = "STRUCT<engine:STRING,variant:STRING,psm:INT,success:BOOLEAN,error:STRING,text:STRING,score:DOUBLE>"
-PAGE_CACHE = f"source_pdf STRING, page INT, dpi INT, candidates ARRAY<{CANDIDATE}>, chosen {CANDIDATE}"
+META = "metadata:MAP<STRING,STRING>"  # of any level: values that are objects or lists stay JSON
+LINE = f"STRUCT<text:STRING,confidence:DOUBLE,bbox:{BOX},engine_id:STRING,spans:ARRAY<{SPAN}>,{META}>"
+BLOCK = f"STRUCT<type:STRING,bbox:{BOX},reading_order:INT,confidence:DOUBLE,engine_id:STRING,text:STRING,lines:ARRAY<{LINE}>,{META}>"
+PAGE = f"STRUCT<page:INT,width:INT,height:INT,source_kind:STRING,confidence:DOUBLE,text:STRING,blocks:ARRAY<{BLOCK}>,{META}>"
+DOCUMENT = f"STRUCT<source_pdf:STRING,dpi:INT,pages:ARRAY<{PAGE}>,{META}>"
+CANDIDATE = "STRUCT<engine:STRING,variant:STRING,psm:INT,success:BOOLEAN,error:STRING,text:STRING,score:DOUBLE,quality:MAP<STRING,STRING>>"
+PAGE_CACHE = f"source_pdf STRING, page INT, dpi INT, native_status STRING, quality MAP<STRING,STRING>, candidates ARRAY<{CANDIDATE}>, chosen {CANDIDATE}"
 
 
 def files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
@@ -82,9 +83,20 @@ class FakeEngine:
         return (image or b"").decode("utf-8", "replace"), self.confidence, None
 
 
+def available(engines: dict[str, Engine], order: tuple[str, ...]) -> list[str]:
+    """Engines that are ready, in order of preference."""
+    return [e for e in order if e in engines and engines[e].available()]
+
+
+def engine_named(engines: dict[str, Engine], name: str) -> Engine:
+    if name not in engines:
+        raise ValueError(f"unknown engine {name!r}; there are {', '.join(sorted(engines))}")
+    return engines[name]
+
+
 def routed(mode: str, engines: dict[str, Engine], order: tuple[str, ...]) -> tuple[str, str | None]:
     """Primary and secondary engine of a mode: a named engine alone; ``auto`` takes the first two available."""
-    ready = [e for e in order if e in engines and engines[e].available()]
+    ready = available(engines, order)
     if mode != "auto":
         if mode not in engines or not engines[mode].available():
             raise ValueError(f"engine {mode!r} is not available")

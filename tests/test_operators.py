@@ -124,6 +124,26 @@ def test_document_json_round_trip(spark, tmp_path):
     (tmp_path / "d.json").write_text('{"source_pdf": "x.pdf", "pages": [{"page": 0, "blocks": [{"type": "t", "reading_order": 1, "lines": [{"spans": [{"text": "a"}, {"text": "b"}]}, {"spans": []}]}]}]}')
     docs = source.documents_json(spark, str(tmp_path))
     assert docs.first()["dpi"] == 400 and source.block_rows(docs).first()["text"] == "ab"
+    (tmp_path / "d.json").write_text('{"source_pdf": "x.pdf", "metadata": {"a": 1, "b": {"c": [2]}}, "pages": [{"page": 0, "metadata": {"k": "v"}, "blocks": []}]}')
+    got = source.documents_json(spark, str(tmp_path)).first()
+    assert got.metadata["a"] == "1" and got.metadata["b"] == '{"c":[2]}' and got.pages[0].metadata == {"k": "v"}
+
+
+def test_page_cache_keeps_quality(spark, tmp_path):
+    (tmp_path / "p.json").write_text('{"source_pdf": "x.pdf", "page": 3, "native_status": "warn", "quality": {"chars": 5}, "candidates": [{"engine": "e", "score": 1.5, "quality": {"status": "pass"}}], "chosen": {"text": "t"}}')
+    got = source.page_cache(spark, str(tmp_path)).first()
+    assert got.native_status == "warn" and got.quality == {"chars": "5"} and got.candidates[0].quality == {"status": "pass"} and got.chosen.text == "t"
+
+
+def test_engines_by_name():
+    engines = {"a": source.FakeEngine("a")}
+    assert source.available(engines, ("b", "a")) == ["a"] and source.engine_named(engines, "a").engine_id == "a"
+    for bad in (lambda: source.engine_named(engines, "z"), lambda: source.routed("z", engines, ("a",)), lambda: source.routed("auto", {}, ("a",))):
+        try:
+            bad()
+        except ValueError:
+            continue
+        raise AssertionError
 
 
 def test_stream_of_pages(spark, tmp_path):
