@@ -238,11 +238,12 @@ def _repeats(c: Column, least: int = 6, what: str = ".") -> Column:
 
 def case_measures(c: Column, kind: str = "case") -> Column:
     """Struct of the counters of a page, after the case form."""
-    return let(case_form(c), lambda t: _case_measures(t, kind))
+    seen = lambda t: F.struct(t.alias("t"), F.lower(t).alias("low"), F.transform(tokens(t), lambda w: F.length(w)).alias("words"))
+    return let(case_form(c), lambda t: let(seen(t), lambda x: _case_measures(x["t"], x["low"], x["words"], kind)))
 
 
-def _case_measures(t: Column, kind: str) -> Column:
-    chars, words, arabic, latin, digits = F.length(t), F.size(tokens(t)), count_of(t, AR), count_of(t, "[A-Za-z]"), _count(t, DIGIT)
+def _case_measures(t: Column, low: Column, sizes: Column, kind: str) -> Column:
+    chars, words, arabic, latin, digits = F.length(t), F.size(sizes), count_of(t, AR), count_of(t, "[A-Za-z]"), _count(t, DIGIT)
     least = lambda n: F.greatest(n, F.lit(1))
     out = [
         _long(chars, "chars"), _long(arabic, "arabic_chars"), _long(latin, "latin_letters"), _long(digits, "digits"), _long(words, "tokens"), _long(_filled(t), "lines"),
@@ -253,8 +254,8 @@ def _case_measures(t: Column, kind: str) -> Column:
     out += [_long(count_of(t, r"[{}<>~^`_=\\|" + ("©#]" if kind == "defence" else "]")), "garbage_chars"), _long(_repeats(t), "long_repeats")]
     out.append(_long(word_hits(t, DEFENCE_WORDS if kind == "defence" else CASE_WORDS), "legal_anchor_hits"))
     if kind == "case":
-        out.append(_long(word_hits(F.lower(t), CASE_WORDS_ENGLISH), "english_anchor_hits"))
-    return F.struct(*out, F.round(_one_letter(t) / least(words), 4).alias("single_token_ratio"), F.round((arabic + latin + digits) / least(chars), 4).alias("script_ratio"))
+        out.append(_long(word_hits(low, CASE_WORDS_ENGLISH), "english_anchor_hits"))
+    return F.struct(*out, F.round(F.size(F.filter(sizes, lambda n: n == 1)) / least(words), 4).alias("single_token_ratio"), F.round((arabic + latin + digits) / least(chars), 4).alias("script_ratio"))
 
 
 NONE = float("-inf")
@@ -332,11 +333,11 @@ def _disclosure_score(t: Column) -> Column:
 
 
 def statement_score(c: Column) -> Column:
-    return let(text_of(c), _statement_score)
+    return let(text_of(c), lambda t: let(F.lower(t), lambda low: _statement_score(t, low)))
 
 
-def _statement_score(t: Column) -> Column:
-    chars, letters, digits, words, low = F.length(t), count_of(t, r"\p{L}"), _count(t, DIGIT), statement_tokens(t), F.lower(t)
+def _statement_score(t: Column, low: Column) -> Column:
+    chars, letters, digits, words = F.length(t), count_of(t, r"\p{L}"), _count(t, DIGIT), statement_tokens(t)
     figures = _count(t, rf"\(?-?\p{{Nd}}{{1,3}}(?:,\p{{Nd}}{{3}})+(?:\.\p{{Nd}}+)?\)?|{BEFORE}\p{{Nd}}{{4}}{AFTER}")
     score = _sum(
         F.least(chars, F.lit(6000)) * 0.05, F.least(letters, F.lit(3500)) * 0.08, F.least(digits, F.lit(2000)) * 0.18, F.least(_filled(t), F.lit(100)) * 2.5,
