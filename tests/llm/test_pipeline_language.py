@@ -26,7 +26,7 @@ def test_run_is_its_stages_in_order(spark, tmp_path):
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
     base = [" ".join(word() for _ in range(120)) for _ in range(12)]
-    rows = [(i, t, "aa", "s" if i % 3 else "t", len(t)) for i, t in enumerate([*base, base[0], base[1] + " more", base[2] + " " + base[3], "12 34", None])]
+    rows = [(i, t, "aa", "s" if i % 3 else "t", len(t) if t is not None else None) for i, t in enumerate([*base, base[0], base[1] + " more", base[2] + " " + base[3], "12 34", None])]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(2).write.parquet(f"{tmp_path}/documents.parquet")
     want = spark.read.parquet(f"{tmp_path}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES:
