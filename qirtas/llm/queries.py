@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .oracles import ORACLES
+
 VOCABULARY, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
@@ -88,11 +90,30 @@ def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_components(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .spelling import spelling_variants
+
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .audit import audit_filters
+
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .kdtree import exact_top_k
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return exact_top_k(vectors, vectors.filter(F.pmod("vec_id", F.lit(100)) == 0))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
 
     return run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_repeated_spans, op2_quality_fm, op3_language_kernel, op4_source_mix, op5_winnowing, op6_token_files, op7_one_bit_neighbours, op8_piece_nbest, op9_length_histogram, op10_shingle_join, pipeline)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_repeated_spans, op2_quality_fm, op3_language_kernel, op4_source_mix, op5_winnowing, op6_token_files, op7_one_bit_neighbours, op8_piece_nbest, op9_length_histogram, op10_shingle_join, op11_spelling_variants, op12_filter_audit, op13_inner_products, pipeline)}
+__all__ = ["ORACLES", "QUERIES"]
