@@ -162,6 +162,16 @@ def _without(rows: DataFrame, keyed: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(hot), "key", "left_anti").join(cold, "key", "left_anti")
 
 
+def one_edit() -> Column:
+    """Is ``other`` one edit from ``word``, another one of equal length or one code point less? Spark's edit distance looks at
+    all pairs of places, whatever its threshold, so long words are compared behind the first place where they differ."""
+    same = F.zip_with(F.split("word", ""), F.split("other", ""), lambda x, y: x == y)
+    at = F.coalesce(F.nullif(F.array_position(same, False), F.lit(0)), F.length("word") + 1)
+    equal = F.length("word") == F.length("other")
+    behind = F.substr(F.col("word"), F.when(equal, at + 1).otherwise(at).cast("int")) == F.substr(F.col("other"), (at + 1).cast("int"))
+    return F.when(F.length("other") <= LONG_RUN, F.levenshtein("word", "other", 1) == 1).otherwise(behind)
+
+
 def near_words(words: DataFrame, group: int = GROUP) -> DataFrame:
     """``word, n, other, other_n`` of all pairs that one inserted, deleted or replaced code point tells apart, both ways
     round, each once. ``words`` (word, n) has a row a word and should be a table."""
@@ -174,7 +184,7 @@ def near_words(words: DataFrame, group: int = GROUP) -> DataFrame:
         left = small.filter("longer = 0").select("key", "word", "n")
         right = small.select("key", F.col("word").alias("other"), F.col("n").alias("other_n"), "longer")
         once = (F.col("longer") == 1) | (F.col("word") < F.col("other"))
-        found = left.join(right, "key").filter(once & (F.levenshtein("word", "other", 1) == 1)).select("word", "n", "other", "other_n")
+        found = left.join(right, "key").filter(once & one_edit()).select("word", "n", "other", "other_n")
         pairs = found if pairs is None else pairs.unionByName(found)
         if end:
             break
