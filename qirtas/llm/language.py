@@ -119,7 +119,7 @@ def predict_language(docs: DataFrame, learn, per_lang: int = PER_LANG, landmarks
     spark = docs.sparkSession
     key = F.xxhash64("doc_id", "text")
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & learn(F.col("doc_id"))).select("lang", key.alias("key"))
-    chosen = smallest(known, "lang", "key", per_lang).distinct()
+    chosen = smallest(known, "lang", "key", per_lang)
 
     every = np.arange(HASHED, dtype=np.int32)
 
@@ -130,6 +130,7 @@ def predict_language(docs: DataFrame, learn, per_lang: int = PER_LANG, landmarks
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(x, y - x), pa.array([b.tobytes() for b in bits])], ["lang", "bits"])
 
     labelled = docs.select("lang", "text", key.alias("key"), "doc_id").filter(learn(F.col("doc_id"))).join(F.broadcast(chosen), ["lang", "key"])
+    labelled = labelled.groupBy("lang", "key").agg(F.min("text").alias("text"))
     got = sorted((r["lang"], bytes(r["bits"])) for r in labelled.select("lang", "text").mapInArrow(describe, "lang string, bits binary").toLocalIterator())
     packed, langs = np.frombuffer(b"".join(b for _, b in got), np.uint8).reshape(len(got), HASHED // 8), [lang for lang, _ in got]
     del got

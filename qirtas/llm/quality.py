@@ -6,11 +6,12 @@ and metadata columns on a logarithmic scale. The machine scores all pairwise int
 linear time: half the sum over factors of (the square of the sum less the sum of squares).
 
 It is fitted by logistic loss on at most ``PER_CLASS`` labelled rows of each class, those of the smallest
-hashed doc_id; their features, not their texts, reach the driver. Rows are scored in Arrow batches.
+hashed doc_id, and of these on no more than ``LEARN_BYTES`` of features a class; the features, not the texts, reach the
+driver. Rows are scored in Arrow batches.
 
 Defined results: a null or empty text has no words and the statistics of an empty text; labels other
 than 0 and 1 are left out, and so is a doc_id with both; without a label of both classes every score is the share of
-label 1 (0.5 without any label); repeated rows are scored each, and learnt from each if their doc_id is labelled. Other
+label 1 (0.5 without any label); repeated rows are scored each, and of the rows of a labelled doc_id the one of the smallest text is learnt from. Other
 columns, whatever their names, are not read. An empty table gives no rows.
 """
 
@@ -20,14 +21,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ngrams import LETTERS, lowered, rows_of
-from .shared import smallest
+from .shared import drop_table, smallest, write_table
 from .text import flat, slices, word_bounds, word_hashes
 
 PER_CLASS, BITS, BINS, RANK, ROUNDS = 4096, 16, 16, 8, 12
+LEARN_BYTES = 64 << 20
 STATISTICS = ("letters", "capitals", "digits", "marks", "odd", "spaces", "high", "word length", "distinct words", "line length", "distinct lines", "words", "marked words")
 
 
@@ -133,7 +135,7 @@ def fit(samples: list[tuple[np.ndarray, np.ndarray, int]], size: int, seed: int
     return weights, bias
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, learn, per_class: int = PER_CLASS, metadata: tuple[str, ...] = ("n_chars",)) -> DataFrame:
+def score_quality(docs: DataFrame, labels: DataFrame, learn, per_class: int = PER_CLASS, learn_bytes: int = LEARN_BYTES, metadata: tuple[str, ...] = ("n_chars",)) -> DataFrame:
     """``doc_id, score`` of every document; ``learn`` says by doc_id which labels may be learnt from."""
     spark = docs.sparkSession
     metadata = [c for c in metadata if c in docs.columns]
@@ -145,17 +147,21 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn, per_class: int = PE
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, n, row, feature, value in features(batch.column(1), batch.columns[3:]):
+            for a, n, row, feature, value in features(batch.column(2), batch.columns[3:]):
                 cut = np.searchsorted(row, np.arange(n + 1))
                 each = range(n)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([feature[cut[i] : cut[i + 1]].astype("<i4").tobytes() for i in each]), pa.array([value[cut[i] : cut[i + 1]].tobytes() for i in each]), batch.column(2).slice(a, n).cast(pa.int64())],
-                    ["f", "v", "label"],
+                    [batch.column(0).slice(a, n), batch.column(1).slice(a, n).cast(pa.int64()), pa.array([feature[cut[i] : cut[i + 1]].astype("<i4").tobytes() for i in each]), pa.array([value[cut[i] : cut[i + 1]].tobytes() for i in each])],
+                    ["doc_id", "label", "f", "v"],
                 )
 
-    train = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label", *metadata)
-    got = train.mapInArrow(describe, "f binary, v binary, label long").collect()
+    train = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min(F.struct("text", *metadata)).alias("row")).select("doc_id", "label", "row.*")
+    described = write_table(train.mapInArrow(describe, "doc_id long, label long, f binary, v binary"), "quality-learnt")
+    so_far = F.sum(F.length("f") + F.length("v")).over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    within = described.select("doc_id", so_far.alias("bytes")).filter(F.col("bytes") <= learn_bytes).select("doc_id")
+    got = described.join(F.broadcast(within), "doc_id").toLocalIterator()
     samples = sorted(((bytes(r["f"]), bytes(r["v"]), r["label"]) for r in got))
+    drop_table(described)
     samples = [(np.frombuffer(f, "<i4"), np.frombuffer(v, np.float32), y) for f, v, y in samples]
     share = np.mean([s[2] for s in samples]) if samples else 0.5
     model = fit(samples, size) if samples and 0 < share < 1 else None

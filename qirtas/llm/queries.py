@@ -87,7 +87,7 @@ def op9_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .similar import similar_components
 
-    return similar_components(table(spark, sf_dir, "documents"))
+    return similar_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,9 +5,11 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -106,12 +108,28 @@ def sifted(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 
 
 def smallest(rows: DataFrame, group: str, key: str, n: int) -> DataFrame:
-    """At most ``n`` rows of each group, those whose key has the smallest hash. Only a few more than that are shuffled: those
-    below the hash that so many rows of a group of its size stay under (with less than n kept by a chance of about
-    1e-20)."""
-    hashed = F.xxhash64(key).bitwiseAND((1 << 62) - 1)
-    sizes = rows.groupBy(group).agg(F.count("*").alias("_rows"))
-    share = F.lit(n + 10 * n**0.5 + 50) / F.col("_rows")
-    few = rows.withColumn("_hash", hashed).join(sizes, group).filter((F.col("_rows") <= 4 * n) | (F.col("_hash") < share * float(1 << 62)))
+    """At most ``n`` keys of each group (``group, key``, one row each), those of the smallest hash, whatever the number of rows
+    of a key. Each task keeps its n smallest of a group, so no more than these are shuffled; the final choice keeps n a
+    partition before it brings a group together. ``key`` is a whole number."""
+    kind, names = rows.schema[group].dataType.simpleString(), [group, key, "_hash"]
+
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+        for batch in batches:
+            groups = batch.column(0).dictionary_encode()
+            at, keys, hashed = groups.indices.to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            for i, name in enumerate(groups.dictionary):
+                own = at == i
+                h, k = hashed[own], keys[own]
+                if name in held:
+                    h, k = np.concatenate([held[name][0], h]), np.concatenate([held[name][1], k])
+                one = np.unique(np.stack([h, k]), axis=1)[:, :n]
+                held[name] = (one[0], one[1])
+        for name, (h, k) in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([name.as_py()] * len(h), name.type), pa.array(k), pa.array(h)], names)
+
+    hashed = F.xxhash64(key).bitwiseAND((1 << 62) - 1).alias("_hash")
+    known = rows.filter(F.col(group).isNotNull() & F.col(key).isNotNull()).select(group, F.col(key).cast("long").alias(key), hashed)
+    few = known.mapInArrow(least, f"`{group}` {kind}, `{key}` long, _hash long").distinct()
     first = Window.partitionBy(group).orderBy("_hash", key)
-    return few.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= n).drop("_n", "_rows", "_hash")
+    return few.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= n).select(group, key)

@@ -423,10 +423,10 @@ def similar_components(docs: DataFrame, percent: int = 75, k: int = 5) -> DataFr
     joined = components(links, "similar-components").toDF("name", "root")
     drop_table(member)
     named = write_table(first.join(joined, "name", "left").select("node", F.coalesce("root", "name").alias("root"), "rows"), "similar-named")
-    full = join_split(base.filter("node is not null").select("doc_id", "n", "node"), named, "node")
+    full = join_split(base.filter("node is not null").select("doc_id", "n", "node", "key"), named, "node")
     component = F.when(~F.col("root.unnamed"), F.col("root.id"))
-    full = full.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
-    return full.unionByName(base.filter("node is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    full = full.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("key").alias("text_key"))
+    return full.unionByName(base.filter("node is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("key").alias("text_key")))
 
 
 def group_links(batches: Iterator[pa.RecordBatch], percent: int, k: int) -> Iterator[pa.RecordBatch]:

@@ -89,3 +89,91 @@ def test_values_are_the_kernel_machine():
     sets[2] = False
     want = (sets.astype(float) @ product) / np.sqrt(np.maximum(sets.sum(axis=1), 1))[:, None]
     assert np.allclose(language.values(sets, product), want, atol=1e-5)
+
+
+def test_smallest_counts_a_key_once(spark):
+    from qirtas.llm.shared import smallest
+
+    rows = [("a", 1)] * 5000 + [("a", i) for i in range(30)] + [("b", 7)] * 3 + [(None, 1), ("c", None)]
+    df = spark.createDataFrame(rows, "g string, k long").repartition(5)
+    got = smallest(df, "g", "k", 10).collect()
+    hashes = {r.k: r.h for r in df.filter("k is not null").select("k", (F.xxhash64("k").bitwiseAND((1 << 62) - 1)).alias("h")).collect()}
+    assert {r.k for r in got if r.g == "a"} == set(sorted(range(30), key=hashes.get)[:10]) and len(got) == 11
+    assert [r.k for r in got if r.g == "b"] == [7] and smallest(df.limit(0), "g", "k", 10).collect() == []
+
+
+def test_equal_rows_by_the_thousand_lose_no_language(make):
+    rows = [(1, "the house and the garden", "en")] * 6000 + [(2 + i, f"la maison et le jardin {i}", "fr") for i in range(20)]
+    got = {(r.doc_id, r.lang_pred) for r in language.predict_language(make(rows), lambda d: F.lit(True), per_lang=10).distinct().collect()}
+    assert (1, "en") in got and (5, "fr") in got
+
+
+def test_a_doc_id_by_the_thousand_is_learnt_from_once(spark, make, monkeypatch):
+    seen = []
+    fit = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda samples, size: seen.append(samples) or fit(samples, size))
+    rows = [(1, "good words", None)] * 3000 + [(1, "another text", None)] + [(i, f"bad ### words {i}", None) for i in range(2, 30)]
+    labels = spark.createDataFrame([(1, 1)] + [(i, 0) for i in range(2, 30)], "doc_id long, quality int")
+    got = quality.score_quality(make(rows), labels, lambda d: F.lit(True), per_class=10).collect()
+    assert len(got) == len(rows) and sorted(s[2] for s in seen[0]) == [0] * 10 + [1]
+    size = max(s[0].nbytes + s[1].nbytes for s in seen[0])
+    quality.score_quality(make(rows), labels, lambda d: F.lit(True), per_class=10, learn_bytes=3 * size).collect()
+    assert [s[2] for s in seen[1]].count(0) == 3 and [s[2] for s in seen[1]].count(1) == 1
+
+
+def test_scores_of_given_weights(spark, make):
+    """The whole score by plain loops: features of one text, linear terms and all pairs."""
+    rng = np.random.default_rng(2)
+    size = (1 << quality.BITS) + (len(quality.STATISTICS) + 1) * (quality.BINS + 1)
+    w = rng.normal(size=(size, 1 + quality.RANK)).astype(np.float32) * 0.1
+    texts = ["one two two three", "", "A # b\nc", "漢字 漢字 x"]
+    for _, n, row, f, v in quality.features(pa.array(texts), [pa.array([len(t) for t in texts])]):
+        got = quality.machine(n, row, f, v, w, 0.5)
+        for i in range(n):
+            own = [(int(a), float(b)) for r, a, b in zip(row, f, v, strict=True) if r == i]
+            want = 0.5 + sum(float(w[a, 0]) * b for a, b in own)
+            want += sum(float(w[a, 1:] @ w[c, 1:]) * b * d for j, (a, b) in enumerate(own) for c, d in own[:j])
+            assert abs(got[i] - want) < 1e-3
+            words = set(texts[i].lower().split())
+            assert len(own) == len(words) + len(quality.STATISTICS) + 1
+
+
+def brute_language(rows, landmarks, texts):
+    """Kernel, whitening and ridge by sets and plain loops, with the module's choice of landmarks."""
+    low = lambda t: bytes(32 if c in b"\t\n\x0b\x0c\r" else c | 32 if 65 <= c <= 90 else c for c in t.encode())
+    slot = lambda g: ((int.from_bytes(g, "little") * 2654435761 + len(g) * 40503) % 2**32) >> 16
+    grams = lambda t: {slot(b[i : i + n]) for b in [low(t)] for n in language.SIZES for i in range(len(b) - n + 1)}
+    k = lambda a, b: len(a & b) / (max(len(a), 1) * max(len(b), 1)) ** 0.5
+    sets, langs = [grams(t) for t, _ in rows], [lang for _, lang in rows]
+    names = sorted(set(langs))
+    rng = np.random.default_rng(5)
+    own = [rng.permutation([i for i, x in enumerate(langs) if x == name]) for name in names]
+    chosen = [o[turn] for turn in range(landmarks) for o in own if turn < len(o)][:landmarks]
+    z = [sets[i] for i in chosen]
+    found, vectors = np.linalg.eigh(np.array([[k(a, b) for b in z] for a in z]))
+    white = vectors[:, found > 1e-6] / np.sqrt(found[found > 1e-6])
+    phi = np.array([[k(a, b) for b in z] for a in sets]) @ white
+    out = np.array([[k(grams(t), b) for b in z] for t in texts]) @ white
+    f = []
+    for name in names:
+        y = np.array([1.0 if x == name else -1.0 for x in langs])
+        each = np.array([len(langs) / (len(names) * langs.count(x)) for x in langs])
+        w = np.linalg.solve(phi.T @ (phi * each[:, None]) + language.RIDGE * len(langs) * np.eye(phi.shape[1]), phi.T @ (y * each))
+        f.append(out @ w)
+    return np.array(f).T, names
+
+
+def test_language_model_by_plain_loops():
+    rng = random.Random(11)
+    write = lambda letters: "".join(rng.choice(letters) for _ in range(60))
+    rows = [(write("abcde F" if i % 3 else "cdefgh\n"), "xy"[i % 3 == 0]) for i in range(24)]
+    every = np.arange(language.HASHED, dtype=np.int32)
+
+    def sets(texts):
+        data, off = language.flat(pa.array(texts))
+        return language.marks(data, off, every, language.HASHED)
+
+    product, names = language.fit(np.packbits(sets([t for t, _ in rows]), axis=1), [lang for _, lang in rows], 8)
+    texts = [write("abcdefgh ") for _ in range(6)] + ["", "q"]
+    want, order = brute_language(rows, 8, texts)
+    assert order == names and np.allclose(language.values(sets(texts), product), want, atol=1e-3)

@@ -34,3 +34,10 @@ def test_run_is_its_stages_in_order(spark, tmp_path):
     key = lambda df: sorted(str(r) for r in df.collect())
     got = corpus_pipeline.run(spark, str(tmp_path))
     assert key(got) == key(want) and {r.doc_id for r in got.collect()} <= set(range(12))
+
+
+def test_two_texts_under_one_doc_id_each_follow_their_group(spark, make):
+    """The copy of 5 goes though another text of 6 stays."""
+    a, b = "one two three four five six", "seven eight nine ten eleven twelve"
+    kept = corpus_pipeline.near_duplicates(spark, make([(5, a), (6, a), (6, b), (7, b + " "), (8, None), (8, None)]), "").collect()
+    assert sorted((r.doc_id, r.text) for r in kept if r.text) == [(5, a), (6, b)] and [r.doc_id for r in kept if r.text is None] == [8]
