@@ -34,12 +34,14 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that are alike, directly or through others, the one with the smallest doc_id stays.
 
-    Documents without words are like nothing and stay; of rows with one doc_id that are all to stay, those with equal
+    Rows are told apart by doc_id and text, so of two texts under one doc_id each follows its own group. Documents without
+    words are like nothing and stay; of rows with one doc_id that are all to stay, those with equal
     texts are one; a null doc_id stays only where no other of its group has one; extra columns, whatever their names, are
     passed on; an empty table gives no rows."""
     found = similar_components(docs)
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("key")).agg(F.count("*").alias("times"))
-    rows = docs.select(F.col("doc_id").alias("own"), whole_row(docs).alias("row")).join(stay, F.col("own").eqNullSafe(F.col("key")))
+    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("key"), "text_key").agg(F.count("*").alias("times"))
+    rows = docs.select(F.col("doc_id").alias("own"), F.xxhash64("doc_id", "text").alias("own_key"), whole_row(docs).alias("row"))
+    rows = rows.join(stay, F.col("own").eqNullSafe(F.col("key")) & (F.col("own_key") == F.col("text_key")))
     once = rows.filter("times = 1").select("row.*")
     return once.unionByName(rows.filter("times > 1").withColumn("text", F.col("row.text")).dropDuplicates(["own", "text"]).select("row.*"))
 
