@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import casefiles, collections, corpus, measures, sheets
+from . import casefiles, collections, corpus, measures, sheets, streams
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-for module in (measures, corpus, casefiles, collections, sheets):
+for module in (measures, corpus, casefiles, collections, sheets, streams):
     QUERIES |= module.QUERIES
     ORACLES |= module.ORACLES
