@@ -6,10 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qirtas.functions import text
-from qirtas.operators import streams
+from qirtas.operators import outputs, render, streams
+from qirtas.sources.folders import read_folders, write_folders
+from qirtas.sources.shared import shared_path
 
 from .common import register, table, tok
 from .measures import body, docs
+from .sheets import ORACLES as SHEETS
+from .sheets import turns
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +53,49 @@ def stream_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = streams.stream_spans(written_streams(spark, sf_dir), ["doc_id"], style="marked").select("doc_id", "x", "y", F.array_join("units", "").alias("word"))
     lines = spans.groupBy("doc_id", "y").agg(F.count("*").alias("spans"), F.min("x").alias("x_first"), F.max("x").alias("x_last"), F.array_sort(F.collect_list(F.struct("x", "word"))).alias("words"))
     return lines.select("doc_id", "y", "spans", "x_first", "x_last", F.array_join(F.col("words.word"), " ").alias("line"))
+
+
+def rendered_talks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = turns(spark, sf_dir)
+    files = t.select("conv_id", F.concat(F.lit("talk "), F.col("conv_id").cast("string")).alias("title")).distinct()
+    marked = render.marked_pages(t, "conv_id").select("conv_id", F.col("rendered").alias("context"))
+    titled = render.titled_markdown(t, files, "conv_id", "Local only.", empty="-").select("conv_id", F.col("rendered").alias("verbatim"))
+    return marked.join(titled, "conv_id")
+
+
+@register(QUERIES, ORACLES, f"""select conv_id, file, rendered_sha256 from (select conv_id, 'context.md' as file, rendered_sha256 from ({SHEETS["marked_texts"]}) a
+ union all select conv_id, 'verbatim.md' as file, rendered_sha256 from ({SHEETS["titled_texts"]}) b)""")
+def case_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's files, written as folders and read back."""
+    path = shared_path(spark, "case-folders")
+    write_folders(outputs.file_set(rendered_talks(spark, sf_dir), "conv_id"), path)
+    return read_folders(spark, path).select(F.col("document").cast("long").alias("conv_id"), "file", F.sha2("content", 256).alias("rendered_sha256"))
+
+
+PAGES_OF_SOURCES = """p as (select source, doc_id, length(coalesce(text, '')) as chars, length(coalesce(text, '')) % 7 = 0 as weak, lang = 'fr' as ocr from documents),
+ w as (select *, row_number() over (partition by source order by doc_id) as place from p where weak), c as (select source, count(*) as weak_n from w group by source),
+ l as (select source, string_agg(doc_id::varchar, ', ' order by doc_id) filter (where place <= 20) as weak20, string_agg(doc_id::varchar, ', ' order by doc_id) filter (where place <= 40) as weak40 from w group by source),
+ t as (select source, count(*) as pages, sum(chars)::bigint as total_chars, sum(coalesce(ocr, false)::int) as ocr_pages from p group by source)"""
+
+
+def source_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources as documents, their texts as pages: weak ones by their length, read ones by their language."""
+    rows = table(spark, sf_dir, "documents").withColumn("chars", F.length(F.coalesce("text", F.lit(""))))
+    return outputs.document_notes(rows, "source", "doc_id", "chars", F.col("chars") % 7 == 0, F.col("lang") == "fr")
+
+
+@register(QUERIES, ORACLES, f"""with {PAGES_OF_SOURCES} select coalesce(t.source, '') as name, '- [' || coalesce(t.source, '') || '](' || coalesce(t.source, '') || ') - pages: ' || pages::varchar || '; chars: ' || total_chars::varchar
+ || case when ocr_pages > 0 then '; ocr fallback pages: ' || ocr_pages::varchar else '' end || case when weak_n > 0 then '; weak pages: ' || weak20 || case when weak_n > 20 then '...' else '' end else '' end as line
+ from t left join c on c.source is not distinct from t.source left join l on l.source is not distinct from t.source""")
+def index_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outputs.index_lines(source_notes(spark, sf_dir), F.col("source"))
+
+
+@register(QUERIES, ORACLES, f"with {PAGES_OF_SOURCES} select coalesce(c.source, '') as name, '- ' || coalesce(c.source, '') || ': ' || weak40 || case when weak_n > 40 then '...' else '' end as line from c join l on l.source is not distinct from c.source")
+def audit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outputs.audit_lines(source_notes(spark, sf_dir), F.col("source"))
+
+
+@register(QUERIES, ORACLES, f"with {PAGES_OF_SOURCES} select count(*) as documents, sum(pages)::bigint as pages, sum(total_chars)::bigint as chars, count(weak_n) as weak_documents from t left join c on c.source is not distinct from t.source")
+def index_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outputs.corpus_head(source_notes(spark, sf_dir))
