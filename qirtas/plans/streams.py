@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qirtas.functions import text
-from qirtas.operators import outputs, render, streams
+from qirtas.operators import casefile, outputs, render, streams
 from qirtas.sources.folders import read_folders, write_folders
 from qirtas.sources.shared import shared_path
+from qirtas.streaming import review
 
 from .common import register, table, tok
+from . import casefiles
 from .measures import body, docs
 from .sheets import ORACLES as SHEETS
 from .sheets import turns
@@ -99,3 +103,49 @@ def audit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(QUERIES, ORACLES, f"with {PAGES_OF_SOURCES} select count(*) as documents, sum(pages)::bigint as pages, sum(total_chars)::bigint as chars, count(weak_n) as weak_documents from t left join c on c.source is not distinct from t.source")
 def index_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outputs.corpus_head(source_notes(spark, sf_dir))
+
+
+class RuleReviewer:
+    """In place of a model: white space closed up, a doubt where something is asked, no text now and then; every third text
+    fails at first."""
+
+    def review(self, raw_text: str, attempt: int) -> str:
+        if attempt == 1 and len(raw_text) % 3 == 0:
+            raise TimeoutError("no reply")
+        cleaned = "" if len(raw_text) % 5 == 0 else " ".join(raw_text.replace("\n", " ").split(" ")).strip()
+        while "  " in cleaned:
+            cleaned = cleaned.replace("  ", " ")
+        return "```json\n" + json.dumps({"cleaned_text": cleaned, "uncertainties": ["asks"] if "?" in raw_text else []}) + "\n```"
+
+
+REVIEWED = casefiles.SEGMENTS.replace(f"sha256(string_agg(body, {casefiles.NL} order by g.page)) as text_sha256", f"string_agg(body, {casefiles.NL} order by g.page) as raw")
+REVIEWED = f"""with s as ({REVIEWED}), p as (select *, case when page_start = page_end then 'Page ' || page_start::varchar else 'Pages ' || page_start::varchar || '-' || page_end::varchar end || ': ' as place,
+ case when length(raw) % 5 = 0 then raw else regexp_replace(raw, '[ \n]+', ' ', 'g') end as cleaned from s),
+ n as (select *, list_transform((case when contains(raw, '?') then ['asks'] else [] end) || (case when length(raw) % 5 = 0 then ['{review.EMPTY_REPLY}'] else [] end), lambda x: place || x) as notes from p)
+ select conv_id, id, sha256(string_agg(cleaned, {casefiles.NL} order by segment)) as cleaned_sha256, coalesce(string_agg(array_to_string(notes, '|'), '|' order by segment) filter (where len(notes) > 0), '') as uncertainties,
+ sum(case when length(raw) % 3 = 0 then 2 else 1 end)::int as attempts, 'reviewed' as status from n group by conv_id, id"""
+
+
+def digest(reviewed: DataFrame) -> DataFrame:
+    return reviewed.select("conv_id", "id", F.sha2("cleaned_text", 256).alias("cleaned_sha256"), F.array_join("uncertainties", "|").alias("uncertainties"), "attempts", "status")
+
+
+@register(QUERIES, ORACLES, REVIEWED)
+def reviewed_talks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document of every conversation, reviewed at once."""
+    cover = casefile.coverage(*casefiles.ranges(spark, sf_dir), "conv_id")
+    own = casefile.pages_of(cover, casefiles.turns(spark, sf_dir), "conv_id")
+    return digest(review.review_pages(own, ["conv_id", "id"], RuleReviewer))
+
+
+@register(QUERIES, ORACLES, REVIEWED)
+def reviewed_talks_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as their turns come in: a stream over the table, joined to the documents' ranges."""
+    cover = casefile.coverage(*casefiles.ranges(spark, sf_dir), "conv_id").select("conv_id", "id", "page_start", "page_end", (F.col("page_end") - F.col("page_start") + 1).alias("page_total"))
+    schema = table(spark, sf_dir, "conversations").schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000).parquet(f"{sf_dir}/conversations.parque[t]")  # by a pattern: a file or a folder
+    turns = stream.select("conv_id", (F.col("turn") + 1).cast("int").alias("page"), "text")
+    pages = turns.join(cover.withColumn("page", F.explode(F.sequence("page_start", "page_end"))), ["conv_id", "page"])
+    path = shared_path(spark, "reviews")
+    review.write_reviews(review.review_stream(pages, ["conv_id", "id"], RuleReviewer), ["conv_id", "id"], f"{path}/rows", f"{path}/checkpoint").awaitTermination()
+    return digest(spark.read.parquet(f"{path}/rows"))
