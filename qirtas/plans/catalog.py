@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import casefiles, collections, corpus, measures, sheets, streams
+from . import casefiles, collections, corpus, listings, measures, sheets, streams
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-for module in (measures, corpus, casefiles, collections, sheets, streams):
+for module in (measures, corpus, casefiles, collections, sheets, streams, listings):
     QUERIES |= module.QUERIES
     ORACLES |= module.ORACLES
