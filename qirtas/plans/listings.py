@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qirtas.functions import bidi
-from qirtas.operators import levels, prefixes
+from qirtas.operators import contrast, levels, prefixes
 
 from .common import STATS, count, register, reply, share, table
 from .measures import CASES, DATES
@@ -75,3 +75,24 @@ def bidi_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = F.transform(starts, lambda k: F.array_join(F.slice(F.col("w"), k * 12 + 1, 12), " "))
     shown = bidi.display_order(F.array_join(lines, "\n"))
     return rows.select("doc_id", F.size(starts).cast("long").alias("lines"), F.sha2(shown, 256).alias("shown_sha256"))
+
+
+BYTES = """b as (select doc_id, ('0x' || unnest(regexp_extract_all(hex(encode(text)), '..')))::int as value from documents), c as (select doc_id, value, count(*) as n from b group by all),
+ r as (select doc_id, value, sum(n) over u as n0, sum(value * n) over u as s0, sum(n) over w as n, sum(value * n) over w as s from c window u as (partition by doc_id order by value), w as (partition by doc_id)),
+ d as (select *, n0::double as a, (n - n0)::double as z, s0::double / n0::double - (s - s0)::double / nullif(n - n0, 0)::double as apart from r),
+ o as (select *, row_number() over (partition by doc_id order by coalesce(a * z * (apart * apart), -1) desc, value) as place from d)"""
+
+
+@register(QUERIES, ORACLES, f"with {BYTES} select doc_id, value as threshold, n0::bigint as dark, n::bigint as pixels from o where place = 1")
+def byte_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's bytes as the pixels of a page: the threshold between its dark and light ones."""
+    pages = table(spark, sf_dir, "documents").select("doc_id", F.encode("text", "UTF-8").alias("grey"))
+    return contrast.otsu_thresholds(contrast.histograms(pages, "doc_id"), "doc_id")
+
+
+@register(QUERIES, ORACLES, f"with {BYTES} select b.doc_id, sum((b.value > o.value)::int)::bigint as light from b join o on o.doc_id = b.doc_id and o.place = 1 group by b.doc_id")
+def byte_pages_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same pages, one row of pixels high, in black and white."""
+    pages = table(spark, sf_dir, "documents").select("doc_id", F.encode("text", "UTF-8").alias("grey")).filter("length(grey) > 0").withColumns({"width": F.length("grey"), "height": F.lit(1)})
+    binary = contrast.page_variants(pages, "doc_id", ["binary"])
+    return contrast.histograms(binary, "doc_id").groupBy("doc_id").agg(F.coalesce(F.sum(F.when(F.col("value") == 255, F.col("n"))), F.lit(0).cast("long")).alias("light"))
