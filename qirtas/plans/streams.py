@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from qirtas.functions import text
 from qirtas.operators import casefile, outputs, render, streams
 from qirtas.sources.folders import read_folders, write_folders
+from qirtas.sources import readings
 from qirtas.sources.shared import shared_path
 from qirtas.streaming import review
 
@@ -149,3 +150,37 @@ def reviewed_talks_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "reviews")
     review.write_reviews(review.review_stream(pages, ["conv_id", "id"], RuleReviewer), ["conv_id", "id"], f"{path}/rows", f"{path}/checkpoint").awaitTermination()
     return digest(spark.read.parquet(f"{path}/rows"))
+
+
+class LayerReader:
+    """In place of an engine: reads a page whose image is its text layer, by halves of lower case or as it is."""
+
+    def __init__(self, variant: str):
+        self.variant = variant
+
+    def recognise(self, image: bytes) -> tuple[str, float | None, str | None]:
+        text = image.decode()
+        return (text.lower() if self.variant == "lower" else text), 1.0, None
+
+
+@register(QUERIES, ORACLES, """with t as (select doc_id, sha256(coalesce(text, '')) as h, coalesce(text, '') as text from documents),
+ f as (select h, min(text) as text from t group by h), s as (select h, text[1:length(text) // 2] as a, text[length(text) // 2 + 1:] as b from f),
+ r as (select h, case when length(a) % 2 = 0 then lower(a) else a end as a, case when length(b) % 2 = 0 then lower(b) else b end as b from s)
+ select doc_id, sha256(b || '|' || a) as texts_sha256, 4::bigint as readings, 1 as runs from t join r on r.h = t.h""")
+def page_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts as scans of two sides: each side read in two ways and kept, a second run over all reads nothing more; the better
+    reading of each side, the right one first."""
+    t = docs(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("sha256", F.sha2("text", 256))
+    half = F.floor(F.length("text") / 2).cast("int")
+    sides = F.array(F.struct(F.lit("left").alias("side"), F.substring("text", F.lit(1), half).alias("t")), F.struct(F.lit("right").alias("side"), F.substring("text", half + 1, F.length("text")).alias("t")))
+    pages = t.select("sha256", F.lit(1).alias("page"), F.explode(sides).alias("s")).select("sha256", "page", "s.side", F.encode("s.t", "UTF-8").alias("image"))
+    configs = spark.createDataFrame([("layer", "plain", None), ("layer", "lower", None)], "engine string, variant string, psm int")
+    path, make = shared_path(spark, "readings"), lambda engine, variant, psm: LayerReader(variant)
+    for _ in range(2):
+        readings.read_missing(spark, path, pages, configs, make)
+    kept = readings.readings(spark, path)
+    best = readings.best_texts(kept, F.when((F.col("variant") == "lower") == (F.length("text") % 2 == 0), 1.0).otherwise(0.0))
+    texts = readings.in_order(t.select(F.col("doc_id").alias("name"), "sha256"), best)
+    made = readings.stored(spark, path).groupBy("sha256").agg(F.count("*").alias("readings"), F.countDistinct("run").cast("int").alias("runs"))
+    digests = texts.select(F.col("name").alias("doc_id"), F.sha2(F.array_join("texts", "|"), 256).alias("texts_sha256"))
+    return digests.join(t.select("doc_id", "sha256"), "doc_id").join(made, "sha256").select("doc_id", "texts_sha256", "readings", "runs")

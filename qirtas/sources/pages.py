@@ -1,4 +1,4 @@
-"""Sources: files by content, page lists, JSON of documents and page caches; engines that read pages."""
+"""Sources: files by content, page lists, JSON of documents and page caches; the interface of engines that read pages."""
 
 from __future__ import annotations
 
@@ -70,19 +70,6 @@ class Engine(Protocol):
     def recognise(self, image: bytes) -> tuple[str, float | None, str | None]: ...
 
 
-class FakeEngine:
-    """Takes the image's bytes as its text: for tests and where no engine is installed."""
-
-    def __init__(self, engine_id: str = "fake", confidence: float = 0.5):
-        self.engine_id, self.confidence = engine_id, confidence
-
-    def available(self) -> bool:
-        return True
-
-    def recognise(self, image: bytes) -> tuple[str, float | None, str | None]:
-        return (image or b"").decode("utf-8", "replace"), self.confidence, None
-
-
 def available(engines: dict[str, Engine], order: tuple[str, ...]) -> list[str]:
     """Engines that are ready, in order of preference."""
     return [e for e in order if e in engines and engines[e].available()]

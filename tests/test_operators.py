@@ -3,13 +3,30 @@
 from __future__ import annotations
 
 import random
+import sys
 
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from qirtas.operators import casefile, choose, evaluate, inventory, layout, lines, render
 from qirtas.sources import pages as source
 from qirtas.streaming import landing
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+class FakeEngine:
+    """Takes the image's bytes as its text."""
+
+    def __init__(self, engine_id: str = "fake", confidence: float = 0.5):
+        self.engine_id, self.confidence = engine_id, confidence
+
+    def available(self) -> bool:
+        return True
+
+    def recognise(self, image: bytes) -> tuple[str, float | None, str | None]:
+        return (image or b"").decode("utf-8", "replace"), self.confidence, None
+
 
 def test_best_candidate_takes_the_first_on_ties(spark):
     rows = spark.createDataFrame([(1, 0, " ", 9.0), (1, 1, "a", 5.0), (1, 2, "b", 5.0), (2, 0, "", 1.0), (2, 1, None, 2.0)], "p int, ord int, text string, score double")
@@ -108,7 +125,7 @@ def test_rendered_pages(spark):
 
 
 def test_engines_fail_as_rows(spark):
-    class Broken(source.FakeEngine):
+    class Broken(FakeEngine):
         def recognise(self, image):
             if image == b"bad":
                 raise ValueError("no")
@@ -117,7 +134,7 @@ def test_engines_fail_as_rows(spark):
     rows = spark.createDataFrame([(1, bytearray(b"ok")), (2, bytearray(b"bad"))], "i int, image binary")
     got = {r.i: (r.text, r.success) for r in source.recognised(rows, "image", lambda: Broken()).collect()}
     assert got == {1: ("ok", True), 2: ("", False)}
-    assert source.routed("auto", {"a": source.FakeEngine("a")}, ("b", "a")) == ("a", None)
+    assert source.routed("auto", {"a": FakeEngine("a")}, ("b", "a")) == ("a", None)
 
 
 def test_document_json_round_trip(spark, tmp_path):
@@ -136,7 +153,7 @@ def test_page_cache_keeps_quality(spark, tmp_path):
 
 
 def test_engines_by_name():
-    engines = {"a": source.FakeEngine("a")}
+    engines = {"a": FakeEngine("a")}
     assert source.available(engines, ("b", "a")) == ["a"] and source.engine_named(engines, "a").engine_id == "a"
     for bad in (lambda: source.engine_named(engines, "z"), lambda: source.routed("z", engines, ("a",)), lambda: source.routed("auto", {}, ("a",))):
         try:
