@@ -270,10 +270,13 @@ def upper_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.upper_median(d, ["lang"], "n", 14.0)
 
 
-@register(QUERIES, ORACLES, "select '1-3,7' as spec, '0,1,2,6' as pages union all select '2,2,1', '0,1' union all select '0', null union all select '5-2', null union all select '4', '3' union all select 'x', null")
+@register(QUERIES, ORACLES, """with s as (select page_id, 1 + page_id % 9 as a, 1 + page_id % 7 as b, page_id % 13 as c from pages)
+ select page_id, a::varchar || '-' || b::varchar || ', ' || c::varchar as spec, case when b >= a and c >= 1 then array_to_string(list_transform(list_sort(list_distinct(range(a, b + 1) || [c])), lambda x: (x - 1)::varchar), ',') end as pages from s""")
 def page_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    specs = spark.createDataFrame([(s,) for s in ("1-3,7", "2,2,1", "0", "5-2", "4", "x")], "spec string")
-    return specs.select("spec", F.array_join(page_numbers(F.col("spec")), ",").alias("pages"))
+    """Lists of pages written from every page's number; descending ones and those with a zero are null."""
+    part = lambda n, more=0: (F.pmod("page_id", F.lit(n)) + more).cast("string")
+    specs = table(spark, sf_dir, "pages").select("page_id", F.concat(part(9, 1), F.lit("-"), part(7, 1), F.lit(", "), part(13)).alias("spec"))
+    return specs.select("page_id", "spec", F.array_join(page_numbers(F.col("spec")), ",").alias("pages"))
 
 
 @register(QUERIES, ORACLES, "select conv_id, turn, role from (select *, row_number() over (partition by conv_id order by length(coalesce(text, '')) desc, turn) as r from conversations) where r <= 3")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qirtas.functions import bidi
-from qirtas.operators import contrast, levels, prefixes
+from qirtas.operators import contrast, levels, prefixes, thumbnails
 
 from .common import STATS, count, register, reply, share, table
 from .measures import CASES, DATES
@@ -96,3 +96,16 @@ def byte_pages_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "documents").select("doc_id", F.encode("text", "UTF-8").alias("grey")).filter("length(grey) > 0").withColumns({"width": F.length("grey"), "height": F.lit(1)})
     binary = contrast.page_variants(pages, "doc_id", ["binary"])
     return contrast.histograms(binary, "doc_id").groupBy("doc_id").agg(F.coalesce(F.sum(F.when(F.col("value") == 255, F.col("n"))), F.lit(0).cast("long")).alias("light"))
+
+
+@register(QUERIES, ORACLES, """with p as (select vec_id, list_transform(embedding, lambda x: least(greatest(floor(128 + 256 * x::double), 0), 255)) as v from embeddings),
+ m as (select t.vec_id as target, s.vec_id as source, list_sum(list_transform(list_zip(t.v, s.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) / 64 as mse from p t join p s on s.vec_id % 100 <> 0 where t.vec_id % 100 = 0),
+ b as (select *, row_number() over (partition by target order by mse, source::varchar) as place from m where mse < 1000)
+ select p.vec_id as target, b.source::varchar as source, b.mse from p left join b on b.target = p.vec_id and place = 1 where p.vec_id % 100 = 0""")
+def nearest_thumbnails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors as thumbnails of eight by eight: of every hundredth the one of the others that differs least."""
+    value = lambda x: F.greatest(F.least(F.floor(128 + 256 * x.cast("double")), F.lit(255)), F.lit(0))
+    grey = F.unhex(F.array_join(F.transform("embedding", lambda x: F.lpad(F.hex(value(x)), 2, "0")), ""))
+    pages = table(spark, sf_dir, "embeddings").select("vec_id", grey.alias("grey"))
+    found = thumbnails.nearest_pages(pages.filter("vec_id % 100 = 0"), pages.filter("vec_id % 100 <> 0"), "vec_id", "vec_id", width=8)
+    return found.select("target", "source", "mse")

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from qirtas.functions.text import corrected
-from qirtas.operators import glyphs, layout, pixels
+from qirtas.operators import glyphs, layout, pixels, thumbnails
 
 CMAP = """beginbfchar
 <0003> <0020>
@@ -107,7 +107,7 @@ def test_nearest_pages(spark):
     grey = lambda v: bytearray([v] * 16)
     targets = spark.createDataFrame([(1, grey(10)), (2, grey(200)), (3, None)], "t int, grey binary")
     sources = spark.createDataFrame([("b", grey(12)), ("a", grey(8)), ("c", grey(90))], "s string, grey binary")
-    got = {r.target: (r.source, r.mse) for r in pixels.nearest_pages(targets, sources, "t", "s", block=4).collect()}
+    got = {r.target: (r.source, r.mse) for r in thumbnails.nearest_pages(targets, sources, "t", "s", block=4).collect()}
     assert got == {1: ("a", 4.0), 2: (None, None), 3: (None, None)}
     assert targets.select(pixels.mean_square_error("grey", "grey")).first()[0] == 0.0
 
