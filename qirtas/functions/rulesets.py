@@ -20,7 +20,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .metrics import any_of, contains_arabic, count_of, quality_status, weird_ratio
-from .text import clean_arabic, let, lines, replace_all, strip, strip_end, text_of, tokens, unix_lines
+from .text import clean_arabic, compose, let, lines, replace_all, strip, strip_end, text_of, tokens, unix_lines
 from .udfs import nfc, nfkc
 
 Pairs = Iterable[tuple[str, str]]
@@ -98,7 +98,7 @@ def word_hits(c: Column, words: Iterable[str]) -> Column:
 
 
 def composed(c: Column, kind: Callable = nfc) -> Column:
-    return F.when(c.rlike(r"[^\x00-\x7f]"), kind(c)).otherwise(c)
+    return compose(c, kind)
 
 
 def persian_letters(c: Column) -> Column:

@@ -1,11 +1,12 @@
 """Text normalisation as column expressions, stage by stage in the order that each profile needs.
 
-Null texts count as empty. Normal form KC is the one step that is not JVM-side; it is taken only where a
-text has a character beyond ASCII."""
+Null texts count as empty. Normal forms are the one step that is not JVM-side. Spark asks a Python function for every row,
+whatever stands around it, so texts that are in the form already (``UNSETTLED``) are handed over as null."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import unicodedata
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,6 +26,22 @@ SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, rang
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\u0085  ]"
 
 
+def _settled() -> str:
+    """Ranges beyond ASCII that no normal form changes: letters and marks of European and Arabic scripts and common ideographs
+    that are their own form and are no second part of a composed one."""
+    parts = [unicodedata.decomposition(chr(i)).split() for i in range(0x10000) if unicodedata.decomposition(chr(i))]
+    second = {int(p[1], 16) for p in parts if len(p) == 2 and not p[0].startswith("<")}
+    plain = lambda i: unicodedata.normalize("NFKC", chr(i)) == chr(i) and not unicodedata.combining(chr(i)) and i not in second
+    kept = [i for i in (*range(0x80, 0x700), *range(0x2010, 0x2040), *range(0x20A0, 0x20C0)) if plain(i) and unicodedata.category(chr(i)) != "Cn"]
+    there = set(kept)
+    ends = zip([i for i in kept if i - 1 not in there], [i for i in kept if i + 1 not in there], strict=True)
+    return "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ends) + "\\x{4e00}-\\x{9fff}"
+
+
+SETTLED = _settled()
+UNSETTLED = f"[[^\\x00-\\x7f]&&[^{SETTLED}]]"  # the ranges are looked at beyond ASCII only
+
+
 def text_of(c: Column | str) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
@@ -66,8 +83,9 @@ def full_lines(c: Column) -> Column:
     return F.filter(F.transform(F.split(c, LINE_END), strip), lambda x: x != "")
 
 
-def compose(c: Column) -> Column:
-    return F.when(c.rlike(r"[^\x00-\x7f]"), nfkc(c)).otherwise(c)
+def compose(c: Column, form: Callable = nfkc) -> Column:
+    """A normal form; only texts that may not be in it go to Python."""
+    return F.coalesce(form(F.when(c.rlike(UNSETTLED), c)), c)
 
 
 def tidy_lines(c: Column) -> Column:
@@ -135,7 +153,7 @@ def eastern_digits(c: Column) -> Column:
 
 
 def presentation_forms(c: Column) -> Column:
-    return F.when(c.rlike("[\ufb50-\ufdff\ufe70-\ufeff]"), nfkc(c)).otherwise(c)
+    return F.coalesce(nfkc(F.when(c.rlike("[\ufb50-\ufdff\ufe70-\ufeff]"), c)), c)
 
 
 def replace_all(c: Column, pairs: Iterable[tuple[str, str]]) -> Column:

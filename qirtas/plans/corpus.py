@@ -94,8 +94,8 @@ MERGE = f"""with n as (select conv_id, turn, regexp_replace(regexp_replace(coale
 def turn_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each turn against the next as primary and secondary reading: the normal forms ``a`` and ``b``, and the rule."""
     following = Window.partitionBy("conv_id").orderBy("turn")
-    t = turns(spark, sf_dir).withColumn("following", F.lead("text").over(following)).withColumn("next_turn", F.lead("turn").over(following))
-    t = t.filter("next_turn = turn + 1").withColumn("a", choose.normal_output(body())).withColumn("b", choose.normal_output(F.col("following")))
+    t = turns(spark, sf_dir).select("conv_id", "turn", choose.normal_output(body()).alias("a"))
+    t = t.withColumn("b", F.lead("a").over(following)).withColumn("next_turn", F.lead("turn").over(following)).filter("next_turn = turn + 1")
     return t.select("conv_id", "turn", "a", "b", choose.decided(F.col("a"), F.col("b")).alias("rule"))
 
 

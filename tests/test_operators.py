@@ -171,3 +171,9 @@ def test_stream_of_pages(spark, tmp_path):
     query = landing.each_batch(stream, str(tmp_path / "c"), lambda df, n: seen.extend(r.score for r in df.collect()))
     query.awaitTermination(60)
     assert len(seen) == 1 and seen[0] > 0
+
+
+def test_lists_of_pages(spark):
+    specs = spark.createDataFrame([(s,) for s in ("1-3,7", "2,2,1", "0", "5-2", "4", "x")], "spec string")
+    got = {r.spec: r.p for r in specs.select("spec", source.page_numbers(F.col("spec")).alias("p")).collect()}
+    assert got == {"1-3,7": [0, 1, 2, 6], "2,2,1": [0, 1], "0": None, "5-2": None, "4": [3], "x": None}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 import unicodedata
 
 import pytest
@@ -99,3 +100,18 @@ def test_edit_distance():
     for _ in range(300):
         x, y = ([rng.choice("abc") for _ in range(rng.randrange(7))] for _ in range(2))
         assert udfs.edit_distance(x, y) == slow(x, y)
+
+
+def test_what_stays_away_from_python_is_in_its_form(spark):
+    """Strings of settled characters are their own form, whatever their order."""
+    pattern = re.compile(re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: "\\u" + m[1].rjust(4, "0"), f"[^\\x00-\\x7f{text.SETTLED}]"))
+    settled = [chr(i) for i in range(0xD800) if not pattern.match(chr(i))]
+    rng = random.Random(1)
+    assert len(settled) > 20_000 and "é" in settled and "م" in settled and "\u0301" not in settled and "ﻻ" not in settled and "²" not in settled
+    every = "".join(settled)
+    assert all(unicodedata.normalize(f, every) == every for f in ("NFC", "NFKC"))
+    for _ in range(300):
+        t = "".join(rng.choice(settled[:1500]) for _ in range(60))
+        assert all(unicodedata.normalize(f, t) == t for f in ("NFC", "NFKC"))
+    seen = spark.createDataFrame([(i, chr(i)) for i in range(1, 0xD800, 7)], "i int, c string").filter(F.col("c").rlike(text.UNSETTLED)).collect()
+    assert {r.i for r in seen} == {i for i in range(1, 0xD800, 7) if pattern.match(chr(i))}
