@@ -8,7 +8,9 @@ the control bytes up in a table of 256 rows of four lengths; a running sum gives
 lengths. Files are read in steps of about ``STEP_IDS`` ids.
 
 Texts are put in order before they are encoded, and their ids kept as a table in that order, so that counting and
-writing are scans of it: at no time are there more than two of texts, table and files on disk.
+writing are scans of it: at no time are there more than two of texts, table and files on disk. What was written
+is listed in a table, one row a file; where a file's ids begin comes from a running sum within each task's files and
+one row a task.
 
 Defined results: a null or empty text has only the end id; repeated doc_ids follow in an order that their texts
 decide; a null doc_id comes first; other columns, whatever their names, are not read; an empty table
@@ -24,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import encoder, forget
@@ -34,6 +36,7 @@ from .text import binary, give_back, ranges
 
 MAGIC, HEAD = b"QTOK2\0\0\0", "<8sQQQQ"
 FILE_COLUMNS = ["task", "file", "start", "part", "path", "docs", "ids"]
+FILES = "task long, file long, start long, part long, path string, docs long, ids long"
 FILE_IDS, STEP_IDS = 1 << 21, 1 << 18
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) % 4 + 1).astype(np.uint8)
 
@@ -133,8 +136,8 @@ def frequency_ranks(tokens: DataFrame, size: int) -> np.ndarray:
     return np.lexsort((np.arange(size), -counts))
 
 
-def write_token_files(docs: DataFrame, vocabulary: str, end_id: int | None = None) -> tuple[list, str]:
-    """Encode, rank and write. Returns the files in order (path, ids before it, documents, ids) and the path of the ranks."""
+def write_token_files(docs: DataFrame, vocabulary: str, end_id: int | None = None) -> tuple[DataFrame, str]:
+    """Encode, rank and write. Returns a table of the files (path, ids before it, documents, ids) and the path of the ranks."""
     spark = docs.sparkSession
     folder, size = new_path(spark, "tokens"), encoder(vocabulary).size
     order = ["doc_id", F.xxhash64("text"), "text"]
@@ -183,13 +186,19 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int | None = Non
         give_back()
 
     rows = tokens.select("doc_id", "n", "ids", F.col("_metadata.file_name"), F.col("_metadata.file_block_start"))
-    files = sorted(rows.mapInArrow(write, "task long, file long, start long, part long, path string, docs long, ids long").collect())
+    files = write_table(rows.mapInArrow(write, FILES), "token-files")
     drop_table(tokens)
-    out, before = [], 0
-    for f in files:
-        out.append((f["path"], before, f["docs"], f["ids"]))
-        before += f["ids"]
-    return out, f"{folder}/ranks"
+    return with_places(files), f"{folder}/ranks"
+
+
+def with_places(files: DataFrame) -> DataFrame:
+    """``path, before, docs, ids``: the ids of all files before each. Tasks, of which there are as many as partitions of
+    the texts in order, are summed first; a task's own files follow one another."""
+    tasks = files.groupBy("task").agg(F.sum("ids").alias("_all"))
+    tasks = tasks.select("task", (F.sum("_all").over(Window.orderBy("task")) - F.col("_all")).alias("_base"))
+    own = F.sum("ids").over(Window.partitionBy("task").orderBy("file", "start", "part")) - F.col("ids")
+    placed = files.withColumn("_own", own).join(tasks, "task")
+    return placed.select("path", (F.col("_base") + F.col("_own")).alias("before"), "docs", "ids")
 
 
 def _place(name: str) -> tuple[int, int]:
@@ -198,7 +207,7 @@ def _place(name: str) -> tuple[int, int]:
     return int(found[1]), int(found[2] or 0)
 
 
-def read_token_files(spark: SparkSession, files: list, ranks: str) -> DataFrame:
+def read_token_files(spark: SparkSession, files: DataFrame, ranks: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids`` (unsigned 32-bit little-endian) of every document, from the files."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,9 +221,8 @@ def read_token_files(spark: SparkSession, files: list, ranks: str) -> DataFrame:
                     before += int(n.sum())
         give_back()
 
-    table = spark.createDataFrame([(f[0], f[1]) for f in files], "path string, before long")
-    table = table.repartition(max(1, min(len(files), 4 * spark.sparkContext.defaultParallelism))) if files else table
-    return table.mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
+    dealt = files.select("path", "before").repartition(4 * spark.sparkContext.defaultParallelism)
+    return dealt.mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def crc_column(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -196,6 +196,16 @@ def test_token_files(spark, make, odd_rows):
     assert token_files.read_token_files(spark, files, ranks).collect() == []
 
 
+def test_places_of_token_files(spark):
+    """Files of several tasks, out of order and one task without any: each begins where all before it end."""
+    rows = [(t, f, s, p, f"{t}-{f}-{s}-{p}", 1, 10 * t + f + 3 * s + p + 1) for t in (0, 1, 4, 11) for f in (0, 1) for s in (4, 70) for p in (0, 1, 2)]
+    made = spark.createDataFrame(rows[::-1], token_files.FILES).repartition(5)
+    want, before = {}, 0
+    for r in sorted(rows):
+        want[r[4]], before = before, before + r[6]
+    assert {r.path: r.before for r in token_files.with_places(made).collect()} == want
+
+
 def test_token_counts(make, odd_rows):
     enc = bpe.encoder(vocabulary(VOCABULARY))
     n = [len(enc.whole([r[1] or ""])[0]) for r in odd_rows]
