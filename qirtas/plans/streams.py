@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qirtas.functions import text
-from qirtas.operators import casefile, outputs, render, streams
+from qirtas.operators import casefile, fonts, outputs, render, streams
 from qirtas.sources.folders import read_folders, write_folders
 from qirtas.sources import readings
 from qirtas.sources.shared import shared_path
@@ -184,3 +184,32 @@ def page_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = readings.stored(spark, path).groupBy("sha256").agg(F.count("*").alias("readings"), F.countDistinct("run").cast("int").alias("runs"))
     digests = texts.select(F.col("name").alias("doc_id"), F.sha2(F.array_join("texts", "|"), 256).alias("texts_sha256"))
     return digests.join(t.select("doc_id", "sha256"), "doc_id").join(made, "sha256").select("doc_id", "texts_sha256", "readings", "runs")
+
+
+def written_fonts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's characters as a font file of their own, glyphs from 1 on in order of code points: format 4 for every
+    other doc_id whose characters fit it, format 12 for the rest; the file is cut in half where 7 divides doc_id - 3."""
+    two = lambda x: F.lpad(F.hex(x.cast("long")), 4, "0")
+    four = lambda x: F.lpad(F.hex(x.cast("long")), 8, "0")
+    joined = lambda f: F.array_join(F.transform("points", f), "")
+    chars = F.array_distinct(F.filter(F.split(body(), ""), lambda c: c != ""))
+    rows = docs(spark, sf_dir).select("doc_id", F.array_sort(F.transform(chars, lambda c: F.ascii(c))).alias("points"))
+    n = F.size("points")
+    ends, shifts, places = joined(two), joined(lambda p, i: two(F.pmod(i + 1 - p, F.lit(65536)))), joined(lambda p: F.lit("0000"))
+    segments = F.concat(F.lit("0004"), two(n * 8 + 24), F.lit("0000"), two(n * 2 + 2), F.lit("000000000000"), ends, F.lit("FFFF0000"), ends, F.lit("FFFF"), shifts, F.lit("0001"), places, F.lit("0000"))
+    groups = F.concat(F.lit("000C0000"), four(n * 12 + 16), F.lit("00000000"), four(n), joined(lambda p, i: F.concat(four(p), four(p), four(i + 1))))
+    small = (F.col("doc_id") % 2 == 0) & (n < 8000) & ~F.exists("points", lambda p: p >= 0xFFFF)
+    table_ = F.concat(F.lit("000000010003"), F.when(small, "0001").otherwise("000A"), F.lit("0000000C"), F.when(small, segments).otherwise(groups))
+    size = F.length(table_) / 2
+    font = F.concat(F.lit("000100000001001000000000"), F.hex(F.encode(F.lit("cmap"), "UTF-8")), F.lit("000000000000001C"), four(size), table_)
+    whole = F.unhex(font)
+    return rows.select("doc_id", F.when(F.pmod("doc_id", F.lit(7)) == 3, F.substring(whole, F.lit(1), F.floor(F.length(whole) / 2).cast("int"))).otherwise(whole).alias("font"))
+
+
+@register(QUERIES, ORACLES, r"""with c as (select doc_id, list_sort(list_distinct(regexp_extract_all(coalesce(text, ''), '(?s).'))) as c from documents),
+ m as (select doc_id, doc_id % 7 = 3 as broken, list_filter(list_transform(c, lambda x: translate(x, chr(1705) || chr(1740) || chr(65279), chr(1603) || chr(1610))), lambda x: x <> '') as c from c)
+ select doc_id, case when broken then null else len(c)::bigint end as glyphs, case when broken then null else array_to_string(c, '') end as characters from m""")
+def embedded_fonts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Characters of all texts' fonts, read from their tables; null where the file is cut."""
+    read = written_fonts(spark, sf_dir).select("doc_id", fonts.glyph_map(fonts.font_glyphs("font")).alias("m"))
+    return read.select("doc_id", F.when(F.col("m").isNotNull(), F.size("m")).cast("long").alias("glyphs"), F.array_join(F.map_values("m"), "").alias("characters"))
