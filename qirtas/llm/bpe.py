@@ -93,17 +93,22 @@ class Encoder:
             self.cache.clear()
         model, cache, kind = self.library.model.tokenize, self.cache, "H" if self.store.itemsize == 2 else "I"
         for c in chunks:
+            word = c[1:] if c[0] == 32 else c
+            if word.isalpha():  # ASCII letters: one pre-token
+                shown = word.decode() if word is c else "\u0120" + word.decode()
+                cache[c] = array(kind, [x.id for x in model(shown)]).tobytes()
+                continue
             t = c.decode()
             if c[-1:].isspace() or _RARE.search(t):
                 cache[c] = self.whole([t])[0].tobytes()
                 continue
-            if not t.isascii():
-                parts = [p.encode().decode("latin-1").translate(_SHOWN) for p in _PARTS(t)]
-            else:
-                parts = _PARTS(t)
-                parts[0] = parts[0].replace(" ", "\u0120")
-            ids = [x.id for p in parts for x in model(p)]
-            cache[c] = array(kind, ids).tobytes()
+            found = []
+            for part in map(str.encode, _PARTS(t)):  # a pre-token is a chunk too, and many chunks share it
+                ids = cache.get(part)
+                if ids is None:
+                    ids = cache[part] = array(kind, [x.id for x in model(part.decode("latin-1").translate(_SHOWN))]).tobytes()
+                found.append(ids)
+            cache[c] = b"".join(found)
 
     def column(self, texts: pa.Array):
         """Yield for each slice of rows: first row, ids of all its rows, ids a row. Null counts as empty."""
