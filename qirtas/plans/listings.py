@@ -70,7 +70,7 @@ def bidi_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text in lines of twelve words, two of three in right-to-left letters, in display order."""
     words = F.regexp_extract_all("text", F.lit("[a-z]+"), F.lit(0))
     mixed = F.transform(words, lambda w, i: F.when(i % 3 == 0, w).otherwise(F.translate(w, ALPHABET, RIGHT)))
-    rows = table(spark, sf_dir, "documents").select("doc_id", mixed.alias("w")).filter("size(w) > 0")
+    rows = table(spark, sf_dir, "documents").filter(F.col("text").rlike("[a-z]")).select("doc_id", mixed.alias("w"))
     starts = F.sequence(F.lit(0), F.floor((F.size("w") - 1) / 12).cast("int"))
     lines = F.transform(starts, lambda k: F.array_join(F.slice(F.col("w"), k * 12 + 1, 12), " "))
     shown = bidi.display_order(F.array_join(lines, "\n"))
