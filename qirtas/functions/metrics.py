@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,6 +38,7 @@ NO_TEXT_REPLIES = (
 )
 SEEN_WORDS = ("visible", "extract", "extractable", "faint", "blank", "legible", "read")
 SEEN_WORDS_ARABIC = ("مرئي", "واضح", "مقروء", "ظاهر")
+ONE_OF = re.compile(r"(?:\(\?U\))?(?:\[(?:[^\[\]\\&]|&(?!&)|\\.)+\]|\\p\{\w+\})")  # a pattern of one character of a class
 EDGE = r"^[()\[\]{} .]+|[()\[\]{} .]+$"
 
 
@@ -51,6 +54,10 @@ def share(part: Column, whole: Column) -> Column:
 
 
 def count_of(c: Column, pattern: str) -> Column:
+    """Matches of a pattern. Characters of a class are counted by what is left without their runs, as each match
+    would make a string of its own."""
+    if ONE_OF.fullmatch(pattern):
+        return F.length(c) - F.length(F.regexp_replace(c, pattern + "+", ""))
     return F.regexp_count(c, F.lit(pattern))
 
 
@@ -96,8 +103,7 @@ def without_replies(c: Column) -> Column:
 
 
 def sanitised(c: Column) -> Column:
-    t = without_replies(c)
-    return F.when(no_text_reply(t), F.lit("")).otherwise(t)
+    return let(without_replies(c), lambda t: F.when(no_text_reply(t), F.lit("")).otherwise(t))
 
 
 def quality_score(c: Column) -> Column:
@@ -167,7 +173,17 @@ def repeated_run_ratio(c: Column) -> Column:
 def quality_status(c: Column) -> Column:
     """Struct of status (pass, warn, fail, not_arabic), issues and the measures they rest on."""
     t = text_of(c)
-    seen = F.struct((strip(t) == "").alias("blank"), contains_arabic(t).alias("arabic"), weird_ratio(t).alias("weird"), rtl_ratio(t).alias("rtl"), suspicious_ratio(t).alias("odd"), repeated_run_ratio(t).alias("runs"), count_of(t, ARABIC).alias("n"))
+    return let(F.struct(t.alias("t"), rtl_share(t).alias("rtl")), lambda x: quality_status_of(x["t"], x["rtl"]))
+
+
+def rtl_share(t: Column) -> Column:
+    """``rtl_ratio``, for which ASCII texts need not be handed over."""
+    return F.coalesce(rtl_ratio(let(t, lambda x: F.when(x.rlike(r"[^\x00-\x7f]"), x))), F.lit(0.0))
+
+
+def quality_status_of(t: Column, rtl: Column) -> Column:
+    """``quality_status`` of a text whose share of right-to-left letters is known."""
+    seen = F.struct((strip(t) == "").alias("blank"), contains_arabic(t).alias("arabic"), weird_ratio(t).alias("weird"), rtl.alias("rtl"), suspicious_ratio(t).alias("odd"), repeated_run_ratio(t).alias("runs"), count_of(t, ARABIC).alias("n"))
     return let(seen, _quality_status)
 
 
@@ -204,7 +220,7 @@ def mean_arabic_word(c: Column) -> Column:
 def native_score(c: Column) -> Column:
     """Score of a page's text candidate from its file; blank texts come last."""
     t = text_of(c)
-    return let(rtl_ratio(t), lambda rtl: _native_score(t, contains_arabic(t), rtl))
+    return let(F.struct(t.alias("t"), rtl_share(t).alias("rtl")), lambda x: _native_score(x["t"], contains_arabic(x["t"]), x["rtl"]))
 
 
 def _native_score(t: Column, arabic: Column, rtl: Column) -> Column:
@@ -226,7 +242,9 @@ def status_score(quality: Column) -> Column:
 
 def page_score(c: Column) -> Column:
     """The scale differs for texts with and without Arabic, as the choice of page texts has it."""
-    return F.when(contains_arabic(c), status_score(quality_status(c))).otherwise(native_score(c))
+    t = text_of(c)
+    status = lambda x: let(quality_status_of(x["t"], x["rtl"]), status_score)
+    return let(F.struct(t.alias("t"), rtl_share(t).alias("rtl")), lambda x: F.when(contains_arabic(x["t"]), status(x)).otherwise(_native_score(x["t"], contains_arabic(x["t"]), x["rtl"])))
 
 
 def text_metrics(c: Column) -> Column:

@@ -14,13 +14,14 @@ Letters, digits and white space are those of Unicode. A null text counts as empt
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .metrics import any_of, contains_arabic, count_of, quality_status, weird_ratio
-from .text import clean_arabic, compose, let, lines, replace_all, strip, strip_end, text_of, tokens, unix_lines
+from .metrics import any_of, count_of, quality_status_of, rtl_share, weird_ratio
+from .text import cleaned_if_arabic, compose, let, lines, replace_all, strip, strip_end, strip_text, text_of, tokens, unix_lines
 from .udfs import nfc, nfkc
 
 Pairs = Iterable[tuple[str, str]]
@@ -28,11 +29,13 @@ Pairs = Iterable[tuple[str, str]]
 # Character classes.
 BIDI = "[‎‏‪-‮⁦-⁩]"
 CONTROL = r"[\x00-\x08\x0b-\x1f\x7f-\x9f]"
+UNSEEN = BIDI[:-1] + CONTROL[1:]
 CONTROL_NARROW = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
 AR, LETTER, MARKS = "[؀-ۿ]", "ء-ي", "[ً-ٰٟ]"
 VOWELS = "ًٌٍَُِّْ"
 EASTERN, WESTERN = "٠١٢٣٤٥٦٧٨٩", "0123456789"
 DIGIT = r"[\p{Nd}²³¹⁰⁴-⁹₀-₉①-⑨⑴-⑼⒈-⒐⓪⓵-⓽⓿❶-❾➀-➈➊-➒]"
+DIGITS = rf"[[^\x00-/:-\x7fÀ-\u065f]&&{DIGIT}]+"  # the first part tells most characters
 BEFORE, AFTER = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"  # the edges of a word
 
 # Words that speak for a right reading.
@@ -94,13 +97,21 @@ def occurrences(c: Column, word: str) -> Column:
 
 
 def word_hits(c: Column, words: Iterable[str]) -> Column:
-    return sum((occurrences(c, w) for w in words), F.lit(0).cast("long"))
+    """Occurrences of all words; each is looked for only in texts that hold one of them."""
+    words = list(words)
+    firsts = "[" + "".join(sorted({re.escape(w[0]) for w in words})) + "]"
+    there = c.rlike(firsts) & c.rlike(f"(?={firsts})(?:" + "|".join(map(re.escape, words)) + ")")
+    return F.when(c.isNull(), F.lit(None)).when(there, sum((occurrences(c, w) for w in words), F.lit(0).cast("long"))).otherwise(F.lit(0).cast("long"))
 
 
 def composed(c: Column, kind: Callable = nfc) -> Column:
     return compose(c, kind)
 
 
+def digits_of(c: Column) -> Column:
+    return F.length(c) - F.length(_sub(c, DIGITS, ""))
+
+
 def persian_letters(c: Column) -> Column:
     return F.translate(c, "کی", "كي")
 
@@ -110,7 +121,7 @@ def _blanks(c: Column, least: int = 2) -> Column:
 
 
 def _line_ends(c: Column) -> Column:
-    return F.regexp_replace(c, " *\n *", "\n")
+    return F.regexp_replace(F.regexp_replace(c, " +\n", "\n"), "\n +", "\n")
 
 
 def _few_empty(c: Column) -> Column:
@@ -134,8 +145,8 @@ def _spaced(c: Column) -> Column:
 def disclosure_form(c: Column, corrections: Pairs = ()) -> Column:
     t = F.translate(_opened(c), "؟؛،ØÙ�ـ", "?;,")
     t = persian_letters(F.replace(t, F.lit("﷼"), F.lit("ريال")))
-    glued = lambda x: _glued(replace_all(clean_arabic(x), corrections))
-    return strip(_few_empty(_line_ends(_blanks(F.when(contains_arabic(t), glued(t)).otherwise(t)))))
+    glued = lambda x: _glued(replace_all(x, corrections))
+    return strip_text(_few_empty(_line_ends(_blanks(cleaned_if_arabic(t, then=glued)))))
 
 
 def _glued(c: Column) -> Column:
@@ -147,47 +158,47 @@ def _glued(c: Column) -> Column:
 
 def statement_form(c: Column) -> Column:
     t = F.translate(_opened(c), "—–ØÙ�", "--")
-    return strip(_few_empty(_line_ends(_blanks(t))))
+    return strip_text(_few_empty(_line_ends(_blanks(t))))
 
 
 def chat_form(c: Column) -> Column:
     t = F.regexp_replace(F.translate(_opened(c), "�", ""), CONTROL_NARROW, "")
-    return strip(_few_empty(_line_ends(_blanks(F.when(contains_arabic(t), clean_arabic(t)).otherwise(t)))))
+    return strip_text(_few_empty(_line_ends(_blanks(cleaned_if_arabic(t)))))
 
 
 def upload_form(c: Column) -> Column:
     t = _opened(c)
-    return strip(_few_empty(_line_ends(_blanks(F.when(contains_arabic(t), clean_arabic(t)).otherwise(strip(t)), 1))))
+    return strip_text(_few_empty(_line_ends(_blanks(cleaned_if_arabic(t, otherwise=strip), 1))))
 
 
 def case_form(c: Column) -> Column:
     """Of case files and pleadings."""
-    t = F.regexp_replace(unix_lines(composed(text_of(c))), f"{BIDI}|{CONTROL}", "")
+    t = F.regexp_replace(unix_lines(composed(text_of(c))), UNSEEN, "")
     return _case_tail(t)
 
 
 def _case_tail(t: Column) -> Column:
-    t = persian_letters(F.translate(t, " ﻿ـ", " "))
-    return strip(_line_ends(_blanks(t)))
+    t = F.translate(t, "\u00a0کی\ufeffـ", " كي")
+    return strip_text(_line_ends(_blanks(t)))
 
 
 def scanned(c: Column) -> Column:
     """Compatibility form without direction marks and control characters: what the forms below begin with, once a text."""
-    return F.regexp_replace(composed(text_of(c), nfkc), f"{BIDI}|{CONTROL}", "")
+    return F.regexp_replace(composed(text_of(c), nfkc), UNSEEN, "")
 
 
 def dispute_form(c: Column, corrections: Pairs = (), ready: bool = False) -> Column:
     t = c if ready else scanned(c)
     t = F.regexp_replace(F.translate(persian_letters(F.translate(t, "ـ", "")), WESTERN, EASTERN), MARKS, "")
     t = _sub(replace_all(t, corrections), f"{BEFORE}فى{AFTER}", "في")
-    return strip(_sub(_sub(_spaced(t), r"\s*/\s*", " / "), r"\s{2,}", " "))
+    return strip_text(_sub(_sub(_spaced(t), r"\s*/\s*", " / "), r"\s{2,}", " "))
 
 
 def gazette_form(c: Column, corrections: Pairs = (), ready: bool = False) -> Column:
     t = F.translate(c if ready else scanned(c), " ﻿ـ", " ")
     t = persian_letters(F.regexp_replace(t, MARKS, ""))
     t = replace_all(F.replace(F.replace(t, F.lit("،"), F.lit("، ")), F.lit("؛"), F.lit("؛ ")), corrections)
-    return strip(_blanks(_sub(_spaced(t), r"\s*/\s*", " / ")))
+    return strip_text(_blanks(_sub(_spaced(t), r"\s*/\s*", " / ")))
 
 
 def law_form(c: Column, corrections: Pairs = (), ready: bool = False) -> Column:
@@ -239,11 +250,12 @@ def _repeats(c: Column, least: int = 6, what: str = ".") -> Column:
 def case_measures(c: Column, kind: str = "case") -> Column:
     """Struct of the counters of a page, after the case form."""
     seen = lambda t: F.struct(t.alias("t"), F.lower(t).alias("low"), F.transform(tokens(t), lambda w: F.length(w)).alias("words"))
-    return let(case_form(c), lambda t: let(seen(t), lambda x: _case_measures(x["t"], x["low"], x["words"], kind)))
+    counted = lambda x: F.struct(x["t"].alias("t"), x["low"].alias("low"), x["words"].alias("words"), _shares(x["t"]).alias("n"))
+    return let(case_form(c), lambda t: let(seen(t), lambda x: let(counted(x), lambda y: _case_measures(y["t"], y["low"], y["words"], y["n"], kind))))
 
 
-def _case_measures(t: Column, low: Column, sizes: Column, kind: str) -> Column:
-    chars, words, arabic, latin, digits = F.length(t), F.size(sizes), count_of(t, AR), count_of(t, "[A-Za-z]"), _count(t, DIGIT)
+def _case_measures(t: Column, low: Column, sizes: Column, n: Column, kind: str) -> Column:
+    chars, words, arabic, latin, digits = n["n"], F.size(sizes), n["arabic"], n["latin"], n["digits"]
     least = lambda n: F.greatest(n, F.lit(1))
     out = [
         _long(chars, "chars"), _long(arabic, "arabic_chars"), _long(latin, "latin_letters"), _long(digits, "digits"), _long(words, "tokens"), _long(_filled(t), "lines"),
@@ -322,7 +334,7 @@ def disclosure_score(c: Column) -> Column:
 
 
 def _disclosure_score(t: Column) -> Column:
-    chars, arabic, digits, words = F.length(t), count_of(t, AR), _count(t, DIGIT), disclosure_tokens(t)
+    chars, arabic, digits, words = F.length(t), count_of(t, AR), digits_of(t), disclosure_tokens(t)
     mojibake = count_of(t, "[ØÙ�]") + occurrences(t, "? ?")
     score = _sum(
         F.least(chars, F.lit(4000)) * 0.04, arabic * 0.55, digits * 0.08, F.least(_filled(t), F.lit(60)) * 4.0, word_hits(t, DISCLOSURE_WORDS) * 100.0,
@@ -337,7 +349,7 @@ def statement_score(c: Column) -> Column:
 
 
 def _statement_score(t: Column, low: Column) -> Column:
-    chars, letters, digits, words = F.length(t), count_of(t, r"\p{L}"), _count(t, DIGIT), statement_tokens(t)
+    chars, letters, digits, words = F.length(t), count_of(t, r"\p{L}"), digits_of(t), statement_tokens(t)
     figures = _count(t, rf"\(?-?\p{{Nd}}{{1,3}}(?:,\p{{Nd}}{{3}})+(?:\.\p{{Nd}}+)?\)?|{BEFORE}\p{{Nd}}{{4}}{AFTER}")
     score = _sum(
         F.least(chars, F.lit(6000)) * 0.05, F.least(letters, F.lit(3500)) * 0.08, F.least(digits, F.lit(2000)) * 0.18, F.least(_filled(t), F.lit(100)) * 2.5,
@@ -350,13 +362,13 @@ def _statement_score(t: Column, low: Column) -> Column:
 
 def chat_measures(c: Column) -> Column:
     """Struct of status, issues and counters, after the chat form."""
-    t = chat_form(c)  # not bound by ``let``, as the share of right-to-left letters is no JVM expression
-    return let(F.struct(t.alias("t"), quality_status(t).alias("q")), lambda x: _chat_measures(x["t"], x["q"]))
+    t = chat_form(c)  # named twice only: the share of right-to-left letters is no JVM expression and stays outside of ``let``
+    return let(F.struct(t.alias("t"), rtl_share(t).alias("rtl")), lambda x: let(F.struct(x["t"].alias("t"), quality_status_of(x["t"], x["rtl"]).alias("q")), lambda y: _chat_measures(y["t"], y["q"])))
 
 
 def _chat_measures(t: Column, q: Column) -> Column:
     return F.struct(
-        q["status"].alias("status"), q["issues"].alias("issues"), _long(F.length(t), "chars"), _long(count_of(t, AR), "arabic_chars"), _long(_count(t, DIGIT), "digit_chars"), _long(_filled(t), "lines"),
+        q["status"].alias("status"), q["issues"].alias("issues"), _long(F.length(t), "chars"), _long(count_of(t, AR), "arabic_chars"), _long(digits_of(t), "digit_chars"), _long(_filled(t), "lines"),
         _long(count_of(t, "[Ā-ɏ]"), "latin_extended_noise"), _long(occurrences(t, "�"), "replacement_chars"), weird_ratio(t).alias("weird_glyph_ratio"), _long(disclosure_tokens(t), "tokens"),
     )
 
@@ -389,7 +401,7 @@ def dispute_score_english(c: Column, words: Iterable[str]) -> Column:
 
 
 def _dispute_score_english(t: Column, words: list[str]) -> Column:
-    latin, digits, hits = count_of(t, "[A-Za-z]"), _count(t, DIGIT), word_hits(F.lower(t), words)
+    latin, digits, hits = count_of(t, "[A-Za-z]"), digits_of(t), word_hits(F.lower(t), words)
     form = _count(t, f"(?i){BEFORE}(ID|Name|Date|Amount|Total|Salary|Bonus|Signature|Subject|From|To){AFTER}")
     score = _sum(
         latin * 1.4, digits * 0.45, hits * 120, form * 35, F.least(_filled(t), F.lit(80)) * 4, (latin + digits) / F.greatest(F.length(t), F.lit(1)) * 150, count_of(t, AR) * -2,
@@ -408,7 +420,7 @@ def gazette_score(c: Column, corrections: Pairs = ()) -> Column:
 
 def _gazette_score(t: Column) -> Column:
     score = _sum(
-        count_of(t, AR), word_hits(t, GAZETTE_WORDS) * 55, F.least(_filled(t), F.lit(80)) * 3, _count(t, DIGIT) * 0.05, _repeats(t, 5, f"[{LETTER}]") * -80, count_of(t, r"[{}<>\\^`~]") * -20,
+        count_of(t, AR), word_hits(t, GAZETTE_WORDS) * 55, F.least(_filled(t), F.lit(80)) * 3, digits_of(t) * 0.05, _repeats(t, 5, f"[{LETTER}]") * -80, count_of(t, r"[{}<>\\^`~]") * -20,
         count_of(t, "[A-Za-z]") * -1.5,
     )
     return F.when(t == "", NONE).otherwise(score)
@@ -430,12 +442,12 @@ SCORES: dict[str, Callable] = {
 
 def disclosure_summary(c: Column) -> Column:
     t = text_of(c)
-    return F.struct(_long(F.length(t), "chars"), _long(count_of(t, AR), "arabic_chars"), _long(_count(t, DIGIT), "digit_chars"), _long(disclosure_tokens(t), "tokens"), _long(count_of(t, "[ØÙ�]"), "mojibake_markers"), _long(_filled(t), "lines"))
+    return F.struct(_long(F.length(t), "chars"), _long(count_of(t, AR), "arabic_chars"), _long(digits_of(t), "digit_chars"), _long(disclosure_tokens(t), "tokens"), _long(count_of(t, "[ØÙ�]"), "mojibake_markers"), _long(_filled(t), "lines"))
 
 
 def statement_summary(c: Column) -> Column:
     t = text_of(c)
-    return F.struct(_long(F.length(t), "chars"), _long(count_of(t, r"\p{L}"), "letters"), _long(_count(t, DIGIT), "digits"), _long(statement_tokens(t), "tokens"), _long(_filled(t), "lines"), _long(count_of(t, "[ØÙ�]"), "mojibake_markers"))
+    return F.struct(_long(F.length(t), "chars"), _long(count_of(t, r"\p{L}"), "letters"), _long(digits_of(t), "digits"), _long(statement_tokens(t), "tokens"), _long(_filled(t), "lines"), _long(count_of(t, "[ØÙ�]"), "mojibake_markers"))
 
 
 def case_flags(clean: Column, raw_chars: Column, score: Column) -> Column:
@@ -533,7 +545,7 @@ def law_line(c: Column, corrections: Pairs = ()) -> Column:
 
 
 def _shares(t: Column) -> Column:
-    return F.struct(count_of(t, AR).alias("arabic"), count_of(t, "[A-Za-z]").alias("latin"), _count(t, DIGIT).alias("digits"), F.length(t).alias("n"))
+    return F.struct(count_of(t, AR).alias("arabic"), count_of(t, "[A-Za-z]").alias("latin"), digits_of(t).alias("digits"), F.length(t).alias("n"))
 
 
 BARE_NUMBER = r"^[()|.,:+\\/\-=_ \p{Nd}٠-٩]{1,10}$"
@@ -672,7 +684,7 @@ def _split(c: Column) -> Column:
 
 
 def dispute_page(c: Column, corrections: Pairs = ()) -> Column:
-    own = F.transform(_split(c), lambda x: without_footer(dispute_line(x, corrections)))
+    own = F.transform(_split(c), lambda x: let(dispute_line(x, corrections), without_footer))
     return _paragraphs(own, dispute_noise, dispute_joins, lambda x: dispute_form(x, corrections, ready=True))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import difflib
 import unicodedata
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -25,11 +26,17 @@ def nfc(text: pd.Series) -> pd.Series:
 def _rtl_share(text: str | None) -> float:
     if not text or text.isascii():
         return 0.0
-    kinds = [unicodedata.bidirectional(c) for c in text]
-    right, left = sum(k in ("R", "AL", "AN") for k in kinds), kinds.count("L")
+    _, left, right = np.bincount(_strong()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)], minlength=3).tolist()
     return right / (right + left) if right + left else 0.0
 
 
+@cache
+def _strong() -> np.ndarray:
+    """By code point: 1 for left-to-right, 2 for right-to-left letters and Arabic digits, else 0."""
+    kinds = {"L": 1, "R": 2, "AL": 2, "AN": 2}
+    return np.array([kinds.get(unicodedata.bidirectional(chr(i)), 0) for i in range(0x110000)], np.uint8)
+
+
 @F.pandas_udf(T.DoubleType())
 def rtl_ratio(text: pd.Series) -> pd.Series:
     """Share of right-to-left among the characters with a strong direction (Arabic digits count)."""

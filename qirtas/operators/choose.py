@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from qirtas.functions.metrics import contains_arabic, low_quality, page_score, quality_score, sanitised, token_stats
-from qirtas.functions.text import EASTERN, INVISIBLE, MARKS_WIDE, TATWEEL, WESTERN, clean_arabic, compose, full_lines, let, normalise_legacy, squeeze, strip, text_of
+from qirtas.functions.metrics import low_quality, page_score, quality_score, sanitised, token_stats
+from qirtas.functions.text import EASTERN, INVISIBLE, MARKS_WIDE, TATWEEL, WESTERN, cleaned_if_arabic, compose, full_lines, let, normalise_legacy, squeeze, strip, text_of
 from qirtas.functions.udfs import similarity, word_agreement
 
 
@@ -52,19 +52,20 @@ def normal_output(c: Column) -> Column:
 
 
 def merge_pairs(pairs: DataFrame, primary: str, secondary: str) -> DataFrame:
-    """Adds ``rule``, ``merged_text`` and ``confidence``; only pairs that need it go through difflib."""
-    rows = pairs.withColumn("_a", normal_output(F.col(primary))).withColumn("_b", normal_output(F.col(secondary))).withColumn("rule", decided(F.col("_a"), F.col("_b")))
-    plain = rows.filter("rule <> 'verify'")
-    text = F.when(F.col("rule").startswith("secondary"), F.col("_b")).when(F.col("rule") == "neither", "").otherwise(F.col("_a"))
-    plain = plain.withColumn("merged_text", text).withColumn("confidence", F.when(F.col("rule") == "neither", 0.0).otherwise(0.5))
-    checked = rows.filter("rule = 'verify'").withColumn("_v", word_agreement("_a", "_b"))
-    checked = checked.withColumn("merged_text", F.col("_a")).withColumn("confidence", F.col("_v.confidence")).drop("_v")
-    return plain.unionByName(checked).drop("_a", "_b")
+    """Adds ``rule``, ``merged_text`` and ``confidence``; difflib is handed only the texts of pairs that need it."""
+    sides = F.struct(normal_output(F.col(primary)).alias("_a"), normal_output(F.col(secondary)).alias("_b"))
+    both = let(sides, lambda x: F.struct(x["_a"].alias("_a"), x["_b"].alias("_b"), decided(x["_a"], x["_b"]).alias("rule")))
+    rows = pairs.withColumn("_m", both).select("*", F.inline(F.array("_m"))).drop("_m")  # a generator: what it gives is not made anew for each use
+    checked, neither = F.col("rule") == "verify", F.col("rule") == "neither"
+    asked = word_agreement(F.when(checked, F.col("_a")), F.when(checked, F.col("_b")))
+    text = F.when(F.col("rule").startswith("secondary"), F.col("_b")).when(neither, "").otherwise(F.col("_a"))
+    rows = rows.withColumn("_v", asked).withColumn("merged_text", text).withColumn("confidence", F.when(checked, F.col("_v.confidence")).when(neither, 0.0).otherwise(0.5))
+    return rows.drop("_a", "_b", "_v")
 
 
 def better_pages(pairs: DataFrame, native: str, recognised: str) -> DataFrame:
     """Adds ``winner``, ``chosen`` and ``skipped_reason``; the recognised text wins only with a strictly higher score."""
-    clean = lambda c: F.when(contains_arabic(c), clean_arabic(c)).otherwise(strip(text_of(c)))
+    clean = lambda c: cleaned_if_arabic(text_of(c), otherwise=strip)
     rows = pairs.withColumn("_a", clean(F.col(native))).withColumn("_b", clean(F.col(recognised)))
     rows = rows.withColumn("_wins", (F.col("_b") != "") & (page_score(F.col("_b")) > page_score(F.col("_a"))))
     rows = rows.withColumn("winner", F.when(F.col("_wins"), "ocr").otherwise("native")).withColumn("chosen", F.when(F.col("_wins"), F.col("_b")).otherwise(F.col("_a")))
