@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
+import string
+import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .fields import articles, case_numbers, dates
-from .text import ARABIC, EASTERN, WESTERN, full_lines, let, squeeze, strip, strip_end, text_of, tokens, unix_lines
+from .text import ARABIC, EASTERN, PRESENTATION, WESTERN, beyond, full_lines, is_blank, let, squeeze, strip, strip_end, text_of, tokens, unix_lines
 from .udfs import rtl_ratio
 
 # Replies of recognition models that found no text.
@@ -56,11 +58,21 @@ def share(part: Column, whole: Column) -> Column:
 def count_of(c: Column, pattern: str) -> Column:
     """Matches of a pattern. Characters of a class are counted by what is left without their runs, as each match
     would make a string of its own."""
+    if ONE_OF.fullmatch(pattern) and _beyond_ascii(pattern):
+        return let(beyond(c), lambda u: F.length(u) - F.length(F.regexp_replace(u, pattern + "+", "")))
     if ONE_OF.fullmatch(pattern):
+        for name, chars in (("A-Z", string.ascii_uppercase), ("a-z", string.ascii_lowercase), ("0-9", string.digits)):
+            pattern = pattern.replace(name, chars)  # Java looks single characters up in one table
         return F.length(c) - F.length(F.regexp_replace(c, pattern + "+", ""))
     return F.regexp_count(c, F.lit(pattern))
 
 
+def _beyond_ascii(pattern: str) -> bool:
+    """Is this a class of nothing but characters beyond ASCII and ranges between such?"""
+    body = pattern[1:-1]
+    return pattern[0] == "[" and body.strip("-") == body and all(x > "\x7f" for x in body.replace("-", ""))
+
+
 def token_stats(c: Column) -> Column:
     """Struct of the token count, the share of one-character tokens, and that of tokens of at most two
     characters with a digit."""
@@ -141,7 +153,7 @@ def token_list_overlap(a: Column, b: Column) -> Column:
 
 
 def contains_arabic(c: Column) -> Column:
-    return text_of(c).rlike(ARABIC)
+    return beyond(text_of(c)).rlike(ARABIC)
 
 
 def weird_ratio(c: Column) -> Column:
@@ -165,7 +177,7 @@ def nonstandard_ratio(c: Column) -> Column:
 
 def repeated_run_ratio(c: Column) -> Column:
     t = text_of(c)
-    runs = F.regexp_extract_all(t, F.lit("([؀-ۿ])\\1{2,}"), F.lit(0))
+    runs = F.regexp_extract_all(beyond(t), F.lit("([؀-ۿ])\\1{2,}"), F.lit(0))
     size = F.aggregate(runs, F.lit(0), lambda n, x: n + F.length(x))
     return share(size, count_of(t, ARABIC))
 
@@ -176,14 +188,32 @@ def quality_status(c: Column) -> Column:
     return let(F.struct(t.alias("t"), rtl_share(t).alias("rtl")), lambda x: quality_status_of(x["t"], x["rtl"]))
 
 
-def rtl_share(t: Column) -> Column:
-    """``rtl_ratio``, for which ASCII texts need not be handed over."""
-    return F.coalesce(rtl_ratio(let(t, lambda x: F.when(x.rlike(r"[^\x00-\x7f]"), x))), F.lit(0.0))
+def _right_to_left() -> str:
+    """A class of all characters that are written from right to left, and of those whose plain forms may be."""
+    own = [i for i in range(0x110000) if unicodedata.bidirectional(chr(i)) in ("R", "AL", "AN")]
+    there, ends = set(own), []
+    for i in own:
+        if i - 1 not in there:
+            ends.append([i, i])
+        ends[-1][1] = i
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ends) + PRESENTATION[1:]
+
+
+RIGHT_TO_LEFT = _right_to_left()
+
+
+def rtl_share(t: Column, raw: Column | None = None) -> Column:
+    """``rtl_ratio``, for which texts without right-to-left characters need not be handed over. ``raw`` is what ``t`` was
+    made from, by steps that bring no such character into a text without one; then ``t`` is not made just to be asked."""
+    asked = let(t, lambda x: F.when(beyond(x).rlike(RIGHT_TO_LEFT), x))
+    if raw is not None:
+        asked = F.when(beyond(raw).rlike(RIGHT_TO_LEFT), asked)
+    return F.coalesce(rtl_ratio(asked), F.lit(0.0))
 
 
 def quality_status_of(t: Column, rtl: Column) -> Column:
     """``quality_status`` of a text whose share of right-to-left letters is known."""
-    seen = F.struct((strip(t) == "").alias("blank"), contains_arabic(t).alias("arabic"), weird_ratio(t).alias("weird"), rtl.alias("rtl"), suspicious_ratio(t).alias("odd"), repeated_run_ratio(t).alias("runs"), count_of(t, ARABIC).alias("n"))
+    seen = F.struct(is_blank(t).alias("blank"), contains_arabic(t).alias("arabic"), weird_ratio(t).alias("weird"), rtl.alias("rtl"), suspicious_ratio(t).alias("odd"), repeated_run_ratio(t).alias("runs"), count_of(t, ARABIC).alias("n"))
     return let(seen, _quality_status)
 
 

@@ -21,21 +21,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .metrics import any_of, count_of, quality_status_of, rtl_share, weird_ratio
-from .text import cleaned_if_arabic, compose, let, lines, replace_all, strip, strip_end, strip_text, text_of, tokens, unix_lines
+from .text import beyond, cleaned_if_arabic, compose, is_blank, let, lines, replace_all, strip, strip_end, strip_text, text_of, tokens, translate, unix_lines, where_there, without
 from .udfs import nfc, nfkc
 
 Pairs = Iterable[tuple[str, str]]
 
 # Character classes.
 BIDI = "[‎‏‪-‮⁦-⁩]"
-CONTROL = r"[\x00-\x08\x0b-\x1f\x7f-\x9f]"
-UNSEEN = BIDI[:-1] + CONTROL[1:]
-CONTROL_NARROW = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
+CONTROL = "[" + "".join(f"\\x{i:02x}" for i in (*range(9), *range(11, 32), *range(127, 160))) + "]"  # Java looks single characters up in one table
+CONTROL_NARROW = "[" + "".join(f"\\x{i:02x}" for i in (*range(9), 11, 12, *range(14, 32))) + "]"
 AR, LETTER, MARKS = "[؀-ۿ]", "ء-ي", "[ً-ٰٟ]"
 VOWELS = "ًٌٍَُِّْ"
 EASTERN, WESTERN = "٠١٢٣٤٥٦٧٨٩", "0123456789"
 DIGIT = r"[\p{Nd}²³¹⁰⁴-⁹₀-₉①-⑨⑴-⑼⒈-⒐⓪⓵-⓽⓿❶-❾➀-➈➊-➒]"
 DIGITS = rf"[[^\x00-/:-\x7fÀ-\u065f]&&{DIGIT}]+"  # the first part tells most characters
+LINE_ENDS = r"[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]+"
 BEFORE, AFTER = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"  # the edges of a word
 
 # Words that speak for a right reading.
@@ -97,11 +97,14 @@ def occurrences(c: Column, word: str) -> Column:
 
 
 def word_hits(c: Column, words: Iterable[str]) -> Column:
-    """Occurrences of all words; each is looked for only in texts that hold one of them."""
-    words = list(words)
-    firsts = "[" + "".join(sorted({re.escape(w[0]) for w in words})) + "]"
-    there = c.rlike(firsts) & c.rlike(f"(?={firsts})(?:" + "|".join(map(re.escape, words)) + ")")
-    return F.when(c.isNull(), F.lit(None)).when(there, sum((occurrences(c, w) for w in words), F.lit(0).cast("long"))).otherwise(F.lit(0).cast("long"))
+    """Occurrences of all words; each is counted only in texts that hold it, and words that begin beyond ASCII are looked for
+    only in texts with one of their first letters. ``c`` is named often."""
+    words, none = list(words), F.lit(0).cast("long")
+    found = sum((F.when(c.contains(w), occurrences(c, w)).otherwise(none) for w in words), none)
+    firsts = "".join(sorted({w[0] for w in words}))
+    if firsts and firsts[0] > "\x7f":
+        found = F.when(beyond(c).rlike(f"[{firsts}]"), found).otherwise(none)
+    return F.when(c.isNotNull(), found)
 
 
 def composed(c: Column, kind: Callable = nfc) -> Column:
@@ -109,44 +112,51 @@ def composed(c: Column, kind: Callable = nfc) -> Column:
 
 
 def digits_of(c: Column) -> Column:
-    return F.length(c) - F.length(_sub(c, DIGITS, ""))
+    """Digits of Unicode; those beyond ASCII are looked for in what is beyond ASCII, as their class is a long one."""
+    return count_of(c, "[0-9]") + let(beyond(c), lambda u: F.length(u) - F.length(_sub(u, DIGITS, "")))
 
 
 def persian_letters(c: Column) -> Column:
-    return F.translate(c, "کی", "كي")
+    return translate(c, "کی", "كي")
 
 
 def _blanks(c: Column, least: int = 2) -> Column:
-    return F.regexp_replace(c, "[ \t]+" if least == 1 else "[ \t]{2,}", " ")
+    return where_there(c, ["\t", "  "], lambda t: F.regexp_replace(t, "[ \t]+" if least == 1 else "[ \t]{2,}", " "))
 
 
 def _line_ends(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(c, " +\n", "\n"), "\n +", "\n")
+    c = where_there(c, [" \n"], lambda t: F.regexp_replace(t, " +\n", "\n"))
+    return where_there(c, ["\n "], lambda t: F.regexp_replace(t, "\n +", "\n"))
 
 
 def _few_empty(c: Column) -> Column:
-    return F.regexp_replace(c, "\n{4,}", "\n\n\n")
+    return where_there(c, ["\n\n\n\n"], lambda t: F.regexp_replace(t, "\n{4,}", "\n\n\n"))
 
 
 def _opened(c: Column) -> Column:
     """Composed form with line ends as newlines, without direction marks; no-break spaces become spaces."""
-    c = F.regexp_replace(unix_lines(composed(text_of(c))), BIDI, "")
-    return F.translate(c, " ﻿", " ")
+    c = without(unix_lines(composed(text_of(c))), BIDI)
+    return translate(c, " ﻿", " ")
 
 
 def _spaced(c: Column) -> Column:
     """No space before a mark, one between a mark and the letter after it."""
-    return F.regexp_replace(_sub(c, r"\s+([،؛:؟,.])", "$1"), f"([،؛:؟,.])(?=[{LETTER}])", "$1 ")
+    apart = lambda t: F.regexp_replace(t, f"([،؛:؟,.])(?=[{LETTER}])", "$1 ")
+    return let(_sub(c, r"\s+([،؛:؟,.])", "$1"), lambda t: F.when(beyond(t).rlike(f"[{LETTER}]"), apart(t)).otherwise(t))
+
+
+def _slashes(c: Column) -> Column:
+    return where_there(c, ["/"], lambda t: _sub(t, r"\s*/\s*", " / "))
 
 
 # Normal forms. Those of scans take out control characters before anything else is read.
 
 
 def disclosure_form(c: Column, corrections: Pairs = ()) -> Column:
-    t = F.translate(_opened(c), "؟؛،ØÙ�ـ", "?;,")
+    t = translate(_opened(c), "؟؛،ØÙ�ـ", "?;,")
     t = persian_letters(F.replace(t, F.lit("﷼"), F.lit("ريال")))
     glued = lambda x: _glued(replace_all(x, corrections))
-    return strip_text(_few_empty(_line_ends(_blanks(cleaned_if_arabic(t, then=glued)))))
+    return strip_text(_few_empty(_line_ends(_blanks(cleaned_if_arabic(t, then=glued, raw=text_of(c))))))
 
 
 def _glued(c: Column) -> Column:
@@ -157,53 +167,58 @@ def _glued(c: Column) -> Column:
 
 
 def statement_form(c: Column) -> Column:
-    t = F.translate(_opened(c), "—–ØÙ�", "--")
+    t = translate(_opened(c), "—–ØÙ�", "--")
     return strip_text(_few_empty(_line_ends(_blanks(t))))
 
 
 def chat_form(c: Column) -> Column:
-    t = F.regexp_replace(F.translate(_opened(c), "�", ""), CONTROL_NARROW, "")
-    return strip_text(_few_empty(_line_ends(_blanks(cleaned_if_arabic(t)))))
+    t = F.regexp_replace(translate(_opened(c), "�", ""), CONTROL_NARROW, "")
+    return strip_text(_few_empty(_line_ends(_blanks(cleaned_if_arabic(t, raw=text_of(c))))))
 
 
 def upload_form(c: Column) -> Column:
     t = _opened(c)
-    return strip_text(_few_empty(_line_ends(_blanks(cleaned_if_arabic(t, otherwise=strip), 1))))
+    return strip_text(_few_empty(_line_ends(_blanks(cleaned_if_arabic(t, otherwise=strip, raw=text_of(c)), 1))))
+
+
+def _seen(c: Column) -> Column:
+    """Without direction marks and control characters."""
+    return without(F.regexp_replace(c, CONTROL, ""), BIDI)
 
 
 def case_form(c: Column) -> Column:
     """Of case files and pleadings."""
-    t = F.regexp_replace(unix_lines(composed(text_of(c))), UNSEEN, "")
+    t = _seen(unix_lines(composed(text_of(c))))
     return _case_tail(t)
 
 
 def _case_tail(t: Column) -> Column:
-    t = F.translate(t, "\u00a0کی\ufeffـ", " كي")
+    t = translate(t, "\u00a0کی\ufeffـ", " كي")
     return strip_text(_line_ends(_blanks(t)))
 
 
 def scanned(c: Column) -> Column:
     """Compatibility form without direction marks and control characters: what the forms below begin with, once a text."""
-    return F.regexp_replace(composed(text_of(c), nfkc), UNSEEN, "")
+    return _seen(composed(text_of(c), nfkc))
 
 
 def dispute_form(c: Column, corrections: Pairs = (), ready: bool = False) -> Column:
     t = c if ready else scanned(c)
-    t = F.regexp_replace(F.translate(persian_letters(F.translate(t, "ـ", "")), WESTERN, EASTERN), MARKS, "")
-    t = _sub(replace_all(t, corrections), f"{BEFORE}فى{AFTER}", "في")
-    return strip_text(_sub(_sub(_spaced(t), r"\s*/\s*", " / "), r"\s{2,}", " "))
+    t = without(translate(persian_letters(translate(t, "ـ", "")), WESTERN, EASTERN), MARKS)
+    t = where_there(replace_all(t, corrections), ["فى"], lambda x: _sub(x, f"{BEFORE}فى{AFTER}", "في"))
+    return strip_text(_sub(_slashes(_spaced(t)), r"\s{2,}", " "))
 
 
 def gazette_form(c: Column, corrections: Pairs = (), ready: bool = False) -> Column:
-    t = F.translate(c if ready else scanned(c), " ﻿ـ", " ")
-    t = persian_letters(F.regexp_replace(t, MARKS, ""))
+    t = translate(c if ready else scanned(c), " ﻿ـ", " ")
+    t = persian_letters(without(t, MARKS))
     t = replace_all(F.replace(F.replace(t, F.lit("،"), F.lit("، ")), F.lit("؛"), F.lit("؛ ")), corrections)
-    return strip_text(_blanks(_sub(_spaced(t), r"\s*/\s*", " / ")))
+    return strip_text(_blanks(_slashes(_spaced(t))))
 
 
 def law_form(c: Column, corrections: Pairs = (), ready: bool = False) -> Column:
-    t = persian_letters(F.translate(c if ready else scanned(c), "ـ", ""))
-    t = F.translate(t, "٬٫;" + WESTERN + "`©«»" + VOWELS, "،.؛" + EASTERN)
+    t = persian_letters(translate(c if ready else scanned(c), "ـ", ""))
+    t = translate(t, "٬٫;" + WESTERN + "`©«»" + VOWELS, "،.؛" + EASTERN)
     t = replace_all(t, corrections)
     t = _sub(t, rf"{BEFORE}قانون رقم\s*[^\n]{{0,14}}لسنة\s*[^\n]{{0,14}}٢٠١٠{AFTER}", "قانون رقم ٦ لسنة ٢٠١٠")
     t = F.regexp_replace(t, f"(?<![{LETTER}])فى(?![{LETTER}])", "في")
@@ -211,7 +226,7 @@ def law_form(c: Column, corrections: Pairs = (), ready: bool = False) -> Column:
 
 
 def transcript_form(c: Column) -> Column:
-    return strip(F.regexp_replace(_blanks(F.translate(text_of(c), "﻿", ""), 1), "\n{3,}", "\n\n"))
+    return strip(F.regexp_replace(_blanks(translate(text_of(c), "﻿", ""), 1), "\n{3,}", "\n\n"))
 
 
 def polished_transcript(c: Column, corrections: Pairs = (), left_out: Iterable[str] = APPEAL_LEFT_OUT) -> Column:
@@ -236,7 +251,7 @@ def _long(c: Column, name: str) -> Column:
 
 
 def _filled(c: Column) -> Column:
-    return F.size(F.filter(lines(c), lambda x: strip(x) != ""))
+    return F.size(F.filter(F.split(c, LINE_ENDS), lambda x: ~is_blank(x)))
 
 
 def _one_letter(c: Column) -> Column:
@@ -334,36 +349,41 @@ def disclosure_score(c: Column) -> Column:
 
 
 def _disclosure_score(t: Column) -> Column:
-    chars, arabic, digits, words = F.length(t), count_of(t, AR), digits_of(t), disclosure_tokens(t)
+    return let(_shares(t), lambda n: _disclosure_score_of(t, n))
+
+
+def _disclosure_score_of(t: Column, n: Column) -> Column:
+    chars, arabic, latin, digits, words = n["n"], n["arabic"], n["latin"], n["digits"], disclosure_tokens(t)
     mojibake = count_of(t, "[ØÙ�]") + occurrences(t, "? ?")
     score = _sum(
         F.least(chars, F.lit(4000)) * 0.04, arabic * 0.55, digits * 0.08, F.least(_filled(t), F.lit(60)) * 4.0, word_hits(t, DISCLOSURE_WORDS) * 100.0,
-        (arabic + count_of(t, "[A-Za-z]") + digits) / F.greatest(chars, F.lit(1)) * 90.0, _one_letter(t) / F.greatest(words, F.lit(1)) * -450.0, mojibake * -140.0, _repeats(t) * -75.0,
+        (arabic + latin + digits) / F.greatest(chars, F.lit(1)) * 90.0, _one_letter(t) / F.greatest(words, F.lit(1)) * -450.0, mojibake * -140.0, _repeats(t) * -75.0,
         count_of(t, r"[\[\]{}<>~¢©&=_\\|]") * -25.0, _count(t, f"{BEFORE}[a-z]{{2,}}{AFTER}") * -8.0,
     )
-    return F.when(strip(t) == "", NONE).otherwise(score)
+    return F.when(is_blank(t), NONE).otherwise(score)
 
 
 def statement_score(c: Column) -> Column:
-    return let(text_of(c), lambda t: let(F.lower(t), lambda low: _statement_score(t, low)))
+    counted = lambda t: F.struct(F.lower(t).alias("low"), F.length(t).alias("n"), count_of(t, r"\p{L}").alias("letters"), digits_of(t).alias("digits"))
+    return let(text_of(c), lambda t: let(counted(t), lambda n: _statement_score(t, n["low"], n["n"], n["letters"], n["digits"])))
 
 
-def _statement_score(t: Column, low: Column) -> Column:
-    chars, letters, digits, words = F.length(t), count_of(t, r"\p{L}"), digits_of(t), statement_tokens(t)
-    figures = _count(t, rf"\(?-?\p{{Nd}}{{1,3}}(?:,\p{{Nd}}{{3}})+(?:\.\p{{Nd}}+)?\)?|{BEFORE}\p{{Nd}}{{4}}{AFTER}")
+def _statement_score(t: Column, low: Column, chars: Column, letters: Column, digits: Column) -> Column:
+    words = statement_tokens(t)
+    figures = _count(t, rf"(?=[(\-0-9\x80-\x{{10ffff}}])(?:\(?-?\p{{Nd}}{{1,3}}(?:,\p{{Nd}}{{3}})+(?:\.\p{{Nd}}+)?\)?|{BEFORE}\p{{Nd}}{{4}}{AFTER})")
     score = _sum(
         F.least(chars, F.lit(6000)) * 0.05, F.least(letters, F.lit(3500)) * 0.08, F.least(digits, F.lit(2000)) * 0.18, F.least(_filled(t), F.lit(100)) * 2.5,
-        word_hits(low, [w.lower() for w in STATEMENT_WORDS]) * 65.0, _count(t, f"(?i){BEFORE}(?:KD|KWD|Dinars?|fils){AFTER}") * 20.0, figures * 8.0,
+        word_hits(low, [w.lower() for w in STATEMENT_WORDS]) * 65.0, _count(t, f"(?i)(?=[KkDdFf\u212a]){BEFORE}(?:KD|KWD|Dinars?|fils){AFTER}") * 20.0, figures * 8.0,
         (letters + digits) / F.greatest(chars, F.lit(1)) * 100.0, count_of(t, r"[{}\[\]<>|~^]") * -30.0, count_of(t, "[ØÙ�]") * -150.0,
         _one_letter(t) / F.greatest(words, F.lit(1)) * -300.0,
     )
-    return F.when(strip(t) == "", NONE).otherwise(score)
+    return F.when(is_blank(t), NONE).otherwise(score)
 
 
 def chat_measures(c: Column) -> Column:
     """Struct of status, issues and counters, after the chat form."""
     t = chat_form(c)  # named twice only: the share of right-to-left letters is no JVM expression and stays outside of ``let``
-    return let(F.struct(t.alias("t"), rtl_share(t).alias("rtl")), lambda x: let(F.struct(x["t"].alias("t"), quality_status_of(x["t"], x["rtl"]).alias("q")), lambda y: _chat_measures(y["t"], y["q"])))
+    return let(F.struct(t.alias("t"), rtl_share(t, text_of(c)).alias("rtl")), lambda x: let(F.struct(x["t"].alias("t"), quality_status_of(x["t"], x["rtl"]).alias("q")), lambda y: _chat_measures(y["t"], y["q"])))
 
 
 def _chat_measures(t: Column, q: Column) -> Column:
@@ -397,17 +417,19 @@ def dispute_score(c: Column, corrections: Pairs = ()) -> Column:
 
 def dispute_score_english(c: Column, words: Iterable[str]) -> Column:
     """English forms and mails; ``words`` speak for them. Pages with few of them and of form words have no score."""
-    return let(composed(text_of(c), nfkc), lambda t: _dispute_score_english(t, [w.lower() for w in words]))
+    words = [w.lower() for w in words]
+    form = f"(?i)(?=[IiNnDdAaTtSsBbFf\u0130\u0131\u017f]){BEFORE}(ID|Name|Date|Amount|Total|Salary|Bonus|Signature|Subject|From|To){AFTER}"
+    counted = lambda t, low: F.struct(t.alias("t"), _shares(t).alias("n"), word_hits(low, words).alias("hits"), _count(t, form).alias("form"))
+    return let(composed(text_of(c), nfkc), lambda t: let(F.lower(t), lambda low: let(counted(t, low), lambda x: _dispute_score_english(x["t"], x["n"], x["hits"], x["form"]))))
 
 
-def _dispute_score_english(t: Column, words: list[str]) -> Column:
-    latin, digits, hits = count_of(t, "[A-Za-z]"), digits_of(t), word_hits(F.lower(t), words)
-    form = _count(t, f"(?i){BEFORE}(ID|Name|Date|Amount|Total|Salary|Bonus|Signature|Subject|From|To){AFTER}")
+def _dispute_score_english(t: Column, n: Column, hits: Column, form: Column) -> Column:
+    latin, digits = n["latin"], n["digits"]
     score = _sum(
-        latin * 1.4, digits * 0.45, hits * 120, form * 35, F.least(_filled(t), F.lit(80)) * 4, (latin + digits) / F.greatest(F.length(t), F.lit(1)) * 150, count_of(t, AR) * -2,
+        latin * 1.4, digits * 0.45, hits * 120, form * 35, F.least(_filled(t), F.lit(80)) * 4, (latin + digits) / F.greatest(n["n"], F.lit(1)) * 150, n["arabic"] * -2,
         count_of(t, r"[{}<>\\^`~]") * -20, _repeats(t) * -40,
     )
-    return F.when((strip(t) == "") | ((hits < 2) & (form < 4)), NONE).otherwise(score)
+    return F.when(is_blank(t) | ((hits < 2) & (form < 4)), NONE).otherwise(score)
 
 
 def dispute_try_english(c: Column, score: Column, corrections: Pairs = ()) -> Column:
@@ -690,7 +712,7 @@ def dispute_page(c: Column, corrections: Pairs = ()) -> Column:
 
 def dispute_page_english(c: Column) -> Column:
     """Lines of an English page with something to read on them."""
-    own = F.transform(F.split(F.translate(scanned(text_of(c)), " ﻿", " "), "\n"), lambda x: _trimmed(_blanks(strip(x)), r"\s\-_*|\\/<>."))
+    own = F.transform(F.split(translate(scanned(text_of(c)), " ﻿", " "), "\n"), lambda x: _trimmed(_blanks(strip(x)), r"\s\-_*|\\/<>."))
     solid = lambda x: count_of(x, r"[\p{L}\p{N}]")
     kept = F.filter(own, lambda x: (x != "") & (solid(x) > 0) & ~((F.length(x) > 30) & (solid(x) / F.length(x) < 0.15)) & ~x.rlike(r"^[()|.,:+\\/\-=_ ]{1,20}$"))
     return strip(F.array_join(kept, "\n"))
