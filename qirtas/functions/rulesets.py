@@ -35,6 +35,7 @@ VOWELS = "ًٌٍَُِّْ"
 EASTERN, WESTERN = "٠١٢٣٤٥٦٧٨٩", "0123456789"
 DIGIT = r"[\p{Nd}²³¹⁰⁴-⁹₀-₉①-⑨⑴-⑼⒈-⒐⓪⓵-⓽⓿❶-❾➀-➈➊-➒]"
 DIGITS = rf"[[^\x00-/:-\x7fÀ-\u065f]&&{DIGIT}]+"  # the first part tells most characters
+WIDE = "[" + "".join(f"\\x{i:02x}" for i in (*range(33), *range(127, 161))) + r"\u1680-\u3000]"  # all white space, and more
 LINE_ENDS = r"[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]+"
 BEFORE, AFTER = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"  # the edges of a word
 
@@ -142,7 +143,13 @@ def _opened(c: Column) -> Column:
 def _spaced(c: Column) -> Column:
     """No space before a mark, one between a mark and the letter after it."""
     apart = lambda t: F.regexp_replace(t, f"([،؛:؟,.])(?=[{LETTER}])", "$1 ")
-    return let(_sub(c, r"\s+([،؛:؟,.])", "$1"), lambda t: F.when(beyond(t).rlike(f"[{LETTER}]"), apart(t)).otherwise(t))
+    near = let(c, lambda t: F.when(t.rlike(WIDE + "[،؛:؟,.]"), _sub(t, r"\s+([،؛:؟,.])", "$1")).otherwise(t))
+    return let(near, lambda t: F.when(beyond(t).rlike(f"[{LETTER}]"), apart(t)).otherwise(t))
+
+
+def _one_space(c: Column) -> Column:
+    """One space for two and more blanks; texts that hold such are found by a wider and simpler class."""
+    return let(c, lambda t: F.when(t.rlike(WIDE + "{2}"), _sub(t, r"\s{2,}", " ")).otherwise(t))
 
 
 def _slashes(c: Column) -> Column:
@@ -206,7 +213,7 @@ def dispute_form(c: Column, corrections: Pairs = (), ready: bool = False) -> Col
     t = c if ready else scanned(c)
     t = without(translate(persian_letters(translate(t, "ـ", "")), WESTERN, EASTERN), MARKS)
     t = where_there(replace_all(t, corrections), ["فى"], lambda x: _sub(x, f"{BEFORE}فى{AFTER}", "في"))
-    return strip_text(_sub(_slashes(_spaced(t)), r"\s{2,}", " "))
+    return strip_text(_one_space(_slashes(_spaced(t))))
 
 
 def gazette_form(c: Column, corrections: Pairs = (), ready: bool = False) -> Column:
@@ -222,7 +229,7 @@ def law_form(c: Column, corrections: Pairs = (), ready: bool = False) -> Column:
     t = replace_all(t, corrections)
     t = _sub(t, rf"{BEFORE}قانون رقم\s*[^\n]{{0,14}}لسنة\s*[^\n]{{0,14}}٢٠١٠{AFTER}", "قانون رقم ٦ لسنة ٢٠١٠")
     t = F.regexp_replace(t, f"(?<![{LETTER}])فى(?![{LETTER}])", "في")
-    return strip(_sub(_spaced(t), r"\s{2,}", " "))
+    return strip(_one_space(_spaced(t)))
 
 
 def transcript_form(c: Column) -> Column:
@@ -526,15 +533,21 @@ def defence_try_turned(m: Column, score: Column) -> Column:
 
 
 def _trimmed(c: Column, edge: str) -> Column:
-    return _sub(_sub(c, f"^[{edge}]+", ""), rf"[{edge}]+\z", "")
+    """Without the characters of a class at either end, which are looked at first."""
+    at_end = lambda t: F.when(F.substring(t, -1, 1).rlike(f"(?U)[{edge}]"), _sub(t, rf"[{edge}]+\z", "")).otherwise(t)
+    return let(let(c, lambda t: F.when(F.substring(t, 1, 1).rlike(f"(?U)[{edge}]"), _sub(t, f"^[{edge}]+", "")).otherwise(t)), at_end)
 
 
 def _clean(c: Column, edge: str) -> Column:
-    return strip(_sub(_trimmed(c, edge), r"\s{2,}", " "))
+    return strip(_one_space(_trimmed(c, edge)))
 
 
 def joined_words_apart(c: Column) -> Column:
     """Words of case files that are often run into the one before or after."""
+    return let(c, lambda t: F.when(beyond(t).rlike(AR), _words_apart(t)).otherwise(t))
+
+
+def _words_apart(c: Column) -> Column:
     c = _sub(c, f"(?<={AR})(?=(?:العامة|العاصمة|النيابة|القضية|المحكمة|الشركة|المتهم|الشاكي){AFTER})", " ")
     c = _sub(c, f"{BEFORE}(نيابة|النيابة)(العاصمة|العامة){AFTER}", "$1 $2")
     return _sub(c, f"{BEFORE}(دولة)(الكويت){AFTER}", "$1 $2")
@@ -579,10 +592,10 @@ def case_noise(t: Column) -> Column:
 
 
 def _case_noise(t: Column, arabic: Column, latin: Column, digits: Column, n: Column) -> Column:
-    english = any_of(F.lower(t).contains(w) for w in CASE_WORDS_ENGLISH)
+    english = let(F.lower(t), lambda low: any_of(low.contains(w) for w in CASE_WORDS_ENGLISH))  # of short lines without Arabic only
     return (
         (t == "") | t.isin(*CASE_NOISE) | (t.rlike("[©#<>]") & (arabic < 80)) | t.rlike(BARE_NUMBER) | t.rlike(LONG_RUN) | ((n > 25) & ((arabic + latin + digits) / F.greatest(n, F.lit(1)) < 0.18))
-        | ((arabic == 0) & (latin == 0) & (digits < 4)) | ((arabic < 2) & (latin == 0) & (n > 30)) | ((arabic < 3) & (digits > 18) & (n < 45)) | ((latin > 0) & (arabic == 0) & ~english & (n < 80))
+        | ((arabic == 0) & (latin == 0) & (digits < 4)) | ((arabic < 2) & (latin == 0) & (n > 30)) | ((arabic < 3) & (digits > 18) & (n < 45)) | ((latin > 0) & (arabic == 0) & (n < 80) & ~english)
     )
 
 

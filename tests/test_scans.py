@@ -38,3 +38,13 @@ def test_a_form_is_not_made_just_to_be_asked(spark):
 
 def test_digits_of_a_statement_are_counted_once():
     assert str(rulesets.statement_score(F.col("t"))).count("①-⑨") == 1
+
+
+def test_lines_are_cleaned_where_there_is_something_to_clean(spark):
+    lines = ["", "--x--", " a　 b|", "a  b", "x ،y", "نيابةالعاصمة", "دولةالكويت  _", "\x1f\x1fz", "é é"]
+    d = spark.createDataFrame([(x,) for x in lines], "t string")
+    edge = r"\s\-_ـ*|\\/<>"
+    plain = F.regexp_replace(F.regexp_replace("t", f"(?U)^[{edge}]+", ""), rf"(?U)[{edge}]+\z", "")
+    found = d.select("t", rulesets._trimmed(F.col("t"), edge).alias("a"), plain.alias("b"), rulesets._one_space(F.col("t")).alias("c"), F.regexp_replace("t", r"(?U)\s{2,}", " ").alias("d"), rulesets.joined_words_apart(F.col("t")).alias("e")).collect()
+    assert all((r.a, r.c) == (r.b, r.d) for r in found)
+    assert [r.e for r in found if r.e != r.t] == ["نيابة العاصمة", "دولة الكويت  _"]
