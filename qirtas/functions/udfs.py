@@ -5,10 +5,12 @@ from __future__ import annotations
 
 import difflib
 import unicodedata
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,17 +87,26 @@ def word_error_rate(truth: pd.Series, found: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=float)
 
 
-@F.pandas_udf(T.ArrayType(T.StructType().add("config", T.StringType()).add("other", T.StringType()).add("left_in_right", T.DoubleType()).add("right_in_left", T.DoubleType())))
-def token_overlaps(names: pd.Series, tokens: pd.Series) -> pd.Series:
-    """For every two names of a row, in order, the share of the one's tokens (joined by spaces) that the other has, both ways."""
+OVERLAP_ROWS = 64  # documents whose tokens are Python objects at one time
+
+
+def token_overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows of a key, names and tokens (joined by spaces): for every two names of a row, in order, the share of the one's
+    tokens that the other has, both ways. A few rows at a time, as a batch of long texts is large already."""
 
     def overlap(words: list, there: set) -> float:
         return sum(map(there.__contains__, words)) / len(words) if words and there else 0.0
 
-    out = []
-    for own, texts in zip(names, tokens, strict=True):
-        words = [t.split() for t in texts]
-        sets = [set(w) for w in words]
-        named = [i for i, n in enumerate(own) if n is not None]
-        out.append([(own[i], own[j], overlap(words[i], sets[j]), overlap(words[j], sets[i])) for i in named for j in named if own[i] < own[j]])
-    return pd.Series(out, dtype=object)
+    for batch in batches:
+        for at in range(0, batch.num_rows, OVERLAP_ROWS):
+            part, rows, out = batch.slice(at, OVERLAP_ROWS), [], []
+            for row, (own, texts) in enumerate(zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True)):
+                words = [t.split() for t in texts]
+                sets = [set(w) for w in words]
+                named = [i for i, n in enumerate(own) if n is not None]
+                found = [(own[i], own[j], overlap(words[i], sets[j]), overlap(words[j], sets[i])) for i in named for j in named if own[i] < own[j]]
+                out += found
+                rows += [row] * len(found)
+            columns = list(zip(*out, strict=True)) or [[]] * 4
+            kinds = (pa.string(), pa.string(), pa.float64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(rows, pa.int64())), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], ["key", "config", "other", "left_in_right", "right_in_left"])

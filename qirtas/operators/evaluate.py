@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from qirtas.functions.metrics import overlap_tokens
 from qirtas.functions.text import text_of
@@ -36,5 +37,7 @@ def pairwise_overlap(texts: DataFrame, key: str, config: str, text: str) -> Data
     """Token overlap both ways of every two configurations of one document, by name. A document's few texts come
     together as tokens, made once a text; a set of each makes the work grow with the tokens and not their product."""
     rows = texts.filter(F.col(key).isNotNull()).select(key, F.struct(F.col(config).alias("config"), F.array_join(overlap_tokens(F.col(text)), " ").alias("tokens")).alias("t"))
-    sides = rows.groupBy(key).agg(F.collect_list("t").alias("t")).select(key, F.explode(token_overlaps(F.col("t.config"), F.col("t.tokens"))).alias("o"))
-    return sides.select(key, "o.config", "o.other", F.round("o.left_in_right", 4).alias("left_in_right"), F.round("o.right_in_left", 4).alias("right_in_left"))
+    whole = rows.groupBy(key).agg(F.collect_list("t").alias("t")).select(F.col(key).alias("key"), "t.config", "t.tokens")
+    kinds = {"key": whole.schema["key"].dataType, "config": T.StringType(), "other": T.StringType(), "left_in_right": T.DoubleType(), "right_in_left": T.DoubleType()}
+    sides = whole.mapInArrow(token_overlaps, T.StructType([T.StructField(n, k) for n, k in kinds.items()]))
+    return sides.select(F.col("key").alias(key), "config", "other", F.round("left_in_right", 4).alias("left_in_right"), F.round("right_in_left", 4).alias("right_in_left"))

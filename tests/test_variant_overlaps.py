@@ -45,3 +45,15 @@ def test_every_two_readings_of_whole_texts(spark, size):
     found = catalog.QUERIES["variant_overlaps"](spark, f"/root/testdata/{size}").collect()
     assert len(found) == len(want)
     close({(r.doc_id, r.config, r.other): (r.left_in_right, r.right_in_left) for r in found}, want)
+
+
+def test_a_batch_is_taken_a_few_rows_at_a_time():
+    import pyarrow as pa
+
+    from qirtas.functions import udfs
+
+    n = 2 * udfs.OVERLAP_ROWS + 1
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array([["y", "x", None]] * n), pa.array([["a b", "a", "c"]] * n)], ["key", "config", "tokens"])
+    out = list(udfs.token_overlaps(iter([batch, batch.slice(0, 0)])))
+    assert [len(x) for x in out] == [udfs.OVERLAP_ROWS, udfs.OVERLAP_ROWS, 1]
+    assert [r for x in out for r in x.to_pylist()] == [{"key": i, "config": "x", "other": "y", "left_in_right": 1.0, "right_in_left": 0.5} for i in range(n)]
