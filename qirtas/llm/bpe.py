@@ -18,7 +18,7 @@ import pyarrow as pa
 from .text import _B, U, _SPACE, byte_sums, flat, give_back, mix, moved, ranges, slices
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-CACHE = 300_000  # chunks kept by a worker; when full it starts anew
+CACHE = 300_000  # chunks of a generation; a worker keeps the present one and the one before
 ENCODE_BYTES = 1 << 22  # text looked up together: the more, the fewer lookups of the same chunk
 _ODD = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 #: Characters of which Python's classes and the library's may differ, or that the model's alphabet shifts.
@@ -80,6 +80,7 @@ class Encoder:
         self.size = self.library.get_vocab_size()
         self.store = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
         self.cache: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
         pre = repr(self.library.pre_tokenizer)
         self.chunks = pre.startswith("ByteLevel") and "use_regex=True" in pre and "add_prefix_space=False" in pre and self.library.normalizer is None
 
@@ -88,11 +89,16 @@ class Encoder:
 
     def learn(self, chunks: list[bytes]) -> None:
         """Encode chunks that the cache lacks: the library's model on each pre-token, the whole library where
-        this module's split of a chunk might differ from its own."""
+        this module's split of a chunk might differ from its own. Chunks of the generation before are taken over, so that
+        those that come again and again are not encoded anew when the cache is full."""
+        known = {c: ids for c in chunks if (ids := self.before.get(c)) is not None}
         if len(self.cache) + len(chunks) > CACHE:
-            self.cache.clear()
+            self.before, self.cache = self.cache, {}
+        self.cache.update(known)
         model, cache, kind = self.library.model.tokenize, self.cache, "H" if self.store.itemsize == 2 else "I"
         for c in chunks:
+            if c in known:
+                continue
             word = c[1:] if c[0] == 32 else c
             if word.isalpha():  # ASCII letters: one pre-token
                 shown = word.decode() if word is c else "\u0120" + word.decode()
@@ -159,10 +165,10 @@ class Encoder:
         del total
         _, at, inverse = np.unique(h, return_index=True, return_inverse=True)
         keys = [raw[x:y] for x, y in zip(start[at].tolist(), end[at].tolist(), strict=True)]
-        get = self.cache.get
-        found = list(map(get, keys))
+        found = list(map(self.cache.get, keys))
         if None in found:
             self.learn([k for k, x in zip(keys, found, strict=True) if x is None])
+            get = self.cache.get
             found = [x or get(k) for k, x in zip(keys, found, strict=True)]
         ids = np.frombuffer(b"".join(found), self.store)
         n = np.fromiter(map(len, found), np.int64, len(found)) // self.store.itemsize

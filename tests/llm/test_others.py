@@ -6,6 +6,7 @@ import hashlib
 import random
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -196,6 +197,25 @@ def test_token_files(spark, make, odd_rows):
     assert token_files.read_token_files(spark, files, ranks).collect() == []
 
 
+def test_chunks_that_come_again_are_kept_when_the_cache_is_full(monkeypatch):
+    """A word of every text goes to the library's model once, however often the cache is full; ids are the library's."""
+    monkeypatch.setattr(bpe, "CACHE", 6)
+    enc, asked = bpe.Encoder(vocabulary(VOCABULARY)), Counter()
+    library = enc.library
+
+    def tokenize(shown):
+        asked[shown] += 1
+        return library.model.tokenize(shown)
+
+    rng = random.Random(3)
+    texts = [" ".join(["always", *("".join(rng.choices("abcdefgh", k=7)) for _ in range(3)), "always."]) for _ in range(60)]
+    with monkeypatch.context() as m:
+        m.setattr(enc, "library", SimpleNamespace(model=SimpleNamespace(tokenize=tokenize)))
+        got = [ids.tolist() for t in texts for _, ids, _ in enc.column(pa.array([t]))]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert asked["always"] == 1 and len(enc.cache) + len(enc.before) < 30
+
+
 def test_places_of_token_files(spark):
     """Files of several tasks, out of order and one task without any: each begins where all before it end."""
     rows = [(t, f, s, p, f"{t}-{f}-{s}-{p}", 1, 10 * t + f + 3 * s + p + 1) for t in (0, 1, 4, 11) for f in (0, 1) for s in (4, 70) for p in (0, 1, 2)]
