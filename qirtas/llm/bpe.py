@@ -23,6 +23,7 @@ ENCODE_BYTES = 1 << 22  # text looked up together: the more, the fewer lookups o
 _ODD = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 #: Characters of which Python's classes and the library's may differ, or that the model's alphabet shifts.
 _RARE = re.compile(r"[\x00-\x08\x0e-\x1f\x7f\xb2\xb3\xb9\xbc-\xbe\u0250-\U0010ffff]")
+_MARKS = frozenset(b".,;:!?")  # a word of ASCII letters and one of these are two pre-tokens
 _PARTS = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+").findall
 
 
@@ -95,7 +96,7 @@ class Encoder:
         if len(self.cache) + len(chunks) > CACHE:
             self.before, self.cache = self.cache, {}
         self.cache.update(known)
-        model, cache, kind = self.library.model.tokenize, self.cache, "H" if self.store.itemsize == 2 else "I"
+        model, cache, before, kind = self.library.model.tokenize, self.cache, self.before, "H" if self.store.itemsize == 2 else "I"
         for c in chunks:
             if c in known:
                 continue
@@ -108,9 +109,13 @@ class Encoder:
             if c[-1:].isspace() or _RARE.search(t):
                 cache[c] = self.whole([t])[0].tobytes()
                 continue
+            if t.isalpha() or t[0] == " " and t[1:].isalpha():  # other letters: one pre-token
+                cache[c] = array(kind, [x.id for x in model(c.decode("latin-1").translate(_SHOWN))]).tobytes()
+                continue
             found = []
-            for part in map(str.encode, _PARTS(t)):  # a pre-token is a chunk too, and many chunks share it
-                ids = cache.get(part)
+            # a pre-token is a chunk too, and many chunks share it
+            for part in (c[:-1], c[-1:]) if c[-1] in _MARKS and word[:-1].isalpha() else map(str.encode, _PARTS(t)):
+                ids = cache.get(part) or before.get(part)
                 if ids is None:
                     ids = cache[part] = array(kind, [x.id for x in model(part.decode("latin-1").translate(_SHOWN))]).tobytes()
                 found.append(ids)

@@ -216,6 +216,17 @@ def test_chunks_that_come_again_are_kept_when_the_cache_is_full(monkeypatch):
     assert asked["always"] == 1 and len(enc.cache) + len(enc.before) < 30
 
 
+def test_words_and_marks_have_the_ids_of_the_library():
+    """Words of ASCII and other letters with marks, digits and signs before and after them."""
+    enc, rng = bpe.Encoder(vocabulary(VOCABULARY)), random.Random(5)
+    pieces_ = ["foo", "Bar", "caf\u00e9", "\u00aa", "\u00b5m", "\u00df", "9", "\u00b2", "_", "'s", "'", ".", ",", ";", ":", "!", "?", "?!", "$", "\u00d7", "\u0631", "\n", " ", "  "]
+    texts = ["".join(rng.choices(pieces_, k=rng.randint(1, 9))) for _ in range(4000)]
+    for a, ids, n in enc.column(pa.array(texts)):
+        ends = np.cumsum(n)
+        for t, x, y in zip(texts[a : a + len(n)], ends - n, ends, strict=True):
+            assert ids[x:y].tolist() == enc.library.encode(t, add_special_tokens=False).ids, t
+
+
 def test_places_of_token_files(spark):
     """Files of several tasks, out of order and one task without any: each begins where all before it end."""
     rows = [(t, f, s, p, f"{t}-{f}-{s}-{p}", 1, 10 * t + f + 3 * s + p + 1) for t in (0, 1, 4, 11) for f in (0, 1) for s in (4, 70) for p in (0, 1, 2)]
