@@ -15,13 +15,14 @@ Letters, digits and white space are those of Unicode. A null text counts as empt
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .metrics import any_of, count_of, quality_status_of, rtl_share, weird_ratio
-from .text import beyond, cleaned_if_arabic, compose, is_blank, let, lines, replace_all, strip, strip_end, strip_text, text_of, tokens, translate, unix_lines, where_there, without
+from .text import beyond, cleaned_if_arabic, compose, is_blank, let, lines, replace_all, strip, strip_end, strip_text, text_of, translate, unix_lines, where_beyond, where_there, without
 from .udfs import nfc, nfkc
 
 Pairs = Iterable[tuple[str, str]]
@@ -36,7 +37,10 @@ EASTERN, WESTERN = "٠١٢٣٤٥٦٧٨٩", "0123456789"
 DIGIT = r"[\p{Nd}²³¹⁰⁴-⁹₀-₉①-⑨⑴-⑼⒈-⒐⓪⓵-⓽⓿❶-❾➀-➈➊-➒]"
 DIGITS = rf"[[^\x00-/:-\x7fÀ-\u065f]&&{DIGIT}]+"  # the first part tells most characters
 WIDE = "[" + "".join(f"\\x{i:02x}" for i in (*range(33), *range(127, 161))) + r"\u1680-\u3000]"  # all white space, and more
-LINE_ENDS = r"[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]+"
+LINE_ENDS = r"[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028-\u2029]+"
+FORM_FIRSTS, FORM_SECONDS = "IiNnDdAaTtSsBbFf", "DdAaMmOoIiUuRr"  # of the words of forms
+FOLDED = "[\u0130\u0131\u017f\u212a]"  # their other case is an ASCII letter
+LETTERS = f"[{string.ascii_letters}]"  # Java looks single characters up in one table
 BEFORE, AFTER = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"  # the edges of a word
 
 # Words that speak for a right reading.
@@ -97,14 +101,15 @@ def occurrences(c: Column, word: str) -> Column:
     return ((F.length(c) - F.length(F.replace(c, F.lit(word), F.lit("")))) / len(word)).cast("long")
 
 
-def word_hits(c: Column, words: Iterable[str]) -> Column:
+def word_hits(c: Column, words: Iterable[str], far: Column | None = None) -> Column:
     """Occurrences of all words; each is counted only in texts that hold it, and words that begin beyond ASCII are looked for
-    only in texts with one of their first letters. ``c`` is named often."""
+    only in texts with one of their first letters, which ``far`` tells if the characters beyond ASCII are at hand. ``c`` is
+    named often."""
     words, none = list(words), F.lit(0).cast("long")
     found = sum((F.when(c.contains(w), occurrences(c, w)).otherwise(none) for w in words), none)
     firsts = "".join(sorted({w[0] for w in words}))
     if firsts and firsts[0] > "\x7f":
-        found = F.when(beyond(c).rlike(f"[{firsts}]"), found).otherwise(none)
+        found = F.when((beyond(c) if far is None else far).rlike(f"[{firsts}]"), found).otherwise(none)
     return F.when(c.isNotNull(), found)
 
 
@@ -112,9 +117,9 @@ def composed(c: Column, kind: Callable = nfc) -> Column:
     return compose(c, kind)
 
 
-def digits_of(c: Column) -> Column:
+def digits_of(c: Column, far: Column | None = None) -> Column:
     """Digits of Unicode; those beyond ASCII are looked for in what is beyond ASCII, as their class is a long one."""
-    return count_of(c, "[0-9]") + let(beyond(c), lambda u: F.length(u) - F.length(_sub(u, DIGITS, "")))
+    return count_of(c, "[0-9]") + let(beyond(c) if far is None else far, lambda u: F.length(u) - F.length(_sub(u, DIGITS, "")))
 
 
 def persian_letters(c: Column) -> Column:
@@ -195,13 +200,14 @@ def _seen(c: Column) -> Column:
 
 def case_form(c: Column) -> Column:
     """Of case files and pleadings."""
-    t = _seen(unix_lines(composed(text_of(c))))
-    return _case_tail(t)
+    return _case_tail(F.regexp_replace(unix_lines(composed(text_of(c))), CONTROL, ""), BIDI)
 
 
-def _case_tail(t: Column) -> Column:
-    t = translate(t, "\u00a0کی\ufeffـ", " كي")
-    return strip_text(_line_ends(_blanks(t)))
+def _case_tail(t: Column, marks: str = "") -> Column:
+    """``marks`` is a class of what is taken out as well."""
+    letters = "\u00a0کی\ufeffـ"
+    plain = lambda x: F.translate(F.regexp_replace(x, marks, "") if marks else x, letters, " كي")
+    return strip_text(_line_ends(_blanks(where_beyond(t, f"[{letters}{marks[1:-1]}]", plain))))
 
 
 def scanned(c: Column) -> Column:
@@ -210,8 +216,10 @@ def scanned(c: Column) -> Column:
 
 
 def dispute_form(c: Column, corrections: Pairs = (), ready: bool = False) -> Column:
-    t = c if ready else scanned(c)
-    t = without(translate(persian_letters(translate(t, "ـ", "")), WESTERN, EASTERN), MARKS)
+    t = c if ready else F.regexp_replace(composed(text_of(c), nfkc), CONTROL, "")
+    marks = MARKS if ready else f"[{BIDI[1:-1]}{MARKS[1:-1]}]"  # direction marks are what else ``scanned`` takes out
+    plain = lambda x: F.translate(F.regexp_replace(x, marks, ""), "کیـ", "كي")
+    t = translate(where_beyond(t, f"[{marks[1:-1]}کیـ]", plain), WESTERN, EASTERN)
     t = where_there(replace_all(t, corrections), ["فى"], lambda x: _sub(x, f"{BEFORE}فى{AFTER}", "في"))
     return strip_text(_one_space(_slashes(_spaced(t))))
 
@@ -262,7 +270,25 @@ def _filled(c: Column) -> Column:
 
 
 def _one_letter(c: Column) -> Column:
-    return F.size(F.filter(tokens(c), lambda w: F.length(w) == 1))
+    return F.size(F.filter(F.split(c, r"(?U)\s+"), lambda w: F.length(w) == 1))
+
+
+def _token_counts(c: Column) -> Column:
+    """Struct of the number of tokens and that of one character. Only the first and the last part of a split may be empty."""
+    empty = lambda w: (w[0] == "").cast("int") + ((F.size(w) > 1) & (F.element_at(w, -1) == "")).cast("int")
+    return let(F.split(c, r"(?U)\s+"), lambda w: F.struct((F.size(w) - empty(w)).alias("all"), F.size(F.filter(w, lambda x: F.length(x) == 1)).alias("one")))
+
+
+def _short(c: Column) -> Column:
+    """A text with two letters for every run of more ASCII letters. Its tokens (those of one character and those that begin with
+    a letter or digit as well), lines, figures and characters other than such letters are as many as before."""
+    return F.regexp_replace(c, LETTERS + "{3,}", "aa")
+
+
+def _counted(t: Column, body: Callable) -> Column:
+    """``body`` of a struct of the text, its short form and ``_shares``, counted in what is shorter."""
+    both = F.struct(t.alias("t"), _short(t).alias("short"))
+    return let(both, lambda x: let(F.struct(x["t"].alias("t"), x["short"].alias("short"), _shares(x["short"], F.length(x["t"])).alias("n")), body))
 
 
 def _repeats(c: Column, least: int = 6, what: str = ".") -> Column:
@@ -271,25 +297,24 @@ def _repeats(c: Column, least: int = 6, what: str = ".") -> Column:
 
 def case_measures(c: Column, kind: str = "case") -> Column:
     """Struct of the counters of a page, after the case form."""
-    seen = lambda t: F.struct(t.alias("t"), F.lower(t).alias("low"), F.transform(tokens(t), lambda w: F.length(w)).alias("words"))
-    counted = lambda x: F.struct(x["t"].alias("t"), x["low"].alias("low"), x["words"].alias("words"), _shares(x["t"]).alias("n"))
-    return let(case_form(c), lambda t: let(seen(t), lambda x: let(counted(x), lambda y: _case_measures(y["t"], y["low"], y["words"], y["n"], kind))))
+    words = lambda x: let(_token_counts(x["short"]), lambda w: _case_measures(x["t"], x["short"], x["n"], w, kind))
+    return let(case_form(c), lambda t: _counted(t, words))
 
 
-def _case_measures(t: Column, low: Column, sizes: Column, n: Column, kind: str) -> Column:
-    chars, words, arabic, latin, digits = n["n"], F.size(sizes), n["arabic"], n["latin"], n["digits"]
+def _case_measures(t: Column, short: Column, n: Column, words: Column, kind: str) -> Column:
+    chars, arabic, latin, digits, rest = n["n"], n["arabic"], n["latin"], n["digits"], n["rest"]
     least = lambda n: F.greatest(n, F.lit(1))
     out = [
-        _long(chars, "chars"), _long(arabic, "arabic_chars"), _long(latin, "latin_letters"), _long(digits, "digits"), _long(words, "tokens"), _long(_filled(t), "lines"),
-        _long(occurrences(t, "�"), "replacement_chars"),
+        _long(chars, "chars"), _long(arabic, "arabic_chars"), _long(latin, "latin_letters"), _long(digits, "digits"), _long(words["all"], "tokens"), _long(_filled(short), "lines"),
+        _long(occurrences(n["far"], "�"), "replacement_chars"),
     ]
     if kind == "defence":
-        out.append(_long(count_of(t, "[ØÙ]"), "mojibake_chars"))
-    out += [_long(count_of(t, r"[{}<>~^`_=\\|" + ("©#]" if kind == "defence" else "]")), "garbage_chars"), _long(_repeats(t), "long_repeats")]
-    out.append(_long(word_hits(t, DEFENCE_WORDS if kind == "defence" else CASE_WORDS), "legal_anchor_hits"))
+        out.append(_long(count_of(n["far"], "[ØÙ]"), "mojibake_chars"))
+    out += [_long(count_of(rest, r"[{}<>~^`_=\\|" + ("©#]" if kind == "defence" else "]")), "garbage_chars"), _long(_repeats(t), "long_repeats")]
+    out.append(_long(word_hits(t, DEFENCE_WORDS if kind == "defence" else CASE_WORDS, n["far"]), "legal_anchor_hits"))
     if kind == "case":
-        out.append(_long(word_hits(low, CASE_WORDS_ENGLISH), "english_anchor_hits"))
-    return F.struct(*out, F.round(F.size(F.filter(sizes, lambda n: n == 1)) / least(words), 4).alias("single_token_ratio"), F.round((arabic + latin + digits) / least(chars), 4).alias("script_ratio"))
+        out.append(_long(let(F.lower(t), lambda low: word_hits(low, CASE_WORDS_ENGLISH)), "english_anchor_hits"))
+    return F.struct(*out, F.round(words["one"] / least(words["all"]), 4).alias("single_token_ratio"), F.round((arabic + latin + digits) / least(chars), 4).alias("script_ratio"))
 
 
 NONE = float("-inf")
@@ -371,18 +396,25 @@ def _disclosure_score_of(t: Column, n: Column) -> Column:
 
 
 def statement_score(c: Column) -> Column:
-    counted = lambda t: F.struct(F.lower(t).alias("low"), F.length(t).alias("n"), count_of(t, r"\p{L}").alias("letters"), digits_of(t).alias("digits"))
-    return let(text_of(c), lambda t: let(counted(t), lambda n: _statement_score(t, n["low"], n["n"], n["letters"], n["digits"])))
+    low = lambda x: let(F.lower(x["t"]), lambda low: _statement_score(x["t"], low, x["short"], x["n"]))
+    return let(text_of(c), lambda t: _counted(t, low))
+
+
+def currencies(t: Column, low: Column, far: Column) -> Column:
+    """Names of the currency, looked for in texts that hold one somewhere."""
+    named = _count(t, f"(?i)(?=[KkDdFf\u212a]){BEFORE}(?:KD|KWD|Dinars?|fils){AFTER}")
+    return F.when(any_of(low.contains(w) for w in ("kd", "kwd", "dinar", "fils")) | far.rlike(FOLDED), named).otherwise(0)
 
 
-def _statement_score(t: Column, low: Column, chars: Column, letters: Column, digits: Column) -> Column:
-    words = statement_tokens(t)
-    figures = _count(t, rf"(?=[(\-0-9\x80-\x{{10ffff}}])(?:\(?-?\p{{Nd}}{{1,3}}(?:,\p{{Nd}}{{3}})+(?:\.\p{{Nd}}+)?\)?|{BEFORE}\p{{Nd}}{{4}}{AFTER})")
+def _statement_score(t: Column, low: Column, short: Column, n: Column) -> Column:
+    chars, digits, rest, words = n["n"], n["digits"], n["rest"], statement_tokens(short)
+    letters = n["latin"] + count_of(n["far"], r"\p{L}")
+    figures = _count(short, rf"(?=[(\-0-9\x80-\x{{10ffff}}])(?:\(?-?\p{{Nd}}{{1,3}}(?:,\p{{Nd}}{{3}})+(?:\.\p{{Nd}}+)?\)?|{BEFORE}\p{{Nd}}{{4}}{AFTER})")
     score = _sum(
-        F.least(chars, F.lit(6000)) * 0.05, F.least(letters, F.lit(3500)) * 0.08, F.least(digits, F.lit(2000)) * 0.18, F.least(_filled(t), F.lit(100)) * 2.5,
-        word_hits(low, [w.lower() for w in STATEMENT_WORDS]) * 65.0, _count(t, f"(?i)(?=[KkDdFf\u212a]){BEFORE}(?:KD|KWD|Dinars?|fils){AFTER}") * 20.0, figures * 8.0,
-        (letters + digits) / F.greatest(chars, F.lit(1)) * 100.0, count_of(t, r"[{}\[\]<>|~^]") * -30.0, count_of(t, "[ØÙ�]") * -150.0,
-        _one_letter(t) / F.greatest(words, F.lit(1)) * -300.0,
+        F.least(chars, F.lit(6000)) * 0.05, F.least(letters, F.lit(3500)) * 0.08, F.least(digits, F.lit(2000)) * 0.18, F.least(_filled(short), F.lit(100)) * 2.5,
+        word_hits(low, [w.lower() for w in STATEMENT_WORDS]) * 65.0, currencies(t, low, n["far"]) * 20.0, figures * 8.0,
+        (letters + digits) / F.greatest(chars, F.lit(1)) * 100.0, count_of(rest, r"[{}\[\]<>|~^]") * -30.0, count_of(n["far"], "[ØÙ�]") * -150.0,
+        _one_letter(short) / F.greatest(words, F.lit(1)) * -300.0,
     )
     return F.when(is_blank(t), NONE).otherwise(score)
 
@@ -419,24 +451,35 @@ def chat_needs_reading(m: Column, statuses: Iterable[str] = ("fail", "warn", "no
 
 
 def dispute_score(c: Column, corrections: Pairs = ()) -> Column:
-    return let(dispute_form(c, corrections), lambda t: _sum(count_of(t, AR), word_hits(t, DISPUTE_WORDS) * 20, count_of(t, "[A-Za-z]") * -1.5, occurrences(t, "�") * -100, count_of(t, r"[<>_~{}\\^`]") * -5))
+    score = lambda t, n: _sum(
+        n["arabic"], word_hits(t, DISPUTE_WORDS, n["far"]) * 20, n["latin"] * -1.5, occurrences(n["far"], "�") * -100, count_of(n["rest"], r"[<>_~{}\\^`]") * -5
+    )
+    return let(dispute_form(c, corrections), lambda t: let(_shares(t), lambda n: score(t, n)))
+
+
+def form_words() -> str:
+    """A pattern of words of forms; the first two letters are looked at before anything else, by simple classes."""
+    return f"(?U)(?=[{FORM_FIRSTS}\u0130-\u017f][{FORM_SECONDS}\u0130-\u017f])(?i){BEFORE}(ID|Name|Date|Amount|Total|Salary|Bonus|Signature|Subject|From|To){AFTER}"
 
 
 def dispute_score_english(c: Column, words: Iterable[str]) -> Column:
     """English forms and mails; ``words`` speak for them. Pages with few of them and of form words have no score."""
     words = [w.lower() for w in words]
-    form = f"(?i)(?=[IiNnDdAaTtSsBbFf\u0130\u0131\u017f]){BEFORE}(ID|Name|Date|Amount|Total|Salary|Bonus|Signature|Subject|From|To){AFTER}"
-    counted = lambda t, low: F.struct(t.alias("t"), _shares(t).alias("n"), word_hits(low, words).alias("hits"), _count(t, form).alias("form"))
-    return let(composed(text_of(c), nfkc), lambda t: let(F.lower(t), lambda low: let(counted(t, low), lambda x: _dispute_score_english(x["t"], x["n"], x["hits"], x["form"]))))
+    counted = lambda t: F.struct(let(F.lower(t), lambda low: word_hits(low, words)).alias("hits"), F.regexp_count(t, F.lit(form_words())).alias("form"))
+    return let(composed(text_of(c), nfkc), lambda t: let(counted(t), lambda x: _dispute_score_english(t, x["hits"], x["form"])))
+
+
+def _dispute_score_english(t: Column, hits: Column, form: Column) -> Column:
+    score = lambda x: _dispute_score_english_of(x["t"], x["short"], x["n"], hits, form)
+    return F.when(is_blank(t) | ((hits < 2) & (form < 4)), NONE).otherwise(_counted(t, score))
 
 
-def _dispute_score_english(t: Column, n: Column, hits: Column, form: Column) -> Column:
+def _dispute_score_english_of(t: Column, short: Column, n: Column, hits: Column, form: Column) -> Column:
     latin, digits = n["latin"], n["digits"]
-    score = _sum(
-        latin * 1.4, digits * 0.45, hits * 120, form * 35, F.least(_filled(t), F.lit(80)) * 4, (latin + digits) / F.greatest(n["n"], F.lit(1)) * 150, n["arabic"] * -2,
-        count_of(t, r"[{}<>\\^`~]") * -20, _repeats(t) * -40,
+    return _sum(
+        latin * 1.4, digits * 0.45, hits * 120, form * 35, F.least(_filled(short), F.lit(80)) * 4, (latin + digits) / F.greatest(n["n"], F.lit(1)) * 150, n["arabic"] * -2,
+        count_of(n["rest"], r"[{}<>\\^`~]") * -20, _repeats(t) * -40,
     )
-    return F.when(is_blank(t) | ((hits < 2) & (form < 4)), NONE).otherwise(score)
 
 
 def dispute_try_english(c: Column, score: Column, corrections: Pairs = ()) -> Column:
@@ -579,8 +622,18 @@ def law_line(c: Column, corrections: Pairs = ()) -> Column:
     return strip(_sub(F.regexp_replace(t, r"^مادة\(([٠-٩]+)\)$", "مادة ($1)"), r"\s{2,}", " "))
 
 
-def _shares(t: Column) -> Column:
-    return F.struct(count_of(t, AR).alias("arabic"), count_of(t, "[A-Za-z]").alias("latin"), digits_of(t).alias("digits"), F.length(t).alias("n"))
+def _shares(t: Column, size: Column | None = None) -> Column:
+    """Struct of counters, of the text without ASCII letters and of what is beyond ASCII in it, in which all else is counted.
+    ``size`` is that of the text if ``t`` is its short form."""
+    parts = let(F.regexp_replace(t, LETTERS + "+", ""), lambda r: F.struct(r.alias("rest"), beyond(r).alias("far")))
+    return let(F.struct(parts.alias("p"), (F.length(t) if size is None else size).alias("n")), lambda x: _shares_of(x["p"]["rest"], x["p"]["far"], x["n"]))
+
+
+def _shares_of(rest: Column, far: Column, n: Column) -> Column:
+    return F.struct(
+        (F.length(far) - F.length(F.regexp_replace(far, AR + "+", ""))).alias("arabic"), (n - F.length(rest)).alias("latin"), digits_of(rest, far).alias("digits"), n.alias("n"),
+        rest.alias("rest"), far.alias("far"),
+    )
 
 
 BARE_NUMBER = r"^[()|.,:+\\/\-=_ \p{Nd}٠-٩]{1,10}$"
